@@ -67,7 +67,8 @@ def core_offer_enriched(stg_offer_price: DataFrame, stg_offer_metadata: DataFram
 
 def core_category_hierarchy(stg_category_tree: DataFrame) -> DataFrame:
     d = latest_per_key(stg_category_tree, ["asin", "category_id"], [("ingest_ts", "desc")],
-                       tie_break=[("parent_category_id", "desc"), ("category_name", "desc")])
+                       tie_break=[("parent_category_id", "desc"), ("category_name", "desc"),
+                                  ("category_level", "desc")])
     return d.select("asin", "category_id", "parent_category_id", "category_level", "category_name")
 
 

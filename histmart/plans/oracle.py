@@ -123,7 +123,7 @@ def oracle_queries() -> dict[str, str]:
         "o_totalprice, row_number() OVER (PARTITION BY o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) "
         "ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC NULLS FIRST) AS rn FROM orders) WHERE rn = 1")
     q["dim_distinct"] = "SELECT DISTINCT p_brand, p_type FROM part"
-    q["dim_seller"] = "SELECT DISTINCT l_suppkey FROM lineitem WHERE l_suppkey IS NOT NULL"
+    q["distinct_sellers"] = "SELECT DISTINCT l_suppkey FROM lineitem WHERE l_suppkey IS NOT NULL"
     q["bridge_product_category"] = (
         "SELECT md5(CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR)) AS pk, "
         "l_partkey, l_suppkey FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)")

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from histmart.plans import standins as s
+from histmart.plans.feed import product_feed
+from histmart.plans.feed_oracle import FINAL as FEED_MODELS, feed_oracles
+from histmart.plans.models import build_models
 from histmart.plans.oracle import oracle_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +40,7 @@ def standin_queries() -> dict[str, Query]:
         "lag_parent": s.lag_parent_query,
         "monthly_latest": s.monthly_latest,
         "dim_distinct": s.dim_distinct,
-        "dim_seller": s.dim_seller_query,
+        "distinct_sellers": s.dim_seller_query,
         "bridge_product_category": s.bridge_product_category,
         "surrogate_key": s.surrogate_key_query,
         "fact_filtered": s.fact_filtered,
@@ -56,10 +59,31 @@ def standin_queries() -> dict[str, Query]:
     }
 
 
+# Registered model name -> key in ``build_models``.
+MODEL_KEYS = {name: name for name in FEED_MODELS}
+MODEL_KEYS["stg_quarantine_rollup"] = "quarantine_union"
+
+
+def model_query(model: str) -> Query:
+    """The named model computed from the feed derived from the driver tables."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build_models(product_feed(spark, sf_dir))[MODEL_KEYS[model]]
+    run.__name__ = model
+    return run
+
+
+def model_queries() -> dict[str, Query]:
+    return {name: model_query(name) for name in MODEL_KEYS}
+
+
 def all_queries() -> dict[str, Query]:
-    return standin_queries()
+    q = standin_queries()
+    q.update(model_queries())
+    return q
 
 
 def all_oracles() -> dict[str, str]:
     q = all_queries()
-    return {k: v for k, v in oracle_queries().items() if k in q}
+    sql = dict(oracle_queries())
+    sql.update(feed_oracles())
+    return {k: v for k, v in sql.items() if k in q}

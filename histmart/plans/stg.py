@@ -147,7 +147,8 @@ def stg_offers(base: DataFrame) -> DataFrame:
                 keep=["asin", "ingest_ts"], outer=True, index="offer_idx", value="o")
     o = o.select("asin", *[F.col("o")[f].alias(n) for f, n in OFFER_FIELDS], "ingest_ts")
     o = latest_per_key(o, ["asin", "offer_id"], [("ingest_ts", "desc")],
-                       tie_break=[("offer_csv_raw", "desc"), ("seller_id", "desc")])
+                       tie_break=[(c, "desc") for c in ("offer_csv_raw", "seller_id", "is_prime", "is_fba",
+                                                        "condition", "is_shippable", "is_map")])
     return o.select(surrogate_key("asin", "offer_id").alias("stg_offer_id"), *o.columns)
 
 
@@ -161,7 +162,8 @@ def stg_offer_metadata(base: DataFrame) -> DataFrame:
         F.col("o.condition").alias("condition_code"),
         scaled(F.col("o.shipping"), 100, PRICE_TYPE).alias("shipping_dollars"), "ingest_ts")
     o = latest_per_key(o, ["asin", "offer_id", "ingest_ts"], [("seller_id", "desc")],
-                       tie_break=[("shipping_dollars", "desc"), ("condition_code", "desc")])
+                       tie_break=[(c, "desc") for c in ("shipping_dollars", "condition_code", "is_prime",
+                                                        "is_map")])
     key = surrogate_key("asin", "offer_id", F.col("ingest_ts").cast("string"))
     return o.select(key.alias("stg_offer_meta_id"), *o.columns)
 
@@ -231,7 +233,7 @@ def stg_product_metadata(base: DataFrame) -> DataFrame:
     src = base.filter(F.col("asin").isNotNull()).select(
         "asin", *PRODUCT_ATTRS, "ingest_ts", "_airbyte_extracted_at", "_airbyte_raw_id")
     src = latest_per_key(src, ["asin", "ingest_ts"], [("_airbyte_extracted_at", "desc")],
-                         tie_break=[("_airbyte_raw_id", "desc"), ("title", "desc")])
+                         tie_break=[("_airbyte_raw_id", "desc")] + [(c, "desc") for c in PRODUCT_ATTRS])
     key = surrogate_key("asin", F.col("ingest_ts").cast("string"))
     return src.select(key.alias("stg_product_meta_id"), "asin", *PRODUCT_ATTRS, "ingest_ts")
 
