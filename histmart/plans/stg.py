@@ -20,7 +20,7 @@ from histmart.operators import (
     explode_channels, explode_pairs, flatten, full_outer_series, latest_per_key,
     pair_array, previous_in_array, tagged_assets, text_to_tokens,
 )
-from histmart.plans.schema import RAW_RECORD
+from histmart.plans.schema import PRODUCT
 
 PRICE_TYPE = "decimal(18,2)"
 RATING_TYPE = "decimal(3,1)"
@@ -34,50 +34,83 @@ APLUS_ASSET_KINDS = (
 )
 
 
+def _raw_fields(raw: DataFrame):
+    """(data field getter, raw id, extracted-at) for RAW given as VARIANT or typed struct.
+
+    VARIANT input is read one path per field, so a model that needs two
+    fields decodes two paths: every field is its own expression and
+    Catalyst prunes the ones nobody selects. Typed input (a Parquet RAW
+    landing, nested under ``_airbyte_data`` or flat) is plain column access,
+    pruned down to the scan.
+    """
+    if "payload" in raw.columns:
+        fields = {f.name: f.dataType for f in PRODUCT.fields}
+
+        def get(name):
+            dtype = fields[name].simpleString()
+            return F.try_variant_get(F.col("payload"), f"$._airbyte_data.{name}", dtype)
+        rid = F.try_variant_get(F.col("payload"), "$._airbyte_raw_id", "string")
+        ext = F.try_variant_get(F.col("payload"), "$._airbyte_extracted_at", "timestamp")
+        return get, rid, ext
+
+    types = {f.name: f.dataType for f in PRODUCT.fields}
+    if "_airbyte_data" in raw.columns:
+        present = set(raw.schema["_airbyte_data"].dataType.fieldNames())
+        field = lambda name: F.col("_airbyte_data")[name]
+    else:  # flat landing: one top-level column per product field
+        present = set(raw.columns)
+        field = F.col
+
+    def get_typed(name):
+        if name in present:
+            return field(name)
+        return F.lit(None).cast(types[name])
+    return get_typed, F.col("_airbyte_raw_id"), F.col("_airbyte_extracted_at")
+
+
 def product_base(raw: DataFrame) -> DataFrame:
-    """RAW (payload VARIANT + lineage) -> typed base snapshot row.
+    """RAW (payload VARIANT or typed ``_airbyte_data`` + lineage) -> typed base snapshot row.
 
-    One VARIANT -> struct cast per row; fields that do not fit their type
-    become NULL individually. ``csv_text_values`` counts series elements
-    that are not integers (they are NULL in ``csv_v``).
+    Fields that do not fit their type become NULL individually.
+    ``csv_text_values`` counts series elements that are not integers (they
+    are NULL in ``csv_v``).
     """
-    rec = F.try_variant_get(F.col("payload"), "$", RAW_RECORD.simpleString())
-    d = F.col("_rec._airbyte_data")
-    csv_text = d["csv"]
+    d, raw_id, extracted = _raw_fields(raw)
+    csv_text = d("csv")
     csv_v = F.transform(csv_text, lambda ch: F.transform(ch, lambda x: x.try_cast("bigint")))
     bad_values = F.aggregate(
         F.transform(csv_text, lambda ch: F.size(F.filter(
             ch, lambda x: x.isNotNull() & x.try_cast("bigint").isNull()))),
         F.lit(0), lambda acc, n: acc + F.coalesce(n, F.lit(0)))
     has_file = "file_name" in raw.columns
-    out = raw.withColumn("_rec", rec).select(
-        d["asin"].alias("asin"),
-        d["title"].alias("title"),
-        d["brand"].alias("brand"),
-        d["binding"].alias("binding"),
-        d["color"].alias("color"),
-        d["manufacturer"].alias("manufacturer"),
-        d["productGroup"].alias("product_group"),
-        d["productType"].alias("product_type_id"),
-        d["availabilityAmazon"].alias("availability_amazon"),
-        d["websiteDisplayGroup"].alias("website_display_group"),
-        d["websiteDisplayGroupName"].alias("website_display_group_name"),
+    out = raw.select(
+        d("asin").alias("asin"),
+        d("title").alias("title"),
+        d("brand").alias("brand"),
+        d("binding").alias("binding"),
+        d("color").alias("color"),
+        d("manufacturer").alias("manufacturer"),
+        d("productGroup").alias("product_group"),
+        d("productType").alias("product_type_id"),
+        d("availabilityAmazon").alias("availability_amazon"),
+        d("websiteDisplayGroup").alias("website_display_group"),
+        d("websiteDisplayGroupName").alias("website_display_group_name"),
         csv_v.alias("csv_v"),
-        d["salesRanks"].alias("salesranks_v"),
-        d["offers"].alias("offers_v"),
-        d["aPlus"].alias("aplus_v"),
-        d["videos"].alias("videos_v"),
-        d["categoryTree"].alias("category_tree_v"),
-        d["buyBoxSellerIdHistory"].alias("buybox_history_v"),
-        d["ratingHistory"].alias("rating_history_v"),
-        d["reviewCountHistory"].alias("review_count_history_v"),
-        d["monthlySold"].alias("monthly_sold"),
-        d["monthlySoldHistory"].alias("monthly_sold_history_v"),
+        d("salesRanks").alias("salesranks_v"),
+        d("offers").alias("offers_v"),
+        d("aPlus").alias("aplus_v"),
+        d("videos").alias("videos_v"),
+        d("categoryTree").alias("category_tree_v"),
+        d("buyBoxSellerIdHistory").alias("buybox_history_v"),
+        d("ratingHistory").alias("rating_history_v"),
+        d("reviewCountHistory").alias("review_count_history_v"),
+        d("monthlySold").alias("monthly_sold"),
+        d("monthlySoldHistory").alias("monthly_sold_history_v"),
         bad_values.alias("csv_text_values"),
         (F.col("file_name") if has_file else F.lit(None).cast("string")).alias("filename"),
         (F.col("file_modified") if has_file else F.lit(None).cast("timestamp")).alias("last_modified"),
-        F.col("_rec._airbyte_raw_id").alias("_airbyte_raw_id"),
-        F.col("_rec._airbyte_extracted_at").alias("_airbyte_extracted_at"),
+        raw_id.alias("_airbyte_raw_id"),
+        extracted.alias("_airbyte_extracted_at"),
         F.col("ingest_dt").alias("ingest_ts"),
     )
     key = surrogate_key(F.coalesce(F.col("asin"), F.lit("NULL")), F.col("ingest_ts").cast("string"),
