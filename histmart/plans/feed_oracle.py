@@ -121,7 +121,7 @@ SELECT md5(asin || '|' || offer_id || '|' || CAST(ingest_ts AS VARCHAR)) AS stg_
                CAST(shipping / 100.0 AS DECIMAL(18,2)) AS shipping_dollars, ingest_ts FROM offers_raw))
 WHERE rn = 1"""),
     ("offer_tokens", """
-SELECT asin, offer_id, ingest_ts, string_split(offer_csv_raw, ',') AS t FROM stg_offers
+SELECT asin, offer_id, ingest_ts, string_split(offer_csv_raw, ',') AS t FROM offers_raw
 WHERE offer_csv_raw IS NOT NULL AND offer_csv_raw <> ''"""),
     ("offer_pairs", """
 SELECT asin, offer_id, ingest_ts, TRY_CAST(t[2*j+1] AS DECIMAL(38,0)) AS k,

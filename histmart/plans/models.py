@@ -19,7 +19,7 @@ def build_models(raw: DataFrame, base: DataFrame | None = None) -> dict[str, Dat
     m["stg_reviews"] = stg.stg_reviews(b)
     m["stg_offers"] = stg.stg_offers(b)
     m["stg_offer_metadata"] = stg.stg_offer_metadata(b)
-    m["stg_offer_price"] = stg.stg_offer_price(m["stg_offers"])
+    m["stg_offer_price"] = stg.stg_offer_price(stg.offer_snapshots(b))
     m["stg_buybox_history"] = stg.stg_buybox_history(b)
     m["stg_category_tree"] = stg.stg_category_tree(b)
     m["stg_product_metadata"] = stg.stg_product_metadata(b)

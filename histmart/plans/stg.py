@@ -174,11 +174,16 @@ OFFER_FIELDS = (("offerId", "offer_id"), ("sellerId", "seller_id"), ("isPrime",
                 ("isMAP", "is_map"), ("offerCSV", "offer_csv_raw"))
 
 
-def stg_offers(base: DataFrame) -> DataFrame:
-    """Latest attributes and raw price text per (asin, offer)."""
+def offer_snapshots(base: DataFrame) -> DataFrame:
+    """Every offer of every load (outer flatten: products without offers keep a NULL row)."""
     o = flatten(base.select("asin", "ingest_ts", "offers_v"), "offers_v",
                 keep=["asin", "ingest_ts"], outer=True, index="offer_idx", value="o")
-    o = o.select("asin", *[F.col("o")[f].alias(n) for f, n in OFFER_FIELDS], "ingest_ts")
+    return o.select("asin", *[F.col("o")[f].alias(n) for f, n in OFFER_FIELDS], "ingest_ts")
+
+
+def stg_offers(base: DataFrame) -> DataFrame:
+    """Latest attributes and raw price text per (asin, offer)."""
+    o = offer_snapshots(base)
     o = latest_per_key(o, ["asin", "offer_id"], [("ingest_ts", "desc")],
                        tie_break=[(c, "desc") for c in ("offer_csv_raw", "seller_id", "is_prime", "is_fba",
                                                         "condition", "is_shippable", "is_map")])
@@ -202,7 +207,13 @@ def stg_offer_metadata(base: DataFrame) -> DataFrame:
 
 
 def stg_offer_price(offers: DataFrame) -> DataFrame:
-    """Offer price points from the comma text; keeps sentinels and 0 < p <= 400."""
+    """Offer price points from the comma text; keeps sentinels and 0 < p <= 400.
+
+    ``offers`` are the offer snapshots of every load (``offer_snapshots``), so
+    the history keeps the points of older loads too; a point present in
+    several loads takes the newest load. Merging increments therefore gives
+    the same table as one full run.
+    """
     src = offers.filter(F.col("offer_csv_raw").isNotNull() & (F.col("offer_csv_raw") != ""))
     pts = explode_pairs(src.select("asin", "offer_id", "ingest_ts",
                                    text_to_tokens("offer_csv_raw").alias("_t")),

@@ -31,10 +31,11 @@ def layer_path(root: str, layer: str, model: str) -> str:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a readable table (an empty table counts as absent)."""
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing only
         return True
-    except Exception:  # AnalysisException: path does not exist / no files
+    except Exception:  # AnalysisException: path does not exist / no data files
         return False
 
 
@@ -110,7 +111,7 @@ def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str] |
     merged = target.join(src_ok.select(*keys), keys, "left_anti").unionByName(src_ok)
     stage = shared_path(spark, "upsert-stage")
     merged.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    staged = spark.read.schema(merged.schema).parquet(stage)
     if partition_by:
         # dynamic partition overwrite: only partitions present in ``staged``
         staged.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
