@@ -34,28 +34,18 @@ def pair_array(arr, keep_partial: bool = True, key_name: str = "minute",
 
     keep_partial=True keeps an odd trailing key with a NULL value (the
     group-by decode); False drops it (the self-join decode). NULL or empty
-    input gives an empty/NULL array, i.e. no rows after ``inline``.
+    input gives NULL, i.e. no rows after ``inline``. One lambda call per
+    pair: ``sequence`` enumerates pair numbers, ``get`` reads both halves.
     """
     arr = _col(arr)
-    n = F.size(arr)
-    tagged = F.transform(
-        arr,
-        lambda x, i: F.struct(
-            F.floor(i / 2).cast("int").alias(idx_name),
-            x.alias(key_name),
-            F.get(arr, i + 1).alias(value_name),
-            i.alias("_i"),
-        ),
-    )
-    if keep_partial:
-        keep = lambda s: s["_i"] % 2 == 0
-    else:
-        keep = lambda s: (s["_i"] % 2 == 0) & (s["_i"] + 1 < n)
-    return F.transform(
-        F.filter(tagged, keep),
-        lambda s: F.struct(s[idx_name].alias(idx_name), s[key_name].alias(key_name),
-                           s[value_name].alias(value_name)),
-    )
+    size = F.size(arr)
+    n = F.floor((size + 1) / 2) if keep_partial else F.floor(size / 2)
+    n = n.cast("int")
+    pairs = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.struct(i.alias(idx_name), F.get(arr, 2 * i).alias(key_name),
+                           F.get(arr, 2 * i + 1).alias(value_name)))
+    return F.when(n > 0, pairs)
 
 
 def explode_pairs(df: DataFrame, arr, keep: Sequence[str] | None = None,
@@ -93,6 +83,13 @@ def channel_series(csv, channels: Iterable[tuple[str, int]] = PRICE_CHANNELS,
     ])
 
 
+def _tag_channel(ch_name, name, key_name, value_name):
+    def tag(p):
+        return F.struct(F.lit(ch_name).alias(name), p["pair_idx"].alias("pair_idx"),
+                        p[key_name].alias(key_name), p[value_name].alias(value_name))
+    return tag
+
+
 def explode_channels(df: DataFrame, csv, channels: Iterable[tuple[str, int]] = PRICE_CHANNELS,
                      keep: Sequence[str] | None = None, keep_partial: bool = True,
                      name: str = "channel", key_name: str = "minute",
@@ -100,15 +97,11 @@ def explode_channels(df: DataFrame, csv, channels: Iterable[tuple[str, int]] = P
     """One row per (channel, pair) of the selected channels, decoded in-row."""
     keep = list(keep) if keep is not None else [c for c in df.columns
                                                  if not (isinstance(csv, str) and c == csv)]
-    # NULL channels are dropped first: ``flatten`` is NULL if any part is NULL.
-    present = F.filter(channel_series(csv, channels, name, "_series"),
-                       lambda s: s["_series"].isNotNull())
-    per_channel = F.transform(
-        present,
-        lambda s: F.transform(
-            pair_array(s["_series"], keep_partial, key_name, value_name),
-            lambda p: F.struct(s[name].alias(name), p["pair_idx"].alias("pair_idx"),
-                               p[key_name].alias(key_name), p[value_name].alias(value_name)),
-        ),
-    )
+    csv = _col(csv)
+    per_channel = []
+    for ch_name, idx in channels:
+        pairs = pair_array(F.get(csv, F.lit(idx)), keep_partial, key_name, value_name)
+        per_channel.append(F.transform(pairs, _tag_channel(ch_name, name, key_name, value_name)))
+    # NULL (absent or empty) channels are dropped: ``flatten`` is NULL if any part is.
+    per_channel = F.array_compact(F.array(*per_channel))
     return df.select(*keep, F.inline(F.flatten(per_channel)))

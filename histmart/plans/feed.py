@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histmart.functions import ts_to_minutes
-from histmart.sources import table
+from histmart.sources import spread, table
 
 
 def _bigint(c):
@@ -52,9 +52,9 @@ def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     The rows arrive typed, like a Parquet landing of the feed; the NDJSON
     path (VARIANT payload) is exercised by ``read_ndjson`` on real files.
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size",
                                                "p_retailprice")
     j = li.join(part, li["l_partkey"] == part["p_partkey"], "inner")

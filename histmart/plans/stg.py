@@ -68,6 +68,12 @@ def _raw_fields(raw: DataFrame):
     return get_typed, F.col("_airbyte_raw_id"), F.col("_airbyte_extracted_at")
 
 
+def _is_integer_series(raw: DataFrame) -> bool:
+    if "csv" not in raw.columns:
+        return False
+    return raw.schema["csv"].dataType.simpleString() == "array<array<bigint>>"
+
+
 def product_base(raw: DataFrame) -> DataFrame:
     """RAW (payload VARIANT or typed ``_airbyte_data`` + lineage) -> typed base snapshot row.
 
@@ -77,11 +83,15 @@ def product_base(raw: DataFrame) -> DataFrame:
     """
     d, raw_id, extracted = _raw_fields(raw)
     csv_text = d("csv")
-    csv_v = F.transform(csv_text, lambda ch: F.transform(ch, lambda x: x.try_cast("bigint")))
-    bad_values = F.aggregate(
-        F.transform(csv_text, lambda ch: F.size(F.filter(
-            ch, lambda x: x.isNotNull() & x.try_cast("bigint").isNull()))),
-        F.lit(0), lambda acc, n: acc + F.coalesce(n, F.lit(0)))
+    if _is_integer_series(raw):
+        # typed landing: already integers, nothing to cast or count
+        csv_v, bad_values = csv_text, F.lit(0)
+    else:
+        csv_v = F.transform(csv_text, lambda ch: F.transform(ch, lambda x: x.try_cast("bigint")))
+        bad_values = F.aggregate(
+            F.transform(csv_text, lambda ch: F.size(F.filter(
+                ch, lambda x: x.isNotNull() & x.try_cast("bigint").isNull()))),
+            F.lit(0), lambda acc, n: acc + F.coalesce(n, F.lit(0)))
     has_file = "file_name" in raw.columns
     out = raw.select(
         d("asin").alias("asin"),

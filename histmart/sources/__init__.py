@@ -1,7 +1,7 @@
 """Sources (NDJSON raw load, driver tables) and sinks (overwrite/append/upsert)."""
 
 from histmart.sources.raw import (
-    table, read_ndjson_lines, parse_raw, read_ndjson, read_json_array, load_status,
+    table, spread, read_ndjson_lines, parse_raw, read_ndjson, read_json_array, load_status,
     RAW_FILE_PATTERN, DRIVER_TABLES,
 )
 from histmart.sources.sink import (
@@ -9,7 +9,7 @@ from histmart.sources.sink import (
 )
 
 __all__ = [
-    "table", "read_ndjson_lines", "parse_raw", "read_ndjson", "read_json_array", "load_status",
+    "table", "spread", "read_ndjson_lines", "parse_raw", "read_ndjson", "read_json_array", "load_status",
     "RAW_FILE_PATTERN", "DRIVER_TABLES",
     "layer_path", "table_exists", "overwrite", "append", "high_water", "increment_filter",
     "upsert", "LAYERS",

@@ -26,6 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan has fewer splits.
+
+    A large input already has many splits and is returned unchanged (no
+    shuffle); a small file with few row groups would otherwise leave most
+    cores idle during the row-local decoding that follows. Round-robin
+    placement cannot create skew.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
+
+
 def _load_date(load_date) -> "F.Column":
     if load_date is None:
         return F.current_date()
