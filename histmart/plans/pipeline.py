@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from histmart.operators.quality import Check, check_summary, store_failures
 from histmart.plans import bad, core, marts, stg
+from histmart.functions import minutes_to_ts
 from histmart.plans.models import model_checks
 from histmart.session import shared_path
 from histmart.sources.sink import append, high_water, increment_filter, layer_path, overwrite, upsert
@@ -45,6 +46,8 @@ MERGED = {
     "stg_price": ("stg", "pk", "snapshot_ts"),
     "stg_rank": ("stg", "pk", "snapshot_ts"),
     "stg_reviews": ("stg", "pk", "snapshot_ts"),
+    "stg_reviews_rating_pts": ("stg", ["asin", "keepa_min"], "keepa_min"),
+    "stg_reviews_count_pts": ("stg", ["asin", "keepa_min"], "keepa_min"),
     "stg_offers": ("stg", "stg_offer_id", None),
     "stg_offer_metadata": ("stg", "stg_offer_meta_id", "ingest_ts"),
     "stg_offer_price": ("stg", "stg_offer_price_id", "snapshot_ts"),
@@ -89,6 +92,12 @@ REBUILT = {
 MONITORING_TABLE = "pipeline_run_monitoring"
 
 
+def _month_of(column: str):
+    """Partition month of a key column (series minutes are converted first)."""
+    c = minutes_to_ts(column) if column == "keepa_min" else F.col(column)
+    return F.date_trunc("MONTH", c).cast("date")
+
+
 def _path(root: str, name: str) -> str:
     layer = MERGED[name][0] if name in MERGED else REBUILT.get(name, "monitoring")
     return layer_path(root, layer, name)
@@ -100,6 +109,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
     t0 = time.time()
     run_id = run_id or uuid.uuid4().hex
     rows: dict[str, int] = {}
+    steps: dict[str, float] = {}
     schemas: dict = {}  # published schemas: an empty table has no file to infer one from
 
     def read(name: str) -> DataFrame:
@@ -118,6 +128,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
 
     def merge(name: str, df: DataFrame) -> DataFrame:
         """Stage the increment (computed once), merge it, return the staged rows."""
+        t = time.time()
         _, key, month_of = MERGED[name]
         o = Observation(name)
         path = shared_path(spark, f"inc-{name}")
@@ -128,10 +139,12 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
         if name in NATURAL_KEYS:
             out = out.withColumn(MERGE_KEY, NATURAL_KEYS[name]())
         if month_of:
-            out = out.withColumn(PART, F.date_trunc("MONTH", F.col(month_of)).cast("date"))
+            out = out.withColumn(PART, _month_of(month_of))
         schemas[name] = out.schema
+        # every merged model already keeps one row per key (its own dedup)
         upsert(spark, out, _path(root, name), key, partition_by=[PART] if month_of else None,
-               full_refresh=full_refresh)
+               full_refresh=full_refresh, unique_source=True)
+        steps[name] = time.time() - t
         return staged
 
     b_part = b.withColumn(PART, F.date_trunc("MONTH", F.col("ingest_ts")).cast("date"))
@@ -150,9 +163,20 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
                      ("stg_videos", stg.stg_videos), ("stg_aplus_module", stg.stg_aplus_module)):
         inc[name] = merge(name, fn(b))
     inc["stg_offer_price"] = merge("stg_offer_price", stg.stg_offer_price(stg.offer_snapshots(b)))
-    touched = b.select("asin").distinct()
-    all_base = read("stg_base").join(touched, "asin", "left_semi")
-    inc["stg_reviews"] = merge("stg_reviews", stg.stg_reviews(all_base))
+    # reviews: the two series are kept as keyed side tables; the increment
+    # re-joins only the (asin, minute) keys it touched, read from touched months.
+    r_inc, c_inc = stg.review_sides(b)
+    r_new = merge("stg_reviews_rating_pts", r_inc)
+    c_new = merge("stg_reviews_count_pts", c_inc)
+    keys = ["asin", "keepa_min", PART]
+    touched = (r_new.select("asin", "keepa_min").union(c_new.select("asin", "keepa_min")).distinct()
+               .withColumn(PART, _month_of("keepa_min")))
+
+    def side(name):
+        return spark.read.schema(schemas[name]).parquet(_path(root, name)).join(
+            touched, keys, "left_semi").drop(PART)
+    inc["stg_reviews"] = merge("stg_reviews", stg.reviews_from_sides(
+        side("stg_reviews_rating_pts"), side("stg_reviews_count_pts")))
     inc["stg_price__bad"] = bad.price_bad(inc["stg_price"])
     inc["stg_rank__bad"] = bad.rank_bad(inc["stg_rank"])
     inc["stg_reviews__bad"] = bad.reviews_bad(inc["stg_reviews"])
@@ -175,10 +199,12 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
 
     # 3. rebuilt tables, from published tables
     def rebuild(name: str, df: DataFrame) -> None:
+        t = time.time()
         o = Observation(name)
         overwrite(df.observe(o, F.count(F.lit(1)).alias("rows")), _path(root, name))
         rows[name] = o.get["rows"]
         schemas[name] = df.schema
+        steps[name] = time.time() - t
 
     rebuild("core_buybox_daily", core.core_buybox_daily(read("stg_buybox_history")))
     rebuild("core_offer_enriched", core.core_offer_enriched(read("stg_offer_price"), read("stg_offer_metadata")))
@@ -195,16 +221,19 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
     rebuild("fct_sales_estimate_monthly", marts.fct_sales_estimate_monthly(read("core_sales_estimate_monthly")))
 
     # 4. checks on the published tables, failures stored, one monitoring row
+    t = time.time()
     published = {name: read(name) for name in list(MERGED) + list(REBUILT)}
     checks: list[Check] = model_checks(published)
     summary = check_summary(spark, checks).collect()  # one small row per check
-    store_failures(checks, layer_path(root, "monitoring", "test_failures"))
+    failing = {r["check_name"] for r in summary if r["failures"] > 0}
+    store_failures([c for c in checks if c.name in failing], layer_path(root, "monitoring", "test_failures"))
+    steps["checks"] = time.time() - t
     failed = sum(1 for r in summary if r["failures"] > 0)
     status = "success" if failed == 0 else "success_with_warnings"
     metrics = {
         "run_id": run_id, "status": status, "models_run": len(rows) - 1,
         "tests_passed": len(summary) - failed, "tests_failed": failed,
-        "rows_loaded": rows["stg_base"], "rows": rows, "seconds": time.time() - t0,
+        "rows_loaded": rows["stg_base"], "rows": rows, "steps": steps, "seconds": time.time() - t0,
     }
     log_run(spark, root, metrics)
     return metrics

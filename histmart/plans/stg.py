@@ -161,12 +161,17 @@ def stg_rank(base: DataFrame) -> DataFrame:
     return pts.select(surrogate_key("asin", ts_text("snapshot_ts")).alias("pk"), *pts.columns)
 
 
-def stg_reviews(base: DataFrame) -> DataFrame:
-    """Rating (tenths) and review-count points joined on (asin, minute)."""
+def review_sides(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rating and review-count points, each reduced to its newest load per (asin, minute)."""
     r = latest_per_key(_channel_pairs(base, RATING_CHANNEL, "keepa_min", "raw_rating"),
                        ["asin", "keepa_min"], [("ingest_ts", "desc")], [("raw_rating", "desc")])
     c = latest_per_key(_channel_pairs(base, REVIEW_COUNT_CHANNEL, "keepa_min", "raw_count"),
                        ["asin", "keepa_min"], [("ingest_ts", "desc")], [("raw_count", "desc")])
+    return r, c
+
+
+def reviews_from_sides(r: DataFrame, c: DataFrame) -> DataFrame:
+    """Join the two series on (asin, minute); the rating side's load stamp wins."""
     j = full_outer_series(r, c, ["asin", "keepa_min"],
                           coalesce_extra=[("ingest_ts", "ingest_ts", "ingest_ts")])
     pts = j.select(
@@ -179,6 +184,11 @@ def stg_reviews(base: DataFrame) -> DataFrame:
     return pts.select(pk.alias("pk"), *pts.columns)
 
 
+def stg_reviews(base: DataFrame) -> DataFrame:
+    """Rating (tenths) and review-count points joined on (asin, minute)."""
+    return reviews_from_sides(*review_sides(base))
+
+
 OFFER_FIELDS = (("offerId", "offer_id"), ("sellerId", "seller_id"), ("isPrime", "is_prime"),
                 ("isFBA", "is_fba"), ("condition", "condition"), ("isShippable", "is_shippable"),
                 ("isMAP", "is_map"), ("offerCSV", "offer_csv_raw"))

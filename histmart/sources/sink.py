@@ -80,13 +80,14 @@ def increment_filter(src_col, mark, mode: str = "strict", as_date: bool = False)
 
 def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str] | str,
            partition_by: Sequence[str] | None = None, order: Sequence | None = None,
-           full_refresh: bool = False) -> dict:
+           full_refresh: bool = False, unique_source: bool = False) -> dict:
     """MERGE by key: matched target rows are replaced, the rest inserted.
 
     The increment is first reduced to one row per key (``order`` picks it,
     default: keep any one deterministic row), so the merge is never
-    ambiguous. Rows whose key is NULL would never match a MERGE and pile up;
-    they are rejected here and returned in the metrics.
+    ambiguous (``unique_source=True`` skips that shuffle for a source that a
+    model already reduced to one row per key). Rows whose key is NULL would
+    never match a MERGE and pile up; they are rejected here.
     """
     keys = [key] if isinstance(key, str) else list(key)
     null_key = None
@@ -96,7 +97,7 @@ def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str] |
     src_ok = src.filter(~null_key)
     if order:
         src_ok = latest_per_key(src_ok, keys, order)
-    else:
+    elif not unique_source:
         src_ok = src_ok.dropDuplicates(keys)
 
     if full_refresh or not table_exists(spark, path):
