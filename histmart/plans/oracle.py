@@ -177,4 +177,5 @@ def oracle_queries() -> dict[str, str]:
         f"CASE WHEN count(*) = 0 THEN 'pass' ELSE 'warn' END AS status FROM ({sql})"
         for name, sql in _CHECK_FAILURES.items())
     q["stream_last_of_day"] = _LAST_OF_DAY
+    q["stream_windowed_last_of_day"] = _LAST_OF_DAY
     return q

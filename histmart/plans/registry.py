@@ -56,6 +56,7 @@ def standin_queries() -> dict[str, Query]:
         "check_expression": s.check_expression,
         "run_metrics": s.run_metrics,
         "stream_last_of_day": s.stream_last_of_day_query,
+        "stream_windowed_last_of_day": s.stream_windowed_last_of_day,
     }
 
 

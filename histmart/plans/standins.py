@@ -435,3 +435,16 @@ def stream_last_of_day_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream_last_of_day(spark, stream, target, ["user_id", "event_type"], "ts", "ingest_ts",
                        checkpoint=shared_path(spark, "stream-ckpt"), tie_break=[("event_id", "desc")])
     return spark.read.parquet(target).select("user_id", "event_type", "date", "event_id", "ts", "value")
+
+
+def stream_windowed_last_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> watermark + tumbling day window + max_by state -> update-mode upsert."""
+    from histmart.streaming.incremental import stream_windowed_latest
+    schema = _t(spark, sf_dir, "events").schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1")
+              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    target = shared_path(spark, "stream-windowed")
+    stream_windowed_latest(spark, stream, target, ["user_id", "event_type"], "ts",
+                           ["event_id", "ts", "value"], "event_id",
+                           checkpoint=shared_path(spark, "stream-window-ckpt"))
+    return spark.read.parquet(target).select("user_id", "event_type", "date", "event_id", "ts", "value")

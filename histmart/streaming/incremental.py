@@ -83,3 +83,31 @@ def stream_last_of_day(spark: SparkSession, source: DataFrame, target: str, keys
         upsert(spark, best, target, "_day_key", partition_by=["date"])
 
     run_available_now(source, process, checkpoint)
+
+
+def stream_windowed_latest(spark: SparkSession, source: DataFrame, target: str, keys, ts: str,
+                           payload, tie: str, checkpoint: str, delay: str = "2 days",
+                           bucket: str = "1 day") -> None:
+    """Latest row per (keys, calendar bucket) as a stateful windowed stream.
+
+    ``withWatermark`` bounds the state (rows later than ``delay`` behind the
+    newest event seen are dropped, the late-data policy of a strict mark);
+    a tumbling ``window`` gives the calendar bucket; ``max_by`` keeps the
+    newest row per group in the state store (partial aggregation per task).
+    Update mode emits only the groups a micro-batch changed, and each batch
+    is merged into ``target`` by (keys, bucket) - idempotent on replay.
+    """
+    ev = source.withColumn("_event_ts", F.col(ts).cast("timestamp"))
+    latest = (ev.withWatermark("_event_ts", delay)
+              .groupBy(F.window("_event_ts", bucket).alias("w"), *keys)
+              .agg(F.max_by(F.struct(*payload), F.struct(F.col(ts), F.col(tie))).alias("row")))
+    out = latest.select(*keys, F.col("w.start").cast("date").alias("date"), "row.*")
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.col("date").cast("string"))
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        upsert(spark, batch.withColumn("_bucket_key", key), target, "_bucket_key",
+               partition_by=["date"], unique_source=True)
+
+    q = (out.writeStream.outputMode("update").foreachBatch(process)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
