@@ -35,7 +35,9 @@ from histmart.plans import bad, core, marts, stg
 from histmart.functions import minutes_to_ts
 from histmart.plans.models import model_checks
 from histmart.session import shared_path
-from histmart.sources.sink import append, high_water, increment_filter, layer_path, overwrite, upsert
+from histmart.sources.sink import (
+    append, create_view, high_water, increment_filter, layer_path, overwrite, upsert,
+)
 
 # Incrementally merged tables: (layer, merge key, column whose month partitions the table).
 # The partition column is part of the key, so a key never changes partition and a
@@ -126,15 +128,19 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
     rows["stg_base"] = obs.get["rows"]
     b = spark.read.schema(base.schema).parquet(stage)
 
-    def merge(name: str, df: DataFrame) -> DataFrame:
-        """Stage the increment (computed once), merge it, return the staged rows."""
+    def merge(name: str, df: DataFrame, stage: bool = True) -> DataFrame:
+        """Merge the increment by key; with ``stage`` it is first written once
+        (lineage cut) and the staged rows are returned for downstream models."""
         t = time.time()
         _, key, month_of = MERGED[name]
         o = Observation(name)
-        path = shared_path(spark, f"inc-{name}")
-        df.observe(o, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-        rows[name] = o.get["rows"]
-        staged = spark.read.schema(df.schema).parquet(path)
+        observed = df.observe(o, F.count(F.lit(1)).alias("rows"))
+        if stage:
+            path = shared_path(spark, f"inc-{name}")
+            observed.write.parquet(path)
+            staged = spark.read.schema(df.schema).parquet(path)
+        else:
+            staged = observed
         out = staged
         if name in NATURAL_KEYS:
             out = out.withColumn(MERGE_KEY, NATURAL_KEYS[name]())
@@ -144,6 +150,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
         # every merged model already keeps one row per key (its own dedup)
         upsert(spark, out, _path(root, name), key, partition_by=[PART] if month_of else None,
                full_refresh=full_refresh, unique_source=True)
+        rows[name] = o.get.get("rows", 0)
         steps[name] = time.time() - t
         return staged
 
@@ -188,14 +195,16 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
     inc["core_offer_price_daily"] = core.core_offer_price_daily(inc["stg_offer_price"])
     inc["core_product_latest"] = core.core_product_latest(b)
     for name in ("stg_price__bad", "stg_rank__bad", "stg_reviews__bad", "stg_offers__bad",
-                 "stg_aplus_module__bad", "core_price_daily", "core_rank_daily", "core_reviews_daily",
+                 "stg_aplus_module__bad"):
+        merge(name, inc[name], stage=False)      # nothing downstream reads the increment
+    for name in ("core_price_daily", "core_rank_daily", "core_reviews_daily",
                  "core_offer_price_daily", "core_product_latest"):
         inc[name] = merge(name, inc[name])
     for name, src in (("fct_price_history_daily", "core_price_daily"),
                       ("fct_rank_history_daily", "core_rank_daily"),
                       ("fct_review_history_daily", "core_reviews_daily"),
                       ("fct_offer_price_daily", "core_offer_price_daily")):
-        merge(name, getattr(marts, name)(inc[src]))
+        merge(name, getattr(marts, name)(inc[src]), stage=False)
 
     # 3. rebuilt tables, from published tables
     def rebuild(name: str, df: DataFrame) -> None:
@@ -220,6 +229,11 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
     rebuild("fct_buybox_history_daily", marts.fct_buybox_history_daily(read("core_buybox_daily")))
     rebuild("fct_sales_estimate_monthly", marts.fct_sales_estimate_monthly(read("core_sales_estimate_monthly")))
 
+    # quarantine roll-up: a view over the published quarantine tables
+    create_view(bad.quarantine_rollup(read("stg_price__bad"), read("stg_rank__bad"), read("stg_reviews__bad"),
+                                      read("stg_offers__bad"), read("stg_aplus_module__bad")),
+                "quarantine_union")
+
     # 4. checks on the published tables, failures stored, one monitoring row
     t = time.time()
     published = {name: read(name) for name in list(MERGED) + list(REBUILT)}

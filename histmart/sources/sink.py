@@ -39,6 +39,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def create_view(df: DataFrame, name: str) -> DataFrame:
+    """View materialisation: a named, lazily evaluated plan (no data written)."""
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
     w = df.write.mode("overwrite")
     if partition_by:

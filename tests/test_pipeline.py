@@ -45,3 +45,8 @@ def test_checks_and_monitoring(spark, runs):
     mon = spark.read.parquet(layer_path(inc, "monitoring", "pipeline_run_monitoring"))
     assert mon.count() == 3
     assert m_inc["rows_loaded"] > 0
+
+
+def test_quarantine_view(spark, runs):
+    rows = spark.table("quarantine_union").groupBy("table_name").count().collect()
+    assert {r.table_name for r in rows} >= {"rank", "reviews", "aplus"}
