@@ -90,3 +90,21 @@ def test_upsert_replaces_matches_and_rejects_null_keys(spark):
     upsert(spark, s2, path, "k", partition_by=["d"], order=[("v", "desc")])
     got = sorted((r.k, r.v) for r in spark.read.parquet(path).collect())
     assert got == [(1, "a"), (2, "B"), (3, "c2")]
+
+
+def test_stream_pipeline_publishes_new_files_once(spark, tmp_dir):
+    from histmart.plans.pipeline import _path
+    from histmart.streaming.incremental import stream_pipeline
+    landing = tmp_dir + "/landing"
+    root = shared_path(spark, "stream-wh")
+    ckpt = shared_path(spark, "stream-wh-ckpt")
+    write_feed(landing, {"d1": [A1, "broken line", A2]})
+    r1 = stream_pipeline(spark, landing, root, ckpt, load_date="2024-03-01")
+    r2 = stream_pipeline(spark, landing, root, ckpt, load_date="2024-03-01")
+    write_feed(landing, {"d2": [A1_NEXT_DAY]})
+    r3 = stream_pipeline(spark, landing, root, ckpt, load_date="2024-03-02")
+    assert [r["rows_loaded"] for r in r1 + r2 + r3] == [2, 1]
+    dim = {r.asin: r.brand for r in spark.read.parquet(_path(root, "dim_product")).collect()}
+    assert dim == {"A1": "Acme2", "A2": "Bee"}
+    bad_lines = spark.read.parquet(root + "/STG_BAD/raw_bad_lines").collect()
+    assert [r.line for r in bad_lines] == ["broken line"]
