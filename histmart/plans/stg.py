@@ -18,7 +18,7 @@ from histmart.functions import (
 from histmart.operators import (
     PRICE_CHANNELS, RANK_CHANNEL, RATING_CHANNEL, REVIEW_COUNT_CHANNEL,
     explode_channels, explode_pairs, flatten, full_outer_series, latest_per_key,
-    pair_array, previous_in_array, tagged_assets, text_to_tokens,
+    previous_in_array, tagged_assets, text_to_tokens,
 )
 from histmart.plans.schema import PRODUCT
 

@@ -15,14 +15,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histmart.operators.dedup import last_of_day
-from histmart.session import shared_path
+from histmart.operators.dedup import last_of_day, latest_per_key
 from histmart.sources.raw import RAW_FILE_PATTERN
-from histmart.sources.sink import upsert
+from histmart.sources.sink import table_exists, upsert
 
 
 def run_available_now(stream: DataFrame, process: Callable[[DataFrame, int], None],
-                      checkpoint: str, max_files_per_trigger: int | None = None) -> None:
+                      checkpoint: str) -> None:
     """Run ``process(batch_df, batch_id)`` over everything available, then stop."""
     q = (stream.writeStream.foreachBatch(process)
          .option("checkpointLocation", checkpoint)
@@ -66,7 +65,6 @@ def stream_last_of_day(spark: SparkSession, source: DataFrame, target: str, keys
     target rows of the same (keys, day) so a later batch can replace an earlier
     winner only when it is newer under the same order.
     """
-    from histmart.sources.sink import table_exists
     order_cols = [(load, "desc"), (ts, "desc")] + list(tie_break or [])
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -76,7 +74,6 @@ def stream_last_of_day(spark: SparkSession, source: DataFrame, target: str, keys
             touched = cand.select(*keys, "date").distinct()
             cur = cur.join(touched, list(keys) + ["date"], "left_semi")
             cand = cand.unionByName(cur.select(*cand.columns))
-        from histmart.operators.dedup import latest_per_key
         best = latest_per_key(cand, list(keys) + ["date"], order_cols)
         best = best.withColumn("_day_key", F.concat_ws("|", *[F.col(k).cast("string") for k in keys],
                                                         F.col("date").cast("string")))
