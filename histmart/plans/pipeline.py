@@ -48,8 +48,8 @@ MERGED = {
     "stg_price": ("stg", "pk", "snapshot_ts"),
     "stg_rank": ("stg", "pk", "snapshot_ts"),
     "stg_reviews": ("stg", "pk", "snapshot_ts"),
-    "stg_reviews_rating_pts": ("stg", ["asin", "keepa_min"], "keepa_min"),
-    "stg_reviews_count_pts": ("stg", ["asin", "keepa_min"], "keepa_min"),
+    "stg_reviews_rating_pts": ("stg", ["asin", "series_min"], "series_min"),
+    "stg_reviews_count_pts": ("stg", ["asin", "series_min"], "series_min"),
     "stg_offers": ("stg", "stg_offer_id", None),
     "stg_offer_metadata": ("stg", "stg_offer_meta_id", "ingest_ts"),
     "stg_offer_price": ("stg", "stg_offer_price_id", "snapshot_ts"),
@@ -96,7 +96,7 @@ MONITORING_TABLE = "pipeline_run_monitoring"
 
 def _month_of(column: str):
     """Partition month of a key column (series minutes are converted first)."""
-    c = minutes_to_ts(column) if column == "keepa_min" else F.col(column)
+    c = minutes_to_ts(column) if column == "series_min" else F.col(column)
     return F.date_trunc("MONTH", c).cast("date")
 
 
@@ -188,9 +188,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
     r_inc, c_inc = stg.review_sides(b)
     r_new = merge("stg_reviews_rating_pts", r_inc)
     c_new = merge("stg_reviews_count_pts", c_inc)
-    keys = ["asin", "keepa_min", PART]
-    touched = (r_new.select("asin", "keepa_min").union(c_new.select("asin", "keepa_min")).distinct()
-               .withColumn(PART, _month_of("keepa_min")))
+    keys = ["asin", "series_min", PART]
+    touched = (r_new.select("asin", "series_min").union(c_new.select("asin", "series_min")).distinct()
+               .withColumn(PART, _month_of("series_min")))
 
     def side(name):
         return spark.read.schema(schemas[name]).parquet(_path(root, name)).join(
@@ -271,8 +271,8 @@ def log_run(spark: SparkSession, root: str, metrics: dict, dag_id: str = "histma
     row = [(dag_id, metrics["run_id"], _dt.datetime.now(_dt.timezone.utc).isoformat(), metrics["status"],
             None, int(metrics["models_run"]), int(metrics["tests_passed"]), int(metrics["tests_failed"]),
             int(metrics["rows_loaded"]))]
-    schema = ("dag_id string, run_id string, execution_date string, status string, airbyte_job_id string, "
-              "dbt_models_run int, dbt_tests_passed int, dbt_tests_failed int, rows_loaded_keepa_raw bigint")
+    schema = ("dag_id string, run_id string, execution_date string, status string, extract_job_id string, "
+              "models_run int, tests_passed int, tests_failed int, rows_loaded_raw bigint")
     df = spark.createDataFrame(row, schema).withColumn("logged_at", F.current_timestamp())
     append(df, layer_path(root, "monitoring", MONITORING_TABLE))
 

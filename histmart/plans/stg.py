@@ -132,10 +132,10 @@ def stg_price(base: DataFrame) -> DataFrame:
     """Price points of the four price channels; every full pair is decoded."""
     pts = explode_channels(base.select("asin", "csv_v", "ingest_ts"), "csv_v", PRICE_CHANNELS,
                            keep=["asin", "ingest_ts"], keep_partial=False,
-                           name="price_channel", key_name="keepa_min", value_name="raw_val")
+                           name="price_channel", key_name="series_min", value_name="raw_val")
     pts = pts.select(
         "asin", "price_channel",
-        minutes_to_ts("keepa_min").alias("snapshot_ts"),
+        minutes_to_ts("series_min").alias("snapshot_ts"),
         sentinel_to_null("raw_val", 100, PRICE_TYPE).alias("price"),
         sentinel_flag("raw_val").alias("was_sentinel"),
         "ingest_ts")
@@ -153,8 +153,8 @@ def _channel_pairs(base: DataFrame, channel: int, key: str, value: str) -> DataF
 
 def stg_rank(base: DataFrame) -> DataFrame:
     """Sales-rank points (odd trailing minute kept with NULL rank)."""
-    pts = _channel_pairs(base, RANK_CHANNEL, "keepa_min", "raw_rank").select(
-        "asin", minutes_to_ts("keepa_min").alias("snapshot_ts"),
+    pts = _channel_pairs(base, RANK_CHANNEL, "series_min", "raw_rank").select(
+        "asin", minutes_to_ts("series_min").alias("snapshot_ts"),
         sentinel_to_null("raw_rank").alias("rank"), "ingest_ts")
     pts = latest_per_key(pts, ["asin", "snapshot_ts"], [("ingest_ts", "desc")],
                          tie_break=[("rank", "desc")])
@@ -163,19 +163,19 @@ def stg_rank(base: DataFrame) -> DataFrame:
 
 def review_sides(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rating and review-count points, each reduced to its newest load per (asin, minute)."""
-    r = latest_per_key(_channel_pairs(base, RATING_CHANNEL, "keepa_min", "raw_rating"),
-                       ["asin", "keepa_min"], [("ingest_ts", "desc")], [("raw_rating", "desc")])
-    c = latest_per_key(_channel_pairs(base, REVIEW_COUNT_CHANNEL, "keepa_min", "raw_count"),
-                       ["asin", "keepa_min"], [("ingest_ts", "desc")], [("raw_count", "desc")])
+    r = latest_per_key(_channel_pairs(base, RATING_CHANNEL, "series_min", "raw_rating"),
+                       ["asin", "series_min"], [("ingest_ts", "desc")], [("raw_rating", "desc")])
+    c = latest_per_key(_channel_pairs(base, REVIEW_COUNT_CHANNEL, "series_min", "raw_count"),
+                       ["asin", "series_min"], [("ingest_ts", "desc")], [("raw_count", "desc")])
     return r, c
 
 
 def reviews_from_sides(r: DataFrame, c: DataFrame) -> DataFrame:
     """Join the two series on (asin, minute); the rating side's load stamp wins."""
-    j = full_outer_series(r, c, ["asin", "keepa_min"],
+    j = full_outer_series(r, c, ["asin", "series_min"],
                           coalesce_extra=[("ingest_ts", "ingest_ts", "ingest_ts")])
     pts = j.select(
-        "asin", minutes_to_ts("keepa_min").alias("snapshot_ts"),
+        "asin", minutes_to_ts("series_min").alias("snapshot_ts"),
         sentinel_to_null("raw_rating", 10, RATING_TYPE).alias("rating"),
         sentinel_to_null("raw_count").alias("review_count"), "ingest_ts")
     pts = latest_per_key(pts, ["asin", "snapshot_ts"], [("ingest_ts", "desc")],
@@ -306,11 +306,11 @@ def stg_sales_monthly_stats(base: DataFrame) -> DataFrame:
     """Units sold per month from the flat monthly history; latest point wins."""
     src = base.filter(F.col("asin").isNotNull()).select("asin", "ingest_ts", "monthly_sold_history_v")
     pts = explode_pairs(src, "monthly_sold_history_v", keep=["asin", "ingest_ts"], keep_partial=True,
-                        key_name="keepa_minutes", value_name="est_units_sold")
-    pts = (pts.filter(F.col("keepa_minutes").isNotNull())
-           .select("asin", month_start(minutes_to_ts("keepa_minutes")).alias("sales_month"),
-                   "keepa_minutes", "est_units_sold", "ingest_ts"))
-    pts = latest_per_key(pts, ["asin", "sales_month"], [("ingest_ts", "desc"), ("keepa_minutes", "desc")],
+                        key_name="series_minutes", value_name="est_units_sold")
+    pts = (pts.filter(F.col("series_minutes").isNotNull())
+           .select("asin", month_start(minutes_to_ts("series_minutes")).alias("sales_month"),
+                   "series_minutes", "est_units_sold", "ingest_ts"))
+    pts = latest_per_key(pts, ["asin", "sales_month"], [("ingest_ts", "desc"), ("series_minutes", "desc")],
                          tie_break=[("est_units_sold", "desc")])
     key = surrogate_key(F.coalesce(F.col("asin"), F.lit("NULL")), F.col("sales_month").cast("string"))
     return pts.select(key.alias("stg_sales_stats_id"), "asin", "sales_month", "est_units_sold",
