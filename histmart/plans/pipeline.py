@@ -26,6 +26,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -105,9 +106,22 @@ def _path(root: str, name: str) -> str:
     return layer_path(root, layer, name)
 
 
+def _parallel(jobs: dict, workers: int) -> dict:
+    """Run independent publish steps as concurrent Spark jobs from driver threads."""
+    if workers <= 1:
+        return {name: fn() for name, fn in jobs.items()}
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: bool = False,
-                 strict_watermark: bool = False, run_id: str | None = None) -> dict:
-    """Publish all models from the new ``raw`` rows. Returns run metrics."""
+                 strict_watermark: bool = False, run_id: str | None = None, workers: int = 4) -> dict:
+    """Publish all models from the new ``raw`` rows. Returns run metrics.
+
+    Models of one layer that do not read each other are published
+    concurrently (``workers`` driver threads, one session).
+    """
     t0 = time.time()
     run_id = run_id or uuid.uuid4().hex
     rows: dict[str, int] = {}
@@ -174,22 +188,24 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
 
     # 2. per-product models from the increment
     inc: dict[str, DataFrame] = {}
-    for name, fn in (("stg_price", stg.stg_price), ("stg_rank", stg.stg_rank),
-                     ("stg_offers", stg.stg_offers), ("stg_offer_metadata", stg.stg_offer_metadata),
-                     ("stg_buybox_history", stg.stg_buybox_history),
-                     ("stg_category_tree", stg.stg_category_tree),
-                     ("stg_product_metadata", stg.stg_product_metadata),
-                     ("stg_sales_monthly_stats", stg.stg_sales_monthly_stats),
-                     ("stg_videos", stg.stg_videos), ("stg_aplus_module", stg.stg_aplus_module)):
-        inc[name] = merge(name, fn(b))
-    inc["stg_offer_price"] = merge("stg_offer_price", stg.stg_offer_price(stg.offer_snapshots(b)))
+    r_inc, c_inc = stg.review_sides(b)
+    stg_jobs = {name: (lambda fn=fn: fn(b)) for name, fn in (
+        ("stg_price", stg.stg_price), ("stg_rank", stg.stg_rank), ("stg_offers", stg.stg_offers),
+        ("stg_offer_metadata", stg.stg_offer_metadata), ("stg_buybox_history", stg.stg_buybox_history),
+        ("stg_category_tree", stg.stg_category_tree), ("stg_product_metadata", stg.stg_product_metadata),
+        ("stg_sales_monthly_stats", stg.stg_sales_monthly_stats), ("stg_videos", stg.stg_videos),
+        ("stg_aplus_module", stg.stg_aplus_module))}
+    stg_jobs["stg_offer_price"] = lambda: stg.stg_offer_price(stg.offer_snapshots(b))
+    stg_jobs["stg_reviews_rating_pts"] = lambda: r_inc
+    stg_jobs["stg_reviews_count_pts"] = lambda: c_inc
+    inc.update(_parallel({name: (lambda n=name, f=f: merge(n, f())) for name, f in stg_jobs.items()},
+                         workers))
+
     # reviews: the two series are kept as keyed side tables; the increment
     # re-joins only the (asin, minute) keys it touched, read from touched months.
-    r_inc, c_inc = stg.review_sides(b)
-    r_new = merge("stg_reviews_rating_pts", r_inc)
-    c_new = merge("stg_reviews_count_pts", c_inc)
     keys = ["asin", "series_min", PART]
-    touched = (r_new.select("asin", "series_min").union(c_new.select("asin", "series_min")).distinct()
+    touched = (inc["stg_reviews_rating_pts"].select("asin", "series_min")
+               .union(inc["stg_reviews_count_pts"].select("asin", "series_min")).distinct()
                .withColumn(PART, _month_of("series_min")))
 
     def side(name):
@@ -197,27 +213,26 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
             touched, keys, "left_semi").drop(PART)
     inc["stg_reviews"] = merge("stg_reviews", stg.reviews_from_sides(
         side("stg_reviews_rating_pts"), side("stg_reviews_count_pts")))
-    inc["stg_price__bad"] = bad.price_bad(inc["stg_price"])
-    inc["stg_rank__bad"] = bad.rank_bad(inc["stg_rank"])
-    inc["stg_reviews__bad"] = bad.reviews_bad(inc["stg_reviews"])
-    inc["stg_offers__bad"] = bad.offers_bad(inc["stg_offers"])
-    inc["stg_aplus_module__bad"] = bad.aplus_bad(inc["stg_aplus_module"])
-    inc["core_price_daily"] = core.core_price_daily(inc["stg_price"])
-    inc["core_rank_daily"] = core.core_rank_daily(inc["stg_rank"])
-    inc["core_reviews_daily"] = core.core_reviews_daily(inc["stg_reviews"])
-    inc["core_offer_price_daily"] = core.core_offer_price_daily(inc["stg_offer_price"])
-    inc["core_product_latest"] = core.core_product_latest(b)
-    for name in ("stg_price__bad", "stg_rank__bad", "stg_reviews__bad", "stg_offers__bad",
-                 "stg_aplus_module__bad"):
-        merge(name, inc[name], stage=False)      # nothing downstream reads the increment
-    for name in ("core_price_daily", "core_rank_daily", "core_reviews_daily",
-                 "core_offer_price_daily", "core_product_latest"):
-        inc[name] = merge(name, inc[name])
-    for name, src in (("fct_price_history_daily", "core_price_daily"),
-                      ("fct_rank_history_daily", "core_rank_daily"),
-                      ("fct_review_history_daily", "core_reviews_daily"),
-                      ("fct_offer_price_daily", "core_offer_price_daily")):
-        merge(name, getattr(marts, name)(inc[src]), stage=False)
+
+    # quarantines (nothing downstream reads their increments) and core increments
+    bad_jobs = {"stg_price__bad": lambda: bad.price_bad(inc["stg_price"]),
+                "stg_rank__bad": lambda: bad.rank_bad(inc["stg_rank"]),
+                "stg_reviews__bad": lambda: bad.reviews_bad(inc["stg_reviews"]),
+                "stg_offers__bad": lambda: bad.offers_bad(inc["stg_offers"]),
+                "stg_aplus_module__bad": lambda: bad.aplus_bad(inc["stg_aplus_module"])}
+    core_jobs = {"core_price_daily": lambda: core.core_price_daily(inc["stg_price"]),
+                 "core_rank_daily": lambda: core.core_rank_daily(inc["stg_rank"]),
+                 "core_reviews_daily": lambda: core.core_reviews_daily(inc["stg_reviews"]),
+                 "core_offer_price_daily": lambda: core.core_offer_price_daily(inc["stg_offer_price"]),
+                 "core_product_latest": lambda: core.core_product_latest(b)}
+    jobs = {n: (lambda n=n, f=f: merge(n, f(), stage=False)) for n, f in bad_jobs.items()}
+    jobs.update({n: (lambda n=n, f=f: merge(n, f())) for n, f in core_jobs.items()})
+    inc.update(_parallel(jobs, workers))
+    _parallel({name: (lambda n=name, s=src: merge(n, getattr(marts, n)(inc[s]), stage=False))
+               for name, src in (("fct_price_history_daily", "core_price_daily"),
+                                 ("fct_rank_history_daily", "core_rank_daily"),
+                                 ("fct_review_history_daily", "core_reviews_daily"),
+                                 ("fct_offer_price_daily", "core_offer_price_daily"))}, workers)
 
     # 3. rebuilt tables, from published tables
     def rebuild(name: str, df: DataFrame) -> None:
@@ -228,19 +243,32 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
         schemas[name] = df.schema
         steps[name] = time.time() - t
 
-    rebuild("core_buybox_daily", core.core_buybox_daily(read("stg_buybox_history")))
-    rebuild("core_offer_enriched", core.core_offer_enriched(read("stg_offer_price"), read("stg_offer_metadata")))
-    rebuild("core_category_hierarchy", core.core_category_hierarchy(read("stg_category_tree")))
-    rebuild("core_product_categories", core.core_product_categories(read("core_product_latest")))
-    rebuild("core_product_enriched", core.core_product_enriched(read("stg_product_metadata")))
-    rebuild("core_sales_estimate_monthly", core.core_sales_estimate_monthly(read("stg_sales_monthly_stats")))
-    rebuild("dim_product", marts.dim_product(read("core_product_latest")))
-    rebuild("dim_product_enriched", marts.dim_product_enriched(read("core_product_enriched")))
-    rebuild("dim_category", marts.dim_category(read("core_product_categories")))
-    rebuild("dim_product_category", marts.dim_product_category(read("core_product_categories")))
-    rebuild("dim_seller", marts.dim_seller(read("stg_offers")))
-    rebuild("fct_buybox_history_daily", marts.fct_buybox_history_daily(read("core_buybox_daily")))
-    rebuild("fct_sales_estimate_monthly", marts.fct_sales_estimate_monthly(read("core_sales_estimate_monthly")))
+    _parallel({
+        "core_buybox_daily": lambda: rebuild("core_buybox_daily", core.core_buybox_daily(read("stg_buybox_history"))),
+        "core_offer_enriched": lambda: rebuild("core_offer_enriched", core.core_offer_enriched(
+            read("stg_offer_price"), read("stg_offer_metadata"))),
+        "core_category_hierarchy": lambda: rebuild("core_category_hierarchy",
+                                                   core.core_category_hierarchy(read("stg_category_tree"))),
+        "core_product_categories": lambda: rebuild("core_product_categories",
+                                                   core.core_product_categories(read("core_product_latest"))),
+        "core_product_enriched": lambda: rebuild("core_product_enriched",
+                                                 core.core_product_enriched(read("stg_product_metadata"))),
+        "core_sales_estimate_monthly": lambda: rebuild("core_sales_estimate_monthly", core.core_sales_estimate_monthly(
+            read("stg_sales_monthly_stats"))),
+        "dim_product": lambda: rebuild("dim_product", marts.dim_product(read("core_product_latest"))),
+        "dim_seller": lambda: rebuild("dim_seller", marts.dim_seller(read("stg_offers"))),
+    }, workers)
+    _parallel({
+        "dim_product_enriched": lambda: rebuild("dim_product_enriched",
+                                                marts.dim_product_enriched(read("core_product_enriched"))),
+        "dim_category": lambda: rebuild("dim_category", marts.dim_category(read("core_product_categories"))),
+        "dim_product_category": lambda: rebuild("dim_product_category",
+                                                marts.dim_product_category(read("core_product_categories"))),
+        "fct_buybox_history_daily": lambda: rebuild("fct_buybox_history_daily",
+                                                    marts.fct_buybox_history_daily(read("core_buybox_daily"))),
+        "fct_sales_estimate_monthly": lambda: rebuild("fct_sales_estimate_monthly", marts.fct_sales_estimate_monthly(
+            read("core_sales_estimate_monthly"))),
+    }, workers)
 
     # quarantine roll-up: a view over the published quarantine tables
     create_view(bad.quarantine_rollup(read("stg_price__bad"), read("stg_rank__bad"), read("stg_reviews__bad"),
