@@ -108,3 +108,15 @@ def test_stream_pipeline_publishes_new_files_once(spark, tmp_dir):
     assert dim == {"A1": "Acme2", "A2": "Bee"}
     bad_lines = spark.read.parquet(root + "/STG_BAD/raw_bad_lines").collect()
     assert [r.line for r in bad_lines] == ["broken line"]
+
+
+def test_strict_watermark_rerun_loads_nothing(spark, tmp_dir):
+    from histmart.plans.pipeline import _path, run_pipeline
+    write_feed(tmp_dir, {"d1": [A1, A2]})
+    raw, _ = read_ndjson(spark, tmp_dir, load_date="2024-03-01")
+    root = shared_path(spark, "wm-wh")
+    first = run_pipeline(spark, raw, root, full_refresh=True)
+    before = sorted(tuple(r) for r in spark.read.parquet(_path(root, "fct_rank_history_daily")).collect())
+    again = run_pipeline(spark, raw, root, strict_watermark=True)
+    after = sorted(tuple(r) for r in spark.read.parquet(_path(root, "fct_rank_history_daily")).collect())
+    assert first["rows_loaded"] == 2 and again["rows_loaded"] == 0 and before == after
