@@ -30,10 +30,16 @@ def layer_path(root: str, layer: str, model: str) -> str:
     return f"{root.rstrip('/')}/{schema}/{model}"
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable table (an empty table counts as absent)."""
+def table_exists(spark: SparkSession, path: str, schema=None) -> bool:
+    """True when ``path`` holds a table.
+
+    With a known ``schema`` nothing is inferred, so an existing empty table
+    (a folder without data files) counts as present; without one it counts
+    as absent.
+    """
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing only
+        r = spark.read if schema is None else spark.read.schema(schema)
+        r.parquet(path).schema  # noqa: B018 - resolves the file listing only
         return True
     except Exception:  # AnalysisException: path does not exist / no data files
         return False
@@ -87,6 +93,7 @@ def increment_filter(src_col, mark, mode: str = "strict", as_date: bool = False)
 def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str] | str,
            partition_by: Sequence[str] | None = None, order: Sequence | None = None,
            full_refresh: bool = False, unique_source: bool = False) -> dict:
+    # (``src`` carries the table schema, so the target is read without inference)
     """MERGE by key: matched target rows are replaced, the rest inserted.
 
     The increment is first reduced to one row per key (``order`` picks it,
@@ -106,11 +113,11 @@ def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str] |
     elif not unique_source:
         src_ok = src_ok.dropDuplicates(keys)
 
-    if full_refresh or not table_exists(spark, path):
+    if full_refresh or not table_exists(spark, path, src_ok.schema):
         overwrite(src_ok, path, partition_by)
         return {"mode": "overwrite"}
 
-    target = spark.read.parquet(path)
+    target = spark.read.schema(src_ok.schema).parquet(path)
     src_ok = src_ok.select(*target.columns)
     if partition_by:
         touched = src_ok.select(*partition_by).distinct()
