@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from histmart.llm import chat, quality, sharding
+from histmart.llm import chat, packing, quality, sharding
 from histmart.llm.common import table
 
 
@@ -14,6 +14,7 @@ def _on(name: str, fn):
 
 QUERIES = {
     "op1_adaptive_quality": _on("documents", quality.op1_query),
+    "op2_harmonic_packing": _on("documents", packing.op2_query),
     "op9_external_shuffle": _on("documents", sharding.op9_query),
     "op10_prefix_target": _on("conversations", chat.op10_query),
 }
