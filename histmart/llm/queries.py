@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from histmart.llm import chat, packing, pii, quality, sharding
+from histmart.llm import chat, decontaminate, packing, pii, quality, sharding
 from histmart.llm.common import table
 
 
@@ -15,6 +15,8 @@ def _on(name: str, fn):
 QUERIES = {
     "op1_adaptive_quality": _on("documents", quality.op1_query),
     "op2_harmonic_packing": _on("documents", packing.op2_query),
+    "op5_fm_index": lambda spark, sf_dir: decontaminate.op5_query(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op7_feistel_pseudonyms": _on("documents", pii.op7_query),
     "op9_external_shuffle": _on("documents", sharding.op9_query),
     "op10_prefix_target": _on("conversations", chat.op10_query),
