@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from histmart.llm import chat, decontaminate, packing, pii, quality, sharding, urlgraph
+from histmart.llm import chat, decontaminate, hmm, packing, pii, quality, sharding, urlgraph
 from histmart.llm.common import table
 
 
@@ -15,6 +15,7 @@ def _on(name: str, fn):
 QUERIES = {
     "op1_adaptive_quality": _on("documents", quality.op1_query),
     "op2_harmonic_packing": _on("documents", packing.op2_query),
+    "op3_hidden_markov": _on("documents", hmm.op3_query),
     "op4_link_trust": _on("pages", urlgraph.op4_query),
     "op5_fm_index": lambda spark, sf_dir: decontaminate.op5_query(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
