@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from histmart.llm import chat, decontaminate, hmm, packing, pii, quality, sharding, urlgraph
+from histmart.llm import chat, decontaminate, hmm, nearjoin, packing, pii, quality, sharding, urlgraph
 from histmart.llm.common import table
 
 
@@ -19,6 +19,7 @@ QUERIES = {
     "op4_link_trust": _on("pages", urlgraph.op4_query),
     "op5_fm_index": lambda spark, sf_dir: decontaminate.op5_query(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op6_bayes_jaccard": _on("documents", nearjoin.op6_query),
     "op7_feistel_pseudonyms": _on("documents", pii.op7_query),
     "op9_external_shuffle": _on("documents", sharding.op9_query),
     "op10_prefix_target": _on("conversations", chat.op10_query),
