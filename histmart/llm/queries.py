@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from histmart.llm import chat, decontaminate, hmm, nearjoin, packing, pii, quality, sharding, urlgraph
+from histmart.llm import chat, decontaminate, hmm, nearjoin, packing, passages, pii, quality, sharding, urlgraph
 from histmart.llm.common import table
 
 
@@ -21,6 +21,7 @@ QUERIES = {
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op6_bayes_jaccard": _on("documents", nearjoin.op6_query),
     "op7_feistel_pseudonyms": _on("documents", pii.op7_query),
+    "op8_collinear_passages": _on("documents", passages.op8_query),
     "op9_external_shuffle": _on("documents", sharding.op9_query),
     "op10_prefix_target": _on("conversations", chat.op10_query),
 }
