@@ -28,6 +28,7 @@ import math
 import re
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,8 +222,6 @@ def rewrite(text: str, key: str, back: bool = False) -> tuple[str, list[tuple[st
 
 def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, back: bool = False) -> DataFrame:
     """The input with its text rewritten, and ``pii``: array of (kind, start, length) in the new text."""
-    import pandas as pd
-
     prepare(docs.sparkSession)
 
     @F.pandas_udf("struct<text:string,found:array<struct<kind:string,start:int,length:int>>>")
