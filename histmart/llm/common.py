@@ -41,7 +41,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -54,6 +54,42 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks and stages."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    ctypes.CDLL(None).malloc_trim(0)
+
+
+def trimmed(run):
+    """``run`` for mapInArrow, giving its memory back when its partition is done."""
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+    return inner
+
+
+def trimmed_group(run):
+    """``run`` for applyInArrow (one table or two), giving its memory back after each group."""
+    def one(table):
+        try:
+            return run(table)
+        finally:
+            _give_back()
+
+    def two(left, right):
+        try:
+            return run(left, right)
+        finally:
+            _give_back()
+    return two if run.__code__.co_argcount == 2 else one
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -8,11 +8,12 @@ V_b + 1). A text's probability is that of its words and its end in this model:
 the scaled forward recursion over the whole text, times the in-bucket shares.
 
 * ``encode``: each task cuts its documents into chunks (rows of a staged
-  table) of about ``CHUNK_TOKENS`` tokens: the chunk's words, their training
-  counts, and each token as a number into the chunk's words.
+  table) of about ``CHUNK_TOKENS`` tokens: the chunk's words (as 64-bit
+  hashes: at ten billion words two or three pairs would share one), their
+  training counts, and each token as a number into the chunk's words.
 * ``count_words``: one shuffle on the word sums the counts over chunks (a
   frequent word sends one row per chunk), and staged rows carry each chunk
-  word's corpus count back to its chunk.
+  word's corpus count back to its chunk, where it differs from the chunk's.
 * ``train``: expected counts are summed inside each task, then per bucket by
   Spark; only the fixed-size sums reach the driver. One sweep re-estimates
   after each of ``SLICES`` disjoint slices of the corpus, then ``PASSES``
@@ -38,19 +39,19 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from histmart.llm.common import prepare, stage, text_or_empty
+from histmart.llm.common import prepare, stage, text_or_empty, trimmed, trimmed_group
 
 STATES = 8
-BUCKETS = 1 << 15
+BUCKETS = 1 << 14
 CHUNK_TOKENS = 1 << 20
 SEQUENCE = 512
-SLICES = 8
+SLICES = 4
 PASSES = 2
 PRIOR_TOKENS = 1000.0
 SEED = 11
 HELD_OUT_MOD, HELD_OUT = 7, 2  # Fixed values of the split.
-CHUNK_COLUMNS = ("chunk bigint, lengths array<int>, held array<boolean>, tokens binary, words array<binary>, "
-                 "buckets binary, counts array<bigint>")
+CHUNK_COLUMNS = ("chunk bigint, lengths array<int>, held array<boolean>, tokens binary, words array<bigint>, "
+                 "counts array<int>")
 
 
 def words_of(text: str) -> list[bytes]:
@@ -62,12 +63,30 @@ def held_out(key) -> bool:
     return key is not None and zlib.crc32(str(key).encode()) % HELD_OUT_MOD == HELD_OUT
 
 
-def bucket_of(word: bytes, buckets: int = BUCKETS) -> int:
-    """Bucket 0 is the end of a text (the empty word)."""
-    return 1 + zlib.crc32(word) % (buckets - 1) if word else 0
+def word_hash(word: bytes) -> int:
+    """Signed 64-bit hash; the end of a text (the empty word) is 0."""
+    import xxhash
+    return (xxhash.xxh64_intdigest(word) or 1) - (1 << 63) or 1 if word else 0
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
+def buckets_of(hashes: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
+    """Bucket 0 is the end of a text."""
+    return np.where(hashes == 0, 0, 1 + np.mod(hashes, buckets - 1)).astype(np.int32)
+
+
+def squeezed(tokens: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers as compressed byte planes (the upper ones are mostly zero)."""
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    import zstandard
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text",
            chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """Chunk rows: the ids, token counts and held-out flags of its documents, and their tokens."""
     kind = docs.schema[key].dataType.simpleString()
@@ -88,14 +107,13 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", buckets: in
             tokens = np.concatenate(parts)
             training = np.repeat(~np.array(held, dtype=bool), lengths)
             counts = np.bincount(tokens[training], minlength=len(index))
-            bucket = np.fromiter((bucket_of(w, buckets) for w in index), dtype="<i4", count=len(index))
+            hashes = np.fromiter(map(word_hash, index), dtype=np.int64, count=len(index))
             return pa.RecordBatch.from_arrays([
                 pa.array([keys], pa.list_(key_type)), pa.array([next(number)], pa.int64()),
                 pa.array([lengths], pa.list_(pa.int32())), pa.array([held], pa.list_(pa.bool_())),
-                pa.array([tokens.astype("<u4").tobytes()], pa.binary()),
-                pa.array([list(index)], pa.list_(pa.binary())), pa.array([bucket.tobytes()], pa.binary()),
-                pa.array([counts.tolist()], pa.list_(pa.int64())),
-            ], ["keys", "chunk", "lengths", "held", "tokens", "words", "buckets", "counts"])
+                pa.array([squeezed(tokens)], pa.binary()),
+                pa.array([hashes], pa.list_(pa.int64())), pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
+            ], ["keys", "chunk", "lengths", "held", "tokens", "words", "counts"])
 
         keys, held, parts, index = fresh()
         size = 0
@@ -115,19 +133,17 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", buckets: in
         if keys:
             yield flush(keys, held, parts, index)
 
-    return rows.mapInArrow(run, f"keys array<{kind}>, {CHUNK_COLUMNS}")
+    return rows.mapInArrow(trimmed(run), f"keys array<{kind}>, {CHUNK_COLUMNS}")
 
 
 def count_words(chunks: DataFrame) -> DataFrame:
-    """(chunk, place, bucket, c, first): each chunk word's training count in the corpus; ``first`` marks
-    one row per word."""
+    """(chunk, place, word, n, c, first): each chunk word's training count in the chunk and in the corpus;
+    ``first`` marks one row per word."""
     rows = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select(
         "chunk", "place", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
     same = Window.partitionBy("word")
-    return rows.select(
-        "chunk", "place", F.when(F.length("word") == 0, 0).otherwise(
-            F.pmod(F.crc32("word"), F.lit(BUCKETS - 1)) + 1).cast("int").alias("bucket"),
-        F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("chunk")) == 1).alias("first"))
+    return rows.select("chunk", "place", "word", "n", F.sum("n").over(same).alias("c"),
+                       (F.row_number().over(same.orderBy("chunk")) == 1).alias("first"))
 
 
 @dataclass
@@ -234,7 +250,7 @@ def _sequences(lengths: np.ndarray, held: np.ndarray, longest: int) -> tuple[np.
 def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int | None, slices: int, longest: int) -> Model:
     """One Baum-Welch step over slice ``part`` of the training sequences, or over all of them."""
     shared, k = spark.sparkContext.broadcast(model), len(model.start)
-    columns = ", ".join(f"g{i} double" for i in range(k))
+    columns = ", ".join(f"g{i} float" for i in range(k))
 
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -246,7 +262,7 @@ def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int |
                 if part is not None:
                     begin, length = begin[part::slices], length[part::slices]
                 if len(begin):
-                    obs = np.frombuffer(row["buckets"], "<i4")[np.frombuffer(row["tokens"], "<u4")]
+                    obs = buckets_of(np.array(row["words"], dtype=np.int64), len(m.emit))[unsqueezed(row["tokens"])]
                     found = expected_counts(obs, begin, length, m)
                     sums = found if sums is None else tuple(a + x for a, x in zip(sums, found))
         if sums is not None:
@@ -255,11 +271,11 @@ def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int |
             # rows -1: start, -2 - i: transitions from state i
             ids = np.concatenate(([-1], -2 - np.arange(k), used))
             values = np.concatenate((start[None], moves, counts[used]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32())] + [pa.array(values[:, i]) for i in range(k)],
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32())] + [pa.array(values[:, i], pa.float32()) for i in range(k)],
                                              ["row"] + [f"g{i}" for i in range(k)])
 
-    sums = (chunks.select("lengths", "held", "tokens", "buckets").mapInArrow(run, f"row int, {columns}")
-            .groupBy("row").agg(*[F.sum(f"g{i}").alias(f"g{i}") for i in range(k)]))
+    sums = (chunks.select("lengths", "held", "tokens", "words").mapInArrow(trimmed(run), f"row int, {columns}")
+            .groupBy("row").agg(*[F.sum(F.col(f"g{i}").cast("double")).alias(f"g{i}") for i in range(k)]))
     rows = sums.toPandas()  # at most buckets + states + 1 rows
     shared.destroy()
     if rows.empty:
@@ -275,7 +291,8 @@ def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int |
 def train(chunks: DataFrame, counted: DataFrame, states: int = STATES, buckets: int = BUCKETS, slices: int = SLICES,
           passes: int = PASSES, sequence: int = SEQUENCE, seed: int = SEED) -> Model:
     spark = chunks.sparkSession
-    totals = counted.filter("first and c > 0").groupBy("bucket").agg(
+    bucket = F.when(F.col("word") == 0, 0).otherwise(F.pmod("word", F.lit(buckets - 1)) + 1).cast("int").alias("bucket")
+    totals = counted.filter("first and c > 0").groupBy(bucket).agg(
         F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).toPandas()  # at most ``buckets`` rows
     tokens, types = np.zeros(buckets), np.zeros(buckets)
     tokens[totals["bucket"]] = totals["tokens"]
@@ -297,17 +314,17 @@ def score(chunks: DataFrame, counted: DataFrame, model: Model, key: str = "doc_i
         m = shared.value
         types = pa.schema([("key", left.schema.field("keys").type.value_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                            ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-        place, c = right.column("place").to_numpy(), right.column("c").to_numpy()
-        by_place = np.empty(len(place))
-        by_place[place] = c
+        place, elsewhere = right.column("place").to_numpy(), right.column("c").to_numpy()
         n, v = m.tokens.sum(), m.types.sum()
         share = m.tokens + m.types + 1.0
         out = []
         for row in left.to_pylist():  # one chunk
             lengths = np.array(row["lengths"], dtype=np.int64)
             starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            tokens = np.frombuffer(row["tokens"], "<u4")
-            obs = np.frombuffer(row["buckets"], "<i4")[tokens]
+            by_place = np.array(row["counts"], dtype=np.float64)
+            by_place[place] = elsewhere
+            tokens = unsqueezed(row["tokens"])
+            obs = buckets_of(np.array(row["words"], dtype=np.int64), len(m.emit))[tokens]
             c = by_place[tokens]
             logs = np.add.reduceat(np.log10(c + 1), starts)
             inside = logs - np.add.reduceat(np.log10(share)[obs], starts)
@@ -318,9 +335,9 @@ def score(chunks: DataFrame, counted: DataFrame, model: Model, key: str = "doc_i
                 pa.array(inside + log_likelihoods(obs, starts, lengths, m))], schema=types))
         return pa.concat_tables(out) if out else types.empty_table()
 
-    left = chunks.select("chunk", "keys", "lengths", "held", "tokens", "buckets")
-    out = left.groupBy("chunk").cogroup(counted.select("chunk", "place", "c").groupBy("chunk")).applyInArrow(
-        run, f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    left = chunks.select("chunk", "keys", "lengths", "held", "tokens", "words", "counts")
+    out = left.groupBy("chunk").cogroup(counted.filter("c <> n").select("chunk", "place", "c").groupBy("chunk")).applyInArrow(
+        trimmed_group(run), f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("key", key)
 
 
