@@ -31,7 +31,3 @@ def ts_to_minutes(ts) -> Column:
 def month_start(ts) -> Column:
     """First day of the month as DATE."""
     return F.date_trunc("MONTH", _col(ts)).cast("date")
-
-
-def day_of(ts) -> Column:
-    return _col(ts).cast("date")

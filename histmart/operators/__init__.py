@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators."""
 
 from histmart.operators.series import (
-    pair_array, explode_pairs, text_to_tokens, channel_series, explode_channels,
+    pair_array, explode_pairs, text_to_tokens, explode_channels,
     PRICE_CHANNELS, RANK_CHANNEL, RATING_CHANNEL, REVIEW_COUNT_CHANNEL,
 )
 from histmart.operators.flatten import flatten, tagged_assets
@@ -11,7 +11,7 @@ from histmart.operators.dedup import (
 from histmart.operators.joins import full_outer_series, left_enrich_latest, offset_self_join
 
 __all__ = [
-    "pair_array", "explode_pairs", "text_to_tokens", "channel_series", "explode_channels",
+    "pair_array", "explode_pairs", "text_to_tokens", "explode_channels",
     "PRICE_CHANNELS", "RANK_CHANNEL", "RATING_CHANNEL", "REVIEW_COUNT_CHANNEL",
     "flatten", "tagged_assets",
     "order_col", "latest_per_key", "last_of_day", "first_by_value", "lag_parent",

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from histmart.session import shared_path
+
 Order = "str | tuple[str, str] | Column"
 
 
@@ -58,9 +60,31 @@ def first_by_value(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> Dat
 
 def lag_parent(df: DataFrame, partition: Sequence[str], order: Sequence, value: str,
                out: str = "parent") -> DataFrame:
-    """Previous ``value`` within the partition under ``order``."""
-    w = Window.partitionBy(*partition).orderBy(*[order_col(o) for o in order])
-    return df.withColumn(out, F.lag(F.col(value)).over(w))
+    """Previous ``value`` within the partition under ``order`` (W4), also for a hot group.
+
+    Rows are range-partitioned by (partition, order) and written, so a group
+    that holds a third of the rows lies in many slices. The lag is taken inside
+    each slice; a slice's first row of a group takes the last value of the
+    group's slice before, from a table of one row per (slice, group).
+    """
+    spark, cols = df.sparkSession, [order_col(o) for o in order]
+    keys = [order_col(c) for c in partition]
+    path = shared_path(spark, "lag-slices")
+    sliced = df.repartitionByRange(*keys, *cols).withColumn("__slice", F.spark_partition_id())
+    sliced.write.parquet(path)
+    sliced = spark.read.schema(sliced.schema).parquet(path)
+    group = Window.partitionBy("__slice", *partition)
+    marked = (sliced.withColumn(out, F.lag(F.col(value)).over(group.orderBy(*cols)))
+              .withColumn("__n", F.row_number().over(group.orderBy(*cols))))
+    ends = marked.withColumn("__all", F.count(F.lit(1)).over(group)).filter("__n = __all").select(
+        "__slice", *partition, F.col(value).alias("__last"))
+    before = ends.withColumn("__before", F.lag("__last").over(Window.partitionBy(*partition).orderBy("__slice")))
+    m, e = marked.alias("m"), before.alias("e")
+    same = F.col("m.__slice") == F.col("e.__slice")
+    for c in partition:
+        same = same & F.col(f"m.{c}").eqNullSafe(F.col(f"e.{c}"))
+    value_of = F.when(F.col("m.__n") == 1, F.col("e.__before")).otherwise(F.col(f"m.{out}"))
+    return m.join(e, same, "left").select(*[F.col(f"m.{c}") for c in df.columns if c != out], value_of.alias(out))
 
 
 def previous_in_array(arr, field: str | None = None) -> Column:

@@ -69,20 +69,6 @@ def text_to_tokens(c) -> Column:
     return F.when(is_json, F.from_json(c, "array<string>")).otherwise(F.split(c, ",", -1))
 
 
-def channel_series(csv, channels: Iterable[tuple[str, int]] = PRICE_CHANNELS,
-                   name: str = "channel", series: str = "series") -> Column:
-    """array<array<..>> -> array<struct<channel, series>> for the chosen indexes.
-
-    Replaces a lateral join with a constant VALUES relation by a literal array
-    built inside the row (no join, no broadcast).
-    """
-    csv = _col(csv)
-    return F.array(*[
-        F.struct(F.lit(n).alias(name), F.get(csv, F.lit(i)).alias(series))
-        for n, i in channels
-    ])
-
-
 def _tag_channel(ch_name, name, key_name, value_name):
     def tag(p):
         return F.struct(F.lit(ch_name).alias(name), p["pair_idx"].alias("pair_idx"),

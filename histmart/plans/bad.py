@@ -1,4 +1,7 @@
-"""Quarantine models (D1-D6): bad rows with reason codes, and their roll-up."""
+"""Quarantine models (D1-D6): bad rows with reason codes, and their roll-up.
+
+Fixed values: the reason codes, the detail texts and the parts of ``bad_row_id``.
+"""
 
 from __future__ import annotations
 
@@ -81,8 +84,9 @@ def base_bad(base: DataFrame) -> DataFrame:
 
 
 def quarantine_rollup(price: DataFrame, rank: DataFrame, reviews: DataFrame, offers: DataFrame,
-                      aplus: DataFrame) -> DataFrame:
-    return quarantine_union([("price", price), ("rank", rank), ("reviews", reviews),
-                             ("offers", offers), ("aplus", aplus)],
+                      aplus: DataFrame, base: DataFrame | None = None) -> DataFrame:
+    """All quarantines in one shape; ``base`` adds the snapshots with non-numeric series values."""
+    parts = [("price", price), ("rank", rank), ("reviews", reviews), ("offers", offers), ("aplus", aplus)]
+    return quarantine_union(parts + ([("base", base)] if base is not None else []),
                             types={"snapshot_ts": "timestamp_ntz", "ingest_ts": "date",
                                    "asin": "string"})

@@ -16,16 +16,23 @@ def _date_text(c="date"):
     return F.col(c).cast("string")
 
 
-def core_price_daily(stg_price: DataFrame) -> DataFrame:
-    """Last price per (asin, channel, day): newest load, then latest time."""
-    d = last_of_day(stg_price.select("asin", "price_channel", "snapshot_ts", "price", "ingest_ts"),
-                    ["asin", "price_channel"], "snapshot_ts")
+def core_price_daily(points: DataFrame) -> DataFrame:
+    """Last price per (asin, channel, day): newest load, then latest time.
+
+    ``points`` are the staged points or those of every load: the day's first
+    row under (load, time, price, flag) is the same, since it has the day's
+    newest load and so wins its own minute too. Day models over points of
+    every load need one shuffle instead of two.
+    """
+    d = last_of_day(points.select("asin", "price_channel", "snapshot_ts", "price", "was_sentinel", "ingest_ts"),
+                    ["asin", "price_channel"], "snapshot_ts", tie_break=[("price", "desc"), ("was_sentinel", "desc")])
     return d.select(surrogate_key("asin", "price_channel", _date_text()).alias("pk"),
                     "asin", "price_channel", "date", "price", "ingest_ts")
 
 
-def core_rank_daily(stg_rank: DataFrame) -> DataFrame:
-    d = last_of_day(stg_rank.select("asin", "snapshot_ts", "rank", "ingest_ts"), ["asin"], "snapshot_ts")
+def core_rank_daily(points: DataFrame) -> DataFrame:
+    d = last_of_day(points.select("asin", "snapshot_ts", "rank", "ingest_ts"), ["asin"], "snapshot_ts",
+                    tie_break=[("rank", "desc")])
     return d.select(surrogate_key("asin", _date_text()).alias("pk"), "asin", "date", "rank", "ingest_ts")
 
 
@@ -36,9 +43,9 @@ def core_reviews_daily(stg_reviews: DataFrame) -> DataFrame:
                     "review_count", "ingest_ts")
 
 
-def core_offer_price_daily(stg_offer_price: DataFrame) -> DataFrame:
-    d = last_of_day(stg_offer_price.select("asin", "offer_id", "snapshot_ts", "price", "ingest_ts"),
-                    ["asin", "offer_id"], "snapshot_ts")
+def core_offer_price_daily(points: DataFrame) -> DataFrame:
+    d = last_of_day(points.select("asin", "offer_id", "snapshot_ts", "price", "ingest_ts"),
+                    ["asin", "offer_id"], "snapshot_ts", tie_break=[("price", "desc")])
     return d.select(surrogate_key("asin", "offer_id", _date_text()).alias("pk"), "asin", "offer_id",
                     "date", "price", "ingest_ts")
 
@@ -49,13 +56,6 @@ def core_buybox_daily(stg_buybox: DataFrame) -> DataFrame:
     return first_by_value(b, ["asin", "date"], ["seller_id"]).select("asin", "date", "seller_id")
 
 
-def core_buybox_last_of_day(stg_buybox: DataFrame) -> DataFrame:
-    """Alternative day winner: the holder at the latest change of the day."""
-    d = last_of_day(stg_buybox.select("asin", "snapshot_ts", "seller_id", "ingest_ts"), ["asin"],
-                    "snapshot_ts", tie_break=[("seller_id", "asc")])
-    return d.select("asin", "date", "seller_id")
-
-
 def core_offer_enriched(stg_offer_price: DataFrame, stg_offer_metadata: DataFrame) -> DataFrame:
     """Offer price points with the newest metadata of their offer."""
     price = stg_offer_price.select("asin", "offer_id", F.col("snapshot_ts").cast("date").alias("date"),
@@ -76,12 +76,15 @@ LATEST_COLS = ("brand", "binding", "color", "website_display_group", "website_di
                "category_tree_v")
 
 
-def core_product_latest(base: DataFrame) -> DataFrame:
-    d = latest_per_key(base.select("asin", *LATEST_COLS, "ingest_ts", "_airbyte_extracted_at",
-                                   "_airbyte_raw_id"),
-                       ["asin"], [("ingest_ts", "desc"), ("_airbyte_extracted_at", "desc")],
-                       tie_break=[("_airbyte_raw_id", "desc")])
-    return d.select("asin", *LATEST_COLS)
+PRODUCT_ORDER = ("_o_ingest_ts", "_o_extracted_at", "_o_raw_id")
+
+
+def core_product_latest(base: DataFrame, hidden: bool = False) -> DataFrame:
+    """Newest snapshot per product. ``hidden`` keeps the order columns for merges."""
+    src = base.select("asin", *LATEST_COLS, F.col("ingest_ts").alias("_o_ingest_ts"),
+                      F.col("_airbyte_extracted_at").alias("_o_extracted_at"), F.col("_airbyte_raw_id").alias("_o_raw_id"))
+    d = latest_per_key(src, ["asin"], [(c, "desc") for c in PRODUCT_ORDER])
+    return d.select("asin", *LATEST_COLS, *(PRODUCT_ORDER if hidden else ()))
 
 
 def core_product_categories(product_latest: DataFrame) -> DataFrame:

@@ -259,6 +259,8 @@ FROM (SELECT asin, aplus_idx, module_idx,
       FROM stg_aplus_module GROUP BY 1, 2, 3)"""),
 ]
 
+_MS = "strftime(snapshot_ts, '%Y-%m-%d %H:%M:%S.%g')"
+
 FINAL: dict[str, str] = {
     "fct_price_history_daily": "SELECT md5(asin || '|' || price_channel || '|' || CAST(date AS VARCHAR)) AS pk, "
                                "asin, price_channel, date, price FROM price_daily",
@@ -296,6 +298,37 @@ FINAL: dict[str, str] = {
                                "ingest_ts DESC NULLS FIRST, parent_category_id DESC NULLS FIRST, "
                                "category_name DESC NULLS FIRST, category_level DESC NULLS FIRST) AS rn "
                                "FROM stg_category_tree) WHERE rn = 1",
+    "stg_base": "SELECT md5(asin || '|' || CAST(ingest_ts AS VARCHAR) || '|' || raw_id) AS stg_row_id, asin, p_name AS title, "
+                "p_brand AS brand, CAST(p_size AS BIGINT) AS product_type_id, qty AS monthly_sold, 0 AS csv_text_values, "
+                "raw_id AS _airbyte_raw_id, ingest_ts FROM li",
+    "stg_price": f"SELECT md5(asin || '|' || price_channel || '|' || {_MS}) AS pk, * FROM stg_price",
+    "stg_rank": f"SELECT md5(asin || '|' || {_MS}) AS pk, * FROM stg_rank",
+    "stg_reviews": f"SELECT md5(asin || '|' || {_MS}) AS pk, * FROM stg_reviews",
+    "stg_offers": "SELECT md5(asin || '|' || offer_id) AS stg_offer_id, asin, offer_id, seller_id, is_prime, is_fba, condition, "
+                  "is_shippable, is_map, offer_csv_raw, ingest_ts FROM stg_offers",
+    "stg_offer_price": f"SELECT md5(asin || '|' || offer_id || '|' || {_MS}) AS stg_offer_price_id, * FROM stg_offer_price",
+    "stg_buybox_history": f"SELECT md5(asin || '|' || {_MS} || '|' || coalesce(seller_id, 'NULL')) AS stg_buybox_row_id, * "
+                          "FROM stg_buybox",
+    "stg_category_tree": "SELECT md5(coalesce(asin, 'NULL') || '|' || coalesce(CAST(category_id AS VARCHAR), 'NULL') || '|' || "
+                         "coalesce(CAST(parent_category_id AS VARCHAR), 'NULL')) AS stg_category_row_id, * FROM stg_category_tree",
+    "stg_product_metadata": "SELECT md5(asin || '|' || CAST(ingest_ts AS VARCHAR)) AS stg_product_meta_id, asin, title, brand, "
+                            "manufacturer, binding, color, product_group, product_type_id, website_display_group, "
+                            "website_display_group_name, ingest_ts FROM (SELECT *, row_number() OVER (PARTITION BY asin, ingest_ts "
+                            "ORDER BY extracted_at DESC NULLS FIRST, raw_id DESC NULLS FIRST) AS rn FROM base_attrs) WHERE rn = 1",
+    "stg_sales_monthly_stats": "SELECT md5(asin || '|' || CAST(sales_month AS VARCHAR)) AS stg_sales_stats_id, * FROM stg_sales",
+    "stg_rank__bad": "SELECT md5(coalesce(asin, 'NULL') || '|' || coalesce(" + _MS + ", 'NULL') || '|' || "
+                     "coalesce(CAST(ingest_ts AS VARCHAR), 'NULL')) AS bad_row_id, asin, snapshot_ts, rank, ingest_ts, "
+                     "'RANK_NONPOSITIVE' AS reason_code, 'Rank staging validation failure' AS reason_detail "
+                     "FROM stg_rank WHERE rank <= 0",
+    "core_rank_daily": "SELECT md5(asin || '|' || CAST(date AS VARCHAR)) AS pk, asin, date, rank, ingest_ts FROM ("
+                       "SELECT *, CAST(snapshot_ts AS DATE) AS date, row_number() OVER (PARTITION BY asin, CAST(snapshot_ts AS DATE) "
+                       "ORDER BY ingest_ts DESC NULLS FIRST, snapshot_ts DESC NULLS FIRST) AS rn FROM stg_rank) WHERE rn = 1",
+    "core_price_daily": "SELECT md5(asin || '|' || price_channel || '|' || CAST(date AS VARCHAR)) AS pk, * FROM price_daily",
+    "core_buybox_daily": "SELECT asin, date, seller_id FROM buybox_daily",
+    "core_product_categories": "SELECT asin, category_id, category_name, parent_category_id FROM product_categories",
+    "core_product_enriched": "SELECT asin, title, brand, manufacturer, binding, color, product_group, product_type_id, "
+                             "website_display_group, website_display_group_name FROM product_latest",
+    "core_sales_estimate_monthly": "SELECT asin, sales_month, est_units_sold FROM stg_sales",
     "stg_videos": "SELECT * FROM stg_videos",
     "stg_aplus_module": "SELECT * FROM stg_aplus_module",
     "stg_offer_metadata": "SELECT * FROM stg_offer_metadata",

@@ -35,12 +35,12 @@ def build_models(raw: DataFrame, base: DataFrame | None = None) -> dict[str, Dat
     m["stg_base__bad"] = bad.base_bad(b)
     m["quarantine_union"] = bad.quarantine_rollup(
         m["stg_price__bad"], m["stg_rank__bad"], m["stg_reviews__bad"], m["stg_offers__bad"],
-        m["stg_aplus_module__bad"])
+        m["stg_aplus_module__bad"], base=m["stg_base__bad"])
 
-    m["core_price_daily"] = core.core_price_daily(m["stg_price"])
-    m["core_rank_daily"] = core.core_rank_daily(m["stg_rank"])
+    m["core_price_daily"] = core.core_price_daily(stg.price_points(b))
+    m["core_rank_daily"] = core.core_rank_daily(stg.rank_points(b))
     m["core_reviews_daily"] = core.core_reviews_daily(m["stg_reviews"])
-    m["core_offer_price_daily"] = core.core_offer_price_daily(m["stg_offer_price"])
+    m["core_offer_price_daily"] = core.core_offer_price_daily(stg.offer_price_points(stg.offer_snapshots(b)))
     m["core_buybox_daily"] = core.core_buybox_daily(m["stg_buybox_history"])
     m["core_offer_enriched"] = core.core_offer_enriched(m["stg_offer_price"], m["stg_offer_metadata"])
     m["core_category_hierarchy"] = core.core_category_hierarchy(m["stg_category_tree"])
@@ -63,8 +63,15 @@ def build_models(raw: DataFrame, base: DataFrame | None = None) -> dict[str, Dat
     return m
 
 
+def quarantine_models(b: DataFrame) -> DataFrame:
+    """The roll-up of all quarantines straight from the typed base."""
+    return bad.quarantine_rollup(
+        bad.price_bad(stg.stg_price(b)), bad.rank_bad(stg.stg_rank(b)), bad.reviews_bad(stg.stg_reviews(b)),
+        bad.offers_bad(stg.stg_offers(b)), bad.aplus_bad(stg.stg_aplus_module(b)), base=bad.base_bad(b))
+
+
 def model_checks(m: dict[str, DataFrame]) -> list[Check]:
-    """The declared data tests of the staging and mart models, as failing-row frames."""
+    """The declared data tests of the staging and mart models, as failing-row frames (fixed values: the list of tests)."""
     ch: list[Check] = []
     add = lambda name, df: ch.append(Check(name, df))
     # staging

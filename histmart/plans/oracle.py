@@ -51,6 +51,8 @@ _POS = "(SELECT vec_id, list_filter(embedding, lambda x: x > 0) AS arr FROM embe
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["json_path_extract"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
+    q["variant_as_text"] = ("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(json(props) AS VARCHAR) AS doc, "
+                            "'[' || event_id || ',null]' AS arr FROM events")
     q["ndjson_round_trip"] = ("SELECT event_id, ts, user_id, event_type, value, "
                               "CAST(json_extract(props, '$.k') AS BIGINT) AS k, "
                               "DATE '2024-02-01' AS ingest_dt FROM events")
@@ -77,7 +79,8 @@ def oracle_queries() -> dict[str, str]:
     q["pair_decode_strict"] = _pairs(_POS, "vec_id", "arr", "len(arr) // 2")
     q["pair_decode_groupby"] = q["pair_decode_full"]
     q["channel_decode"] = (
-        "WITH c AS (SELECT vec_id, ch.channel, list_slice(embedding, 1 + 16 * ch.i, 16 + 16 * ch.i) AS s "
+        "WITH c AS (SELECT vec_id, ch.channel, list_slice(embedding, 1 + (len(embedding) // 4) * ch.i, "
+        "CASE WHEN ch.i = 3 THEN len(embedding) ELSE (len(embedding) // 4) * (ch.i + 1) END) AS s "
         "FROM embeddings, (VALUES ('A', 0), ('B', 1), ('C', 2), ('D', 3)) AS ch(channel, i)) "
         + _pairs("c", "vec_id, channel", "s", "len(s) // 2"))
     m = f"datediff('minute', {EPOCH}, l_shipdate)"
@@ -142,6 +145,32 @@ def oracle_queries() -> dict[str, str]:
         "CASE WHEN ts >= TIMESTAMP '2024-01-10 00:00:00' THEN value * 2 ELSE value END AS value, "
         "CASE WHEN ts >= TIMESTAMP '2024-01-10 00:00:00' THEN DATE '2024-01-31' ELSE DATE '2024-01-20' END "
         "AS ingest_ts FROM events")
+    q["upsert_late_load"] = q["upsert_incremental"]
+    keyed = ("SELECT event_id, ts, CASE WHEN event_id % 10 <> 0 THEN user_id END AS user_id, "
+             "nullif(event_type, 'error') AS event_type, value FROM events")
+    q["upsert_null_keys"] = f"SELECT * FROM ({keyed}) WHERE user_id IS NULL OR event_type IS NULL"
+    q["upsert_null_safe"] = (
+        f"SELECT event_id, ts, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type "
+        f"ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) AS rn FROM ({keyed})) WHERE rn = 1")
+    q["full_refresh_replaces"] = ("SELECT event_id, ts, value, CAST(ts AS DATE) AS date FROM events WHERE day(ts) <= 5")
+    q["upsert_moved_partition"] = (
+        "SELECT event_id, value, CASE WHEN day(ts) = 7 OR event_id % 50 = 0 THEN CAST(ts AS DATE) + 400 "
+        "ELSE CAST(ts AS DATE) END AS date FROM events")
+    q["strict_event_date"] = (
+        "WITH l1 AS (SELECT event_id, ts, value, DATE '2024-01-20' AS ingest_ts FROM events "
+        "WHERE ts < TIMESTAMP '2024-01-20 00:00:00'), "
+        "l2 AS (SELECT event_id, ts, value * 2 AS value, DATE '2024-01-31' AS ingest_ts FROM events "
+        "WHERE ts >= TIMESTAMP '2024-01-10 00:00:00') "
+        "SELECT * FROM l1 UNION ALL SELECT * FROM l2 "
+        "WHERE CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM l1)")
+    q["offset_self_join"] = q["pair_decode_strict"]
+    q["lag_parent_hot"] = (
+        "SELECT *, lag(l_orderkey) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) "
+        "AS previous_order FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem)")
+    q["load_lineage"] = ("SELECT DATE '2024-02-01' AS ingest_dt, count(*) AS n_rows, count(*) AS n_named, count(*) AS n_paths, "
+                         "count(*) AS n_dated FROM events")
+    q["json_array_load"] = "SELECT c_custkey, c_name, c_nationkey FROM customer"
+    q["stored_failures"] = "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0"
     q["append_boundary"] = (
         "WITH l1 AS (SELECT event_id, ts, value, DATE '2024-01-20' AS ingest_ts FROM events "
         "WHERE ts < TIMESTAMP '2024-01-20 00:00:00'), "

@@ -1,24 +1,27 @@
 """The daily run: publish every model layer by layer.
 
-Tables live under ``root/<LAYER>/<model>`` (Parquet). A run takes the *new*
-raw rows (a day folder, or one micro-batch of the raw stream), and:
-
-1. parses them once into the typed base increment and writes it to a
-   staging table in the shared checkpoint folder - this cuts the lineage,
-   so a lost executor re-reads a written table instead of re-parsing JSON;
-2. computes every per-product model from that increment and merges it by
-   key into its table. Every such model orders by load stamp first, and a
-   new load is strictly newer than anything published, so the winner of the
-   increment is the winner overall - merging the increment equals a full
-   rebuild. Reviews join two series across loads, so for them the touched
-   products are recomputed from the published base instead;
-3. rebuilds the dimension tables and the table-materialised core models
-   from the published tables (their size is bounded by products, sellers
-   and categories, or they are full-rebuild tables in the warehouse);
-4. runs the declared checks on the published tables, stores failing rows
-   under MONITORING, and appends one run-monitoring row.
-
-``full_refresh=True`` overwrites every table from the given raw rows.
+Tables live under ``root/<LAYER>/<model>`` (Parquet). A run takes raw rows (a
+day folder, or one micro-batch of the raw stream) of any load dates, and:
+
+1. parses them once into the typed base increment and writes it to a staging
+   table in the shared checkpoint folder - this cuts the lineage, so a lost
+   executor re-reads a written table instead of re-parsing JSON;
+2. computes every per-product model from that increment and merges it by its
+   natural key (NULL is a value) under the model's own total order. The first
+   row under a total order of all loads is the first among the increments'
+   first rows, so late, same-day and repeated loads give the table of one
+   full run; order columns that a model does not show are kept as ``_o_*``;
+3. re-aggregates what depends on several loads from the published tables, only
+   where the increment touched them: review points per (asin, minute), day
+   rows per (keys, date), quarantines per month;
+4. rebuilds the dimension tables and the table-materialised core models from
+   the published tables (their size is bounded by products, sellers and
+   categories, or they are full-rebuild tables in the warehouse);
+5. runs the declared checks on the published tables, stores failing rows
+   under MONITORING, and keeps one run-monitoring row per run id.
+
+``full_refresh=True`` replaces every table by the given raw rows. Staged
+tables are deleted when the run ends.
 """
 
 from __future__ import annotations
@@ -27,60 +30,87 @@ import datetime as _dt
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from histmart.functions import minutes_to_ts
 from histmart.operators.quality import Check, check_summary, store_failures
 from histmart.plans import bad, core, marts, stg
-from histmart.functions import minutes_to_ts
 from histmart.plans.models import model_checks
 from histmart.session import shared_path
+from histmart.sources.files import Folder
 from histmart.sources.sink import (
-    append, create_view, high_water, increment_filter, layer_path, overwrite, upsert,
+    create_view, high_water, increment_filter, layer_path, overwrite, replace_partitions, same, table_exists, upsert,
 )
 
-# Incrementally merged tables: (layer, merge key, column whose month partitions the table).
-# The partition column is part of the key, so a key never changes partition and a
-# merge rewrites only the months its increment touches. Tables with no time in the
-# key (bounded by products x offers/categories/assets) are not partitioned.
-MERGED = {
-    "stg_base": ("stg", "stg_row_id", "ingest_ts"),
-    "stg_price": ("stg", "pk", "snapshot_ts"),
-    "stg_rank": ("stg", "pk", "snapshot_ts"),
-    "stg_reviews": ("stg", "pk", "snapshot_ts"),
-    "stg_reviews_rating_pts": ("stg", ["asin", "series_min"], "series_min"),
-    "stg_reviews_count_pts": ("stg", ["asin", "series_min"], "series_min"),
-    "stg_offers": ("stg", "stg_offer_id", None),
-    "stg_offer_metadata": ("stg", "stg_offer_meta_id", "ingest_ts"),
-    "stg_offer_price": ("stg", "stg_offer_price_id", "snapshot_ts"),
-    "stg_buybox_history": ("stg", "stg_buybox_row_id", "snapshot_ts"),
-    "stg_category_tree": ("stg", "stg_category_row_id", None),
-    "stg_product_metadata": ("stg", "stg_product_meta_id", "ingest_ts"),
-    "stg_sales_monthly_stats": ("stg", "stg_sales_stats_id", "sales_month"),
-    "stg_videos": ("stg", "_merge_key", None),
-    "stg_aplus_module": ("stg", "stg_aplus_id", None),
-    "stg_price__bad": ("stg_bad", "bad_row_id", "ingest_ts"),
-    "stg_rank__bad": ("stg_bad", "bad_row_id", "ingest_ts"),
-    "stg_reviews__bad": ("stg_bad", "bad_row_id", "ingest_ts"),
-    "stg_offers__bad": ("stg_bad", "bad_row_id", "ingest_ts"),
-    "stg_aplus_module__bad": ("stg_bad", "bad_row_id", "ingest_ts"),
-    "core_price_daily": ("core", "pk", "date"),
-    "core_rank_daily": ("core", "pk", "date"),
-    "core_reviews_daily": ("core", "pk", "date"),
-    "core_offer_price_daily": ("core", "pk", "date"),
-    "core_product_latest": ("core", "asin", None),
-    "fct_price_history_daily": ("mart", "pk", "date"),
-    "fct_rank_history_daily": ("mart", "pk", "date"),
-    "fct_review_history_daily": ("mart", "pk", "date"),
-    "fct_offer_price_daily": ("mart", "pk", "date"),
-}
 PART = "_month"
 MERGE_KEY = "_merge_key"
-# Tables merged on a natural key instead of their id: the video id contains the
-# snapshot, so merging by it would keep every superseded snapshot row.
-NATURAL_KEYS = {
-    "stg_videos": lambda: F.concat_ws("|", F.col("asin"), F.coalesce(F.col("url"), F.col("name"))),
+
+
+@dataclass(frozen=True)
+class Merged:
+    """A table merged by ``key``; ``order`` () means the increment is recomputed truth for its keys.
+
+    ``month_of`` names the key column whose month partitions the table, so a
+    key never changes partition and a merge rewrites only the months touched.
+    """
+    layer: str
+    key: tuple[str, ...]
+    order: tuple = ()
+    month_of: str | None = None
+
+
+def _staged(name: str, *key: str, month_of: str | None = None) -> Merged:
+    return Merged("stg", key, tuple(stg.desc(stg.ORDERS[name])), month_of)
+
+
+MERGED: dict[str, Merged] = {
+    "stg_base": Merged("stg", ("stg_row_id",), (("_airbyte_extracted_at", "desc"), ("filename", "desc"), ("_content", "desc")),
+                       "ingest_ts"),
+    "stg_price": _staged("stg_price", "asin", "price_channel", "snapshot_ts", month_of="snapshot_ts"),
+    "stg_rank": _staged("stg_rank", "asin", "snapshot_ts", month_of="snapshot_ts"),
+    "stg_reviews_rating_pts": _staged("stg_reviews_rating_pts", "asin", "series_min", month_of="series_min"),
+    "stg_reviews_count_pts": _staged("stg_reviews_count_pts", "asin", "series_min", month_of="series_min"),
+    "stg_reviews": Merged("stg", ("asin", "snapshot_ts"), (), "snapshot_ts"),
+    "stg_offers": _staged("stg_offers", "asin", "offer_id"),
+    "stg_offer_metadata": _staged("stg_offer_metadata", "asin", "offer_id", "ingest_ts", month_of="ingest_ts"),
+    "stg_offer_price": _staged("stg_offer_price", "asin", "offer_id", "snapshot_ts", month_of="snapshot_ts"),
+    "stg_buybox_history": _staged("stg_buybox_history", "asin", "snapshot_ts", month_of="snapshot_ts"),
+    "stg_category_tree": _staged("stg_category_tree", "asin", "category_id", "parent_category_id"),
+    "stg_product_metadata": _staged("stg_product_metadata", "asin", "ingest_ts", month_of="ingest_ts"),
+    "stg_sales_monthly_stats": _staged("stg_sales_monthly_stats", "asin", "sales_month", month_of="sales_month"),
+    # the video id contains the snapshot, so it would keep every superseded row: merged on what identifies a video
+    "stg_videos": _staged("stg_videos", "asin", MERGE_KEY),
+    "stg_aplus_module": _staged("stg_aplus_module", "asin", "aplus_idx", "module_idx", "asset_type", "asset_idx"),
+    "core_price_daily": Merged("core", ("asin", "price_channel", "date"), (), "date"),
+    "core_rank_daily": Merged("core", ("asin", "date"), (), "date"),
+    "core_reviews_daily": Merged("core", ("asin", "date"), (), "date"),
+    "core_offer_price_daily": Merged("core", ("asin", "offer_id", "date"), (), "date"),
+    "core_product_latest": Merged("core", ("asin",), tuple((c, "desc") for c in core.PRODUCT_ORDER)),
+    "fct_price_history_daily": Merged("mart", ("asin", "price_channel", "date"), (), "date"),
+    "fct_rank_history_daily": Merged("mart", ("asin", "date"), (), "date"),
+    "fct_review_history_daily": Merged("mart", ("asin", "date"), (), "date"),
+    "fct_offer_price_daily": Merged("mart", ("asin", "offer_id", "date"), (), "date"),
+}
+
+# Quarantines: (source table, rule function); one partition per source month, or the whole table.
+QUARANTINES = {
+    "stg_base__bad": ("stg_base", bad.base_bad),
+    "stg_price__bad": ("stg_price", bad.price_bad),
+    "stg_rank__bad": ("stg_rank", bad.rank_bad),
+    "stg_reviews__bad": ("stg_reviews", bad.reviews_bad),
+    "stg_offers__bad": ("stg_offers", bad.offers_bad),
+    "stg_aplus_module__bad": ("stg_aplus_module", bad.aplus_bad),
+}
+
+# Day tables: (core table, staged source, fact).
+DAILY = {
+    "core_price_daily": ("stg_price", "fct_price_history_daily"),
+    "core_rank_daily": ("stg_rank", "fct_rank_history_daily"),
+    "core_reviews_daily": ("stg_reviews", "fct_review_history_daily"),
+    "core_offer_price_daily": ("stg_offer_price", "fct_offer_price_daily"),
 }
 
 # Tables rebuilt from published tables each run.
@@ -102,10 +132,16 @@ def _month_of(column: str):
 
 
 def _path(root: str, name: str) -> str:
-    layer = MERGED[name][0] if name in MERGED else REBUILT.get(name, "monitoring")
+    layer = (MERGED[name].layer if name in MERGED else "stg_bad" if name in QUARANTINES
+             else REBUILT.get(name, "monitoring"))
     return layer_path(root, layer, name)
 
 
+def shown(df: DataFrame) -> DataFrame:
+    """A published table without its partition and order columns."""
+    return df.drop(*[c for c in df.columns if c in (PART, MERGE_KEY, "_content") or c.startswith("_o_")])
+
+
 def _parallel(jobs: dict, workers: int) -> dict:
     """Run independent publish steps as concurrent Spark jobs from driver threads."""
     if workers <= 1:
@@ -116,125 +152,131 @@ def _parallel(jobs: dict, workers: int) -> dict:
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: bool = False,
-                 strict_watermark: bool = False, run_id: str | None = None, workers: int = 4) -> dict:
-    """Publish all models from the new ``raw`` rows. Returns run metrics.
-
-    Models of one layer that do not read each other are published
-    concurrently (``workers`` driver threads, one session).
+                 strict_watermark: bool = False, strict_event_date: bool = False, run_id: str | None = None,
+                 workers: int = 4) -> dict:
+    """Publish all models from the ``raw`` rows. Returns run metrics.
+
+    ``strict_watermark`` skips rows whose load date is not past the published
+    base's; ``strict_event_date`` lets the day tables take only dates past
+    their own last one (both are the warehouse's marks, which drop late rows;
+    default: off). Models of one layer that do not read each other are
+    published concurrently (``workers`` driver threads, one session).
     """
     t0 = time.time()
     run_id = run_id or uuid.uuid4().hex
     rows: dict[str, int] = {}
     steps: dict[str, float] = {}
     schemas: dict = {}  # published schemas: an empty table has no file to infer one from
+    scratch: list[str] = []
+
+    def published(name: str) -> DataFrame:
+        return spark.read.schema(schemas[name]).parquet(_path(root, name))
 
     def read(name: str) -> DataFrame:
-        return spark.read.schema(schemas[name]).parquet(_path(root, name)).drop(PART, MERGE_KEY)
+        return shown(published(name))
+
+    def write_stage(name: str, df: DataFrame) -> DataFrame:
+        path = shared_path(spark, f"inc-{name}")
+        scratch.append(path)
+        o = Observation(name)
+        df.observe(o, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        rows[name] = o.get["rows"]
+        return spark.read.schema(df.schema).parquet(path)
 
     # 1. typed base increment, written once (lineage cut)
     base = stg.product_base(raw)
     if strict_watermark and not full_refresh:
         mark = high_water(spark, _path(root, "stg_base"), "ingest_ts")
         base = base.filter(increment_filter("ingest_ts", mark, "strict", as_date=True))
-    stage = shared_path(spark, "base-increment")
-    obs = Observation("base")
-    base.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(stage)
-    rows["stg_base"] = obs.get["rows"]
-    b = spark.read.schema(base.schema).parquet(stage)
-
-    def merge(name: str, df: DataFrame, stage: bool = True) -> DataFrame:
-        """Merge the increment by key; with ``stage`` it is first written once
-        (lineage cut) and the staged rows are returned for downstream models."""
+    b = write_stage("stg_base", base)
+
+    def merge(name: str, df: DataFrame, staged: bool = False) -> DataFrame:
+        """Merge the increment by key; returns its staged rows (on a full refresh the published ones)."""
         t = time.time()
-        _, key, month_of = MERGED[name]
-        o = Observation(name)
-        observed = df.observe(o, F.count(F.lit(1)).alias("rows"))
+        spec = MERGED[name]
+        out = df
+        if spec.month_of:
+            out = out.withColumn(PART, _month_of(spec.month_of))
+        schemas[name] = out.schema
+        if full_refresh:
+            o = Observation(name)
+            out = out.observe(o, F.count(F.lit(1)).alias("rows"))
+        elif not staged:
+            out = write_stage(name, out)
+        upsert(spark, out, _path(root, name), spec.key, partition_by=[PART] if spec.month_of else None,
+               order=list(spec.order) if name == "stg_base" or not full_refresh else None, full_refresh=full_refresh,
+               unique_source=True, null_keys="match", fixed_partition=True)
         if full_refresh:
-            # the published table is the increment: write it once, read it back
-            out = observed
-            if name in NATURAL_KEYS:
-                out = out.withColumn(MERGE_KEY, NATURAL_KEYS[name]())
-            if month_of:
-                out = out.withColumn(PART, _month_of(month_of))
-            schemas[name] = out.schema
-            upsert(spark, out, _path(root, name), key, partition_by=[PART] if month_of else None,
-                   full_refresh=True, unique_source=True)
             rows[name] = o.get.get("rows", 0)
-            steps[name] = time.time() - t
-            return read(name)
-        if stage:
-            path = shared_path(spark, f"inc-{name}")
-            observed.write.parquet(path)
-            staged = spark.read.schema(df.schema).parquet(path)
-        else:
-            staged = observed
-        out = staged
-        if name in NATURAL_KEYS:
-            out = out.withColumn(MERGE_KEY, NATURAL_KEYS[name]())
-        if month_of:
-            out = out.withColumn(PART, _month_of(month_of))
-        schemas[name] = out.schema
-        # every merged model already keeps one row per key (its own dedup)
-        upsert(spark, out, _path(root, name), key, partition_by=[PART] if month_of else None,
-               full_refresh=full_refresh, unique_source=True)
-        rows[name] = o.get.get("rows", 0)
         steps[name] = time.time() - t
-        return staged
+        return published(name) if full_refresh else out
 
-    b_part = b.withColumn(PART, F.date_trunc("MONTH", F.col("ingest_ts")).cast("date"))
-    schemas["stg_base"] = b_part.schema
-    upsert(spark, b_part, _path(root, "stg_base"), "stg_row_id", partition_by=[PART],
-           full_refresh=full_refresh)
+    merge("stg_base", b.withColumn("_content", F.md5(F.to_json(F.struct(*b.columns)))))
 
-    # 2. per-product models from the increment
-    inc: dict[str, DataFrame] = {}
+    # 2. per-product models from the increment (each is one row per key)
     r_inc, c_inc = stg.review_sides(b)
-    stg_jobs = {name: (lambda fn=fn: fn(b)) for name, fn in (
-        ("stg_price", stg.stg_price), ("stg_rank", stg.stg_rank), ("stg_offers", stg.stg_offers),
-        ("stg_offer_metadata", stg.stg_offer_metadata), ("stg_buybox_history", stg.stg_buybox_history),
-        ("stg_category_tree", stg.stg_category_tree), ("stg_product_metadata", stg.stg_product_metadata),
-        ("stg_sales_monthly_stats", stg.stg_sales_monthly_stats), ("stg_videos", stg.stg_videos),
-        ("stg_aplus_module", stg.stg_aplus_module))}
-    stg_jobs["stg_offer_price"] = lambda: stg.stg_offer_price(stg.offer_snapshots(b))
-    stg_jobs["stg_reviews_rating_pts"] = lambda: r_inc
-    stg_jobs["stg_reviews_count_pts"] = lambda: c_inc
-    inc.update(_parallel({name: (lambda n=name, f=f: merge(n, f())) for name, f in stg_jobs.items()},
-                         workers))
-
-    # reviews: the two series are kept as keyed side tables; the increment
-    # re-joins only the (asin, minute) keys it touched, read from touched months.
+    first = {
+        "stg_price": lambda: stg.stg_price(b), "stg_rank": lambda: stg.stg_rank(b), "stg_offers": lambda: stg.stg_offers(b),
+        "stg_offer_metadata": lambda: stg.stg_offer_metadata(b),
+        "stg_offer_price": lambda: stg.stg_offer_price(stg.offer_snapshots(b)),
+        "stg_buybox_history": lambda: stg.stg_buybox_history(b), "stg_category_tree": lambda: stg.stg_category_tree(b),
+        "stg_product_metadata": lambda: stg.stg_product_metadata(b, hidden=True),
+        "stg_sales_monthly_stats": lambda: stg.stg_sales_monthly_stats(b, hidden=True),
+        "stg_videos": lambda: stg.stg_videos(b).withColumn(MERGE_KEY, F.coalesce("url", "name")),
+        "stg_aplus_module": lambda: stg.stg_aplus_module(b),
+        "core_product_latest": lambda: core.core_product_latest(b, hidden=True),
+        "stg_reviews_rating_pts": lambda: r_inc, "stg_reviews_count_pts": lambda: c_inc,
+    }
+    inc = _parallel({n: (lambda n=n, f=f: merge(n, f())) for n, f in first.items()}, workers)
+
+    # 3. review points of the touched (asin, minute), joined again from both published series
     keys = ["asin", "series_min", PART]
-    touched = (inc["stg_reviews_rating_pts"].select("asin", "series_min")
-               .union(inc["stg_reviews_count_pts"].select("asin", "series_min")).distinct()
-               .withColumn(PART, _month_of("series_min")))
+    touched = inc["stg_reviews_rating_pts"].select(*keys).union(inc["stg_reviews_count_pts"].select(*keys)).distinct()
 
     def side(name):
-        return spark.read.schema(schemas[name]).parquet(_path(root, name)).join(
-            touched, keys, "left_semi").drop(PART)
-    inc["stg_reviews"] = merge("stg_reviews", stg.reviews_from_sides(
-        side("stg_reviews_rating_pts"), side("stg_reviews_count_pts")))
-
-    # quarantines (nothing downstream reads their increments) and core increments
-    bad_jobs = {"stg_price__bad": lambda: bad.price_bad(inc["stg_price"]),
-                "stg_rank__bad": lambda: bad.rank_bad(inc["stg_rank"]),
-                "stg_reviews__bad": lambda: bad.reviews_bad(inc["stg_reviews"]),
-                "stg_offers__bad": lambda: bad.offers_bad(inc["stg_offers"]),
-                "stg_aplus_module__bad": lambda: bad.aplus_bad(inc["stg_aplus_module"])}
-    core_jobs = {"core_price_daily": lambda: core.core_price_daily(inc["stg_price"]),
-                 "core_rank_daily": lambda: core.core_rank_daily(inc["stg_rank"]),
-                 "core_reviews_daily": lambda: core.core_reviews_daily(inc["stg_reviews"]),
-                 "core_offer_price_daily": lambda: core.core_offer_price_daily(inc["stg_offer_price"]),
-                 "core_product_latest": lambda: core.core_product_latest(b)}
-    jobs = {n: (lambda n=n, f=f: merge(n, f(), stage=False)) for n, f in bad_jobs.items()}
-    jobs.update({n: (lambda n=n, f=f: merge(n, f())) for n, f in core_jobs.items()})
-    inc.update(_parallel(jobs, workers))
-    _parallel({name: (lambda n=name, s=src: merge(n, getattr(marts, n)(inc[s]), stage=False))
-               for name, src in (("fct_price_history_daily", "core_price_daily"),
-                                 ("fct_rank_history_daily", "core_rank_daily"),
-                                 ("fct_review_history_daily", "core_reviews_daily"),
-                                 ("fct_offer_price_daily", "core_offer_price_daily"))}, workers)
-
-    # 3. rebuilt tables, from published tables
+        if full_refresh:
+            return published(name).drop(PART)
+        return published(name).alias("t").join(touched.alias("k"), same("t", "k", keys), "left_semi").drop(PART)
+    inc["stg_reviews"] = merge("stg_reviews", stg.reviews_from_sides(side("stg_reviews_rating_pts"), side("stg_reviews_count_pts")))
+
+    # day rows of the touched (keys, date), aggregated again from the published points
+    def daily(name: str) -> None:
+        source, fact = DAILY[name]
+        points, group = published(source), list(MERGED[name].key[:-1])
+        days = inc[source].select(*group, F.col("snapshot_ts").cast("date").alias("date"), PART).distinct()
+        if strict_event_date and not full_refresh:
+            days = days.filter(F.col("date") > F.lit(str(high_water(spark, _path(root, name), "date"))).cast("date"))
+        if not full_refresh or strict_event_date:
+            points = points.withColumn("date", F.col("snapshot_ts").cast("date"))
+            points = points.alias("t").join(days.alias("k"), same("t", "k", [*group, "date", PART]), "left_semi").drop("date")
+        rows_ = merge(name, getattr(core, name)(points.drop(PART)))
+        merge(fact, getattr(marts, fact)(rows_))
+
+    # quarantines of the touched months (a row repaired by a newer load leaves its quarantine)
+    def set_aside(name: str) -> None:
+        t = time.time()
+        source, rules = QUARANTINES[name]
+        points, path, o = published(source), _path(root, name), Observation(name)
+        month = MERGED[source].month_of
+        if month and not full_refresh:
+            months = inc[source].select(PART).distinct() if source in inc else b.select(_month_of(month).alias(PART)).distinct()
+            points = points.alias("t").join(months.alias("k"), same("t", "k", [PART]), "left_semi")
+        out = rules(points)
+        if month:
+            out = out.withColumn(PART, _month_of(month))
+        schemas[name] = out.schema
+        out = out.observe(o, F.count(F.lit(1)).alias("rows"))
+        if month and not full_refresh and table_exists(spark, path, schemas[name]):
+            replace_partitions(out, path, [PART], [f"{PART}={r[0]}" for r in months.filter(F.col(PART).isNotNull()).collect()])
+        else:
+            overwrite(out, path, [PART] if month else None)
+        rows[name] = o.get.get("rows", 0)
+        steps[name] = time.time() - t
+
+    inc["stg_base"] = b.withColumn(PART, _month_of("ingest_ts"))
+    _parallel({**{n: (lambda n=n: daily(n)) for n in DAILY}, **{n: (lambda n=n: set_aside(n)) for n in QUARANTINES}}, workers)
+
+    # 4. rebuilt tables, from published tables
     def rebuild(name: str, df: DataFrame) -> None:
         t = time.time()
         o = Observation(name)
@@ -271,14 +313,13 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
     }, workers)
 
     # quarantine roll-up: a view over the published quarantine tables
-    create_view(bad.quarantine_rollup(read("stg_price__bad"), read("stg_rank__bad"), read("stg_reviews__bad"),
-                                      read("stg_offers__bad"), read("stg_aplus_module__bad")),
-                "quarantine_union")
+    create_view(bad.quarantine_rollup(*[read(f"stg_{n}__bad") for n in ("price", "rank", "reviews", "offers", "aplus_module")],
+                                      base=read("stg_base__bad")), "quarantine_union")
 
-    # 4. checks on the published tables, failures stored, one monitoring row
+    # 5. checks on the published tables, failures stored, one monitoring row
     t = time.time()
-    published = {name: read(name) for name in list(MERGED) + list(REBUILT)}
-    checks: list[Check] = model_checks(published)
+    tables = {name: read(name) for name in [*MERGED, *QUARANTINES, *REBUILT]}
+    checks: list[Check] = model_checks(tables)
     summary = check_summary(spark, checks).collect()  # one small row per check
     failing = {r["check_name"] for r in summary if r["failures"] > 0}
     store_failures([c for c in checks if c.name in failing], layer_path(root, "monitoring", "test_failures"))
@@ -291,18 +332,20 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
         "rows_loaded": rows["stg_base"], "rows": rows, "steps": steps, "seconds": time.time() - t0,
     }
     log_run(spark, root, metrics)
+    for path in scratch:
+        Folder(spark, path).delete()
     return metrics
 
 
 def log_run(spark: SparkSession, root: str, metrics: dict, dag_id: str = "histmart_daily") -> None:
-    """Append the run-monitoring row (created on first append)."""
+    """Keep one monitoring row per run id (created on the first run; a replay replaces its row)."""
     row = [(dag_id, metrics["run_id"], _dt.datetime.now(_dt.timezone.utc).isoformat(), metrics["status"],
             None, int(metrics["models_run"]), int(metrics["tests_passed"]), int(metrics["tests_failed"]),
             int(metrics["rows_loaded"]))]
     schema = ("dag_id string, run_id string, execution_date string, status string, extract_job_id string, "
               "models_run int, tests_passed int, tests_failed int, rows_loaded_raw bigint")
     df = spark.createDataFrame(row, schema).withColumn("logged_at", F.current_timestamp())
-    append(df, layer_path(root, "monitoring", MONITORING_TABLE))
+    upsert(spark, df, layer_path(root, "monitoring", MONITORING_TABLE), ["dag_id", "run_id"], unique_source=True)
 
 
 def bench_pipeline(spark: SparkSession, sf_dir: str) -> dict:

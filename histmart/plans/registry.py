@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from histmart.plans import standins as s
 from histmart.plans.feed import product_feed
 from histmart.plans.feed_oracle import FINAL as FEED_MODELS, feed_oracles
-from histmart.plans.models import build_models
+from histmart.plans.models import build_models, quarantine_models
 from histmart.plans.oracle import oracle_queries
+from histmart.plans.stg import product_base
+from histmart.session import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def standin_queries() -> dict[str, Query]:
     return {
         "json_path_extract": s.json_path_extract,
+        "variant_as_text": s.variant_as_text,
         "ndjson_round_trip": s.ndjson_round_trip,
         "ndjson_bad_lines": s.ndjson_bad_lines,
         "load_status": s.load_status_query,
@@ -46,6 +49,17 @@ def standin_queries() -> dict[str, Query]:
         "fact_filtered": s.fact_filtered,
         "upsert_incremental": s.upsert_incremental,
         "append_boundary": s.append_boundary,
+        "upsert_late_load": s.upsert_late_load,
+        "upsert_null_keys": s.upsert_null_keys,
+        "upsert_null_safe": s.upsert_null_safe,
+        "full_refresh_replaces": s.full_refresh_replaces,
+        "upsert_moved_partition": s.upsert_moved_partition,
+        "strict_event_date": s.strict_event_date,
+        "offset_self_join": s.offset_self_join_query,
+        "lag_parent_hot": s.lag_parent_hot,
+        "load_lineage": s.load_lineage,
+        "json_array_load": s.json_array_load,
+        "stored_failures": s.stored_failures,
         "quarantine_split": s.quarantine_split,
         "quarantine_good": s.quarantine_good,
         "quarantine_union": s.quarantine_union_query,
@@ -65,16 +79,25 @@ MODEL_KEYS = {name: name for name in FEED_MODELS}
 MODEL_KEYS["stg_quarantine_rollup"] = "quarantine_union"
 
 
-def model_query(model: str) -> Query:
-    """The named model computed from the feed derived from the driver tables.
+# Columns compared of models that also carry nested ones.
+COLUMNS = {"stg_base": ("stg_row_id", "asin", "title", "brand", "product_type_id", "monthly_sold", "csv_text_values",
+                        "_airbyte_raw_id", "ingest_ts")}
+# The roll-up reads five models: the base is written once and every branch reads its columns from there.
+STAGED_BASE = {"stg_quarantine_rollup"}
+
 
-    Multi-branch models (the quarantine roll-up reads five models) derive the
-    pruned feed once per branch; measured at sf0.1 this beats materialising
-    the whole base first (13.3 s vs 16.6 s), since each branch reads only
-    the columns it needs.
-    """
+def model_query(model: str) -> Query:
+    """The named model computed from the feed derived from the driver tables."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build_models(product_feed(spark, sf_dir))[MODEL_KEYS[model]]
+        feed = product_feed(spark, sf_dir)
+        if model in STAGED_BASE:
+            base = product_base(feed).select("asin", "ingest_ts", "_airbyte_raw_id", "csv_v", "csv_text_values", "offers_v", "aplus_v")
+            path = shared_path(spark, f"base-{model}")
+            base.write.parquet(path)
+            base = spark.read.schema(base.schema).parquet(path)
+            return quarantine_models(base)
+        out = build_models(feed)[MODEL_KEYS[model]]
+        return out.select(*COLUMNS[model]) if model in COLUMNS else out
     run.__name__ = model
     return run
 

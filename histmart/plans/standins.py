@@ -11,20 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histmart.functions import (
-    in_price_band, json_path, minutes_to_ts, month_start, sentinel_flag, sentinel_to_null,
-    surrogate_key, try_number, ts_text, ts_to_minutes,
+    in_price_band, json_path, json_text, minutes_to_ts, month_start, sentinel_flag, sentinel_to_null,
+    surrogate_key, try_number, ts_text, ts_to_minutes, variant_path,
 )
 from histmart.operators import (
     explode_channels, explode_pairs, first_by_value, flatten, full_outer_series, lag_parent,
-    last_of_day, latest_per_key, left_enrich_latest, tagged_assets, text_to_tokens,
+    last_of_day, latest_per_key, left_enrich_latest, offset_self_join, tagged_assets, text_to_tokens,
 )
 from histmart.operators.quality import (
-    Check, Rule, accepted_values, check_summary, expression_is_true, not_null, quarantine,
-    quarantine_union, relationships, unique,
+    Check, Rule, accepted_values, check_summary, expression_is_true, failing_rows, not_null, quarantine,
+    quarantine_union, relationships, store_failures, unique,
 )
 from histmart.session import shared_path
 from histmart.sources import (
-    high_water, increment_filter, load_status, read_ndjson, table, upsert, append,
+    append, high_water, increment_filter, layer_path, load_status, read_json_array, read_ndjson, table, upsert,
 )
 
 # Fixed parameters of the stand-ins.
@@ -46,6 +46,13 @@ def json_path_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", json_path("props", "$.k", "bigint").alias("k"))
 
 
+def variant_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A parsed document and its array of values, back as JSON text (F15), and a path of it."""
+    ev = _t(spark, sf_dir, "events").select("event_id", F.try_parse_json("props").alias("v"), F.try_parse_json(
+        F.concat(F.lit("["), F.col("event_id"), F.lit(",null]"))).alias("a"))
+    return ev.select("event_id", variant_path("v", "$.k", "bigint").alias("k"), json_text("v").alias("doc"), json_text("a").alias("arr"))
+
+
 # ---- S1-S4, S9: NDJSON bulk load with bad lines --------------------------------
 
 def _write_events_ndjson(spark, sf_dir) -> str:
@@ -154,8 +161,10 @@ def pair_decode_groupby(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- G5, G8: named channels of an array of arrays -----------------------------------
 
 def channel_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emb = _t(spark, sf_dir, "embeddings").select(
-        "vec_id", F.array(*[F.slice("embedding", 1 + 16 * i, 16) for i in range(4)]).alias("csv"))
+    """Each vector in four channels of a quarter of its length (the last takes the rest)."""
+    n = F.floor(F.size("embedding") / 4).cast("int")
+    parts = [F.slice("embedding", n * i + 1, n if i < 3 else F.size("embedding") - 3 * n) for i in range(4)]
+    emb = _t(spark, sf_dir, "embeddings").select("vec_id", F.array(*parts).alias("csv"))
     return explode_channels(emb, "csv", EVENT_CHANNELS, keep=["vec_id"], keep_partial=False,
                             name="channel", key_name="k", value_name="v")
 
@@ -252,6 +261,56 @@ def first_by_value_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_by_value(ev.select("user_id", "date", "event_type"), ["user_id", "date"], ["event_type"])
 
 
+def offset_self_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The self-join form of the strict pair decode (J1); the library decodes pairs in the row."""
+    toks = flatten(_positive_components(spark, sf_dir), "arr", keep=["vec_id"], index="i", value="t")
+    return offset_self_join(toks, ["vec_id"]).select(
+        "vec_id", F.floor(F.col("pair_start") / 2).cast("int").alias("pair_idx"),
+        F.col("key_token").alias("k"), F.col("value_token").alias("v"))
+
+
+def lag_parent_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Previous line item of each supplier: groups that grow with the data."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate").distinct()
+    return lag_parent(li, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"], "l_orderkey", out="previous_order")
+
+
+def load_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineage columns of a raw load (S9), and each load stamp pinned (F16)."""
+    raw, _ = read_ndjson(spark, _write_events_ndjson(spark, sf_dir), pattern=NDJSON_TEXT_PATTERN, load_date="2024-02-01")
+    return raw.groupBy("ingest_dt").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("file_name").endswith(".txt.gz")).alias("n_named"),
+        F.count_if(F.col("file_path").contains(F.col("file_name"))).alias("n_paths"),
+        F.count_if(F.col("file_modified") <= F.current_timestamp()).alias("n_dated"))
+
+
+def json_array_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files holding one outer array (S5): orders as one array per customer segment of a supplier-sized slice."""
+    cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    path = shared_path(spark, "json-arrays")
+    arrays = cust.groupBy("c_nationkey").agg(F.sort_array(F.collect_list(F.struct("c_custkey", "c_name"))).alias("rows"))
+    arrays.select(F.to_json("rows").alias("value"), "c_nationkey").repartition("c_nationkey").write.partitionBy("c_nationkey").text(path)
+    return read_json_array(spark, path, "c_custkey bigint, c_name string, c_nationkey int").select("c_custkey", "c_name", "c_nationkey")
+
+
+def stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A singular check (D12) whose failing rows are stored (D13) under the routed layer."""
+    root = shared_path(spark, "stored")
+    path = layer_path(root, "monitoring", "test_failures")
+    store_failures([Check("negative_balance", failing_rows(_t(spark, sf_dir, "customer"), "c_acctbal < 0"))], path)
+    return spark.read.parquet(f"{root}/MONITORING/test_failures/negative_balance").select("c_custkey", "c_acctbal")
+
+
+def strict_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append with the strict mark on the event date (S16): the boundary day is not taken again."""
+    l1, l2 = _raw_loads(spark, sf_dir)
+    target = shared_path(spark, "strict-events")
+    for load in (l1, l2):
+        mark = high_water(spark, target, "ts", as_date=True)
+        append(load.filter(increment_filter("ts", mark, "strict", as_date=True)), target)
+    return spark.read.parquet(target).select("event_id", "ts", "value", "ingest_ts")
+
+
 def lag_parent_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _t(spark, sf_dir, "nation")
     return lag_parent(n, ["n_regionkey"], ["n_nationkey"], "n_nationkey", out="parent_nationkey")
@@ -329,6 +388,58 @@ def upsert_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              "ingest_ts")
 
 
+def upsert_late_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newer load first, then the older one: an old row never replaces a newer one."""
+    l1, l2 = _raw_loads(spark, sf_dir)
+    target = shared_path(spark, "upsert-late")
+    for load in (l2, l1, l2):
+        upsert(spark, load.withColumn("date", F.col("ts").cast("date")), target, "event_id", partition_by=["date"],
+               order=[("ingest_ts", "desc"), ("value", "desc")])
+    return spark.read.parquet(target).select("event_id", "ts", "user_id", "event_type", "value", "ingest_ts")
+
+
+def _keyed_events(spark, sf_dir) -> DataFrame:
+    """Events keyed by (user, type) with NULLs: no type for errors, no user for every tenth."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return (ev.withColumn("event_type", F.nullif(F.col("event_type"), F.lit("error")))
+            .withColumn("user_id", F.when(F.col("event_id") % 10 != 0, F.col("user_id"))))
+
+
+def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a MERGE on (user, type) could never match: set aside once each, however often they come."""
+    ev, target = _keyed_events(spark, sf_dir), shared_path(spark, "upsert-null")
+    for _ in range(2):
+        upsert(spark, ev, target, ["user_id", "event_type"], order=[("ts", "desc"), ("event_id", "desc")])
+    return spark.read.parquet(f"{target}__null_keys")
+
+
+def upsert_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows with NULL as a value of the key: one row per (user, type), NULL parts included."""
+    ev, target = _keyed_events(spark, sf_dir), shared_path(spark, "upsert-null-safe")
+    for part in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1):
+        upsert(spark, ev.filter(part), target, ["user_id", "event_type"], order=[("ts", "desc"), ("event_id", "desc")], null_keys="match")
+    return spark.read.parquet(target)
+
+
+def full_refresh_replaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full refresh leaves no partition of the table before."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "ts", "value").withColumn("date", F.col("ts").cast("date"))
+    target = shared_path(spark, "full-refresh")
+    upsert(spark, ev, target, "event_id", partition_by=["date"])
+    upsert(spark, ev.filter(F.dayofmonth("date") <= 5), target, "event_id", partition_by=["date"], full_refresh=True)
+    return spark.read.parquet(target).select("event_id", "ts", "value", "date")
+
+
+def upsert_moved_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys whose partition changes leave their old one, also when that empties it."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "value", F.col("ts").cast("date").alias("date"))
+    target = shared_path(spark, "upsert-moved")
+    upsert(spark, ev, target, "event_id", partition_by=["date"])
+    moved = ev.filter((F.dayofmonth("date") == 7) | (F.col("event_id") % 50 == 0)).withColumn("date", F.date_add("date", 400))
+    upsert(spark, moved, target, "event_id", partition_by=["date"])
+    return spark.read.parquet(target).select("event_id", "value", "date")
+
+
 def append_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append-only target with an inclusive event-day mark: the boundary day repeats."""
     l1, l2 = _raw_loads(spark, sf_dir)
@@ -426,11 +537,8 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_last_of_day_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> file-source stream (availableNow) -> foreachBatch last-of-day upsert."""
-    from histmart.streaming.incremental import stream_last_of_day
-    schema = _t(spark, sf_dir, "events").schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1")
-              .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-              .withColumn("ingest_ts", F.col("ts").cast("date")))
+    from histmart.streaming.incremental import stream_last_of_day, table_stream
+    stream = table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet").withColumn("ingest_ts", F.col("ts").cast("date"))
     target = shared_path(spark, "stream-last-of-day")
     stream_last_of_day(spark, stream, target, ["user_id", "event_type"], "ts", "ingest_ts",
                        checkpoint=shared_path(spark, "stream-ckpt"), tie_break=[("event_id", "desc")])
@@ -438,13 +546,10 @@ def stream_last_of_day_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_windowed_last_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events -> watermark + tumbling day window + max_by state -> update-mode upsert."""
-    from histmart.streaming.incremental import stream_windowed_latest
-    schema = _t(spark, sf_dir, "events").schema
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1")
-              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    """events -> tumbling day window + max_by per micro-batch -> ordered upsert (late rows merge)."""
+    from histmart.streaming.incremental import stream_windowed_latest, table_stream
     target = shared_path(spark, "stream-windowed")
-    stream_windowed_latest(spark, stream, target, ["user_id", "event_type"], "ts",
-                           ["event_id", "ts", "value"], "event_id",
+    stream_windowed_latest(spark, table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet"), target,
+                           ["user_id", "event_type"], "ts", ["event_id", "ts", "value"], "event_id",
                            checkpoint=shared_path(spark, "stream-window-ckpt"))
     return spark.read.parquet(target).select("user_id", "event_type", "date", "event_id", "ts", "value")

@@ -128,19 +128,45 @@ def product_base(raw: DataFrame) -> DataFrame:
     return out.select(key.alias("stg_row_id"), *out.columns)
 
 
-def stg_price(base: DataFrame) -> DataFrame:
-    """Price points of the four price channels; every full pair is decoded."""
+# Total orders of the merged models: the row that comes first stays, in a full run
+# and in every merge. Columns named _o_* are kept in the published table for it.
+ORDERS = {
+    "stg_price": ("ingest_ts", "price", "was_sentinel"),
+    "stg_rank": ("ingest_ts", "rank"),
+    "stg_reviews_rating_pts": ("ingest_ts", "raw_rating"),
+    "stg_reviews_count_pts": ("ingest_ts", "raw_count"),
+    "stg_offers": ("ingest_ts", "offer_csv_raw", "seller_id", "is_prime", "is_fba", "condition",
+                   "is_shippable", "is_map"),
+    "stg_offer_metadata": ("seller_id", "shipping_dollars", "condition_code", "is_prime", "is_map"),
+    "stg_offer_price": ("ingest_ts", "price"),
+    "stg_buybox_history": ("ingest_ts", "seller_id"),
+    "stg_category_tree": ("ingest_ts", "category_name", "category_level"),
+    "stg_sales_monthly_stats": ("ingest_ts", "_o_series_minutes", "est_units_sold"),
+    "stg_videos": ("snapshot_ts", "title", "creator", "duration_sec", "thumbnail_url", "name"),
+    "stg_aplus_module": ("ingest_ts", "url", "alt_text", "text"),
+}
+
+
+def desc(columns) -> list[tuple[str, str]]:
+    return [(c, "desc") for c in columns]
+
+
+def price_points(base: DataFrame) -> DataFrame:
+    """Every price point of every load, not deduplicated."""
     pts = explode_channels(base.select("asin", "csv_v", "ingest_ts"), "csv_v", PRICE_CHANNELS,
                            keep=["asin", "ingest_ts"], keep_partial=False,
                            name="price_channel", key_name="series_min", value_name="raw_val")
-    pts = pts.select(
+    return pts.select(
         "asin", "price_channel",
         minutes_to_ts("series_min").alias("snapshot_ts"),
         sentinel_to_null("raw_val", 100, PRICE_TYPE).alias("price"),
         sentinel_flag("raw_val").alias("was_sentinel"),
         "ingest_ts")
-    pts = latest_per_key(pts, ["asin", "price_channel", "snapshot_ts"], [("ingest_ts", "desc")],
-                         tie_break=[("price", "desc"), ("was_sentinel", "desc")])
+
+
+def stg_price(base: DataFrame) -> DataFrame:
+    """Price points of the four price channels; every full pair is decoded."""
+    pts = latest_per_key(price_points(base), ["asin", "price_channel", "snapshot_ts"], desc(ORDERS["stg_price"]))
     return pts.select(surrogate_key("asin", "price_channel", ts_text("snapshot_ts")).alias("pk"),
                       *pts.columns)
 
@@ -151,22 +177,25 @@ def _channel_pairs(base: DataFrame, channel: int, key: str, value: str) -> DataF
                          key_name=key, value_name=value).drop("pair_idx")
 
 
-def stg_rank(base: DataFrame) -> DataFrame:
-    """Sales-rank points (odd trailing minute kept with NULL rank)."""
-    pts = _channel_pairs(base, RANK_CHANNEL, "series_min", "raw_rank").select(
+def rank_points(base: DataFrame) -> DataFrame:
+    """Every rank point of every load, not deduplicated."""
+    return _channel_pairs(base, RANK_CHANNEL, "series_min", "raw_rank").select(
         "asin", minutes_to_ts("series_min").alias("snapshot_ts"),
         sentinel_to_null("raw_rank").alias("rank"), "ingest_ts")
-    pts = latest_per_key(pts, ["asin", "snapshot_ts"], [("ingest_ts", "desc")],
-                         tie_break=[("rank", "desc")])
+
+
+def stg_rank(base: DataFrame) -> DataFrame:
+    """Sales-rank points (odd trailing minute kept with NULL rank)."""
+    pts = latest_per_key(rank_points(base), ["asin", "snapshot_ts"], desc(ORDERS["stg_rank"]))
     return pts.select(surrogate_key("asin", ts_text("snapshot_ts")).alias("pk"), *pts.columns)
 
 
 def review_sides(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rating and review-count points, each reduced to its newest load per (asin, minute)."""
     r = latest_per_key(_channel_pairs(base, RATING_CHANNEL, "series_min", "raw_rating"),
-                       ["asin", "series_min"], [("ingest_ts", "desc")], [("raw_rating", "desc")])
+                       ["asin", "series_min"], desc(ORDERS["stg_reviews_rating_pts"]))
     c = latest_per_key(_channel_pairs(base, REVIEW_COUNT_CHANNEL, "series_min", "raw_count"),
-                       ["asin", "series_min"], [("ingest_ts", "desc")], [("raw_count", "desc")])
+                       ["asin", "series_min"], desc(ORDERS["stg_reviews_count_pts"]))
     return r, c
 
 
@@ -204,9 +233,7 @@ def offer_snapshots(base: DataFrame) -> DataFrame:
 def stg_offers(base: DataFrame) -> DataFrame:
     """Latest attributes and raw price text per (asin, offer)."""
     o = offer_snapshots(base)
-    o = latest_per_key(o, ["asin", "offer_id"], [("ingest_ts", "desc")],
-                       tie_break=[(c, "desc") for c in ("offer_csv_raw", "seller_id", "is_prime", "is_fba",
-                                                        "condition", "is_shippable", "is_map")])
+    o = latest_per_key(o, ["asin", "offer_id"], desc(ORDERS["stg_offers"]))
     return o.select(surrogate_key("asin", "offer_id").alias("stg_offer_id"), *o.columns)
 
 
@@ -219,35 +246,36 @@ def stg_offer_metadata(base: DataFrame) -> DataFrame:
         F.col("o.isPrime").alias("is_prime"), F.col("o.isMAP").alias("is_map"),
         F.col("o.condition").alias("condition_code"),
         scaled(F.col("o.shipping"), 100, PRICE_TYPE).alias("shipping_dollars"), "ingest_ts")
-    o = latest_per_key(o, ["asin", "offer_id", "ingest_ts"], [("seller_id", "desc")],
-                       tie_break=[(c, "desc") for c in ("shipping_dollars", "condition_code", "is_prime",
-                                                        "is_map")])
+    o = latest_per_key(o, ["asin", "offer_id", "ingest_ts"], desc(ORDERS["stg_offer_metadata"]))
     key = surrogate_key("asin", "offer_id", F.col("ingest_ts").cast("string"))
     return o.select(key.alias("stg_offer_meta_id"), *o.columns)
 
 
+def offer_price_points(offers: DataFrame) -> DataFrame:
+    """Every offer price point of every load from the comma text; keeps sentinels and 0 < p <= 400."""
+    src = offers.filter(F.col("offer_csv_raw").isNotNull() & (F.col("offer_csv_raw") != ""))
+    pts = explode_pairs(src.select("asin", "offer_id", "ingest_ts",
+                                   text_to_tokens("offer_csv_raw").alias("_t")),
+                        "_t", keep=["asin", "offer_id", "ingest_ts"], keep_partial=False,
+                        key_name="min_t", value_name="price_t")
+    raw = scaled(try_number("price_t"), 100)
+    return (pts.select("asin", "offer_id", minutes_to_ts(try_number("min_t")).alias("snapshot_ts"),
+                       raw.alias("price_dollars_raw"), "ingest_ts")
+            .filter(in_price_band("price_dollars_raw"))
+            .select("asin", "offer_id", "snapshot_ts",
+                    sentinel_to_null("price_dollars_raw", None, PRICE_TYPE).alias("price"),
+                    sentinel_flag("price_dollars_raw").alias("was_sentinel"), "ingest_ts"))
+
+
 def stg_offer_price(offers: DataFrame) -> DataFrame:
-    """Offer price points from the comma text; keeps sentinels and 0 < p <= 400.
+    """Offer price points, one per (asin, offer, minute).
 
     ``offers`` are the offer snapshots of every load (``offer_snapshots``), so
     the history keeps the points of older loads too; a point present in
     several loads takes the newest load. Merging increments therefore gives
     the same table as one full run.
     """
-    src = offers.filter(F.col("offer_csv_raw").isNotNull() & (F.col("offer_csv_raw") != ""))
-    pts = explode_pairs(src.select("asin", "offer_id", "ingest_ts",
-                                   text_to_tokens("offer_csv_raw").alias("_t")),
-                        "_t", keep=["asin", "offer_id", "ingest_ts"], keep_partial=False,
-                        key_name="min_t", value_name="price_t")
-    raw = scaled(try_number("price_t"), 100)
-    pts = (pts.select("asin", "offer_id", minutes_to_ts(try_number("min_t")).alias("snapshot_ts"),
-                      raw.alias("price_dollars_raw"), "ingest_ts")
-           .filter(in_price_band("price_dollars_raw"))
-           .select("asin", "offer_id", "snapshot_ts",
-                   sentinel_to_null("price_dollars_raw", None, PRICE_TYPE).alias("price"),
-                   sentinel_flag("price_dollars_raw").alias("was_sentinel"), "ingest_ts"))
-    pts = latest_per_key(pts, ["asin", "offer_id", "snapshot_ts"], [("ingest_ts", "desc")],
-                         tie_break=[("price", "desc")])
+    pts = latest_per_key(offer_price_points(offers), ["asin", "offer_id", "snapshot_ts"], desc(ORDERS["stg_offer_price"]))
     key = surrogate_key("asin", "offer_id", ts_text("snapshot_ts"))
     return pts.select(key.alias("stg_offer_price_id"), *pts.columns)
 
@@ -261,8 +289,7 @@ def stg_buybox_history(base: DataFrame) -> DataFrame:
                         key_name="min_t", value_name="seller_t")
     pts = pts.select("asin", minutes_to_ts(try_number("min_t")).alias("snapshot_ts"),
                      nullif_empty("seller_t").alias("seller_id"), "ingest_ts")
-    pts = latest_per_key(pts, ["asin", "snapshot_ts"], [("ingest_ts", "desc")],
-                         tie_break=[("seller_id", "desc")])
+    pts = latest_per_key(pts, ["asin", "snapshot_ts"], desc(ORDERS["stg_buybox_history"]))
     key = surrogate_key("asin", ts_text("snapshot_ts"), F.coalesce(F.col("seller_id"), F.lit("NULL")))
     return pts.select(key.alias("stg_buybox_row_id"), *pts.columns)
 
@@ -282,8 +309,7 @@ def stg_category_tree(base: DataFrame) -> DataFrame:
         cur["level"].alias("category_level"),
         cur["name"].alias("category_name"),
         "ingest_ts")
-    e = latest_per_key(e, ["asin", "category_id", "parent_category_id"], [("ingest_ts", "desc")],
-                       tie_break=[("category_name", "desc"), ("category_level", "desc")])
+    e = latest_per_key(e, ["asin", "category_id", "parent_category_id"], desc(ORDERS["stg_category_tree"]))
     key = surrogate_key("asin", "category_id", "parent_category_id", null_token="NULL")
     return e.select(key.alias("stg_category_row_id"), *e.columns)
 
@@ -292,29 +318,32 @@ PRODUCT_ATTRS = ("title", "brand", "manufacturer", "binding", "color", "product_
                  "product_type_id", "website_display_group", "website_display_group_name")
 
 
-def stg_product_metadata(base: DataFrame) -> DataFrame:
-    """Product attributes, one row per (asin, load)."""
+ORDERS["stg_product_metadata"] = ("_o_extracted_at", "_o_raw_id", *PRODUCT_ATTRS)
+
+
+def stg_product_metadata(base: DataFrame, hidden: bool = False) -> DataFrame:
+    """Product attributes, one row per (asin, load). ``hidden`` keeps the order columns."""
     src = base.filter(F.col("asin").isNotNull()).select(
-        "asin", *PRODUCT_ATTRS, "ingest_ts", "_airbyte_extracted_at", "_airbyte_raw_id")
-    src = latest_per_key(src, ["asin", "ingest_ts"], [("_airbyte_extracted_at", "desc")],
-                         tie_break=[("_airbyte_raw_id", "desc")] + [(c, "desc") for c in PRODUCT_ATTRS])
+        "asin", *PRODUCT_ATTRS, "ingest_ts", F.col("_airbyte_extracted_at").alias("_o_extracted_at"),
+        F.col("_airbyte_raw_id").alias("_o_raw_id"))
+    src = latest_per_key(src, ["asin", "ingest_ts"], desc(ORDERS["stg_product_metadata"]))
     key = surrogate_key("asin", F.col("ingest_ts").cast("string"))
-    return src.select(key.alias("stg_product_meta_id"), "asin", *PRODUCT_ATTRS, "ingest_ts")
+    return src.select(key.alias("stg_product_meta_id"), "asin", *PRODUCT_ATTRS, "ingest_ts",
+                      *(["_o_extracted_at", "_o_raw_id"] if hidden else []))
 
 
-def stg_sales_monthly_stats(base: DataFrame) -> DataFrame:
-    """Units sold per month from the flat monthly history; latest point wins."""
+def stg_sales_monthly_stats(base: DataFrame, hidden: bool = False) -> DataFrame:
+    """Units sold per month from the flat monthly history; latest point wins. ``hidden`` keeps the order column."""
     src = base.filter(F.col("asin").isNotNull()).select("asin", "ingest_ts", "monthly_sold_history_v")
     pts = explode_pairs(src, "monthly_sold_history_v", keep=["asin", "ingest_ts"], keep_partial=True,
                         key_name="series_minutes", value_name="est_units_sold")
     pts = (pts.filter(F.col("series_minutes").isNotNull())
            .select("asin", month_start(minutes_to_ts("series_minutes")).alias("sales_month"),
-                   "series_minutes", "est_units_sold", "ingest_ts"))
-    pts = latest_per_key(pts, ["asin", "sales_month"], [("ingest_ts", "desc"), ("series_minutes", "desc")],
-                         tie_break=[("est_units_sold", "desc")])
+                   F.col("series_minutes").alias("_o_series_minutes"), "est_units_sold", "ingest_ts"))
+    pts = latest_per_key(pts, ["asin", "sales_month"], desc(ORDERS["stg_sales_monthly_stats"]))
     key = surrogate_key(F.coalesce(F.col("asin"), F.lit("NULL")), F.col("sales_month").cast("string"))
     return pts.select(key.alias("stg_sales_stats_id"), "asin", "sales_month", "est_units_sold",
-                      "ingest_ts")
+                      "ingest_ts", *(["_o_series_minutes"] if hidden else []))
 
 
 def stg_videos(base: DataFrame) -> DataFrame:
@@ -327,9 +356,7 @@ def stg_videos(base: DataFrame) -> DataFrame:
                  F.col("v.title").alias("title"), F.col("v.url").alias("url"))
     v = v.filter(F.col("url").isNotNull() | F.col("name").isNotNull())
     v = v.withColumn("_vk", F.coalesce("url", "name"))
-    v = latest_per_key(v, ["asin", "_vk"], [("snapshot_ts", "desc")],
-                       tie_break=[("title", "desc"), ("creator", "desc"), ("duration_sec", "desc"),
-                                  ("thumbnail_url", "desc"), ("name", "desc")])
+    v = latest_per_key(v, ["asin", "_vk"], desc(ORDERS["stg_videos"]))
     key = surrogate_key("asin", "_vk", ts_text_iso("snapshot_ts"))
     return v.select(key.alias("stg_video_id"), "asin", "snapshot_ts", "creator", "duration_sec",
                     "thumbnail_url", "name", "title", "url")
@@ -347,6 +374,5 @@ def stg_aplus_module(base: DataFrame) -> DataFrame:
                            F.col("module_idx").cast("int").alias("module_idx"),
                            "asset_type", "asset_idx", "url", "alt_text", "text", "ingest_ts")
     keys = ["asin", "aplus_idx", "module_idx", "asset_type", "asset_idx"]
-    assets = latest_per_key(assets, keys, [("ingest_ts", "desc")],
-                            tie_break=[("url", "desc"), ("alt_text", "desc"), ("text", "desc")])
+    assets = latest_per_key(assets, keys, desc(ORDERS["stg_aplus_module"]))
     return assets.select(surrogate_key(*keys).alias("stg_aplus_id"), *assets.columns)

@@ -1,8 +1,9 @@
 """Session defaults and the shared scratch location.
 
 Scratch data (staged upserts, NDJSON round trips, stream checkpoints) lives
-under the folder the cluster names in ``spark.checkpoint.dir``; a local
-folder is created only when that setting is absent (tests, laptops).
+under the folder the cluster names in ``spark.checkpoint.dir``. Where that setting
+is absent a local folder serves a local master (tests, laptops); on a cluster
+it is an error, since executors would each write to their own disk.
 """
 
 from __future__ import annotations
@@ -50,18 +51,22 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only when none is configured."""
+    """The shared checkpoint folder; a local one only for a local master without the setting."""
     sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="histmart-ckpt-")
-        sc.setCheckpointDir(root)
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="histmart-ckpt-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """True where driver and executors are one process (``local``, ``local[n]``; not ``local-cluster``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/histmart/{name}-{uuid.uuid4().hex}"

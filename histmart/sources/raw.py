@@ -26,17 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan has fewer splits.
+# Session setting: round-robin the derived feed's input over so many partitions (default: as scanned).
+SPREAD_SETTING = "histmart.feed.partitions"
 
-    A large input already has many splits and is returned unchanged (no
-    shuffle); a small file with few row groups would otherwise leave most
-    cores idle during the row-local decoding that follows. Round-robin
-    placement cannot create skew.
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``partitions``, for inputs stored with too few splits; default: as it is.
+
+    An explicit choice of the caller (argument or session setting), not of the
+    input's size: plans are the same on any amount of data.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
+    n = partitions or int(df.sparkSession.conf.get(SPREAD_SETTING, "0"))
+    return df.repartition(n) if n else df
 
 
 def _load_date(load_date) -> "F.Column":

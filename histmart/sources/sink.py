@@ -1,23 +1,33 @@
 """Materialisation: overwrite, append, key upsert, high-water marks.
 
 Plain Parquet has no MERGE, so ``upsert`` is written the way a Spark user
-writes it: the target rows of the partitions the increment touches, minus
-the keys the increment brings (left anti join), plus the increment. The
-result is staged under the shared checkpoint folder (a job cannot
-overwrite the path it reads) and then replaces only the touched partitions
-(dynamic partition overwrite). Untouched partitions are never read or
-rewritten, so a daily increment costs a day, not the table.
+writes it: the target rows of the partitions touched, together with the
+source rows, reduced to one row per key. With an ``order`` the winner is the
+first row under it, wherever it stands, so an older load never replaces a
+newer row and increments may come in any order or twice; without one the
+source is recomputed truth and replaces what it matches.
+
+Every write goes beside the table first and is then moved into place, whole
+tables by two renames and partitioned tables one partition folder at a time.
+A crash before the moves leaves the table as it was. Between the two renames
+of a whole table the old one stands as ``<path>.__old`` and is put back by the
+next access through this module; between partition moves every partition is
+whole, old or new, and a repeated run (same source, same result) finishes.
+Untouched partitions are never read or rewritten.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histmart.operators.dedup import latest_per_key
-from histmart.session import shared_path
+from histmart.sources.files import Folder
 
 # Warehouse layers and their schema names.
 LAYERS = {"raw": "RAW", "stg": "STG", "stg_bad": "STG_BAD", "core": "CORE",
@@ -37,6 +47,7 @@ def table_exists(spark: SparkSession, path: str, schema=None) -> bool:
     (a folder without data files) counts as present; without one it counts
     as absent.
     """
+    recover(spark, path)
     try:
         r = spark.read if schema is None else spark.read.schema(schema)
         r.parquet(path).schema  # noqa: B018 - resolves the file listing only
@@ -51,11 +62,54 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def recover(spark: SparkSession, path: str) -> None:
+    """Put the previous table back if a run ended between the two renames of ``replace_table``."""
+    table, old = Folder(spark, path), Folder(spark, path + ".__old")
+    if old.exists() and not table.exists():
+        old.move("", table, "")
+
+
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
+    """Replace the whole table, also partitions that the new rows do not have."""
+    spark = df.sparkSession
+    recover(spark, path)
+    new = f"{path}.__new-{uuid.uuid4().hex}"
+    _write(df, new, partition_by)
+    table, old, fresh = Folder(spark, path), Folder(spark, path + ".__old"), Folder(spark, new)
+    if old.exists():
+        old.delete()
+    if table.exists():
+        table.move("", old, "")
+    fresh.move("", table, "")
+    old.delete()
+
+
+overwrite = replace_table
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str] | None) -> None:
+    w = df.write.mode("errorifexists")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], touched: Sequence[str] = ()) -> list[str]:
+    """Replace the partition folders of ``df`` and the ``touched`` ones (relative, emptied if ``df`` has no row there).
+
+    Returns the folders replaced, a list as long as the partitions touched.
+    """
+    spark = df.sparkSession
+    new = f"{path}.__new-{uuid.uuid4().hex}"
+    _write(df, new, partition_by)
+    table, fresh, trash = Folder(spark, path), Folder(spark, new), Folder(spark, f"{path}.__out-{uuid.uuid4().hex}")
+    found = fresh.leaves()
+    for folder in sorted({*found, *touched}):
+        if table.exists(folder):
+            table.move(folder, trash, folder)
+        if folder in found:
+            fresh.move(folder, table, folder)
+    fresh.delete()
+    trash.delete()
+    return sorted({*found, *touched})
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
@@ -90,45 +144,79 @@ def increment_filter(src_col, mark, mode: str = "strict", as_date: bool = False)
     return c > lit if mode == "strict" else c >= lit
 
 
+def same(left: str, right: str, columns: Sequence[str]) -> Column:
+    """Null-safe equality of columns between two aliases."""
+    return reduce(lambda x, y: x & y, [F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in columns])
+
+
+def _folders(rows: DataFrame, path: str) -> list[str]:
+    """Relative partition folders of rows read from ``path`` (collected: one short text per partition)."""
+    root = unquote(path.rstrip("/").split("/")[-1])
+    files = rows.select(F.regexp_replace("__file", "/[^/]*$", "").alias("f")).distinct().collect()
+    return [unquote(r["f"]).rsplit(f"/{root}/", 1)[1] for r in files if f"/{root}/" in unquote(r["f"])]
+
+
 def upsert(spark: SparkSession, src: DataFrame, path: str, key: Sequence[str] | str,
            partition_by: Sequence[str] | None = None, order: Sequence | None = None,
-           full_refresh: bool = False, unique_source: bool = False) -> dict:
-    # (``src`` carries the table schema, so the target is read without inference)
-    """MERGE by key: matched target rows are replaced, the rest inserted.
-
-    The increment is first reduced to one row per key (``order`` picks it,
-    default: keep any one deterministic row), so the merge is never
-    ambiguous (``unique_source=True`` skips that shuffle for a source that a
-    model already reduced to one row per key). Rows whose key is NULL would
-    never match a MERGE and pile up; they are rejected here.
+           full_refresh: bool = False, unique_source: bool = False, null_keys: str = "set_aside",
+           fixed_partition: bool = False) -> dict:
+    """MERGE by key. Returns counts and the partition folders replaced.
+
+    ``order``: the row that comes first under it stays, of the target or of the
+    source; it must be total for a repeatable choice. Without it a matched
+    target row is replaced (``unique_source``: the source has one row per key).
+
+    ``null_keys``: ``set_aside`` moves source rows with a NULL key part to the
+    table ``<path>__null_keys`` (kept once each, counted in the result), since
+    a MERGE would never match them; ``match`` treats NULL as a value.
+
+    A key whose partition changed is found in its old partition and moved;
+    ``fixed_partition`` says that the key determines the partition, which saves
+    reading the keys of the other partitions.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    null_key = None
-    for k in keys:
-        c = F.col(k).isNull()
-        null_key = c if null_key is None else (null_key | c)
-    src_ok = src.filter(~null_key)
+    parts = list(partition_by or [])
+    result: dict = {"null_keys": 0, "partitions": []}
+    if null_keys == "set_aside":
+        missing = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
+        result["null_keys"] = _set_aside(spark, src.filter(missing), f"{path}__null_keys")
+        src = src.filter(~missing)
     if order:
-        src_ok = latest_per_key(src_ok, keys, order)
+        src = latest_per_key(src, keys, order)
     elif not unique_source:
-        src_ok = src_ok.dropDuplicates(keys)
-
-    if full_refresh or not table_exists(spark, path, src_ok.schema):
-        overwrite(src_ok, path, partition_by)
-        return {"mode": "overwrite"}
-
-    target = spark.read.schema(src_ok.schema).parquet(path)
-    src_ok = src_ok.select(*target.columns)
-    if partition_by:
-        touched = src_ok.select(*partition_by).distinct()
-        target = target.join(touched, list(partition_by), "left_semi")
-    merged = target.join(src_ok.select(*keys), keys, "left_anti").unionByName(src_ok)
-    stage = shared_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").parquet(stage)
-    staged = spark.read.schema(merged.schema).parquet(stage)
-    if partition_by:
-        # dynamic partition overwrite: only partitions present in ``staged``
-        staged.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        src = src.dropDuplicates(keys)
+
+    if full_refresh or not table_exists(spark, path, src.schema):
+        replace_table(src, path, parts)
+        return result | {"mode": "overwrite"}
+
+    target = spark.read.schema(src.schema).parquet(path).select("*", F.col("_metadata.file_path").alias("__file"))
+    touched: list[str] = []
+    if parts:
+        near = src.select(*parts)
+        if not (fixed_partition or set(parts) <= set(keys)):
+            hit = target.select(*dict.fromkeys(keys + parts), "__file").alias("t").join(
+                src.select(*keys).alias("s"), same("t", "s", keys), "left_semi")
+            touched = _folders(hit, path)
+            near = near.unionByName(hit.select(*parts))
+        target = target.alias("t").join(near.distinct().alias("p"), same("t", "p", parts), "left_semi")
+    rows = target.drop("__file").select(*src.columns)
+    if order:
+        merged = latest_per_key(rows.unionByName(src), keys, order)
+    else:
+        merged = rows.alias("t").join(src.select(*keys).alias("s"), same("t", "s", keys), "left_anti").unionByName(src)
+    if parts:
+        result["partitions"] = replace_partitions(merged, path, parts, touched)
     else:
-        staged.write.mode("overwrite").parquet(path)
-    return {"mode": "merge", "stage": stage}
+        replace_table(merged, path)
+    return result | {"mode": "merge"}
+
+
+def _set_aside(spark: SparkSession, rows: DataFrame, path: str) -> int:
+    """Keep rows whose key is NULL, each different row once (a replay adds nothing). Returns how many came."""
+    n = rows.count()
+    if n:
+        if table_exists(spark, path, rows.schema):
+            rows = spark.read.schema(rows.schema).parquet(path).unionByName(rows)
+        replace_table(rows.distinct(), path)
+    return n

@@ -4,8 +4,8 @@ A file-source stream with a checkpoint processes each new file exactly
 once; ``trigger(availableNow=True)`` turns it into a resumable batch job
 (the daily run), and ``foreachBatch`` applies the key upsert of the model
 to each micro-batch. Re-running after a crash replays only the batches the
-checkpoint did not commit, and the upsert is idempotent per key, so a
-replayed batch leaves the same table.
+checkpoint did not commit, and every sink is idempotent (ordered upserts by
+key, batch-keyed raw partitions), so a replayed batch leaves the same tables.
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histmart.operators.dedup import last_of_day, latest_per_key
+from histmart.operators.dedup import last_of_day
+from histmart.sources.files import Folder
 from histmart.sources.raw import RAW_FILE_PATTERN
-from histmart.sources.sink import table_exists, upsert
+from histmart.sources.sink import layer_path, replace_partitions, upsert
 
 
 def run_available_now(stream: DataFrame, process: Callable[[DataFrame, int], None],
@@ -45,69 +46,69 @@ def ndjson_stream(spark: SparkSession, path: str, pattern: str | None = RAW_FILE
     return lines.filter(F.length(F.trim(F.col("line"))) > 0)
 
 
-def upsert_each_batch(spark: SparkSession, target: str, transform: Callable[[DataFrame], DataFrame],
-                      key, partition_by=None, order=None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body: transform the micro-batch, then merge it by key.
-
-    For day grains the transform re-aggregates the touched (key, day) groups
-    against the target, so late rows update their day instead of being dropped.
-    """
-    def process(batch: DataFrame, batch_id: int) -> None:
-        upsert(spark, transform(batch), target, key, partition_by=partition_by, order=order)
-    return process
+def table_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+    """A Parquet table as a file stream, stored as one file or as a folder of any number of files."""
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if Folder(spark, path).is_dir():
+        return r.parquet(path)
+    folder, name = path.rsplit("/", 1)
+    return r.option("pathGlobFilter", name).parquet(folder)
 
 
 def stream_last_of_day(spark: SparkSession, source: DataFrame, target: str, keys, ts: str,
                        load: str, checkpoint: str, tie_break=None) -> None:
     """Keep the last row per (keys, day) of a stream in ``target``.
 
-    Each micro-batch is reduced to its last-of-day rows, then merged with the
-    target rows of the same (keys, day) so a later batch can replace an earlier
-    winner only when it is newer under the same order.
+    Each micro-batch is reduced to its last-of-day rows and merged by the real
+    key columns (NULL is a value) under the same total order, so the table is
+    the same for any order and grouping of the files.
     """
-    order_cols = [(load, "desc"), (ts, "desc")] + list(tie_break or [])
+    order = [(load, "desc"), (ts, "desc")] + list(tie_break or [])
 
     def process(batch: DataFrame, batch_id: int) -> None:
         cand = last_of_day(batch, keys, ts, load=load, tie_break=tie_break)
-        if table_exists(spark, target):
-            cur = spark.read.parquet(target)
-            touched = cand.select(*keys, "date").distinct()
-            cur = cur.join(touched, list(keys) + ["date"], "left_semi")
-            cand = cand.unionByName(cur.select(*cand.columns))
-        best = latest_per_key(cand, list(keys) + ["date"], order_cols)
-        best = best.withColumn("_day_key", F.concat_ws("|", *[F.col(k).cast("string") for k in keys],
-                                                        F.col("date").cast("string")))
-        upsert(spark, best, target, "_day_key", partition_by=["date"])
+        upsert(spark, cand, target, [*keys, "date"], partition_by=["date"], order=order, null_keys="match")
 
     run_available_now(source, process, checkpoint)
 
 
 def stream_windowed_latest(spark: SparkSession, source: DataFrame, target: str, keys, ts: str,
-                           payload, tie: str, checkpoint: str, delay: str = "2 days",
-                           bucket: str = "1 day") -> None:
-    """Latest row per (keys, calendar bucket) as a stateful windowed stream.
-
-    ``withWatermark`` bounds the state (rows later than ``delay`` behind the
-    newest event seen are dropped, the late-data policy of a strict mark);
-    a tumbling ``window`` gives the calendar bucket; ``max_by`` keeps the
-    newest row per group in the state store (partial aggregation per task).
-    Update mode emits only the groups a micro-batch changed, and each batch
-    is merged into ``target`` by (keys, bucket) - idempotent on replay.
+                           payload, tie: str, checkpoint: str, late: str = "merge", delay: str = "2 days",
+                           bucket: str = "1 day") -> dict:
+    """Latest row per (keys, calendar bucket) of a stream, merged into ``target``.
+
+    ``payload`` holds ``ts`` and ``tie``, the order within a bucket. Late rows:
+
+    * ``merge`` (default): each micro-batch is reduced per tumbling window (a
+      partial ``max_by`` per task) and merged in order; no row is dropped and
+      the file order does not matter.
+    * ``drop``: a watermark bounds the state of a stateful window; rows later
+      than ``delay`` behind the newest event seen are dropped, and their number
+      is returned as ``late_rows``.
     """
-    ev = source.withColumn("_event_ts", F.col(ts).cast("timestamp"))
-    latest = (ev.withWatermark("_event_ts", delay)
-              .groupBy(F.window("_event_ts", bucket).alias("w"), *keys)
-              .agg(F.max_by(F.struct(*payload), F.struct(F.col(ts), F.col(tie))).alias("row")))
-    out = latest.select(*keys, F.col("w.start").cast("date").alias("date"), "row.*")
-    key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.col("date").cast("string"))
+    if late not in ("merge", "drop"):
+        raise ValueError("late must be 'merge' or 'drop'")
+    order = [(ts, "desc"), (tie, "desc")]
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        upsert(spark, batch.withColumn("_bucket_key", key), target, "_bucket_key",
-               partition_by=["date"], unique_source=True)
+    def latest(ev: DataFrame) -> DataFrame:
+        rows = ev.groupBy(F.window("_event_ts", bucket).alias("w"), *keys).agg(
+            F.max_by(F.struct(*payload), F.struct(F.col(ts), F.col(tie))).alias("row"))
+        return rows.select(*keys, F.col("w.start").cast("date").alias("date"), "row.*")
 
-    q = (out.writeStream.outputMode("update").foreachBatch(process)
+    def merge(rows: DataFrame) -> None:
+        upsert(spark, rows, target, [*keys, "date"], partition_by=["date"], order=order, null_keys="match")
+
+    ev = source.withColumn("_event_ts", F.col(ts).cast("timestamp"))
+    if late == "merge":
+        run_available_now(ev, lambda batch, batch_id: merge(latest(batch)), checkpoint)
+        return {"late_rows": 0}
+    q = (latest(ev.withWatermark("_event_ts", delay)).writeStream.outputMode("update")
+         .foreachBatch(lambda batch, batch_id: merge(batch))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    return {"late_rows": sum(s.numRowsDroppedByWatermark for p in q.recentProgress for s in p.stateOperators)}
 
 
 def stream_pipeline(spark: SparkSession, landing: str, root: str, checkpoint: str,
@@ -115,21 +116,34 @@ def stream_pipeline(spark: SparkSession, landing: str, root: str, checkpoint: st
                     max_files_per_trigger: int | None = None) -> list[dict]:
     """The daily run driven by the raw file stream: each new file is loaded once.
 
-    Every micro-batch of new NDJSON lines is parsed (bad lines kept aside
-    under STG_BAD/raw_bad_lines) and published with ``run_pipeline``; the
-    stream checkpoint makes a re-run after a failure resume at the first
-    uncommitted batch, and the key merges make a replayed batch harmless.
+    Every micro-batch of new NDJSON lines is landed in RAW/raw_lines (a
+    partition per batch, replaced when the batch is replayed), parsed from
+    there (bad lines kept once each, with their number, under
+    STG_BAD/raw_bad_lines) and published with ``run_pipeline``. The stream
+    checkpoint makes a rerun after a failure resume at the first uncommitted
+    batch; a replayed batch leaves every table unchanged.
     """
     from histmart.plans.pipeline import run_pipeline
     from histmart.sources.raw import _load_date, parse_raw
-    from histmart.sources.sink import append, layer_path
     runs: list[dict] = []
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        lines = batch.withColumn("ingest_dt", _load_date(load_date))
+        lines = land_raw(batch.withColumn("ingest_dt", _load_date(load_date)), root, f"{batch_id:012d}")
         good, bad = parse_raw(lines)
-        append(bad, layer_path(root, "stg_bad", "raw_bad_lines"))
+        bad = bad.groupBy(*bad.columns).agg(F.count(F.lit(1)).alias("n_lines"))
+        upsert(spark, bad, layer_path(root, "stg_bad", "raw_bad_lines"), "bad_row_id", unique_source=True)
         runs.append(run_pipeline(spark, good, root, run_id=f"batch-{batch_id}"))
 
     run_available_now(ndjson_stream(spark, landing, pattern, max_files_per_trigger), process, checkpoint)
     return runs
+
+
+def land_raw(lines: DataFrame, root: str, batch: str) -> DataFrame:
+    """Write a batch of raw lines to its partition of RAW/raw_lines and read it back.
+
+    A replay replaces the partition; a backfill reparses the table instead of the source files.
+    """
+    spark, path = lines.sparkSession, layer_path(root, "raw", "raw_lines")
+    replace_partitions(lines.withColumn("batch", F.lit(batch)), path, ["batch"])
+    schema = lines.withColumn("batch", F.lit(batch)).schema
+    return spark.read.schema(schema).parquet(path).filter(F.col("batch") == batch).drop("batch")

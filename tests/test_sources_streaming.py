@@ -84,12 +84,12 @@ def test_upsert_replaces_matches_and_rejects_null_keys(spark):
     s1 = spark.createDataFrame([(1, "a", dt.date(2024, 1, 1)), (2, "b", dt.date(2024, 1, 2))],
                                "k int, v string, d date")
     upsert(spark, s1, path, "k", partition_by=["d"])
-    s2 = spark.createDataFrame([(2, "B", dt.date(2024, 1, 2)), (3, "c", dt.date(2024, 1, 2)),
+    s2 = spark.createDataFrame([(2, "b2", dt.date(2024, 1, 2)), (3, "c", dt.date(2024, 1, 2)),
                                 (None, "x", dt.date(2024, 1, 2)), (3, "c2", dt.date(2024, 1, 2))],
                                "k int, v string, d date")
     upsert(spark, s2, path, "k", partition_by=["d"], order=[("v", "desc")])
     got = sorted((r.k, r.v) for r in spark.read.parquet(path).collect())
-    assert got == [(1, "a"), (2, "B"), (3, "c2")]
+    assert got == [(1, "a"), (2, "b2"), (3, "c2")]
 
 
 def test_stream_pipeline_publishes_new_files_once(spark, tmp_dir):
