@@ -12,16 +12,20 @@ more; classes are the connected components of the links.
 * Pruning: a candidate pair's MinHash values are compared ``STEP`` at a time;
   after each step the pair is dropped when the posterior probability (uniform
   prior) that its similarity reaches the threshold is below ``TOLERANCE``.
-* Each node's likeliest surviving pair is verified on the exact shingle sets,
-  and the verified links give first components. A bucket whose members then
-  lie in several components is finished: each member outside the bucket's
-  largest component meets every member of other components (linear in the
-  bucket for a family with few outsiders), pruned and verified alike. Members
-  of one component need no further pair, so no link between classes is lost.
+* The pairs alive join nodes into groups, a little wider than classes. Two
+  similar nodes share about ten buckets and lie in one group unless, in all of
+  them, one of the two is unlike the pivot.
+* Groups are verified whole on exact shingle sets: sets of up to ``BLOCK``
+  nodes meet in one task, where a product of incidence matrices gives all
+  their intersections; only links that join two components leave the task. A
+  larger group first verifies each node's likeliest pair; then blocks of the
+  nodes outside its largest component meet all its blocks, one task a pair of
+  blocks. Members of one component need no further pair, so no link between
+  classes is lost and no list of all pairs is ever written.
 
 ``n_links`` counts the other documents of equal shingle set and the verified
-links of the set. Joins on hot keys are split by adaptive execution; bucket
-pivots are pre-aggregated before the shuffle.
+links kept for the set (a spanning forest of its class). Joins on hot keys are
+split by adaptive execution; bucket pivots are pre-aggregated.
 
 Defined cases: NULL and wordless texts are linked to nothing; repeated rows
 are documents of their own; the representative of a class is its row of least
@@ -39,7 +43,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histmart.llm.common import prepare, stage
+from histmart.llm.common import prepare, stage, trimmed, trimmed_group
 from histmart.llm.graph import components
 from histmart.llm.shingles import MinHasher, WordHasher, shingle_set
 
@@ -48,6 +52,8 @@ SIMILAR = (4, 5)  # the threshold as a fraction
 BANDS, ROWS = 25, 4
 STEP = 20
 TOLERANCE = 1e-6
+BLOCK = 256
+CELL_ROWS = 512  # nodes of small groups that share a task
 ADDED = ("class_id", "n_links", "representative")
 
 
@@ -89,7 +95,7 @@ def signed(docs: DataFrame, text: str = "text") -> DataFrame:
                 [b.column(f.name) for f in fields] + [rows, pa.array(n, pa.int32()), pa.array(ids, pa.binary()), pa.array(sigs, pa.binary())],
                 [f.name for f in fields] + ["_llm_row", "_llm_n", "_llm_set", "_llm_sig"])
 
-    return docs.mapInArrow(run, f"{schema}, _llm_row long, _llm_n int, _llm_set binary, _llm_sig binary")
+    return docs.mapInArrow(trimmed(run), f"{schema}, _llm_row long, _llm_n int, _llm_set binary, _llm_sig binary")
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -99,13 +105,13 @@ def _bands(nodes: DataFrame) -> DataFrame:
         i, F.substr("sig", i * width + 1, F.lit(width))))).alias("key"))
 
 
-def _pruned(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _pruned(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """Pairs (a, b) that can reach the threshold: first by size, then by comparing MinHash values step by step."""
     num, den = SIMILAR
     steps = list(range(STEP, BANDS * ROWS + 1, STEP))
     least = [least_matches(num / den, s) for s in steps]
-    joined = (pairs.join(nodes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "a")
-              .join(nodes.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "b")
+    end = lambda x: rows.select(F.col("_llm_row").alias(x), F.col("_llm_n").alias(f"n_{x}"), F.col("_llm_sig").alias(f"sig_{x}"))
+    joined = (pairs.join(end("a"), "a").join(end("b"), "b")
               .filter(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num))
 
     def run(batches) -> Iterator:
@@ -123,14 +129,84 @@ def _pruned(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a").take(index), batch.column("b").take(index),
                                               pa.array(matches[left], pa.int32())], ["a", "b", "matches"])
 
-    return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary, matches int")
+    return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(trimmed(run), "a long, b long, matches int")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose exact shingle sets reach the threshold."""
+def linked(sets: list[np.ndarray], parts: list, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links between ``left`` and ``right`` (indexes into ``sets``) that join different parts, a forest over them.
+
+    Intersections of all sets come from products of 0/1 incidence matrices, a few thousand shingles at a time.
+    """
+    num, den = SIMILAR
+    size = np.array([len(x) for x in sets])
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    start = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    count = np.diff(np.concatenate((start, [len(values)])))
+    column = np.repeat(np.cumsum(count > 1) - 1, count)
+    shared = np.repeat(count > 1, count)
+    column, owner = column[shared], owner[shared]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        inside = (column >= at) & (column < at + 4096)
+        x = np.zeros((len(sets), 4096), dtype=np.float32)
+        x[owner[inside], column[inside] - at] = 1
+        both += x @ x.T
+    near = both * den >= (size[:, None] + size[None, :] - both) * num
+    parent = {p: p for p in parts}
+
+    def root(p):
+        while parent[p] != p:
+            parent[p] = p = parent[parent[p]]
+        return p
+
+    out = []
+    member = np.zeros(len(sets), dtype=bool)
+    member[right] = True
+    for i in left:
+        for j in np.flatnonzero(near[i] & member):
+            if i != j and (a := root(parts[i])) != (b := root(parts[j])):
+                parent[a] = b
+                out.append((int(i), int(j)))
+    return out
+
+
+def _met(cells: DataFrame) -> DataFrame:
+    """Links (a, b) found in cells: rows (cell, meeting, side, id, part, text); in a meeting, side 0 (all its
+    pairs) or sides 0 and 1 (pairs across) are compared."""
+
+    def run(table):
+        import pyarrow as pa
+
+        hasher = WordHasher()
+        meeting, side, ids, part = (table.column(c).to_pylist() for c in ("meeting", "side", "id", "part"))
+        text = table.column("text")
+        groups: dict = {}  # meetings of the cell, each of at most two blocks
+        for i, m in enumerate(meeting):
+            groups.setdefault(m, []).append(i)
+        a, b = [], []
+        for rows in groups.values():
+            sets = [shingle_set(hasher(text[i].as_py()), SHINGLE) for i in rows]
+            sides = np.array([side[i] for i in rows])
+            left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+            for i, j in linked(sets, [part[k] for k in rows], left, right if len(right) else left):
+                a.append(ids[rows[i]])
+                b.append(ids[rows[j]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return cells.groupBy("cell").applyInArrow(trimmed_group(run), "a long, b long")
+
+
+def _best_links(alive: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified links among each node's likeliest pair."""
+    ends = alive.select("a", "b", "matches").unionByName(alive.select(F.col("b").alias("a"), F.col("a").alias("b"), "matches"))
+    best = ends.groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     num, den = SIMILAR
-    joined = (pairs.select("a", "b").join(nodes.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-              .join(nodes.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
+    joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(
+        texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
 
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -138,50 +214,61 @@ def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         hasher = WordHasher()
         for batch in batches:
             keep = []
-            last, known = None, None
-            for t, u in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-                if u != last:  # rows of one pivot come together
-                    last, known = u, shingle_set(hasher(u), SHINGLE)
-                x = shingle_set(hasher(t), SHINGLE)
-                both = len(np.intersect1d(x, known, assume_unique=True))
-                keep.append(both * den >= (len(x) + len(known) - both) * num)
+            for t, u in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                x, y = shingle_set(hasher(t), SHINGLE), shingle_set(hasher(u), SHINGLE)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both * den >= (len(x) + len(y) - both) * num)
             index = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays([batch.column("a").take(index), batch.column("b").take(index)], ["a", "b"])
 
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
-
+    return joined.select("a", "b", "x", "y").mapInArrow(trimmed(run), "a long, b long")
 
-def _unordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-
-def links(nodes: DataFrame) -> DataFrame:
-    """Verified links (a, b) between nodes (id, n, sig, text) that connect every class."""
+def links(rows: DataFrame, heads: DataFrame, text: str = "text") -> DataFrame:
+    """Verified links (a, b) between the head rows (``heads``: id = _llm_row of one row per shingle set)
+    that connect every class."""
+    nodes = rows.select(F.col("_llm_row").alias("id"), F.col("_llm_sig").alias("sig")).join(heads.select("id"), "id")
     bands = stage(_bands(nodes), "near-bands")
     # the pivot of a bucket: its node of least hash with the bucket's key, another one in each band
-    buckets = stage(bands.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(
-        F.struct(F.xxhash64("key", "id").alias("draw"), "id")).alias("pivot")).filter("members > 1")
-        .select("key", F.col("pivot.id").alias("pivot")), "near-buckets")
-    shared = stage(bands.join(buckets, "key"), "near-members")  # members of buckets of two or more
-    pairs = _unordered(shared.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")))
-    alive = stage(_pruned(pairs, nodes), "near-alive")
-    ends = alive.select("a", "b", "matches").unionByName(
-        alive.select(F.col("b").alias("a"), F.col("a").alias("b"), "matches"))
-    best = ends.groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    first = stage(_verified(_unordered(best), nodes), "near-links")
-
-    # finish the buckets whose members lie in several components
-    part = components(first)
-    placed = shared.select("key", "id").join(part, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component"))
-    sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("members"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("members", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
-    split = stage(placed.join(main.filter("parts > 1").select("key", F.col("main.component").alias("main")), "key"), "near-split")
-    outside = split.filter("component <> main").select("key", F.col("id").alias("a"), F.col("component").alias("part_a"))
-    across = outside.join(split.select("key", F.col("id").alias("b"), F.col("component").alias("part_b")), "key").filter(
-        "part_a <> part_b").select("a", "b")
-    second = _verified(_pruned(_unordered(across), nodes), nodes)
-    return stage(first.unionByName(second), "near-links")
+    buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min_by("id", F.xxhash64("key", "id")).alias("pivot"))
+    buckets = stage(buckets.filter("members > 1").select("key", "pivot"), "near-buckets")
+    met = bands.join(buckets, "key").filter("id <> pivot")
+    pairs = met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    alive = stage(_pruned(pairs, rows), "near-alive")
+
+    groups = components(alive).withColumnRenamed("component", "group")
+    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+    # the texts of grouped nodes, once
+    placed = stage(rows.select(F.col("_llm_row").alias("id"), F.col(text).cast("string").alias("text"))
+                   .join(groups.join(sizes, "group"), "id"), "near-groups")
+    small = placed.filter(F.col("size") <= BLOCK)
+    total = small.count()
+    found = _met(small.select(
+        F.pmod(F.xxhash64("group"), F.lit(max(1, -(-total // CELL_ROWS)))).alias("cell"), F.col("group").alias("meeting"),
+        F.lit(0).alias("side"), "id", F.col("id").alias("part"), "text"))
+    found = stage(found, "near-links")
+
+    large = placed.filter(F.col("size") > BLOCK)
+    if large.isEmpty():
+        return found
+    first = stage(_best_links(alive.join(large.select(F.col("id").alias("a")), "a"), large), "near-links")
+    parts = components(first)
+    large = large.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id"))
+    per = large.groupBy("group", "part").agg(F.count(F.lit(1)).alias("n"))
+    main = per.groupBy("group").agg(F.max(F.struct("n", "part")).alias("main"), F.sum("n").alias("all")).select(
+        "group", F.col("main.part").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("all") - F.col("main.n")) / BLOCK).cast("int").alias("outer"))
+    large = stage(large.join(main, "group").filter("outer > 0").select("group", "id", "part", "main", "blocks", "outer", "text"), "near-large")
+    draw = F.xxhash64("id")
+    meeting = F.xxhash64("group", "i", "j")
+    # side 0: a block of outside nodes, sent to every block; side 1: a block of all nodes, sent to every outer block
+    outside = large.filter("part <> main").withColumn("i", F.pmod(draw, F.col("outer")).cast("int")).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(0))
+    everyone = large.withColumn("j", F.pmod(draw, F.col("blocks")).cast("int")).withColumn(
+        "i", F.explode(F.sequence(F.lit(0), F.col("outer") - 1))).withColumn("side", F.lit(1))
+    cells = outside.unionByName(everyone).select(meeting.alias("cell"), meeting.alias("meeting"), "side", "id", "part", "text")
+    every = found.unionByName(first).unionByName(_met(cells))  # two blocks may find one link from either side
+    return stage(every.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-links")
 
 
 def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -190,22 +277,18 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     keep = [c for c in docs.columns if c not in ADDED]
     rows = stage(signed(docs.select(*[F.col(f"`{c}`") for c in keep]), text), "near-signed")
     named = rows.filter(F.col("_llm_set").isNotNull())
-    copies = named.groupBy(F.col("_llm_set").alias("id")).agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col(key).alias("key"), F.col("_llm_row").alias("row"))).alias("first"))
-    copies = stage(copies, "near-copies")
-    # one row per shingle set: the text of its first row
-    nodes = stage(named.join(copies.select(F.col("first.row").alias("_llm_row")), "_llm_row").select(
-        F.col("_llm_set").alias("id"), F.col("_llm_n").alias("n"), F.col("_llm_sig").alias("sig"), F.col(text).alias("text")),
-        "near-nodes")
-    found = links(nodes)
-    part = components(found)
+    head = F.min(F.struct(F.col(key).alias("key"), F.col("_llm_row").alias("row")))
+    # one row per shingle set: its copies, and the row that stands for it
+    heads = stage(named.groupBy("_llm_set").agg(F.count(F.lit(1)).alias("copies"), head.alias("head"))
+                  .withColumn("id", F.col("head.row")), "near-heads")
+    found = links(rows, heads, text)
     degree = found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).groupBy("id").agg(
         F.count(F.lit(1)).alias("degree"))
-    placed = (copies.join(part, "id", "left").join(degree, "id", "left")
+    placed = (heads.join(components(found), "id", "left").join(degree, "id", "left")
               .withColumn("component", F.coalesce("component", "id")))
-    first = placed.groupBy("component").agg(F.min("first").alias("head"))
+    first = placed.groupBy("component").agg(F.min("head").alias("first"))
     classes = stage(placed.join(first, "component").select(
-        F.col("id").alias("_llm_set"), F.col("head"), (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links")), "near-classes")
+        "_llm_set", F.col("first").alias("head"), (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links")), "near-classes")
     return rows.join(classes, "_llm_set", "left").select(
         *[F.col(f"`{c}`") for c in keep],
         F.when(F.col("head").isNull(), F.col(key)).otherwise(F.col("head.key")).alias("class_id"),

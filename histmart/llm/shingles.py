@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 100_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # Fixed value: 2^64 / golden ratio, odd.
 
 

@@ -141,7 +141,9 @@ def family_texts():
     return texts
 
 
-def test_classes_equal_brute_force(spark):
+@pytest.mark.parametrize("block", [nearjoin.BLOCK, 4])
+def test_classes_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(nearjoin, "BLOCK", block)  # 4: every family is verified block by block
     texts = family_texts()
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
     group, near = brute_classes(texts)
@@ -166,6 +168,30 @@ def test_large_family_makes_few_pairs(spark):
     assert {x["doc_id"]: x["class_id"] for x in out} == group and sum(x["n_links"] for x in out) < 20 * len(out)
 
 
+@pytest.mark.parametrize("seed", range(15))
+def test_linked_is_a_forest_over_all_links(seed):
+    r = np.random.default_rng(seed)
+    base = r.integers(0, 1 << 62, 60).astype(np.uint64)
+    sets = []
+    for _ in range(int(r.integers(2, 25))):
+        s = base.copy()
+        s[r.integers(0, 60, int(r.integers(0, 9)))] = r.integers(0, 1 << 62)
+        sets.append(np.unique(s))
+    everyone = np.arange(len(sets))
+    near = {(i, j) for i in everyone for j in everyone if i < j
+            and 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))}
+    found = nearjoin.linked(sets, list(range(len(sets))), everyone, everyone)
+    assert all((min(e), max(e)) in near for e in found)
+
+    def classes(edges):
+        group = {int(i): int(i) for i in everyone}
+        for a, b in edges:
+            low, high = sorted((group[a], group[b]))
+            group = {k: low if g == high else g for k, g in group.items()}
+        return group
+    assert classes(found) == classes(near) and len(found) == len(sets) - len(set(classes(near).values()))
+
+
 def test_near_edges(edge, none):
     out = nearjoin.classify(edge)
     assert out.count() == edge.count() and set(out.columns) == set(edge.columns)
