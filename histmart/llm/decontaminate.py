@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histmart.llm.common import prepare
+from histmart.llm.common import prepare, trimmed
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000
@@ -270,7 +270,7 @@ def _pass(docs: DataFrame, items: list[tuple[int, str]], text: str, window: int)
         if held:
             yield from flush(held)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histmart.llm.common import prepare, text_or_empty
+from histmart.llm.common import prepare, text_or_empty, trimmed
 
 CAPACITY = 2048
 END_ID = 1
@@ -157,7 +157,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: st
         if rest:
             yield batch(rest)
 
-    out = rows.mapInArrow(run, f"key {kind.simpleString()}, {PIECE_SCHEMA}")
+    out = rows.mapInArrow(trimmed(run), f"key {kind.simpleString()}, {PIECE_SCHEMA}")
     return out.withColumnRenamed("key", key)
 
 
