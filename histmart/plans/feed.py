@@ -147,3 +147,14 @@ def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp").alias("_airbyte_extracted_at"),
         *data,
         F.col("l_shipdate").cast("date").alias("ingest_dt"))
+
+
+def odd_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with what quarantines look for: no product id on seventh line items, no offer id at zero tax,
+    empty offer text on sixth line items."""
+    feed = product_feed(spark, sf_dir)
+    line = F.substring_index("_airbyte_raw_id", "-", -1)
+    offer = F.col("offers")[0]
+    offer = offer.withField("offerId", F.when(offer["shipping"] != 0, offer["offerId"])).withField(
+        "offerCSV", F.when(line == "6", F.lit("")).otherwise(offer["offerCSV"]))
+    return feed.withColumn("offers", F.array(offer)).withColumn("asin", F.when(line != "7", F.col("asin")))

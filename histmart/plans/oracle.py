@@ -170,6 +170,13 @@ def oracle_queries() -> dict[str, str]:
     q["load_lineage"] = ("SELECT DATE '2024-02-01' AS ingest_dt, count(*) AS n_rows, count(*) AS n_named, count(*) AS n_paths, "
                          "count(*) AS n_dated FROM events")
     q["json_array_load"] = "SELECT c_custkey, c_name, c_nationkey FROM customer"
+    bad = " UNION ALL ".join(f"SELECT count(*) > 0 AS f FROM ({sql})" for sql in _CHECK_FAILURES.values())
+    q["run_monitoring_row"] = (
+        f"SELECT 'histmart_daily' AS dag_id, 'run-1' AS run_id, CASE WHEN bool_or(f) THEN 'success_with_warnings' ELSE 'success' END "
+        f"AS status, CAST(count(*) FILTER (NOT f) AS INTEGER) AS tests_passed, CAST(count(*) FILTER (f) AS INTEGER) AS tests_failed, "
+        f"(SELECT count(*) FROM lineitem) AS rows_loaded_raw FROM ({bad})")
+    q["view_materialised"] = "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0"
+    q["empty_text_filter"] = "SELECT event_id, event_type AS t FROM events WHERE event_type <> 'error'"
     q["stored_failures"] = "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0"
     q["append_boundary"] = (
         "WITH l1 AS (SELECT event_id, ts, value, DATE '2024-01-20' AS ingest_ts FROM events "

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from histmart.plans import standins as s
-from histmart.plans.feed import product_feed
+from histmart.plans.feed import odd_feed, product_feed
 from histmart.plans.feed_oracle import FINAL as FEED_MODELS, feed_oracles
 from histmart.plans.models import build_models, quarantine_models
 from histmart.plans.oracle import oracle_queries
@@ -60,6 +60,9 @@ def standin_queries() -> dict[str, Query]:
         "load_lineage": s.load_lineage,
         "json_array_load": s.json_array_load,
         "stored_failures": s.stored_failures,
+        "run_monitoring_row": s.run_monitoring_row,
+        "view_materialised": s.view_materialised,
+        "empty_text_filter": s.empty_text_filter,
         "quarantine_split": s.quarantine_split,
         "quarantine_good": s.quarantine_good,
         "quarantine_union": s.quarantine_union_query,
@@ -102,8 +105,17 @@ def model_query(model: str) -> Query:
     return run
 
 
+def quarantine_rollup_odd_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-up over a feed in which the price, offer and A+ rules find rows."""
+    base = product_base(odd_feed(spark, sf_dir)).select(
+        "asin", "ingest_ts", "_airbyte_raw_id", "csv_v", "csv_text_values", "offers_v", "aplus_v")
+    path = shared_path(spark, "base-odd-feed")
+    base.write.parquet(path)
+    return quarantine_models(spark.read.schema(base.schema).parquet(path))
+
+
 def model_queries() -> dict[str, Query]:
-    return {name: model_query(name) for name in MODEL_KEYS}
+    return {**{name: model_query(name) for name in MODEL_KEYS}, "quarantine_rollup_odd_feed": quarantine_rollup_odd_feed}
 
 
 def all_queries() -> dict[str, Query]:

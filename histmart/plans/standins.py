@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histmart.functions import (
-    in_price_band, json_path, json_text, minutes_to_ts, month_start, sentinel_flag, sentinel_to_null,
+    in_price_band, json_path, json_text, minutes_to_ts, month_start, nullif_empty, sentinel_flag, sentinel_to_null,
     surrogate_key, try_number, ts_text, ts_to_minutes, variant_path,
 )
 from histmart.operators import (
@@ -24,7 +24,7 @@ from histmart.operators.quality import (
 )
 from histmart.session import shared_path
 from histmart.sources import (
-    append, high_water, increment_filter, layer_path, load_status, read_json_array, read_ndjson, table, upsert,
+    append, create_view, high_water, increment_filter, layer_path, load_status, read_json_array, read_ndjson, table, upsert,
 )
 
 # Fixed parameters of the stand-ins.
@@ -533,6 +533,32 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_summary(spark, _checks(spark, sf_dir))
 
 
+def run_monitoring_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monitoring row of a run (S18), logged twice under one run id and kept once."""
+    from histmart.plans.pipeline import MONITORING_TABLE, log_run
+    summary = check_summary(spark, _checks(spark, sf_dir)).collect()  # one row per check
+    failed = sum(r["failures"] > 0 for r in summary)
+    root = shared_path(spark, "monitoring")
+    for _ in range(2):
+        log_run(spark, root, {"run_id": "run-1", "status": "success_with_warnings" if failed else "success", "models_run": 0,
+                              "tests_passed": len(summary) - failed, "tests_failed": failed,
+                              "rows_loaded": _t(spark, sf_dir, "lineitem").count()})
+    return spark.read.parquet(layer_path(root, "monitoring", MONITORING_TABLE)).select(
+        "dag_id", "run_id", "status", "tests_passed", "tests_failed", "rows_loaded_raw")
+
+
+def view_materialised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model published as a view (S11): read by name, nothing written."""
+    create_view(_t(spark, sf_dir, "customer").filter("c_acctbal < 0").select("c_custkey", "c_acctbal"), "negative_balances")
+    return spark.table("negative_balances")
+
+
+def empty_text_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose text is neither NULL nor empty (P9); errors have an empty type here."""
+    ev = _t(spark, sf_dir, "events").select("event_id", F.when(F.col("event_type") == "error", "").otherwise(F.col("event_type")).alias("t"))
+    return ev.filter(nullif_empty("t").isNotNull())
+
+
 # ---- T1, T3, T4: the last-of-day table maintained by a stream -------------------------------
 
 def stream_last_of_day_query(spark: SparkSession, sf_dir: str) -> DataFrame:
