@@ -18,7 +18,7 @@ def edge_rows():
         (8, prose(3, 30_000), "en", "s2"), (9, "one two three", "en", "s1"), (None, None, None, None),
         (10, "x" * 50_000, "en", "s1"), (11, "é中 \U0001f600 " + prose(4, 80), "de", "s2"),
     ]
-    return [(*r, None if r[1] is None else len(r[1]), *clash[:1], clash[1], *clash[2:]) for r in rows]
+    return [(*r, None if r[1] is None else len(r[1]), *clash) for r in rows]
 
 
 @pytest.fixture()

@@ -9,11 +9,10 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from histmart.llm import decontaminate, hmm, nearjoin, packing, pii, quality, queries
+from histmart.llm import decontaminate, hmm, nearjoin, packing, pii, quality
 from llm_helpers import prose
 
 
@@ -304,7 +303,7 @@ def test_pipeline_equals_brute_force(spark, tiny_docs):
     texts = {r["doc_id"]: r["text"] for r in tiny_docs.collect() if r["doc_id"] in kept}
     sets = {}
     for k, t in texts.items():
-        w = t.split(" ") if False else t.encode().split()
+        w = t.encode().split()
         sets[k] = {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
     group = {k: k for k in sets}
     for a in sorted(sets):
@@ -324,16 +323,23 @@ def test_pipeline_equals_brute_force(spark, tiny_docs):
     check_pieces(rows, texts)
 
 
-def test_pipeline_stages(spark, edge, none):
+def test_pipeline_stages_on_edge_rows(spark, edge, none):
+    replaced = {"quality", "pii", "contamination", "class_id", "n_links", "representative"}  # names the operators use
     docs = edge
-    for name, fn in corpus_pipeline.STAGES[:-1]:
+    for _, fn in corpus_pipeline.STAGES[:-1]:
         docs = fn(spark, docs, "/root/testdata/sf0.001")
-        assert set(docs.columns) - {"quality", "pii", "contamination", "class_id", "n_links", "representative"} == set(edge.columns) - {
-            "quality", "pii", "contamination", "class_id", "n_links", "representative"}
-    assert docs.count() > 0
-    for name, fn in corpus_pipeline.STAGES:
+        assert set(docs.columns) >= set(edge.columns) - replaced
+    assert docs.count() > 0 and corpus_pipeline.STAGES[-1][1](spark, docs, "").count() > 0
+    for _, fn in corpus_pipeline.STAGES:
         assert fn(spark, none, "/root/testdata/sf0.001").count() == 0
-    assert [n for n, _ in corpus_pipeline.STAGES] and set(queries.QUERIES) >= {"op2_harmonic_packing"}
+
+
+def test_pipeline_keeps_the_columns(spark, tiny_docs):
+    docs = tiny_docs
+    for _, fn in corpus_pipeline.STAGES[:-1]:
+        docs = fn(spark, docs, "/root/testdata/sf0.001")
+        assert docs.columns == tiny_docs.columns and docs.dtypes == tiny_docs.dtypes
+    assert docs.filter("n_chars <> length(text)").count() == 0
 
 
 def test_near_duplicates_stage_keeps_one(spark):
@@ -341,7 +347,3 @@ def test_near_duplicates_stage_keeps_one(spark):
     docs = spark.createDataFrame([(5, a), (3, a), (3, a), (9, a + " tail"), (4, prose(12, 100)), (None, None)], "doc_id long, text string")
     left = nearjoin.keep_one(docs)
     assert Counter(r["doc_id"] for r in left.collect()) == Counter([3, 4, None])
-
-
-def test_measures_of_pipeline_are_whole(tiny_docs):
-    assert tiny_docs.agg(F.count("*")).first()[0] == 200
