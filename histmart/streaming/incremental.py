@@ -79,7 +79,8 @@ def stream_windowed_latest(spark: SparkSession, source: DataFrame, target: str,
                            bucket: str = "1 day") -> dict:
     """Latest row per (keys, calendar bucket) of a stream, merged into ``target``.
 
-    ``payload`` holds ``ts`` and ``tie``, the order within a bucket. Late rows:
+    ``payload`` holds ``ts`` and ``tie``, the order within a bucket; rows without
+    an event time belong to no bucket. Late rows:
 
     * ``merge`` (default): each micro-batch is reduced per tumbling window (a
       partial ``max_by`` per task) and merged in order; no row is dropped and
