@@ -28,6 +28,7 @@ from histmart.llm.common import prepare, stage, text_or_empty
 SHARDS = 8
 SEED = 20_231
 BUCKET_BYTES = 16 << 20
+MAX_BROADCAST_BUCKETS = 200_000
 
 
 def row_bytes(text: str = "text"):
@@ -35,30 +36,33 @@ def row_bytes(text: str = "text"):
 
 
 def shuffled_buckets(df: DataFrame, text: str = "text", seed: int = SEED,
-                     bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Both passes: columns ``bucket``, ``place`` (in the bucket) and ``row``, written as a staged table."""
+                     bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, int]:
+    """Both passes: columns ``bucket``, ``place`` (in the bucket) and ``row``, written as a staged table; and
+    the number of buckets."""
     prepare(df.sparkSession)
     total = df.agg(F.sum(row_bytes(text))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     number = F.monotonically_increasing_id()
     scattered = (df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), number.alias("number"))
                  .withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "number"), F.lit(buckets)).cast("int"))
-                 .repartition(buckets, "bucket"))
+                 .repartitionById(buckets, "bucket"))  # one bucket per task
     ordered = scattered.groupBy("bucket").agg(F.sort_array(F.collect_list(
         F.struct(F.xxhash64(F.lit(seed + 1), "number").alias("draw"), "number", "row"))).alias("rows"))
     permuted = ordered.select("bucket", F.posexplode(F.shuffle("rows", F.lit(seed + 2))).alias("place", "item"))
-    return stage(permuted.select("bucket", "place", F.col("item.row").alias("row")), "shuffle-buckets")
+    return stage(permuted.select("bucket", "place", F.col("item.row").alias("row")), "shuffle-buckets"), buckets
 
 
 def external_shuffle(df: DataFrame, n_shards: int = SHARDS, text: str = "text", seed: int = SEED,
                      bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Input columns plus ``shard`` (int) and ``slot`` (long, gapless from 0 in the shard)."""
-    placed = shuffled_buckets(df, text, seed, bucket_bytes)
+    placed, buckets = shuffled_buckets(df, text, seed, bucket_bytes)
     counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     # one number per bucket of bucket_bytes: bytes / bucket_bytes rows in this window
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"),
                            F.sum("n").over(Window.partitionBy(F.lit(1))).alias("total"))
+    if buckets <= MAX_BROADCAST_BUCKETS:
+        starts = F.broadcast(starts)  # one short row per bucket, else the rows would be shuffled again
     j = placed.join(starts, "bucket").select(
         "row", (F.col("start") + F.col("place")).alias("at"), "total")
     shard = F.expr(f"at * {n_shards}L div total")
