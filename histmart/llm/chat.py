@@ -74,8 +74,9 @@ def op10_query(conversations: DataFrame) -> DataFrame:
     spark = conversations.sparkSession
     said = "</s>[INST] ok [/INST]"
     types = dict(conversations.dtypes)
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
-                                  "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(
+        F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"))
     extra = extra.select(*[F.col(c).cast(types[c]).alias(c) for c in extra.columns])
     ex = expand(conversations.select(*extra.columns).unionByName(extra))
     back = F.when(F.col("closing"), turns_of(F.col("formatted")))
