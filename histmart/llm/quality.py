@@ -162,7 +162,8 @@ def judge(docs: DataFrame, text: str = "text", min_rows: int = MIN_ROWS, reach:
     return j.withColumn("quality", F.struct(
         *[F.col(f"_llm_{k}").alias(k) for k in MEASURES],
         *[v.alias(k) for k, v in r.items()], F.col("_llm_fences").alias("fences"),
-        base_failed.alias("base_failed"), (~base_failed & within).alias("kept"))
+        # one CASE over both sides: as a conjunction, a filter on it would be split and the measures computed twice
+        base_failed.alias("base_failed"), F.when(base_failed, False).otherwise(within).alias("kept"))
     ).select(*[c for c in docs.columns if c != "quality"], "quality")
 
 
