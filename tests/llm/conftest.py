@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from llm_helpers import prose
+from llm.llm_helpers import prose
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda mu nu xi omicron pi rho sigma tau upsilon".split()
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, quality string, pii int, contamination int, "

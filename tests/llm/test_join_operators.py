@@ -10,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 
 from histmart.llm import graph, nearjoin, passages, urlgraph
 from histmart.llm.shingles import MinHasher
-from llm_helpers import prose
+from llm.llm_helpers import prose
 
 
 # --- 4: URL trust ---

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from histmart.llm import decontaminate, hmm, nearjoin, packing, pii, quality
-from llm_helpers import prose
+from llm.llm_helpers import prose
 
 
 # --- 2: packing ---
