@@ -7,14 +7,16 @@ more; classes are the connected components of the links.
 * Documents of equal shingle sets form one node, so copies cost one row each.
 * Candidates share all MinHash values of one of ``BANDS`` bands of ``ROWS``
   values: a pair at the threshold is missed with probability 2e-6. No bucket
-  is expanded into its pairs: each member meets the bucket's pivot, a node
-  drawn anew in each band, so a family of near copies meets many pivots.
+  is written as its pairs: each member meets the bucket's pivot, a node
+  drawn anew in each band. Then every bucket is finished: its members that
+  the pivots left in different groups are compared with one another inside
+  tasks, blocks of up to ``SIGNATURES`` members at a time, and only the pairs
+  alive that join two groups leave the task.
 * Pruning: a candidate pair's MinHash values are compared ``STEP`` at a time;
   after each step the pair is dropped when the posterior probability (uniform
   prior) that its similarity reaches the threshold is below ``TOLERANCE``.
-* The pairs alive join nodes into groups, a little wider than classes. Two
-  similar nodes share about ten buckets and lie in one group unless, in all of
-  them, one of the two is unlike the pivot.
+* The pairs alive join nodes into groups, a little wider than classes: two
+  similar nodes that share a bucket and are not pruned lie in one group.
 * Groups are verified whole on exact shingle sets: sets of up to ``BLOCK``
   nodes meet in one task, where a product of incidence matrices gives all
   their intersections; only links that join two components leave the task. A
@@ -53,6 +55,7 @@ BANDS, ROWS = 25, 4
 STEP = 20
 TOLERANCE = 1e-6
 BLOCK = 256
+SIGNATURES = 2048  # members of a bucket in a block
 CELL_ROWS = 512  # nodes of small groups that share a task
 ADDED = ("class_id", "n_links", "representative")
 
@@ -132,6 +135,84 @@ def _pruned(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(trimmed(run), "a long, b long, matches int")
 
 
+def alive_forest(sigs: np.ndarray, sizes: np.ndarray, parts: list, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of ``left`` and ``right`` (indexes) in different parts that are not pruned, a forest over the parts."""
+    num, den = SIMILAR
+    steps = range(STEP, sigs.shape[1] + 1, STEP)
+    least = [least_matches(num / den, s) for s in steps]
+    _, part = np.unique(np.asarray(parts), return_inverse=True)
+    inner = left is right
+    out = []
+    for at, i in enumerate(left):
+        j = right[at + 1:] if inner else right
+        n = sizes[j]
+        j = j[(part[j] != part[i]) & (np.minimum(n, sizes[i]) * den >= np.maximum(n, sizes[i]) * num)]
+        matches = np.zeros(len(j), dtype=np.int32)
+        for end, fewest in zip(steps, least):
+            if not len(j):
+                break
+            matches += (sigs[j, end - STEP:end] == sigs[i, end - STEP:end]).sum(axis=1, dtype=np.int32)
+            j, matches = j[matches >= fewest], matches[matches >= fewest]
+        if len(j):
+            fresh, first = np.unique(part[j], return_index=True)
+            out += [(int(i), int(j[k])) for k in first]
+            part[np.isin(part, fresh)] = part[i]
+    return out
+
+
+def _meetings(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """``rows`` with size (of their group) sent to meetings (cell, meeting, side): blocks of a group meet pairwise
+    (sides 0 and 1) and each by itself (side 2). Groups of one block share cells."""
+    small = rows.filter(F.col("size") <= block).count()
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    own = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    met = met.withColumn("meeting", F.xxhash64(F.col(group), low, high)).withColumn("side", side)
+    cell = F.when(F.col("blocks") == 1, F.pmod(F.col("meeting"), F.lit(max(1, -(-small // CELL_ROWS))))).otherwise(F.col("meeting"))
+    return met.withColumn("cell", cell)
+
+
+def _sides(table) -> Iterator:
+    """(rows, left, right) of each meeting of a cell, left and right being the same within one block."""
+    meeting, side = (table.column(c).to_numpy() for c in ("meeting", "side"))
+    order = np.argsort(meeting, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(meeting[order])) + 1):
+        one = np.flatnonzero(side[rows] == 2)
+        left, right = (one, one) if len(one) else (np.flatnonzero(side[rows] == 0), np.flatnonzero(side[rows] == 1))
+        if len(left) and len(right):
+            yield rows, left, right
+
+
+def _finished(bands: DataFrame, buckets: DataFrame, alive: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) alive between members of a bucket that its pivot left in different groups."""
+    groups = components(alive)
+    # the pivot has met every member
+    members = bands.join(buckets, "key").filter("id <> pivot").select("key", "id").join(groups, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("part"))
+    mixed = members.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("size")).filter(
+        "low <> high").select("key", "size")
+    members = stage(members.join(mixed, "key"), "near-mixed")
+    met = _meetings(members, "key", SIGNATURES).select("cell", "meeting", "side", "id", "part").join(
+        rows.select(F.col("_llm_row").alias("id"), F.col("_llm_n").alias("n"), F.col("_llm_sig").alias("sig")), "id")
+
+    def run(table):
+        import pyarrow as pa
+
+        ids, part, n = (table.column(c).to_numpy() for c in ("id", "part", "n"))
+        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(table.num_rows, BANDS * ROWS)
+        a, b = [], []
+        for at, left, right in _sides(table):
+            for i, j in alive_forest(sigs[at], n[at].astype(np.int64), part[at], left, right):
+                a.append(ids[at[i]])
+                b.append(ids[at[j]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return met.groupBy("cell").applyInArrow(trimmed_group(run), "a long, b long").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def linked(sets: list[np.ndarray], parts: list, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
     """Links between ``left`` and ``right`` (indexes into ``sets``) that join different parts, a forest over them.
 
@@ -235,6 +316,8 @@ def links(rows: DataFrame, heads: DataFrame, text: str = "text") -> DataFrame:
     met = bands.join(buckets, "key").filter("id <> pivot")
     pairs = met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
     alive = stage(_pruned(pairs, rows), "near-alive")
+    more = stage(_finished(bands, buckets, alive, rows), "near-finished")
+    alive = alive.unionByName(more.withColumn("matches", F.lit(0)))
 
     groups = components(alive).withColumnRenamed("component", "group")
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("size"))

@@ -312,3 +312,29 @@ def test_passage_edges(edge, none):
     assert {(r["doc_id"], r["other_id"]) for r in rows} >= {(2, 1)}
     assert all(r["length"] >= passages.MIN_WORDS for r in rows)
     assert passages.op8_query(none).count() == 0
+
+
+# --- findings of the second review ---
+
+def slots(seed, common, unique):
+    """A family: texts of ``common`` lines out of a pool that many share, and words of their own."""
+    r = random.Random(seed)
+    pool = [prose(5000 + i, 12) for i in range(10)]
+    texts = {}
+    for i in range(60):
+        body = r.sample(pool, common)
+        texts[i] = " ".join(body) + " " + prose(7000 + i, unique)
+    return texts
+
+
+def test_pair_with_a_third_text_as_pivot_is_found(spark, monkeypatch):
+    """One bucket holds all texts, so its only pivot is unlike most similar pairs."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(nearjoin, "SIGNATURES", 8)  # the bucket has several blocks
+    monkeypatch.setattr(nearjoin, "_bands", lambda nodes: nodes.select("id", F.lit(1).cast("long").alias("key")))
+    texts = slots(1, 6, 30)
+    for i in range(5):
+        texts[100 + i] = texts[7 * i] + " end of one"
+        texts[200 + i] = texts[7 * i] + " end of another"
+    rows = nearjoin.op6_query(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in rows} == brute_classes(texts)[0]
