@@ -17,16 +17,15 @@ more; classes are the connected components of the links.
   prior) that its similarity reaches the threshold is below ``TOLERANCE``.
 * The pairs alive join nodes into groups, a little wider than classes: two
   similar nodes that share a bucket and are not pruned lie in one group.
-* Groups are verified whole on exact shingle sets: sets of up to ``BLOCK``
-  nodes meet in one task, where a product of incidence matrices gives all
-  their intersections; only links that join two components leave the task. A
-  larger group first verifies each node's likeliest pair; then blocks of the
-  nodes outside its largest component meet all its blocks, one task a pair of
-  blocks. Members of one component need no further pair, so no link between
-  classes is lost and no list of all pairs is ever written.
-
-``n_links`` counts the other documents of equal shingle set and the verified
-links kept for the set (a spanning forest of its class). Joins on hot keys are
+* Groups are verified whole on exact shingle sets: blocks of up to ``BLOCK``
+  nodes meet one another and themselves, one meeting a task (groups of one
+  block share tasks), where a product of incidence matrices gives all
+  intersections. All links are counted there; what leaves the task is a
+  spanning forest for the classes and one count per node. So the time, and for
+  groups over a block the texts sent, grow with the square of a group.
+
+``n_links`` counts the other documents linked to the document: those of equal
+shingle set and those of every set at the threshold. Joins on hot keys are
 split by adaptive execution; bucket pivots are pre-aggregated.
 
 Defined cases: NULL and wordless texts are linked to nothing; repeated rows
@@ -54,7 +53,7 @@ SIMILAR = (4, 5)  # the threshold as a fraction
 BANDS, ROWS = 25, 4
 STEP = 20
 TOLERANCE = 1e-6
-BLOCK = 256
+BLOCK = 512
 SIGNATURES = 2048  # members of a bucket in a block
 CELL_ROWS = 512  # nodes of small groups that share a task
 ADDED = ("class_id", "n_links", "representative")
@@ -129,10 +128,9 @@ def _pruned(pairs: DataFrame, rows: DataFrame) -> DataFrame:
                 matches[left] += (x[left, end - STEP:end] == y[left, end - STEP:end]).sum(axis=1, dtype=np.int32)
                 left = left[matches[left] >= fewest]
             index = pa.array(left)
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(index), batch.column("b").take(index),
-                                              pa.array(matches[left], pa.int32())], ["a", "b", "matches"])
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(index), batch.column("b").take(index)], ["a", "b"])
 
-    return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(trimmed(run), "a long, b long, matches int")
+    return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(trimmed(run), "a long, b long")
 
 
 def alive_forest(sigs: np.ndarray, sizes: np.ndarray, parts: list, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -213,8 +211,8 @@ def _finished(bands: DataFrame, buckets: DataFrame, alive: DataFrame, rows: Data
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def linked(sets: list[np.ndarray], parts: list, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """Links between ``left`` and ``right`` (indexes into ``sets``) that join different parts, a forest over them.
+def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which of the sets ``left`` and ``right`` (indexes; rows and columns) are different ones and at the threshold.
 
     Intersections of all sets come from products of 0/1 incidence matrices, a few thousand shingles at a time.
     """
@@ -229,85 +227,69 @@ def linked(sets: list[np.ndarray], parts: list, left: np.ndarray, right: np.ndar
     column = np.repeat(np.cumsum(count > 1) - 1, count)
     shared = np.repeat(count > 1, count)
     column, owner = column[shared], owner[shared]
-    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    both = np.zeros((len(left), len(right)), dtype=np.float32)
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
         inside = (column >= at) & (column < at + 4096)
         x = np.zeros((len(sets), 4096), dtype=np.float32)
         x[owner[inside], column[inside] - at] = 1
-        both += x @ x.T
-    near = both * den >= (size[:, None] + size[None, :] - both) * num
-    parent = {p: p for p in parts}
+        both += x[left] @ x[right].T
+    near = both * den >= (size[left][:, None] + size[right][None, :] - both) * num
+    return near & (left[:, None] != right[None, :])
 
-    def root(p):
-        while parent[p] != p:
-            parent[p] = p = parent[parent[p]]
-        return p
 
+def forest(near: np.ndarray, parts: list, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links in ``near`` that join different parts, a forest over them."""
+    _, part = np.unique(np.asarray(parts), return_inverse=True)
     out = []
-    member = np.zeros(len(sets), dtype=bool)
-    member[right] = True
-    for i in left:
-        for j in np.flatnonzero(near[i] & member):
-            if i != j and (a := root(parts[i])) != (b := root(parts[j])):
-                parent[a] = b
-                out.append((int(i), int(j)))
+    for row, i in enumerate(left):
+        j = right[near[row]]
+        fresh, first = np.unique(part[j], return_index=True)
+        out += [(int(i), int(j[k])) for p, k in zip(fresh, first) if p != part[i]]
+        part[np.isin(part, fresh)] = part[i]
     return out
 
 
+def linked(sets: list[np.ndarray], parts: list, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links between ``left`` and ``right`` (indexes into ``sets``) that join different parts, a forest over them."""
+    return forest(similar(sets, left, right), parts, left, right)
+
+
 def _met(cells: DataFrame) -> DataFrame:
-    """Links (a, b) found in cells: rows (cell, meeting, side, id, part, text); in a meeting, side 0 (all its
-    pairs) or sides 0 and 1 (pairs across) are compared."""
+    """All links of meetings (cell, meeting, side, id, copies, text), in two kinds of rows (a, b, n): with b, the
+    links of a spanning forest; without, the number n of documents linked to those of set a in this meeting."""
 
     def run(table):
         import pyarrow as pa
 
         hasher = WordHasher()
-        meeting, side, ids, part = (table.column(c).to_pylist() for c in ("meeting", "side", "id", "part"))
+        ids, copies = table.column("id").to_numpy(), table.column("copies").to_numpy().astype(np.float64)
         text = table.column("text")
-        groups: dict = {}  # meetings of the cell, each of at most two blocks
-        for i, m in enumerate(meeting):
-            groups.setdefault(m, []).append(i)
-        a, b = [], []
-        for rows in groups.values():
-            sets = [shingle_set(hasher(text[i].as_py()), SHINGLE) for i in rows]
-            sides = np.array([side[i] for i in rows])
-            left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
-            for i, j in linked(sets, [part[k] for k in rows], left, right if len(right) else left):
-                a.append(ids[rows[i]])
-                b.append(ids[rows[j]])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return cells.groupBy("cell").applyInArrow(trimmed_group(run), "a long, b long")
-
-
-def _best_links(alive: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links among each node's likeliest pair."""
-    ends = alive.select("a", "b", "matches").unionByName(alive.select(F.col("b").alias("a"), F.col("a").alias("b"), "matches"))
-    best = ends.groupBy("a").agg(F.max(F.struct("matches", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    num, den = SIMILAR
-    joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
-
-    def run(batches) -> Iterator:
-        import pyarrow as pa
-
-        hasher = WordHasher()
-        for batch in batches:
-            keep = []
-            for t, u in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = shingle_set(hasher(t), SHINGLE), shingle_set(hasher(u), SHINGLE)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both * den >= (len(x) + len(y) - both) * num)
-            index = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(index), batch.column("b").take(index)], ["a", "b"])
-
-    return joined.select("a", "b", "x", "y").mapInArrow(trimmed(run), "a long, b long")
-
-
-def links(rows: DataFrame, heads: DataFrame, text: str = "text") -> DataFrame:
-    """Verified links (a, b) between the head rows (``heads``: id = _llm_row of one row per shingle set)
-    that connect every class."""
+        a, b, n = [], [], []
+
+        def count(at, degree):
+            some = np.flatnonzero(degree)
+            a.extend(ids[at[some]].tolist())
+            b.extend([None] * len(some))
+            n.extend(np.rint(degree[some]).astype(np.int64).tolist())
+
+        for rows, left, right in _sides(table):
+            sets = [shingle_set(hasher(text[int(i)].as_py()), SHINGLE) for i in rows]
+            near = similar(sets, left, right)
+            found = forest(near, np.arange(len(sets)), left, right)
+            a += [int(ids[rows[i]]) for i, _ in found]
+            b += [int(ids[rows[j]]) for _, j in found]
+            n += [None] * len(found)
+            count(rows[left], near @ copies[rows[right]])
+            if left is not right:
+                count(rows[right], near.T @ copies[rows[left]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    return cells.groupBy("cell").applyInArrow(trimmed_group(run), "a long, b long, n long")
+
+
+def links(rows: DataFrame, heads: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Over the head rows (``heads``: id = _llm_row of one row per shingle set, and its copies): verified links
+    (a, b) that connect every class, and (id, degree): the documents of other sets linked to those of a set."""
     nodes = rows.select(F.col("_llm_row").alias("id"), F.col("_llm_sig").alias("sig")).join(heads.select("id"), "id")
     bands = stage(_bands(nodes), "near-bands")
     # the pivot of a bucket: its node of least hash with the bucket's key, another one in each band
@@ -316,42 +298,16 @@ def links(rows: DataFrame, heads: DataFrame, text: str = "text") -> DataFrame:
     met = bands.join(buckets, "key").filter("id <> pivot")
     pairs = met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
     alive = stage(_pruned(pairs, rows), "near-alive")
-    more = stage(_finished(bands, buckets, alive, rows), "near-finished")
-    alive = alive.unionByName(more.withColumn("matches", F.lit(0)))
+    alive = alive.unionByName(stage(_finished(bands, buckets, alive, rows), "near-finished"))
 
     groups = components(alive).withColumnRenamed("component", "group")
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
-    # the texts of grouped nodes, once
-    placed = stage(rows.select(F.col("_llm_row").alias("id"), F.col(text).cast("string").alias("text"))
-                   .join(groups.join(sizes, "group"), "id"), "near-groups")
-    small = placed.filter(F.col("size") <= BLOCK)
-    total = small.count()
-    found = _met(small.select(
-        F.pmod(F.xxhash64("group"), F.lit(max(1, -(-total // CELL_ROWS)))).alias("cell"), F.col("group").alias("meeting"),
-        F.lit(0).alias("side"), "id", F.col("id").alias("part"), "text"))
-    found = stage(found, "near-links")
-
-    large = placed.filter(F.col("size") > BLOCK)
-    if large.isEmpty():
-        return found
-    first = stage(_best_links(alive.join(large.select(F.col("id").alias("a")), "a"), large), "near-links")
-    parts = components(first)
-    large = large.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id"))
-    per = large.groupBy("group", "part").agg(F.count(F.lit(1)).alias("n"))
-    main = per.groupBy("group").agg(F.max(F.struct("n", "part")).alias("main"), F.sum("n").alias("all")).select(
-        "group", F.col("main.part").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
-        F.ceil((F.col("all") - F.col("main.n")) / BLOCK).cast("int").alias("outer"))
-    large = stage(large.join(main, "group").filter("outer > 0").select("group", "id", "part", "main", "blocks", "outer", "text"), "near-large")
-    draw = F.xxhash64("id")
-    meeting = F.xxhash64("group", "i", "j")
-    # side 0: a block of outside nodes, sent to every block; side 1: a block of all nodes, sent to every outer block
-    outside = large.filter("part <> main").withColumn("i", F.pmod(draw, F.col("outer")).cast("int")).withColumn(
-        "j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(0))
-    everyone = large.withColumn("j", F.pmod(draw, F.col("blocks")).cast("int")).withColumn(
-        "i", F.explode(F.sequence(F.lit(0), F.col("outer") - 1))).withColumn("side", F.lit(1))
-    cells = outside.unionByName(everyone).select(meeting.alias("cell"), meeting.alias("meeting"), "side", "id", "part", "text")
-    every = found.unionByName(first).unionByName(_met(cells))  # two blocks may find one link from either side
-    return stage(every.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-links")
+    placed = stage(groups.join(sizes, "group").join(heads.select("id", "copies"), "id"), "near-groups")
+    met = _meetings(placed, "group", BLOCK).select("cell", "meeting", "side", "id", "copies")
+    texts = rows.select(F.col("_llm_row").alias("id"), F.col(text).cast("string").alias("text"))
+    found = stage(_met(met.join(texts, "id")), "near-links")
+    return (found.filter("b IS NOT NULL").select("a", "b"),
+            found.filter("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("degree")))
 
 
 def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -364,9 +320,7 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     # one row per shingle set: its copies, and the row that stands for it
     heads = stage(named.groupBy("_llm_set").agg(F.count(F.lit(1)).alias("copies"), head.alias("head"))
                   .withColumn("id", F.col("head.row")), "near-heads")
-    found = links(rows, heads, text)
-    degree = found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).groupBy("id").agg(
-        F.count(F.lit(1)).alias("degree"))
+    found, degree = links(rows, heads, text)
     placed = (heads.join(components(found), "id", "left").join(degree, "id", "left")
               .withColumn("component", F.coalesce("component", "id")))
     first = placed.groupBy("component").agg(F.min("head").alias("first"))

@@ -338,3 +338,18 @@ def test_pair_with_a_third_text_as_pivot_is_found(spark, monkeypatch):
         texts[200 + i] = texts[7 * i] + " end of another"
     rows = nearjoin.op6_query(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)).collect()
     assert {r["doc_id"]: r["class_id"] for r in rows} == brute_classes(texts)[0]
+
+
+@pytest.mark.parametrize("block", [nearjoin.BLOCK, 4])
+def test_every_link_is_counted(spark, monkeypatch, block):
+    """n_links is the number of other documents at the threshold, copies each counted."""
+    monkeypatch.setattr(nearjoin, "BLOCK", block)
+    base = prose(31, 100)
+    texts = {i: f"{base} end{i}" for i in range(30)} | {40 + i: base + " end3" for i in range(5)} | family_copies()
+    near = brute_classes(texts)[1]
+    rows = nearjoin.op6_query(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: r["n_links"] for r in rows} == {k: len(near[k]) for k in texts}
+
+
+def family_copies():
+    return {1000 + k: t for k, t in family_texts().items()}
