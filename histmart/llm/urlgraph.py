@@ -11,7 +11,11 @@ are allowed.
 Edges are links between different hosts, counted, from href attributes with a
 host, and both ways between a host and its parent domain where both are hosts
 of pages. Iterations are DataFrame joins and sums; a written table cuts the
-lineage every few of them. Mass at hosts without links is not handed back to
+lineage every few of them. They end when no host was newly reached since the
+last written table and all mass added since is below ``DAMPING ** ITERATIONS``
+of the seeds', for trust and for distrust; no number of steps is fixed, so long
+chains take as many as they have links (until a double underflows, after some
+thousand). Mass at hosts without links is not handed back to
 the seeds, which changes all shares of a vector alike.
 
 Defined cases: a NULL url or one without ``://`` has empty host and path, fits
@@ -22,8 +26,9 @@ count as often as they stand; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from histmart.llm.common import prepare, stage
@@ -32,7 +37,7 @@ from histmart.llm.common import prepare, stage
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 DAMPING = 0.85
-ITERATIONS = 12
+ITERATIONS = 128  # not a limit: DAMPING ** ITERATIONS is the share of mass at which propagation has converged
 STAGE_EVERY = 4
 THRESHOLD = 0.75
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -72,7 +77,7 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
-    """(host, trust, distrust) from seeds (host, trust, distrust) over edges (src, dst, weight)."""
+    """(host, trust, distrust) from seeds (host, trust, distrust) over edges (src, dst, weight), at convergence."""
     edges = stage(edges, "host-edges")
     out = edges.groupBy("src").agg(F.sum("weight").alias("total"))
     into = edges.groupBy("dst").agg(F.sum("weight").alias("total"))
@@ -83,16 +88,28 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, iter
     steps = stage(forward.unionByName(back), "host-steps")
     base = seeds.select("host", (F.col("trust") * (1 - damping)).alias("trust"),
                         (F.col("distrust") * (1 - damping)).alias("distrust"))
-    base = stage(base, "host-seeds")
+    def observed(df: DataFrame, name: str) -> tuple[DataFrame, list[tuple[int, float]]]:
+        """The staged scores with the hosts reached and the mass of trust and of distrust."""
+        seen = Observation()
+        kinds = ("trust", "distrust")
+        out = stage(df.observe(seen, *[F.count_if(F.col(k) > 0).alias(f"n_{k}") for k in kinds],
+                               *[F.sum(k).alias(f"sum_{k}") for k in kinds]), name)
+        return out, [(seen.get[f"n_{k}"] or 0, seen.get[f"sum_{k}"] or 0.0) for k in kinds]
+
+    base, before = observed(base, "host-seeds")
+    least = [mass * damping ** iterations for _, mass in before]
     scores = base
-    for i in range(1, iterations + 1):
+    for i in count(1):
         sent = scores.withColumnRenamed("host", "sender").join(steps, "sender").select(
             "host", (F.col("trust") * F.col("t") * damping).alias("trust"),
             (F.col("distrust") * F.col("d") * damping).alias("distrust"))
         scores = base.unionByName(sent).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        if i % STAGE_EVERY == 0 or i == iterations:
-            scores = stage(scores, "host-scores")
-    return scores
+        if i % STAGE_EVERY == 0:
+            scores, now = observed(scores, "host-scores")
+            # scores only grow, so the summed change is the change of the sum
+            if all(n == m and x - y <= few for (n, x), (m, y), few in zip(now, before, least)):
+                return scores
+            before = now
 
 
 def judge(pages: DataFrame, url: str = "url", html: str = "html", rules: Sequence[tuple[str, str, str]] = RULES,

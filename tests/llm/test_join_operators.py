@@ -353,3 +353,11 @@ def test_every_link_is_counted(spark, monkeypatch, block):
 
 def family_copies():
     return {1000 + k: t for k, t in family_texts().items()}
+
+
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    """Hosts whose only mass is distrust, up to 30 links away, are blocked."""
+    rows = [(i, f"http://h{i}.net/p", f'<a href="http://h{i + 1}.net/">') for i in range(29)]
+    rows += [(29, "http://h29.net/p", '<a href="http://bad.com/">'), (30, "http://bad.com/de/", None), (31, "http://far.net/", None)]
+    out = urlgraph.op4_query(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["verdict"] for r in out} == {i: "block" for i in range(31)} | {31: "allow"}
