@@ -1,10 +1,11 @@
 r"""Hidden Markov language model trained by distributed Baum-Welch.
 
-Words are hashed into ``BUCKETS`` classes, so the model (transitions, start
-and one emission row per bucket) has a fixed size and can be broadcast however
-large the vocabulary; inside its bucket a word has the share
-(c + 1) / (N_b + V_b + 1) from exact corpus counts, an unseen word 1 / (N_b +
-V_b + 1). A text's probability is that of its words and its end in this model:
+A word with ``OWN`` training tokens or more is a class of its own, so the
+emission table grows with the frequent vocabulary (by at most one class per
+``OWN`` tokens); the others are hashed into ``BUCKETS`` classes. The model
+(transitions, start and one emission row per class) is broadcast. Inside its
+class a word has the share (c + 1) / (N_b + V_b + 1) from exact corpus counts,
+an unseen word 1 / (N_b + V_b + 1). A text's probability is that of its words and its end in this model:
 the scaled forward recursion over the whole text, times the in-bucket shares.
 
 * ``encode``: each task cuts its documents into chunks (rows of a staged
@@ -14,8 +15,8 @@ the scaled forward recursion over the whole text, times the in-bucket shares.
 * ``count_words``: one shuffle on the word sums the counts over chunks (a
   frequent word sends one row per chunk), and staged rows carry each chunk
   word's corpus count back to its chunk, where it differs from the chunk's.
-* ``train``: expected counts are summed inside each task, then per bucket by
-  Spark; only the fixed-size sums reach the driver. One sweep re-estimates
+* ``train``: expected counts are summed inside each task, then per class by
+  Spark; only the sums, one row per class, reach the driver. One sweep re-estimates
   after each of ``SLICES`` disjoint slices of the corpus, then ``PASSES``
   passes use all training tokens. Training sequences are at most
   ``SEQUENCE`` tokens long (a longer text is several), scoring is not cut.
@@ -32,7 +33,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import count
 
 import numpy as np
@@ -42,10 +43,11 @@ from pyspark.sql import functions as F
 from histmart.llm.common import prepare, stage, text_or_empty, trimmed, trimmed_group
 
 STATES = 8
-BUCKETS = 1 << 14
+BUCKETS = 1 << 15
+OWN = 1 << 12  # training tokens from which a word is a class of its own
 CHUNK_TOKENS = 1 << 20
 SEQUENCE = 512
-SLICES = 4
+SLICES = 8
 PASSES = 2
 PRIOR_TOKENS = 1000.0
 SEED = 11
@@ -74,6 +76,16 @@ def buckets_of(hashes: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
     return np.where(hashes == 0, 0, 1 + np.mod(hashes, buckets - 1)).astype(np.int32)
 
 
+def classes_of(hashes: np.ndarray, model: Model) -> np.ndarray:
+    """The class of each word: its bucket, or its own class behind the buckets."""
+    buckets = len(model.emit) - len(model.own)
+    out = buckets_of(hashes, buckets)
+    if len(model.own):
+        at = np.minimum(np.searchsorted(model.own, hashes), len(model.own) - 1)
+        out = np.where(model.own[at] == hashes, buckets + at, out).astype(np.int32)
+    return out
+
+
 def squeezed(tokens: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers as compressed byte planes (the upper ones are mostly zero)."""
     import zstandard
@@ -150,9 +162,10 @@ def count_words(chunks: DataFrame) -> DataFrame:
 class Model:
     start: np.ndarray       # (states,)
     step: np.ndarray        # (states, states): from, to
-    emit: np.ndarray        # (buckets, states)
-    tokens: np.ndarray      # (buckets,) training tokens
-    types: np.ndarray       # (buckets,) distinct training words
+    emit: np.ndarray        # (classes, states): buckets, then words of their own
+    tokens: np.ndarray      # (classes,) training tokens
+    types: np.ndarray       # (classes,) distinct training words
+    own: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))  # sorted hashes of the last classes
 
     @property
     def prior(self) -> np.ndarray:
@@ -234,7 +247,7 @@ def updated(model: Model, start: np.ndarray, moves: np.ndarray, counts: np.ndarr
     """M-step with a small prior, so that every bucket can be emitted and every state left."""
     emit = counts + prior_tokens * model.prior[:, None]
     moves, start = moves + 1.0, start + 1.0
-    return Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0), model.tokens, model.types)
+    return Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0), model.tokens, model.types, model.own)
 
 
 def _sequences(lengths: np.ndarray, held: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -262,7 +275,7 @@ def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int |
                 if part is not None:
                     begin, length = begin[part::slices], length[part::slices]
                 if len(begin):
-                    obs = buckets_of(np.array(row["words"], dtype=np.int64), len(m.emit))[unsqueezed(row["tokens"])]
+                    obs = classes_of(np.array(row["words"], dtype=np.int64), m)[unsqueezed(row["tokens"])]
                     found = expected_counts(obs, begin, length, m)
                     sums = found if sums is None else tuple(a + x for a, x in zip(sums, found))
         if sums is not None:
@@ -276,7 +289,7 @@ def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int |
 
     sums = (chunks.select("lengths", "held", "tokens", "words").mapInArrow(trimmed(run), f"row int, {columns}")
             .groupBy("row").agg(*[F.sum(F.col(f"g{i}").cast("double")).alias(f"g{i}") for i in range(k)]))
-    rows = sums.toPandas()  # at most buckets + states + 1 rows
+    rows = sums.toPandas()  # at most classes + states + 1 rows
     shared.destroy()
     if rows.empty:
         return model
@@ -289,15 +302,17 @@ def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int |
 
 
 def train(chunks: DataFrame, counted: DataFrame, states: int = STATES, buckets: int = BUCKETS, slices: int = SLICES,
-          passes: int = PASSES, sequence: int = SEQUENCE, seed: int = SEED) -> Model:
+          passes: int = PASSES, sequence: int = SEQUENCE, seed: int = SEED, own: int = OWN) -> Model:
     spark = chunks.sparkSession
+    words = counted.filter("first and word <> 0").filter(F.col("c") >= own).select("word", "c").toPandas().sort_values("word")
     bucket = F.when(F.col("word") == 0, 0).otherwise(F.pmod("word", F.lit(buckets - 1)) + 1).cast("int").alias("bucket")
-    totals = counted.filter("first and c > 0").groupBy(bucket).agg(
+    totals = counted.filter("first and c > 0").filter((F.col("word") == 0) | (F.col("c") < own)).groupBy(bucket).agg(
         F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).toPandas()  # at most ``buckets`` rows
     tokens, types = np.zeros(buckets), np.zeros(buckets)
     tokens[totals["bucket"]] = totals["tokens"]
     types[totals["bucket"]] = totals["types"]
-    model = initial(tokens, types, states, seed)
+    model = initial(np.concatenate((tokens, words["c"])), np.concatenate((types, np.ones(len(words)))), states, seed)
+    model.own = words["word"].to_numpy(dtype=np.int64)
     for part in [*range(slices), *[None] * passes]:
         model = _estimate(spark, chunks, model, part, slices, sequence)
     return model
@@ -324,7 +339,7 @@ def score(chunks: DataFrame, counted: DataFrame, model: Model, key: str = "doc_i
             by_place = np.array(row["counts"], dtype=np.float64)
             by_place[place] = elsewhere
             tokens = unsqueezed(row["tokens"])
-            obs = buckets_of(np.array(row["words"], dtype=np.int64), len(m.emit))[tokens]
+            obs = classes_of(np.array(row["words"], dtype=np.int64), m)[tokens]
             c = by_place[tokens]
             logs = np.add.reduceat(np.log10(c + 1), starts)
             inside = logs - np.add.reduceat(np.log10(share)[obs], starts)

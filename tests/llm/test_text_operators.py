@@ -347,3 +347,21 @@ def test_near_duplicates_stage_keeps_one(spark):
     docs = spark.createDataFrame([(5, a), (3, a), (3, a), (9, a + " tail"), (4, prose(12, 100)), (None, None)], "doc_id long, text string")
     left = nearjoin.keep_one(docs)
     assert Counter(r["doc_id"] for r in left.collect()) == Counter([3, 4, None])
+
+
+# --- findings of the second review ---
+
+def test_frequent_words_have_classes_of_their_own(tiny_docs):
+    """The model keeps its full size, and the table grows by the words with enough training tokens."""
+    assert hmm.BUCKETS >= 32768 and hmm.SLICES >= 8
+    chunks = hmm.stage(hmm.encode(tiny_docs), "test-chunks")
+    counted = hmm.stage(hmm.count_words(chunks), "test-counts")
+    frequent = {r["word"]: r["c"] for r in counted.filter("first and word <> 0 and c >= 50").collect()}
+    model = hmm.train(chunks, counted, buckets=64, slices=2, passes=1, own=50)
+    assert len(frequent) > 5 and len(model.emit) == 64 + len(frequent) and list(model.own) == sorted(frequent)
+    words = np.array([*frequent, 0, 12345], dtype=np.int64)
+    classes = hmm.classes_of(words, model)
+    assert len(set(classes[:-2])) == len(frequent) and classes[-2] == 0 and 0 < classes[-1] < 64
+    assert [model.tokens[c] for c in classes[:-2]] == [frequent[w] for w in words[:-2]] and (model.types[64:] == 1).all()
+    assert model.tokens.sum() == counted.filter("first").groupBy().sum("c").first()[0]
+    assert all(math.isfinite(r["score"]) for r in hmm.score(chunks, counted, model).collect())
