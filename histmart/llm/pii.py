@@ -8,10 +8,14 @@ get equal pseudonyms in every document and on every executor without shared
 state, different values stay different, and ``restore`` gives the text back.
 
 Formats: payment cards (Luhn; the check digit is recomputed), IBANs (mod 97;
-check digits recomputed), telephone numbers of ten national digits, US social
-security numbers, IPv4 addresses, calendar dates from 1900 to 2099, e-mail
-addresses (the part before the @) and secrets after token, key, secret or
-password (16 or more letters and digits, with a digit). Letters stay letters
+check digits recomputed), telephone numbers of ten national digits (national
+ones with separators or brackets, international ones also without), US social
+security numbers, IPv4 addresses, calendar dates from 1900 to 2099 (with a
+slash month/day, else day/month; with - or . day first, else month first),
+e-mail addresses (the part before the @) and secrets after token, key, secret
+or password (16 or more letters, digits, - and _, with a digit). Equal dates
+are linked across formats but for those in the second order, whose pseudonyms
+keep a day over 12. Letters stay letters
 of their case and digits digits. What fails its validation is left alone.
 
 Defined cases: a NULL text stays NULL with nothing found; texts without digit
@@ -36,16 +40,18 @@ from histmart.llm.common import prepare
 
 KEY = "change-me"  # default of the registered query; give your own secret
 ROUNDS = 10
+PIECE = 128  # characters of a secret permuted together
 
 PATTERN = re.compile(
     r"(?<![A-Za-z0-9._%+\-])(?P<email>[A-Za-z0-9._%+\-]{1,64})@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}"
-    r"|(?<![A-Za-z])(?:token|key|secret|password)\s{0,4}[=:]\s{0,4}[\"']?(?P<secret>[A-Za-z0-9]{16,128})(?![A-Za-z0-9])"
+    r"|(?<![A-Za-z])(?:token|key|secret|password)\s{0,4}[=:]\s{0,4}[\"']?(?P<secret>[A-Za-z0-9_\-]{16,})"
     r"|(?<![A-Za-z0-9])(?P<iban>[A-Za-z]{2}\d{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,3})?)(?![A-Za-z0-9])"
     r"|(?<![\d.])(?P<ip>(?:\d{1,3}\.){3}\d{1,3})(?!\d|\.\d)"
-    r"|(?<![\d+])(?P<phone>(?:\+\d{1,3}[ .\-]?)?\(\d{3}\)[ .\-]?\d{3}[ .\-]?\d{4}|\+\d{1,3}[ .\-]\d{3}[ .\-]\d{3}[ .\-]\d{4})(?!\d)"
-    r"|(?<![\d.\-])(?P<card>\d{13,19}|\d{4}(?P<gap>[ \-])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?!\d)"
+    r"|(?<![\d+])(?P<phone>(?:\+\d{1,3}[ .\-]?)?\(\d{3}\)[ .\-]?\d{3}[ .\-]?\d{4}|\+\d{1,3}[ .\-]\d{3}[ .\-]\d{3}[ .\-]\d{4}|\+\d{1,3}[ .\-]?\d{10}"
+    r"|(?<!\d[.\- ])(?:1[ .\-])?\d{3}(?P<dash>[ .\-])\d{3}(?P=dash)\d{4}(?![.\- ]\d))(?!\d)"
+    r"|(?<!\d)(?<!\d[.\-])(?P<card>\d{13,19}|\d{4}(?P<gap>[ \-])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?!\d)"
     r"|(?<![\d\-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d\-])"
-    r"|(?<![\d.\-/])(?P<date>\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/\-]|\.\d)",
+    r"|(?<![\d.\-/])(?P<date>\d{4}-\d{2}-\d{2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}(?P<sep>[./\-])\d{1,2}(?P=sep)\d{4})(?![\d/\-]|\.\d)",
     re.IGNORECASE | re.ASCII)
 KINDS = ("email", "secret", "iban", "ip", "phone", "card", "ssn", "date")
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
@@ -153,17 +159,24 @@ def _ssn(s, key, back):
 
 
 def _date(s, key, back):
-    sep = "-" if "-" in s else "." if "." in s else "/"
-    a, b, c = s.split(sep)
-    # fixed orders: year-month-day, day.month.year, month/day/year
-    y, m, d = (a, b, c) if sep == "-" else (c, b, a) if sep == "." else (c, a, b)
-    y, m, d = int(y), int(m), int(d)
-    if not (1900 <= y <= 2099 and 1 <= m <= 12 and 1 <= d <= calendar.monthrange(y, m)[1]):
+    sep = next(c for c in s if not c.isdigit())
+    parts = s.split(sep)
+    # year first, else day first; with slashes month first; else the other order, which has a day over 12
+    orders = ("ymd",) if len(parts[0]) == 4 else ("mdy", "dmy") if sep == "/" else ("dmy", "mdy")
+    for order in orders:
+        y, m, d = (int(parts[order.index(c)]) for c in "ymd")
+        if 1900 <= y <= 2099 and 1 <= m <= 12 and 1 <= d <= calendar.monthrange(y, m)[1]:
+            break
+    else:
         return None
-    n = permute(dt.date(y, m, d).toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back)
-    new = dt.date.fromordinal(FIRST_DAY + n)
-    day, month = f"{new.day:02d}", f"{new.month:02d}"
-    return {"-": f"{new.year}-{month}-{day}", ".": f"{day}.{month}.{new.year}", "/": f"{month}/{day}/{new.year}"}[sep]
+    n = dt.date(y, m, d).toordinal() - FIRST_DAY
+    while True:
+        n = permute(n, LAST_DAY - FIRST_DAY + 1, key, "date", back)
+        new = dt.date.fromordinal(FIRST_DAY + n)
+        if order == orders[0] or new.day > 12:  # walks on until the new date is read in the same order
+            break
+    part = {"y": str(new.year), "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
+    return sep.join(part[c] for c in order)
 
 
 def _email(s, key, back):
@@ -171,7 +184,10 @@ def _email(s, key, back):
 
 
 def _secret(s, key, back):
-    return _characters(s, key, "secret", back) if any(c.isdigit() for c in s) else None
+    if not any(c.isdigit() for c in s):
+        return None
+    # pieces bound the numbers that are permuted
+    return "".join(_characters(s[i:i + PIECE], key, f"secret{i or ''}", back) for i in range(0, len(s), PIECE))
 
 
 _RULES = {"email": _email, "secret": _secret, "iban": _iban, "ip": _ip, "phone": _phone, "card": _card,
@@ -184,12 +200,13 @@ def pseudonym(kind: str, value: str, key: str, back: bool = False) -> str | None
     return _RULES[kind](value, key, back)
 
 
-_HINT = re.compile(r"[0-9@]")
-BEFORE, AFTER = 176, 384  # farthest that a value reaches to either side of one of its digits or its @
+# a run (a secret is one, of any length) from its start, with a digit or an @
+_HINT = re.compile(r"(?<![A-Za-z_\-])[A-Za-z_\-]*+[0-9@][A-Za-z0-9_\-@]*+", re.ASCII)
+BEFORE, AFTER = 176, 384  # farthest that a value reaches to either side of such a run
 
 
 def _regions(text: str):
-    """Stretches of the text that can hold a value: around every digit or @, overlapping ones joined."""
+    """Stretches of the text that can hold a value: around every run with a digit or @, overlapping ones joined."""
     m = _HINT.search(text)
     while m:
         start, end = max(0, m.start() - BEFORE), m.end() + AFTER
@@ -207,8 +224,13 @@ def rewrite(text: str, key: str, back: bool = False) -> tuple[str, list[tuple[st
         while m := PATTERN.search(text, pos, stop):
             kind = next(k for k in KINDS if m.group(k) is not None)
             start, end = m.span(kind)
+            after = m.end()
             new = pseudonym(kind, m.group(kind), key, back)
+            while new is None and kind == "iban" and (shorter := text.rfind(" ", start, end)) > 0:
+                after = end = shorter  # a following word may have been taken for a group
+                new = pseudonym(kind, text[start:end], key, back)
             if new is None:
+                end = m.end(kind)
                 pos = m.start() + 1
                 while pos < end and text[pos].isalnum():  # past this run: its tail is no value of its own
                     pos += 1
@@ -216,7 +238,7 @@ def rewrite(text: str, key: str, back: bool = False) -> tuple[str, list[tuple[st
             out += [text[at:start], new]
             found.append((kind, start + grown, len(new)))
             grown += len(new) - (end - start)
-            at, pos = end, m.end()
+            at, pos = end, after
     return "".join(out) + text[at:], found
 
 

@@ -365,3 +365,24 @@ def test_frequent_words_have_classes_of_their_own(tiny_docs):
     assert [model.tokens[c] for c in classes[:-2]] == [frequent[w] for w in words[:-2]] and (model.types[64:] == 1).all()
     assert model.tokens.sum() == counted.filter("first").groupBy().sum("c").first()[0]
     assert all(math.isfinite(r["score"]) for r in hmm.score(chunks, counted, model).collect())
+
+
+@pytest.mark.parametrize("kind, value", [
+    ("phone", "555-123-4567"), ("phone", "555.123.4567"), ("phone", "+14155550123"), ("phone", "1-555-123-4567"), ("phone", "+1 4155550123"),
+    ("date", "25/12/2020"), ("date", "2020/12/25"), ("date", "25-12-2020"), ("date", "12-25-2020"), ("date", "12/25/2020"),
+    ("iban", "ES91 2100 0418 4502 0005 1332"), ("iban", "BE68 5390 0754 7034"), ("iban", "AT61 1904 3002 3457 3201"),
+    ("card", "4111 1111 1111 1111"), ("card", "4111111111111111"),
+    ("secret", "sk-live_AB12cd34ef56ab78"), ("secret", "a" * 150 + "7" + "b" * 1000), ("secret", "x" * 2000 + "9" * 5000)])
+@pytest.mark.parametrize("before, after", [("see ", " paid to you"), ("x - ", " for us, 3 of them."), ("-", "."), (".", " END")])
+def test_common_shapes_in_running_text(kind, value, before, after):
+    if kind == "secret":
+        before = "token: "
+    if kind not in ("secret", "card") and before in "-.":
+        before = "see "  # a hyphen or full stop may join other kinds to what stands before
+    text = "words of text " + before + value + after
+    out, found = pii.rewrite(text, "k")
+    assert [k for k, _, _ in found] == [kind]
+    start, n = found[0][1:]
+    assert n == len(value) and start == text.index(value) and out[start:start + n] != value
+    assert out[:start] + out[start + n:] == text[:start] + text[start + n:]
+    assert pii.rewrite(out, "k", back=True)[0] == text
