@@ -62,7 +62,7 @@ class Phrases:
         for item, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
             for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                found.setdefault(tuple(ids[i:i + window]), set()).add(item)
+                found.setdefault(tuple(ids[i:i + window]), set()).update(() if item is None else (item,))
         self.items = [sorted(v) for v in found.values()]
         lengths = np.array([len(k) for k in found], dtype=np.int64)
         self.groups = [(int(n), np.flatnonzero(lengths == n)) for n in np.unique(lengths)]
@@ -275,11 +275,13 @@ def _pass(docs: DataFrame, items: list[tuple[int, str]], text: str, window: int)
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
                   item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Input columns plus ``contamination``: n_words, n_hit, items, word ranges and code-point spans to remove."""
+    """Input columns plus ``contamination``: n_words, n_hit, items, word ranges and code-point spans to remove.
+
+    Items with a NULL id count for hits and spans; only the list of items leaves them out."""
     spark = docs.sparkSession
     prepare(spark)
     items = (benchmark.select(F.col(item).cast("long").alias("item"), F.col(item_text).alias("text"))
-             .filter(F.col("item").isNotNull() & F.col("text").isNotNull()).distinct())
+             .filter(F.col("text").isNotNull()).distinct())
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     out = docs.drop("contamination")

@@ -386,3 +386,11 @@ def test_common_shapes_in_running_text(kind, value, before, after):
     assert n == len(value) and start == text.index(value) and out[start:start + n] != value
     assert out[:start] + out[start + n:] == text[:start] + text[start + n:]
     assert pii.rewrite(out, "k", back=True)[0] == text
+
+
+def test_items_without_id_are_found(spark):
+    passage = prose(7, 14)
+    docs = spark.createDataFrame([(1, f"before {passage} after"), (2, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, passage), (5, "elsewhere")], "item_id long, text string")
+    got = {r["doc_id"]: r["contamination"] for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert (got[1]["n_hit"], got[1]["items"], got[2]["n_hit"]) == (14, [], 0)
