@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +22,8 @@ ARROW_SETTINGS = {
 WORD_SPACE = " \t\n\x0b\x0c\r"
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
-_STAGED: list[str] = []
+# Paths staged in the scopes now open in this thread, the innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("staged tables", default=())
 
 
 def prepare(spark: SparkSession) -> None:
@@ -33,25 +38,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def _on_its_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     The written table cuts the lineage: what follows re-reads it after a lost
-    executor instead of repeating Python work or a nondeterministic order.
+    executor instead of repeating Python work or a nondeterministic order. It
+    is deleted when the innermost ``scratch`` block ends (``keep``: the block
+    around that one), and otherwise with the application.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
+    scopes = _SCOPES.get()[:-1] if keep else _SCOPES.get()
+    if scopes:
+        scopes[-1].append(path)
+    system, place = _on_its_system(spark, path)
     df.write.option("compression", "zstd").parquet(path)
-    _STAGED.append(path)
+    system.deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables staged so far; call it when the results that read them are written."""
-    jvm = spark.sparkContext._jvm
-    while _STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside the block when it ends; tables of other results stay."""
+    mine: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), mine))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        for path in mine:
+            system, place = _on_its_system(spark, path)
+            system.delete(place, True)
 
 
 def _give_back() -> None:

@@ -7,8 +7,9 @@ more; classes are the connected components of the links.
 * Documents of equal shingle sets form one node, so copies cost one row each.
 * Candidates share all MinHash values of one of ``BANDS`` bands of ``ROWS``
   values: a pair at the threshold is missed with probability 2e-6. No bucket
-  is written as its pairs: each member meets the bucket's pivot, a node
-  drawn anew in each band. Then every bucket is finished: its members that
+  is written as its pairs: each member meets the bucket's pivot, the node
+  that comes first in one seeded order of all nodes, so a family meets few
+  pivots over all bands. Then every bucket is finished: its members that
   the pivots left in different groups are compared with one another inside
   tasks, blocks of up to ``SIGNATURES`` members at a time, and only the pairs
   alive that join two groups leave the task.
@@ -31,7 +32,9 @@ split by adaptive execution; bucket pivots are pre-aggregated.
 Defined cases: NULL and wordless texts are linked to nothing; repeated rows
 are documents of their own; the representative of a class is its row of least
 (id, row number), NULL ids first; an empty table gives an empty result; input
-columns named ``class_id``, ``n_links`` or ``representative`` are replaced.
+columns named ``class_id``, ``n_links`` or ``representative`` are replaced in
+the classes and left as they are by ``keep_one``. Any other names may stand in
+the input: columns go through the operator by their position.
 """
 
 from __future__ import annotations
@@ -44,8 +47,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histmart.llm.common import prepare, stage, trimmed, trimmed_group
-from histmart.llm.graph import components
+from histmart.llm.common import prepare, scratch, stage, trimmed, trimmed_group
+from histmart.llm.graph import components, starred
 from histmart.llm.shingles import MinHasher, WordHasher, shingle_set
 
 SHINGLE = 5
@@ -107,8 +110,20 @@ def _bands(nodes: DataFrame) -> DataFrame:
         i, F.substr("sig", i * width + 1, F.lit(width))))).alias("key"))
 
 
+def _buckets(bands: DataFrame) -> DataFrame:
+    """(key, pivot) of the buckets with two members or more; the pivot is the node of least hash, one order for all bands."""
+    first = F.min(F.struct(F.xxhash64("id").alias("hash"), "id"))
+    buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("members"), first["id"].alias("pivot"))
+    return buckets.filter("members > 1").select("key", "pivot")
+
+
+def candidates(bands: DataFrame, buckets: DataFrame | None = None) -> DataFrame:
+    """(id, pivot): each node with the different pivots of its buckets."""
+    return bands.join(_buckets(bands) if buckets is None else buckets, "key").filter("id <> pivot").select("id", "pivot").distinct()
+
+
 def _pruned(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) that can reach the threshold: first by size, then by comparing MinHash values step by step."""
+    """Those of ``pairs`` (a, b) that can reach the threshold: first by size, then by comparing MinHash values step by step."""
     num, den = SIMILAR
     steps = list(range(STEP, BANDS * ROWS + 1, STEP))
     least = [least_matches(num / den, s) for s in steps]
@@ -183,9 +198,8 @@ def _sides(table) -> Iterator:
             yield rows, left, right
 
 
-def _finished(bands: DataFrame, buckets: DataFrame, alive: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) alive between members of a bucket that its pivot left in different groups."""
-    groups = components(alive)
+def _finished(bands: DataFrame, buckets: DataFrame, groups: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) alive between members of a bucket that its pivot left in different ``groups`` (id, component)."""
     # the pivot has met every member
     members = bands.join(buckets, "key").filter("id <> pivot").select("key", "id").join(groups, "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("part"))
@@ -292,15 +306,13 @@ def links(rows: DataFrame, heads: DataFrame, text: str = "text") -> tuple[DataFr
     (a, b) that connect every class, and (id, degree): the documents of other sets linked to those of a set."""
     nodes = rows.select(F.col("_llm_row").alias("id"), F.col("_llm_sig").alias("sig")).join(heads.select("id"), "id")
     bands = stage(_bands(nodes), "near-bands")
-    # the pivot of a bucket: its node of least hash with the bucket's key, another one in each band
-    buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min_by("id", F.xxhash64("key", "id")).alias("pivot"))
-    buckets = stage(buckets.filter("members > 1").select("key", "pivot"), "near-buckets")
-    met = bands.join(buckets, "key").filter("id <> pivot")
-    pairs = met.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    alive = stage(_pruned(pairs, rows), "near-alive")
-    alive = alive.unionByName(stage(_finished(bands, buckets, alive, rows), "near-finished"))
-
-    groups = components(alive).withColumnRenamed("component", "group")
+    buckets = stage(_buckets(bands), "near-buckets")
+    pairs = candidates(bands, buckets).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    alive = _pruned(pairs, rows).select(F.col("a").alias("id"), F.col("b").alias("pivot"))
+    alive = stage(starred(alive), "near-alive")
+    groups = components(alive)
+    more = stage(_finished(bands, buckets, groups, rows), "near-finished")
+    groups = components(alive.unionByName(more)).withColumnRenamed("component", "group")
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
     placed = stage(groups.join(sizes, "group").join(heads.select("id", "copies"), "id"), "near-groups")
     met = _meetings(placed, "group", BLOCK).select("cell", "meeting", "side", "id", "copies")
@@ -310,33 +322,46 @@ def links(rows: DataFrame, heads: DataFrame, text: str = "text") -> tuple[DataFr
             found.filter("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("degree")))
 
 
+def _classified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The input columns under the names c0, c1, ..., then _llm_class, _llm_links and _llm_stays."""
+    spark = docs.sparkSession
+    prepare(spark)
+    key, text = (f"c{docs.columns.index(c)}" for c in (key, text))
+    rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    rows = stage(signed(rows, text), "near-signed")
+    with scratch(spark):
+        named = rows.filter(F.col("_llm_set").isNotNull())
+        head = F.min(F.struct(F.col(key).alias("key"), F.col("_llm_row").alias("row")))
+        # one row per shingle set: its copies, and the row that stands for it
+        heads = stage(named.groupBy("_llm_set").agg(F.count(F.lit(1)).alias("copies"), head.alias("head"))
+                      .withColumn("id", F.col("head.row")), "near-heads")
+        found, degree = links(rows, heads, text)
+        placed = (heads.join(components(found), "id", "left").join(degree, "id", "left")
+                  .withColumn("component", F.coalesce("component", "id")))
+        first = placed.groupBy("component").agg(F.min("head").alias("first"))
+        classes = stage(placed.join(first, "component").select(
+            "_llm_set", F.col("first").alias("_llm_head"),
+            (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("_llm_degree")), "near-classes", keep=True)
+    head = F.col("_llm_head")
+    return rows.join(classes, "_llm_set", "left").select(
+        *[f"c{i}" for i in range(len(docs.columns))],
+        F.when(head.isNull(), F.col(key)).otherwise(head["key"]).alias("_llm_class"),
+        F.coalesce("_llm_degree", F.lit(0)).cast("long").alias("_llm_links"),
+        F.coalesce(head["row"] == F.col("_llm_row"), F.lit(True)).alias("_llm_stays"))
+
+
 def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Input columns plus class_id (the id of the class's representative), n_links and representative."""
-    prepare(docs.sparkSession)
-    keep = [c for c in docs.columns if c not in ADDED]
-    rows = stage(signed(docs.select(*[F.col(f"`{c}`") for c in keep]), text), "near-signed")
-    named = rows.filter(F.col("_llm_set").isNotNull())
-    head = F.min(F.struct(F.col(key).alias("key"), F.col("_llm_row").alias("row")))
-    # one row per shingle set: its copies, and the row that stands for it
-    heads = stage(named.groupBy("_llm_set").agg(F.count(F.lit(1)).alias("copies"), head.alias("head"))
-                  .withColumn("id", F.col("head.row")), "near-heads")
-    found, degree = links(rows, heads, text)
-    placed = (heads.join(components(found), "id", "left").join(degree, "id", "left")
-              .withColumn("component", F.coalesce("component", "id")))
-    first = placed.groupBy("component").agg(F.min("head").alias("first"))
-    classes = stage(placed.join(first, "component").select(
-        "_llm_set", F.col("first").alias("head"), (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links")), "near-classes")
-    return rows.join(classes, "_llm_set", "left").select(
-        *[F.col(f"`{c}`") for c in keep],
-        F.when(F.col("head").isNull(), F.col(key)).otherwise(F.col("head.key")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce(F.col("head.row") == F.col("_llm_row"), F.lit(True)).alias("representative"))
+    keep = [(f"c{i}", c) for i, c in enumerate(docs.columns) if c not in ADDED]
+    return _classified(docs, key, text).select(
+        *[F.col(x).alias(c) for x, c in keep],
+        *[F.col(x).alias(c) for x, c in zip(("_llm_class", "_llm_links", "_llm_stays"), ADDED)])
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The representative row of each class, with the input columns."""
-    keep = [c for c in docs.columns if c not in ADDED]
-    return classify(docs, key, text).filter("representative").select(*[F.col(f"`{c}`") for c in keep])
+    return _classified(docs, key, text).filter("_llm_stays").select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op6_query(docs: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators 4, 6 and 8 against brute force."""
 
+import os
 import random
 from collections import defaultdict
 from math import comb
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from histmart.llm import graph, nearjoin, passages, urlgraph
+from histmart.llm import common, graph, nearjoin, passages, urlgraph
 from histmart.llm.shingles import MinHasher
 from llm.llm_helpers import prose
 
@@ -168,6 +169,47 @@ def test_large_family_makes_few_pairs(spark):
     assert {x["doc_id"]: x["class_id"] for x in out} == group and sum(x["n_links"] for x in out) < 20 * len(out)
 
 
+def test_family_meets_few_pivots(spark):
+    """2,000 near copies of one text: at most six candidate pairs a node over all bands, and near a forest of edges."""
+    r = random.Random(4)
+    base = prose(78, 150).split()
+    rows = []
+    for i in range(2000):
+        w = list(base)
+        w[r.randrange(len(w))] = f"e{i}"
+        rows.append((i, " ".join(w)))
+    signed = nearjoin.signed(spark.createDataFrame(rows, "doc_id long, text string")).cache()
+    nodes = signed.selectExpr("_llm_row AS id", "_llm_sig AS sig")
+    met = nearjoin.candidates(nearjoin._bands(nodes)).cache()
+    assert met.count() <= 6 * len(rows)
+    edges = graph.starred(met)
+    assert edges.count() <= 1.2 * len(rows)
+    assert (graph.components(edges).select("component").distinct().count()
+            == graph.components(met.toDF("a", "b")).select("component").distinct().count())
+
+
+def test_names_of_input_columns_are_free(spark):
+    a, b = prose(13, 60), prose(14, 60)
+    names = ["doc_id", "text", "head", "_llm_row", "_llm_set", "component", "id", "key", "c0", "c1", "class_id"]
+    rows = [(i, t, *[f"{n}{i}" for n in names[2:]]) for i, t in enumerate((a, a, b))]
+    docs = spark.createDataFrame(rows, names)
+    assert nearjoin.keep_one(docs).columns == names
+    assert sorted(map(tuple, nearjoin.keep_one(docs).collect())) == [rows[0], rows[2]]
+    out = {r["doc_id"]: r for r in nearjoin.classify(docs).collect()}
+    assert [out[i]["class_id"] for i in range(3)] == [0, 0, 2] and out[1]["head"] == "head1"
+
+
+def test_staged_tables_go_with_their_block_alone(spark):
+    first, second = (spark.createDataFrame([(i, prose(i, 30))], "doc_id long, text string") for i in (1, 2))
+    kept = nearjoin.keep_one(first)
+    with common.scratch(spark):
+        inner = nearjoin.keep_one(second)
+        paths = inner.inputFiles()
+        assert inner.count() == 1
+    assert kept.count() == 1  # what another result reads is still there
+    assert paths and not any(os.path.exists(p.removeprefix("file://")) for p in paths)
+
+
 @pytest.mark.parametrize("seed", range(15))
 def test_linked_is_a_forest_over_all_links(seed):
     r = np.random.default_rng(seed)
