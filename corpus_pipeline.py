@@ -14,9 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histmart.llm import decontaminate, nearjoin, packing, pii, quality
-from histmart.llm.common import prepare, release, table
-from histmart.session import shared_path
+from histmart.llm import common, decontaminate, nearjoin, packing, pii, quality
+from histmart.llm.common import prepare, scratch, table
 
 ORACLE_SQL = None  # hashing, tokenising and ciphers are not SQL; tests compare with brute force
 
@@ -60,9 +59,9 @@ STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates)
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        out, path = stage(spark, docs, sf_dir), shared_path(spark, f"pipeline-{name}")
-        out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
-        release(spark)  # what the stage staged for itself
-    return docs
+    *first, (name, last) = STAGES
+    with scratch(spark):  # tables go with their block: what a stage staged when it is written, the stages with the last one
+        for before, stage in first:
+            with scratch(spark):
+                docs = common.stage(stage(spark, docs, sf_dir), f"pipeline-{before}", keep=True)
+        return common.stage(last(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
