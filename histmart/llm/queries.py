@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from histmart.llm import chat, decontaminate, hmm, nearjoin, packing, passages, pii, quality, sharding, urlgraph
+from histmart.llm import chat, decontaminate, exactdup, hmm, nearjoin, packing, passages, pii, quality, sharding, urlgraph
 from histmart.llm.common import table
 
 
@@ -24,9 +24,11 @@ QUERIES = {
     "op8_collinear_passages": _on("documents", passages.op8_query),
     "op9_external_shuffle": _on("documents", sharding.op9_query),
     "op10_prefix_target": _on("conversations", chat.op10_query),
+    "op12_patricia_owners": _on("documents", exactdup.op12_query),
 }
 
 ORACLES = {
     "op1_adaptive_quality": quality.ORACLE,
     "op10_prefix_target": chat.ORACLE,
+    "op12_patricia_owners": exactdup.ORACLE,
 }
