@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from histmart.llm import chat, decontaminate, exactdup, hmm, nearjoin, packing, passages, pii, quality, sharding, urlgraph
+from histmart.llm import chat, decontaminate, exactdup, hmm, nearjoin, packing, passages, pii, quality, sharding, sourceaudit, urlgraph
 from histmart.llm.common import table
 
 
@@ -25,10 +25,12 @@ QUERIES = {
     "op9_external_shuffle": _on("documents", sharding.op9_query),
     "op10_prefix_target": _on("conversations", chat.op10_query),
     "op12_patricia_owners": _on("documents", exactdup.op12_query),
+    "op13_source_audit": _on("documents", sourceaudit.op13_query),
 }
 
 ORACLES = {
     "op1_adaptive_quality": quality.ORACLE,
     "op10_prefix_target": chat.ORACLE,
     "op12_patricia_owners": exactdup.ORACLE,
+    "op13_source_audit": sourceaudit.ORACLE,
 }
