@@ -42,7 +42,8 @@ from histmart.llm.common import prepare, stage, text_or_empty, trimmed
 MIN_DOCS = 10
 TOP = 10
 SCALE = 1_000_000_000  # Fixed value: shares are integers of this unit.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
+BATCH_ROWS = 50_000  # of a shard's counts sent at once
 SLICE = 1 << 12  # pointers sorted at once, below which a slice is not split by a pivot
 
 
@@ -169,22 +170,23 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
             seen: dict = {}
             number = np.array([seen.setdefault((x["lang"], x["source"]), len(seen)) for x in both.to_pylist()])
             terms, of_term, of_group, count, docs = _shard_counts(pa.concat_arrays([b.column("text") for b in shard]), number)
-            group = pa.array(of_group)
-            for i, c in enumerate(("lang", "source")):
-                yield pa.array([g[i] for g in seen], pa.string()).take(group)
-            yield terms.take(pa.array(of_term))
-            yield pa.array(count)
-            yield pa.array(docs)
+            names = [pa.array([g[i] for g in seen], pa.string()) for i in range(2)]
+            for at in range(0, len(count), BATCH_ROWS):
+                part = slice(at, at + BATCH_ROWS)
+                group = pa.array(of_group[part])
+                yield pa.RecordBatch.from_arrays(
+                    [*(x.take(group) for x in names), terms.take(pa.array(of_term[part])), pa.array(count[part]), pa.array(docs[part])],
+                    ["lang", "source", "term", "n", "docs"])
 
         shard, size = [], 0
         for b in batches:
             shard.append(b)
             size += b.column("text").nbytes
             if size >= shard_bytes:
-                yield pa.RecordBatch.from_arrays([*counted(shard)], ["lang", "source", "term", "n", "docs"])
+                yield from counted(shard)
                 shard, size = [], 0
         if size:
-            yield pa.RecordBatch.from_arrays([*counted(shard)], ["lang", "source", "term", "n", "docs"])
+            yield from counted(shard)
 
     parts = rows.mapInArrow(trimmed(run), "lang string, source string, term string, n bigint, docs bigint")
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
