@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from histmart.llm import chat, decontaminate, exactdup, hmm, nearjoin, packing, passages, pii, quality, sharding, sourceaudit, urlgraph
+from histmart.llm import alignment, chat, decontaminate, exactdup, hmm, nearjoin, packing, passages, pii, quality, sharding, sourceaudit, urlgraph
 from histmart.llm.common import table
 
 
@@ -24,6 +24,7 @@ QUERIES = {
     "op8_collinear_passages": _on("documents", passages.op8_query),
     "op9_external_shuffle": _on("documents", sharding.op9_query),
     "op10_prefix_target": _on("conversations", chat.op10_query),
+    "op11_token_alignment": _on("documents", alignment.op11_query),
     "op12_patricia_owners": _on("documents", exactdup.op12_query),
     "op13_source_audit": _on("documents", sourceaudit.op13_query),
 }
