@@ -11,10 +11,13 @@ the scaled forward recursion over the whole text, times the in-bucket shares.
 * ``encode``: each task cuts its documents into chunks (rows of a staged
   table) of about ``CHUNK_TOKENS`` tokens: the chunk's words (as 64-bit
   hashes: at ten billion words two or three pairs would share one), their
-  training counts, and each token as a number into the chunk's words.
-* ``count_words``: one shuffle on the word sums the counts over chunks (a
-  frequent word sends one row per chunk), and staged rows carry each chunk
-  word's corpus count back to its chunk, where it differs from the chunk's.
+  training counts, and each token as a number into the chunk's words. The
+  training sequences of each slice are a column of their own, the held-out
+  tokens another, so a pass reads what it trains on.
+* ``count_words``: partial sums by word. Words of their own are found first:
+  their counts are in the model, which every task holds; the others' counts
+  (below ``OWN``, so no word is hot) are joined to the chunk's words and go
+  back to the chunk where they differ from its own.
 * ``train``: expected counts are summed inside each task, then per class by
   Spark; only the sums, one row per class, reach the driver. One sweep re-estimates
   after each of ``SLICES`` disjoint slices of the corpus, then ``PASSES``
@@ -22,6 +25,10 @@ the scaled forward recursion over the whole text, times the in-bucket shares.
   ``SEQUENCE`` tokens long (a longer text is several), scoring is not cut.
 * ``score``: every chunk meets its words' counts and is scored.
 
+The table of own classes is bounded: beyond ``MOST_OWN`` words the training
+tokens that a class of its own takes are doubled until it is not exceeded, and
+words below that stay in their buckets, with exact counts there.
+
 Defined cases: a NULL text is empty (one token, its end); a NULL id is not
 held out; repeated rows are scored each and count as often as they stand; an
 empty table gives an empty result; other columns are left out. Chunks depend
@@ -37,7 +44,7 @@ from dataclasses import dataclass, field
 from itertools import count
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histmart.llm.common import prepare, stage, text_or_empty, trimmed, trimmed_group
@@ -45,6 +52,7 @@ from histmart.llm.common import prepare, stage, text_or_empty, trimmed, trimmed_
 STATES = 8
 BUCKETS = 1 << 15
 OWN = 1 << 12  # training tokens from which a word is a class of its own
+MOST_OWN = 1 << 18  # such classes, which the driver and every task hold
 CHUNK_TOKENS = 1 << 20
 SEQUENCE = 512
 SLICES = 8
@@ -52,8 +60,8 @@ PASSES = 2
 PRIOR_TOKENS = 1000.0
 SEED = 11
 HELD_OUT_MOD, HELD_OUT = 7, 2  # Fixed values of the split.
-CHUNK_COLUMNS = ("chunk bigint, lengths array<int>, held array<boolean>, tokens binary, words array<bigint>, "
-                 "counts array<int>")
+CHUNK_COLUMNS = "chunk bigint, lengths array<int>, held array<boolean>, words array<bigint>, counts array<int>"
+HELD = "tokens_held"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -98,11 +106,31 @@ def unsqueezed(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text",
-           chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
-    """Chunk rows: the ids, token counts and held-out flags of its documents, and their tokens."""
+def slice_columns(chunks: DataFrame) -> list[str]:
+    """The token columns of the slices of a chunk table, in order."""
+    return [c for c in chunks.columns if c.startswith("tokens_") and c != HELD]
+
+
+def _slice_of(lengths: np.ndarray, held: np.ndarray, slices: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The slice that each token of a chunk is trained in (-1: held out), and the lengths of the training sequences."""
+    begin, length = _sequences(lengths, held, longest)
+    return _spread(np.arange(len(begin)) % slices, begin, length, int(lengths.sum())), length
+
+
+def _spread(values: np.ndarray, begin: np.ndarray, length: np.ndarray, n: int) -> np.ndarray:
+    """n numbers: each value over its stretch, -1 elsewhere."""
+    out = np.full(n, -1, dtype=np.int16)
+    ends = np.cumsum(length)
+    out[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - length), length)] = np.repeat(values, length)
+    return out
+
+
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", chunk_tokens: int = CHUNK_TOKENS,
+           slices: int = SLICES, sequence: int = SEQUENCE) -> DataFrame:
+    """Chunk rows: the ids, token counts and held-out flags of its documents, and their tokens by slice."""
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(f"`{key}`").alias("key"), text_or_empty(text).alias("text"))
+    columns = [*(f"tokens_{i}" for i in range(slices)), HELD]
 
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -120,12 +148,13 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text",
             training = np.repeat(~np.array(held, dtype=bool), lengths)
             counts = np.bincount(tokens[training], minlength=len(index))
             hashes = np.fromiter(map(word_hash, index), dtype=np.int64, count=len(index))
+            at, _ = _slice_of(np.array(lengths, dtype=np.int64), np.array(held, dtype=bool), slices, sequence)
             return pa.RecordBatch.from_arrays([
                 pa.array([keys], pa.list_(key_type)), pa.array([next(number)], pa.int64()),
                 pa.array([lengths], pa.list_(pa.int32())), pa.array([held], pa.list_(pa.bool_())),
-                pa.array([squeezed(tokens)], pa.binary()),
                 pa.array([hashes], pa.list_(pa.int64())), pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
-            ], ["keys", "chunk", "lengths", "held", "tokens", "words", "counts"])
+                *(pa.array([squeezed(tokens[at == i])], pa.binary()) for i in [*range(slices), -1]),
+            ], ["keys", "chunk", "lengths", "held", "words", "counts", *columns])
 
         keys, held, parts, index = fresh()
         size = 0
@@ -145,17 +174,28 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text",
         if keys:
             yield flush(keys, held, parts, index)
 
-    return rows.mapInArrow(trimmed(run), f"keys array<{kind}>, {CHUNK_COLUMNS}")
+    return rows.mapInArrow(trimmed(run), f"keys array<{kind}>, {CHUNK_COLUMNS}, " + ", ".join(f"{c} binary" for c in columns))
 
 
-def count_words(chunks: DataFrame) -> DataFrame:
-    """(chunk, place, word, n, c, first): each chunk word's training count in the chunk and in the corpus;
-    ``first`` marks one row per word."""
-    rows = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select(
+def _placed(chunks: DataFrame) -> DataFrame:
+    """(chunk, place, word, n): the words of each chunk and their training counts there."""
+    return chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select(
         "chunk", "place", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
-    same = Window.partitionBy("word")
-    return rows.select("chunk", "place", "word", "n", F.sum("n").over(same).alias("c"),
-                       (F.row_number().over(same.orderBy("chunk")) == 1).alias("first"))
+
+
+def count_words(chunks: DataFrame) -> DataFrame:
+    """(word, c): training tokens of each word in the corpus; 0 where it is in held-out documents alone."""
+    return _placed(chunks).groupBy("word").agg(F.sum("n").alias("c"))
+
+
+def _returned(chunks: DataFrame, counted: DataFrame, own: np.ndarray) -> DataFrame:
+    """(chunk, place, c): the corpus counts of the chunks' words that differ from their chunk's, words of their own left out."""
+    spark = chunks.sparkSession
+    rows, rare = _placed(chunks), counted.filter("c > 0")
+    if len(own):
+        mine = F.broadcast(spark.createDataFrame([(int(w),) for w in own], "word long"))  # at most MOST_OWN rows
+        rows, rare = rows.join(mine, "word", "left_anti"), rare.join(mine, "word", "left_anti")
+    return rows.join(rare, "word").filter("c <> n").select("chunk", "place", "c")
 
 
 @dataclass
@@ -260,8 +300,10 @@ def _sequences(lengths: np.ndarray, held: np.ndarray, longest: int) -> tuple[np.
     return begin, np.minimum(longest, np.repeat(starts + lengths, pieces) - begin)
 
 
-def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int | None, slices: int, longest: int) -> Model:
+def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int | None, longest: int) -> Model:
     """One Baum-Welch step over slice ``part`` of the training sequences, or over all of them."""
+    every = slice_columns(chunks)
+    read = every if part is None else [every[part]]
     shared, k = spark.sparkContext.broadcast(model), len(model.start)
     columns = ", ".join(f"g{i} float" for i in range(k))
 
@@ -270,13 +312,13 @@ def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int |
 
         m, sums = shared.value, None
         for b in batches:
-            for row in b.to_pylist():
-                begin, length = _sequences(np.array(row["lengths"], dtype=np.int64), np.array(row["held"], dtype=bool), longest)
-                if part is not None:
-                    begin, length = begin[part::slices], length[part::slices]
-                if len(begin):
-                    obs = classes_of(np.array(row["words"], dtype=np.int64), m)[unsqueezed(row["tokens"])]
-                    found = expected_counts(obs, begin, length, m)
+            for row in (b.slice(i, 1) for i in range(b.num_rows)):
+                of = lambda c: row.column(c).flatten().to_numpy(zero_copy_only=False)  # noqa: B023, E731
+                _, length = _sequences(of("lengths").astype(np.int64), of("held"), longest)
+                length = np.concatenate([length[i::len(every)] for i, c in enumerate(every) if c in read])
+                if len(length):
+                    tokens = np.concatenate([unsqueezed(row.column(c)[0].as_py()) for c in read])
+                    found = expected_counts(classes_of(of("words"), m)[tokens], np.cumsum(length) - length, length, m)
                     sums = found if sums is None else tuple(a + x for a, x in zip(sums, found))
         if sums is not None:
             start, moves, counts = sums
@@ -287,7 +329,7 @@ def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int |
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32())] + [pa.array(values[:, i], pa.float32()) for i in range(k)],
                                              ["row"] + [f"g{i}" for i in range(k)])
 
-    sums = (chunks.select("lengths", "held", "tokens", "words").mapInArrow(trimmed(run), f"row int, {columns}")
+    sums = (chunks.select("lengths", "held", "words", *read).mapInArrow(trimmed(run), f"row int, {columns}")
             .groupBy("row").agg(*[F.sum(F.col(f"g{i}").cast("double")).alias(f"g{i}") for i in range(k)]))
     rows = sums.toPandas()  # at most classes + states + 1 rows
     shared.destroy()
@@ -301,27 +343,40 @@ def _estimate(spark: SparkSession, chunks: DataFrame, model: Model, part: int |
     return updated(model, start, moves, counts)
 
 
-def train(chunks: DataFrame, counted: DataFrame, states: int = STATES, buckets: int = BUCKETS, slices: int = SLICES,
+def least_own(counted: DataFrame, own: int = OWN, most: int | None = None) -> int:
+    """The training tokens that make a word a class of its own: ``own``, doubled until at most ``most`` words have them."""
+    steps = counted.filter((F.col("word") != 0) & (F.col("c") >= own)).groupBy(
+        F.floor(F.log2(F.col("c") / own)).alias("step")).count().collect()  # a row for each power of two
+    while sum(r["count"] for r in steps) > (MOST_OWN if most is None else most):
+        own *= 2
+        steps = [r for r in steps if r["step"] > min(x["step"] for x in steps)]
+    return own
+
+
+def train(chunks: DataFrame, counted: DataFrame, states: int = STATES, buckets: int = BUCKETS,
           passes: int = PASSES, sequence: int = SEQUENCE, seed: int = SEED, own: int = OWN) -> Model:
+    """The model after one sweep over the chunks' slices and ``passes`` passes over all training tokens."""
     spark = chunks.sparkSession
-    words = counted.filter("first and word <> 0").filter(F.col("c") >= own).select("word", "c").toPandas().sort_values("word")
+    own = least_own(counted, own)
+    words = counted.filter((F.col("word") != 0) & (F.col("c") >= own)).toPandas().sort_values("word")  # at most MOST_OWN rows
     bucket = F.when(F.col("word") == 0, 0).otherwise(F.pmod("word", F.lit(buckets - 1)) + 1).cast("int").alias("bucket")
-    totals = counted.filter("first and c > 0").filter((F.col("word") == 0) | (F.col("c") < own)).groupBy(bucket).agg(
+    totals = counted.filter("c > 0").filter((F.col("word") == 0) | (F.col("c") < own)).groupBy(bucket).agg(
         F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).toPandas()  # at most ``buckets`` rows
     tokens, types = np.zeros(buckets), np.zeros(buckets)
     tokens[totals["bucket"]] = totals["tokens"]
     types[totals["bucket"]] = totals["types"]
     model = initial(np.concatenate((tokens, words["c"])), np.concatenate((types, np.ones(len(words)))), states, seed)
     model.own = words["word"].to_numpy(dtype=np.int64)
-    for part in [*range(slices), *[None] * passes]:
-        model = _estimate(spark, chunks, model, part, slices, sequence)
+    for part in [*range(len(slice_columns(chunks))), *[None] * passes]:
+        model = _estimate(spark, chunks, model, part, sequence)
     return model
 
 
-def score(chunks: DataFrame, counted: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
+def score(chunks: DataFrame, counted: DataFrame, model: Model, key: str = "doc_id", sequence: int = SEQUENCE) -> DataFrame:
     """Per document: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     kind = chunks.schema["keys"].dataType.elementType.simpleString()
     shared = chunks.sparkSession.sparkContext.broadcast(model)
+    slices = slice_columns(chunks)
 
     def run(left, right):
         import pyarrow as pa
@@ -332,26 +387,34 @@ def score(chunks: DataFrame, counted: DataFrame, model: Model, key: str = "doc_i
         place, elsewhere = right.column("place").to_numpy(), right.column("c").to_numpy()
         n, v = m.tokens.sum(), m.types.sum()
         share = m.tokens + m.types + 1.0
+        buckets = len(m.emit) - len(m.own)
         out = []
-        for row in left.to_pylist():  # one chunk
-            lengths = np.array(row["lengths"], dtype=np.int64)
+        for row in left.to_batches(max_chunksize=1):  # one chunk
+            of = lambda c: row.column(c).flatten().to_numpy(zero_copy_only=False)  # noqa: B023, E731
+            lengths, held = of("lengths").astype(np.int64), of("held")
             starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            by_place = np.array(row["counts"], dtype=np.float64)
+            classes = classes_of(of("words"), m)
+            by_place = of("counts").astype(np.float64)
             by_place[place] = elsewhere
-            tokens = unsqueezed(row["tokens"])
-            obs = classes_of(np.array(row["words"], dtype=np.int64), m)[tokens]
+            by_place = np.where(classes >= buckets, m.tokens[classes], by_place)  # words of their own
+            at, _ = _slice_of(lengths, held, len(slices), sequence)
+            tokens = np.empty(len(at), dtype=np.int64)
+            for i, c in enumerate([*slices, HELD]):
+                tokens[at == (i if c != HELD else -1)] = unsqueezed(row.column(c)[0].as_py())
+            obs = classes[tokens]
             c = by_place[tokens]
-            logs = np.add.reduceat(np.log10(c + 1), starts)
+            logs = np.add.reduceat(np.log10(by_place + 1)[tokens], starts)
             inside = logs - np.add.reduceat(np.log10(share)[obs], starts)
             out.append(pa.table([
-                pa.array(row["keys"], types.field("key").type), pa.array(row["held"], pa.bool_()), pa.array(lengths),
+                row.column("keys").flatten().cast(types.field("key").type), pa.array(held, pa.bool_()), pa.array(lengths),
                 pa.array(np.add.reduceat((c > 0).astype(np.int64), starts)), pa.array(np.full(len(lengths), int(n))),
                 pa.array(logs - lengths * np.log10(n + v + 1)),
                 pa.array(inside + log_likelihoods(obs, starts, lengths, m))], schema=types))
         return pa.concat_tables(out) if out else types.empty_table()
 
-    left = chunks.select("chunk", "keys", "lengths", "held", "tokens", "words", "counts")
-    out = left.groupBy("chunk").cogroup(counted.filter("c <> n").select("chunk", "place", "c").groupBy("chunk")).applyInArrow(
+    left = chunks.select("chunk", "keys", "lengths", "held", "words", "counts", *slices, HELD)
+    back = _returned(chunks, counted, model.own).withColumnRenamed("chunk", "of_chunk")
+    out = left.groupBy("chunk").cogroup(back.groupBy("of_chunk")).applyInArrow(
         trimmed_group(run), f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("key", key)
 

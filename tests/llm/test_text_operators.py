@@ -354,19 +354,36 @@ def test_near_duplicates_stage_keeps_one(spark):
 def test_frequent_words_have_classes_of_their_own(tiny_docs):
     """The model keeps its full size, and the table grows by the words with enough training tokens."""
     assert hmm.BUCKETS >= 32768 and hmm.SLICES >= 8
-    chunks = hmm.stage(hmm.encode(tiny_docs), "test-chunks")
+    chunks = hmm.stage(hmm.encode(tiny_docs, slices=2), "test-chunks")
     counted = hmm.stage(hmm.count_words(chunks), "test-counts")
-    frequent = {r["word"]: r["c"] for r in counted.filter("first and word <> 0 and c >= 50").collect()}
-    model = hmm.train(chunks, counted, buckets=64, slices=2, passes=1, own=50)
+    frequent = {r["word"]: r["c"] for r in counted.filter("word <> 0 and c >= 50").collect()}
+    model = hmm.train(chunks, counted, buckets=64, passes=1, own=50)
     assert len(frequent) > 5 and len(model.emit) == 64 + len(frequent) and list(model.own) == sorted(frequent)
     words = np.array([*frequent, 0, 12345], dtype=np.int64)
     classes = hmm.classes_of(words, model)
     assert len(set(classes[:-2])) == len(frequent) and classes[-2] == 0 and 0 < classes[-1] < 64
     assert [model.tokens[c] for c in classes[:-2]] == [frequent[w] for w in words[:-2]] and (model.types[64:] == 1).all()
-    assert model.tokens.sum() == counted.filter("first").groupBy().sum("c").first()[0]
+    assert model.tokens.sum() == counted.groupBy().sum("c").first()[0]
     assert all(math.isfinite(r["score"]) for r in hmm.score(chunks, counted, model).collect())
 
 
+def test_classes_of_their_own_are_bounded(spark, tiny_docs, monkeypatch):
+    """Beyond the bound fewer words have a class; all scores of the base stay, as counts are exact inside buckets."""
+    counted = spark.createDataFrame([(0, 900)] + [(i, i) for i in range(1, 101)], "word long, c long")
+    for most in (91, 81, 61, 21, 0):
+        least = hmm.least_own(counted, 10, most)
+        assert sum(i >= least for i in range(1, 101)) <= most and (least == 10 or sum(i >= least // 2 for i in range(1, 101)) > most)
+    chunks = hmm.stage(hmm.encode(tiny_docs, chunk_tokens=5000), "test-chunks")
+    counted = hmm.stage(hmm.count_words(chunks), "test-counts")
+    out = []
+    for most in (1 << 18, 3):
+        monkeypatch.setattr(hmm, "MOST_OWN", most)
+        model = hmm.train(chunks, counted, buckets=64, passes=1, own=20)
+        assert len(model.own) <= most
+        out.append({r["doc_id"]: (r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in hmm.score(chunks, counted, model).collect()})
+    assert out[0] == out[1]
+
+
 @pytest.mark.parametrize("kind, value", [
     ("phone", "555-123-4567"), ("phone", "555.123.4567"), ("phone", "+14155550123"), ("phone", "1-555-123-4567"), ("phone", "+1 4155550123"),
     ("date", "25/12/2020"), ("date", "2020/12/25"), ("date", "25-12-2020"), ("date", "12-25-2020"), ("date", "12/25/2020"),
