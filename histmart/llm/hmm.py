@@ -54,6 +54,7 @@ BUCKETS = 1 << 15
 OWN = 1 << 12  # training tokens from which a word is a class of its own
 MOST_OWN = 1 << 18  # such classes, which the driver and every task hold
 CHUNK_TOKENS = 1 << 20
+TASK_CHUNKS = 8  # chunks that a training task sums, where there are more than two tasks a core
 SEQUENCE = 512
 SLICES = 8
 PASSES = 2
@@ -188,14 +189,36 @@ def count_words(chunks: DataFrame) -> DataFrame:
     return _placed(chunks).groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def _returned(chunks: DataFrame, counted: DataFrame, own: np.ndarray) -> DataFrame:
-    """(chunk, place, c): the corpus counts of the chunks' words that differ from their chunk's, words of their own left out."""
+def _returned(chunks: DataFrame, counted: DataFrame, model: Model) -> DataFrame:
+    """(of_chunk, code): the corpus counts of the chunks' words that differ from their chunk's, as place * model.least + c.
+
+    Words of their own and the end are left out: their counts are in the model. The others' counts are below ``least``.
+    """
     spark = chunks.sparkSession
-    rows, rare = _placed(chunks), counted.filter("c > 0")
-    if len(own):
-        mine = F.broadcast(spark.createDataFrame([(int(w),) for w in own], "word long"))  # at most MOST_OWN rows
+    code = (F.col("place").cast("long") * model.least + F.col("n")).alias("code")
+    rows, rare = _placed(chunks).filter("word <> 0"), counted.filter("c > 0 and word <> 0")
+    if len(model.own):
+        mine = F.broadcast(spark.createDataFrame([(int(w),) for w in model.own], "word long"))  # at most MOST_OWN rows
         rows, rare = rows.join(mine, "word", "left_anti"), rare.join(mine, "word", "left_anti")
-    return rows.join(rare, "word").filter("c <> n").select("chunk", "place", "c")
+    n = F.pmod("code", F.lit(model.least))
+    return rows.select(F.col("chunk").alias("of_chunk"), "word", code).join(rare, "word").filter(F.col("c") != n).select(
+        "of_chunk", (F.col("code") - n + F.col("c")).alias("code"))
+
+
+def _classed(chunks: DataFrame, model) -> DataFrame:
+    """The chunks with ``classes`` in place of ``words`` (of the broadcast model)."""
+    keep = [c for c in chunks.columns if c != "words"]
+
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            words = b.column("words")
+            classes = pa.ListArray.from_arrays(words.offsets, pa.array(classes_of(words.values.to_numpy(), model.value)))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), classes], [*keep, "classes"])
+
+    fields = ", ".join(f"{c} {chunks.schema[c].dataType.simpleString()}" for c in keep)
+    return chunks.select(*keep, "words").mapInArrow(trimmed(run), f"{fields}, classes array<int>")
 
 
 @dataclass
@@ -206,6 +229,7 @@ class Model:
     tokens: np.ndarray      # (classes,) training tokens
     types: np.ndarray       # (classes,) distinct training words
     own: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.int64))  # sorted hashes of the last classes
+    least: int = OWN        # training tokens of a word from which it is one of them
 
     @property
     def prior(self) -> np.ndarray:
@@ -287,7 +311,7 @@ def updated(model: Model, start: np.ndarray, moves: np.ndarray, counts: np.ndarr
     """M-step with a small prior, so that every bucket can be emitted and every state left."""
     emit = counts + prior_tokens * model.prior[:, None]
     moves, start = moves + 1.0, start + 1.0
-    return Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0), model.tokens, model.types, model.own)
+    return Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0), model.tokens, model.types, model.own, model.least)
 
 
 def _sequences(lengths: np.ndarray, held: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -366,7 +390,10 @@ def train(chunks: DataFrame, counted: DataFrame, states: int = STATES, buckets:
     tokens[totals["bucket"]] = totals["tokens"]
     types[totals["bucket"]] = totals["types"]
     model = initial(np.concatenate((tokens, words["c"])), np.concatenate((types, np.ones(len(words)))), states, seed)
-    model.own = words["word"].to_numpy(dtype=np.int64)
+    model.own, model.least = words["word"].to_numpy(dtype=np.int64), own
+    # tasks of some chunks each: every task sends one row per class
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-chunks.count() // TASK_CHUNKS))
+    chunks = chunks.coalesce(tasks)
     for part in [*range(len(slice_columns(chunks))), *[None] * passes]:
         model = _estimate(spark, chunks, model, part, sequence)
     return model
@@ -384,7 +411,7 @@ def score(chunks: DataFrame, counted: DataFrame, model: Model, key: str = "doc_i
         m = shared.value
         types = pa.schema([("key", left.schema.field("keys").type.value_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                            ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-        place, elsewhere = right.column("place").to_numpy(), right.column("c").to_numpy()
+        place, elsewhere = np.divmod(right.column("code").to_numpy(), m.least)
         n, v = m.tokens.sum(), m.types.sum()
         share = m.tokens + m.types + 1.0
         buckets = len(m.emit) - len(m.own)
@@ -393,10 +420,11 @@ def score(chunks: DataFrame, counted: DataFrame, model: Model, key: str = "doc_i
             of = lambda c: row.column(c).flatten().to_numpy(zero_copy_only=False)  # noqa: B023, E731
             lengths, held = of("lengths").astype(np.int64), of("held")
             starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            classes = classes_of(of("words"), m)
+            classes = of("classes")
             by_place = of("counts").astype(np.float64)
             by_place[place] = elsewhere
-            by_place = np.where(classes >= buckets, m.tokens[classes], by_place)  # words of their own
+            # words of their own, and the end, which is a bucket of its own
+            by_place = np.where((classes >= buckets) | (classes == 0), m.tokens[classes], by_place)
             at, _ = _slice_of(lengths, held, len(slices), sequence)
             tokens = np.empty(len(at), dtype=np.int64)
             for i, c in enumerate([*slices, HELD]):
@@ -412,8 +440,7 @@ def score(chunks: DataFrame, counted: DataFrame, model: Model, key: str = "doc_i
                 pa.array(inside + log_likelihoods(obs, starts, lengths, m))], schema=types))
         return pa.concat_tables(out) if out else types.empty_table()
 
-    left = chunks.select("chunk", "keys", "lengths", "held", "words", "counts", *slices, HELD)
-    back = _returned(chunks, counted, model.own).withColumnRenamed("chunk", "of_chunk")
+    left, back = _classed(chunks, shared), _returned(chunks, counted, model)
     out = left.groupBy("chunk").cogroup(back.groupBy("of_chunk")).applyInArrow(
         trimmed_group(run), f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("key", key)
