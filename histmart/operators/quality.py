@@ -8,13 +8,15 @@ plain write and counting them is a distributed count.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histmart.functions.keys import surrogate_key, NULL_TOKEN
+from histmart.sources.sink import replace_table, table_exists
 
 
 @dataclass(frozen=True)
@@ -133,7 +135,82 @@ def check_summary(spark, checks: Sequence[Check], severity: str = "warn") -> Dat
     return out.withColumn("status", status)
 
 
-def store_failures(checks: Sequence[Check], root: str, mode: str = "overwrite") -> None:
-    """Write each check's failing rows to ``root/<check name>`` (warn, go on)."""
+@dataclass(frozen=True)
+class DataTest:
+    """A declared check of one table. ``kind``: not_null, unique, accepted_values (``arg``: the values), relationships
+    (``arg``: parent table and column), expression (``arg``: must not be false) or failing (``arg``: must not be true)."""
+    name: str
+    table: str
+    kind: str
+    column: str | None = None
+    arg: object = None
+
+    def failures(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        """The failing rows."""
+        df = tables[self.table]
+        if self.kind == "relationships":
+            return relationships(df, self.column, tables[self.arg[0]], self.arg[1])
+        if self.kind in ("not_null", "unique"):
+            return (not_null if self.kind == "not_null" else unique)(df, self.column)
+        if self.kind == "accepted_values":
+            return accepted_values(df, self.column, self.arg)
+        return (expression_is_true if self.kind == "expression" else failing_rows)(df, self.arg)
+
+    def _fails(self) -> Column:
+        """Row checks: whether the row fails."""
+        if self.kind == "not_null":
+            return F.col(self.column).isNull()
+        if self.kind == "accepted_values":
+            return F.col(self.column).isNotNull() & ~F.col(self.column).isin(list(self.arg))
+        return ~F.expr(self.arg) if self.kind == "expression" else F.expr(self.arg)
+
+    def entries(self) -> dict[str, list[Column]]:
+        """Table -> what each of its rows contributes: (check, key, whether it is a parent's row), or NULL."""
+        def entry(when, key, parent):
+            return F.when(when, F.struct(F.lit(self.name).alias("check_name"), key.cast("string").alias("key"), F.lit(parent).alias("parent")))
+        if self.kind not in ("unique", "relationships"):
+            return {self.table: [entry(self._fails(), F.lit(None), False)]}
+        out = {self.table: [entry(F.col(self.column).isNotNull(), F.col(self.column), False)]}
+        if self.kind == "relationships":
+            out.setdefault(self.arg[0], []).append(entry(F.col(self.arg[1]).isNotNull(), F.col(self.arg[1]), True))
+        return out
+
+
+def summarise(spark, tables: Mapping[str, DataFrame], tests: Sequence[DataTest], severity: str = "warn") -> DataFrame:
+    """One row per test: check_name, failures and status, as ``check_summary`` gives, from one scan of each table.
+
+    Every row yields an entry for each row check that it fails and for each key
+    that a test counts; entries are summed by (check, key) in the map tasks and
+    once after one shuffle. A unique test fails for a key with two rows, a
+    relationship for the child rows of a key without a parent's row.
+    """
+    by_table: dict[str, list[Column]] = {}
+    for t in tests:
+        for table, entries in t.entries().items():
+            by_table.setdefault(table, []).extend(entries)
+    parts = [tables[t].select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*") for t, entries in by_table.items()]
+    keys = reduce(DataFrame.unionByName, parts).groupBy("check_name", "key").agg(
+        F.count_if(~F.col("parent")).alias("rows"), F.count_if("parent").alias("parents"))
+    kinds = spark.createDataFrame([(t.name, t.kind) for t in tests], "check_name string, kind string")
+    bad = (F.when(F.col("kind") == "unique", (F.col("rows") > 1).cast("long"))
+           .when(F.col("kind") == "relationships", F.when(F.col("parents") == 0, F.col("rows")))
+           .otherwise(F.col("rows")))
+    found = kinds.join(keys, "check_name", "left").groupBy("check_name").agg(F.coalesce(F.sum(bad), F.lit(0)).alias("failures"))
+    status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit(severity))
+    return found.withColumn("status", status)
+
+
+def store_failures(checks: Sequence[Check], root: str, run_id: str | None = None, passed: Sequence[str] = ()) -> None:
+    """Replace each check's stored rows by its failing rows (``root/<check name>``; warn, go on), with ``run_id`` where given.
+
+    The stored rows of the checks that ``passed`` are emptied, so the store holds the failures of the last run.
+    """
     for ch in checks:
-        ch.failures.write.mode(mode).parquet(f"{root}/{ch.name}")
+        rows = ch.failures if run_id is None else ch.failures.withColumn("run_id", F.lit(run_id))
+        replace_table(rows, f"{root}/{ch.name}")
+    for name in passed:
+        spark, path = SparkSession.active(), f"{root}/{name}"
+        if table_exists(spark, path):
+            old = spark.read.parquet(path)
+            if not old.isEmpty():
+                replace_table(old.limit(0), path)

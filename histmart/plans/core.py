@@ -9,7 +9,7 @@ from histmart.functions import surrogate_key
 from histmart.operators import (
     first_by_value, flatten, last_of_day, latest_per_key, left_enrich_latest, previous_in_array,
 )
-from histmart.plans.stg import PRODUCT_ATTRS
+from histmart.plans.stg import ORDERS, PRODUCT_ATTRS, desc
 
 
 def _date_text(c="date"):
@@ -56,13 +56,26 @@ def core_buybox_daily(stg_buybox: DataFrame) -> DataFrame:
     return first_by_value(b, ["asin", "date"], ["seller_id"]).select("asin", "date", "seller_id")
 
 
-def core_offer_enriched(stg_offer_price: DataFrame, stg_offer_metadata: DataFrame) -> DataFrame:
-    """Offer price points with the newest metadata of their offer."""
-    price = stg_offer_price.select("asin", "offer_id", F.col("snapshot_ts").cast("date").alias("date"),
-                                   "price")
-    meta_cols = ["seller_id", "is_prime", "is_map", "condition_code", "shipping_dollars"]
-    return left_enrich_latest(price, stg_offer_metadata, ["asin", "offer_id"], [("ingest_ts", "desc")],
-                              tie_break=[("stg_offer_meta_id", "desc")], dim_cols=meta_cols)
+META_COLS = ("seller_id", "is_prime", "is_map", "condition_code", "shipping_dollars")
+
+
+def core_offer_enriched(stg_offer_price: DataFrame, stg_offer_metadata: DataFrame, hidden: bool = False) -> DataFrame:
+    """Offer price points with the newest metadata of their offer. ``hidden`` keeps the point's time for merges."""
+    price = stg_offer_price.select("asin", "offer_id", F.col("snapshot_ts").cast("date").alias("date"), "price",
+                                   *([F.col("snapshot_ts").alias("_o_snapshot_ts")] if hidden else []))
+    out = left_enrich_latest(price, stg_offer_metadata, ["asin", "offer_id"], [("ingest_ts", "desc")],
+                             tie_break=[("stg_offer_meta_id", "desc")], dim_cols=META_COLS)
+    return out.select("asin", "offer_id", "date", "price", *META_COLS, *(["_o_snapshot_ts"] if hidden else []))
+
+
+def core_offer_meta_latest(stg_offer_metadata: DataFrame) -> DataFrame:
+    """The newest metadata of each offer."""
+    return latest_per_key(stg_offer_metadata, ["asin", "offer_id"], desc(META_ORDER)).select(
+        "asin", "offer_id", *META_COLS, "stg_offer_meta_id", "ingest_ts")
+
+
+# Its total order: the newest load, and within a load the one of the staged table.
+META_ORDER = ("ingest_ts", *ORDERS["stg_offer_metadata"])
 
 
 def core_category_hierarchy(stg_category_tree: DataFrame) -> DataFrame:

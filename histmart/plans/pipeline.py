@@ -13,12 +13,14 @@ day folder, or one micro-batch of the raw stream) of any load dates, and:
    full run; order columns that a model does not show are kept as ``_o_*``;
 3. re-aggregates what depends on several loads from the published tables, only
    where the increment touched them: review points per (asin, minute), day
-   rows per (keys, date), quarantines per month;
+   rows per (keys, date), the enriched points of touched offers, quarantines
+   per month or bucket;
 4. rebuilds the dimension tables and the table-materialised core models from
    the published tables (their size is bounded by products, sellers and
    categories, or they are full-rebuild tables in the warehouse);
-5. runs the declared checks on the published tables, stores failing rows
-   under MONITORING, and keeps one run-monitoring row per run id.
+5. runs the declared checks on the published tables, one scan a table, stores
+   the run's failing rows under MONITORING (a check that passes is emptied),
+   and keeps one run-monitoring row per run id.
 
 ``full_refresh=True`` replaces every table by the given raw rows. Staged
 tables are deleted when the run ends.
@@ -32,20 +34,22 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from histmart.functions import minutes_to_ts
-from histmart.operators.quality import Check, check_summary, store_failures
+from histmart.operators.quality import Check, store_failures, summarise
 from histmart.plans import bad, core, marts, stg
-from histmart.plans.models import model_checks
+from histmart.plans.models import TESTS
 from histmart.session import shared_path
 from histmart.sources.files import Folder
 from histmart.sources.sink import (
-    create_view, high_water, increment_filter, layer_path, overwrite, replace_partitions, same, table_exists, upsert,
+    BUCKET, bucket_column, create_view, high_water, increment_filter, key_bucket, layer_path, overwrite, replace_partitions,
+    replace_table, same, table_exists, upsert,
 )
 
 PART = "_month"
+BUCKETS = 16
 MERGE_KEY = "_merge_key"
 
 
@@ -53,17 +57,20 @@ MERGE_KEY = "_merge_key"
 class Merged:
     """A table merged by ``key``; ``order`` () means the increment is recomputed truth for its keys.
 
-    ``month_of`` names the key column whose month partitions the table, so a
-    key never changes partition and a merge rewrites only the months touched.
+    ``month_of`` names the key column whose month partitions the table; a table
+    without a time in its key has ``bucket_of``, the key columns whose hash
+    bucket does. So a key never changes partition and a merge rewrites only the
+    months or buckets touched.
     """
     layer: str
     key: tuple[str, ...]
     order: tuple = ()
     month_of: str | None = None
+    bucket_of: tuple[str, ...] = ()
 
 
 def _staged(name: str, *key: str, month_of: str | None = None) -> Merged:
-    return Merged("stg", key, tuple(stg.desc(stg.ORDERS[name])), month_of)
+    return Merged("stg", key, tuple(stg.desc(stg.ORDERS[name])), month_of, () if month_of else ("asin",))
 
 
 MERGED: dict[str, Merged] = {
@@ -88,14 +95,17 @@ MERGED: dict[str, Merged] = {
     "core_rank_daily": Merged("core", ("asin", "date"), (), "date"),
     "core_reviews_daily": Merged("core", ("asin", "date"), (), "date"),
     "core_offer_price_daily": Merged("core", ("asin", "offer_id", "date"), (), "date"),
-    "core_product_latest": Merged("core", ("asin",), tuple((c, "desc") for c in core.PRODUCT_ORDER)),
+    "core_product_latest": Merged("core", ("asin",), tuple(stg.desc(core.PRODUCT_ORDER)), None, ("asin",)),
+    "core_offer_meta_latest": Merged("core", ("asin", "offer_id"), tuple(stg.desc(core.META_ORDER)), None, ("asin",)),
+    # a key for merges: the table shows a point's date alone
+    "core_offer_enriched": Merged("core", ("asin", "offer_id", "_o_snapshot_ts"), (), None, ("asin",)),
     "fct_price_history_daily": Merged("mart", ("asin", "price_channel", "date"), (), "date"),
     "fct_rank_history_daily": Merged("mart", ("asin", "date"), (), "date"),
     "fct_review_history_daily": Merged("mart", ("asin", "date"), (), "date"),
     "fct_offer_price_daily": Merged("mart", ("asin", "offer_id", "date"), (), "date"),
 }
 
-# Quarantines: (source table, rule function); one partition per source month, or the whole table.
+# Quarantines: (source table, rule function), partitioned as their source.
 QUARANTINES = {
     "stg_base__bad": ("stg_base", bad.base_bad),
     "stg_price__bad": ("stg_price", bad.price_bad),
@@ -115,7 +125,7 @@ DAILY = {
 
 # Tables rebuilt from published tables each run.
 REBUILT = {
-    "core_buybox_daily": "core", "core_offer_enriched": "core", "core_category_hierarchy": "core",
+    "core_buybox_daily": "core", "core_category_hierarchy": "core",
     "core_product_categories": "core", "core_product_enriched": "core",
     "core_sales_estimate_monthly": "core", "dim_product": "mart", "dim_product_enriched": "mart",
     "dim_category": "mart", "dim_product_category": "mart", "dim_seller": "mart",
@@ -139,7 +149,7 @@ def _path(root: str, name: str) -> str:
 
 def shown(df: DataFrame) -> DataFrame:
     """A published table without its partition and order columns."""
-    return df.drop(*[c for c in df.columns if c in (PART, MERGE_KEY, "_content") or c.startswith("_o_")])
+    return df.drop(*[c for c in df.columns if c in (PART, MERGE_KEY, "_content") or c.startswith(("_o_", BUCKET))])
 
 
 def _parallel(jobs: dict, workers: int) -> dict:
@@ -153,7 +163,7 @@ def _parallel(jobs: dict, workers: int) -> dict:
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: bool = False,
                  strict_watermark: bool = False, strict_event_date: bool = False, run_id: str | None = None,
-                 workers: int = 4) -> dict:
+                 workers: int = 4, buckets: int = BUCKETS) -> dict:
     """Publish all models from the ``raw`` rows. Returns run metrics.
 
     ``strict_watermark`` skips rows whose load date is not past the published
@@ -161,6 +171,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
     their own last one (both are the warehouse's marks, which drop late rows;
     default: off). Models of one layer that do not read each other are
     published concurrently (``workers`` driver threads, one session).
+    ``buckets``: of new tables that are partitioned by a hash of the product
+    (an increment rewrites the buckets of its products, so many buckets suit
+    tables of many products); existing tables keep theirs.
     """
     t0 = time.time()
     run_id = run_id or uuid.uuid4().hex
@@ -190,20 +203,31 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
         base = base.filter(increment_filter("ingest_ts", mark, "strict", as_date=True))
     b = write_stage("stg_base", base)
 
+    def dealt(name: str) -> tuple[str, Column]:
+        """Partition column of a merged table and its value for a row."""
+        spec = MERGED[name]
+        if spec.month_of:
+            return PART, _month_of(spec.month_of)
+        part, n = bucket_column(spark, _path(root, name), buckets) if not full_refresh else (f"{BUCKET}{buckets}", buckets)
+        return part, key_bucket(spec.bucket_of, n)
+
+    def folders(part: str, rows: DataFrame) -> list[str]:
+        """The partitions of ``rows`` (collected: one short value each)."""
+        return [f"{part}={r[0]}" for r in rows.select(part).filter(F.col(part).isNotNull()).distinct().collect()]
+
     def merge(name: str, df: DataFrame, staged: bool = False) -> DataFrame:
         """Merge the increment by key; returns its staged rows (on a full refresh the published ones)."""
         t = time.time()
         spec = MERGED[name]
-        out = df
-        if spec.month_of:
-            out = out.withColumn(PART, _month_of(spec.month_of))
+        part, place = dealt(name)
+        out = df.withColumn(part, place)
         schemas[name] = out.schema
         if full_refresh:
             o = Observation(name)
             out = out.observe(o, F.count(F.lit(1)).alias("rows"))
         elif not staged:
             out = write_stage(name, out)
-        upsert(spark, out, _path(root, name), spec.key, partition_by=[PART] if spec.month_of else None,
+        upsert(spark, out, _path(root, name), spec.key, partition_by=[part],
                order=list(spec.order) if name == "stg_base" or not full_refresh else None, full_refresh=full_refresh,
                unique_source=True, null_keys="match", fixed_partition=True)
         if full_refresh:
@@ -228,6 +252,36 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
         "stg_reviews_rating_pts": lambda: r_inc, "stg_reviews_count_pts": lambda: c_inc,
     }
     inc = _parallel({n: (lambda n=n, f=f: merge(n, f())) for n, f in first.items()}, workers)
+    merge("core_offer_meta_latest", core.core_offer_meta_latest(inc["stg_offer_metadata"]))
+
+    # price points of the offers that the increment holds, with their newest metadata: the points that the table
+    # has already, but for those merged now, which come as they are published
+    def enrich() -> None:
+        name, group = "core_offer_enriched", ["asin", "offer_id"]
+        t, path, o = time.time(), _path(root, name), Observation(name)
+        (part, place), meta = dealt(name), published("core_offer_meta_latest")
+        if full_refresh or not table_exists(spark, path, meta.schema):
+            out = core.core_offer_enriched(published("stg_offer_price"), meta, hidden=True).withColumn(part, place)
+            schemas[name] = out.schema
+            replace_table(out.observe(o, F.count(F.lit(1)).alias("rows")), path, [part])
+        else:
+            offers = inc["stg_offer_price"].select(*group).union(inc["stg_offer_metadata"].select(*group)).distinct().withColumn(part, place)
+            offers = write_stage("offers", offers)
+            changed = inc["stg_offer_price"].select(*group, "snapshot_ts", PART).distinct()
+            new = published("stg_offer_price").alias("t").join(changed.alias("k"), same("t", "k", [*group, "snapshot_ts", PART]), "left_semi")
+            schemas[name] = core.core_offer_enriched(new, meta, hidden=True).withColumn(part, place).schema
+            old = published(name).alias("t").join(offers.select(part).distinct().alias("k"), same("t", "k", [part]), "left_semi")
+            ours = lambda how: old.alias("t").join(offers.alias("k"), same("t", "k", [*group, part]), how)
+            points = ours("left_semi").select(*group, F.col("_o_snapshot_ts").alias("snapshot_ts"), "price")
+            points = points.alias("t").join(changed.alias("k"), same("t", "k", [*group, "snapshot_ts"]), "left_anti").unionByName(
+                new.select(*points.columns))
+            at = dealt("core_offer_meta_latest")
+            mine = meta.alias("t").join(offers.select(*group, at[1].alias(at[0])).alias("k"), same("t", "k", [*group, at[0]]), "left_semi")
+            out = core.core_offer_enriched(points, mine, hidden=True).withColumn(part, place).observe(o, F.count(F.lit(1)).alias("rows"))
+            replace_partitions(ours("left_anti").unionByName(out), path, [part], folders(part, offers))
+            rows.pop("offers")
+        rows[name] = o.get.get("rows", 0)
+        steps[name] = time.time() - t
 
     # 3. review points of the touched (asin, minute), joined again from both published series
     keys = ["asin", "series_min", PART]
@@ -252,29 +306,26 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
         rows_ = merge(name, getattr(core, name)(points.drop(PART)))
         merge(fact, getattr(marts, fact)(rows_))
 
-    # quarantines of the touched months (a row repaired by a newer load leaves its quarantine)
+    # quarantines of the touched months and buckets (a row repaired by a newer load leaves its quarantine)
     def set_aside(name: str) -> None:
         t = time.time()
         source, rules = QUARANTINES[name]
         points, path, o = published(source), _path(root, name), Observation(name)
-        month = MERGED[source].month_of
-        if month and not full_refresh:
-            months = inc[source].select(PART).distinct() if source in inc else b.select(_month_of(month).alias(PART)).distinct()
-            points = points.alias("t").join(months.alias("k"), same("t", "k", [PART]), "left_semi")
-        out = rules(points)
-        if month:
-            out = out.withColumn(PART, _month_of(month))
+        part, place = dealt(source)
+        out = rules(points).withColumn(part, place)
         schemas[name] = out.schema
-        out = out.observe(o, F.count(F.lit(1)).alias("rows"))
-        if month and not full_refresh and table_exists(spark, path, schemas[name]):
-            replace_partitions(out, path, [PART], [f"{PART}={r[0]}" for r in months.filter(F.col(PART).isNotNull()).collect()])
+        if not full_refresh and table_exists(spark, path, schemas[name]):
+            touched = inc[source].select(part).distinct()
+            points = points.alias("t").join(touched.alias("k"), same("t", "k", [part]), "left_semi")
+            out = rules(points).withColumn(part, place).observe(o, F.count(F.lit(1)).alias("rows"))
+            replace_partitions(out, path, [part], folders(part, touched))
         else:
-            overwrite(out, path, [PART] if month else None)
+            overwrite(out.observe(o, F.count(F.lit(1)).alias("rows")), path, [part])
         rows[name] = o.get.get("rows", 0)
         steps[name] = time.time() - t
 
     inc["stg_base"] = b.withColumn(PART, _month_of("ingest_ts"))
-    _parallel({**{n: (lambda n=n: daily(n)) for n in DAILY}, **{n: (lambda n=n: set_aside(n)) for n in QUARANTINES}}, workers)
+    _parallel({"core_offer_enriched": enrich, **{n: (lambda n=n: daily(n)) for n in DAILY}, **{n: (lambda n=n: set_aside(n)) for n in QUARANTINES}}, workers)
 
     # 4. rebuilt tables, from published tables
     def rebuild(name: str, df: DataFrame) -> None:
@@ -287,8 +338,6 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
 
     _parallel({
         "core_buybox_daily": lambda: rebuild("core_buybox_daily", core.core_buybox_daily(read("stg_buybox_history"))),
-        "core_offer_enriched": lambda: rebuild("core_offer_enriched", core.core_offer_enriched(
-            read("stg_offer_price"), read("stg_offer_metadata"))),
         "core_category_hierarchy": lambda: rebuild("core_category_hierarchy",
                                                    core.core_category_hierarchy(read("stg_category_tree"))),
         "core_product_categories": lambda: rebuild("core_product_categories",
@@ -319,10 +368,10 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
     # 5. checks on the published tables, failures stored, one monitoring row
     t = time.time()
     tables = {name: read(name) for name in [*MERGED, *QUARANTINES, *REBUILT]}
-    checks: list[Check] = model_checks(tables)
-    summary = check_summary(spark, checks).collect()  # one small row per check
+    summary = summarise(spark, tables, TESTS).collect()  # one small row per test
     failing = {r["check_name"] for r in summary if r["failures"] > 0}
-    store_failures([c for c in checks if c.name in failing], layer_path(root, "monitoring", "test_failures"))
+    store_failures([Check(x.name, x.failures(tables)) for x in TESTS if x.name in failing], layer_path(root, "monitoring", "test_failures"),
+                   run_id, [x.name for x in TESTS if x.name not in failing])
     steps["checks"] = time.time() - t
     failed = sum(1 for r in summary if r["failures"] > 0)
     status = "success" if failed == 0 else "success_with_warnings"

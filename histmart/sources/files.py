@@ -1,4 +1,8 @@
-"""Renames and deletes on the file system that holds a table (through Hadoop's API, so any store works)."""
+"""Renames and deletes on the file system that holds a table, through Hadoop's API.
+
+A rename is atomic on HDFS and local disks. On object stores it is a copy file
+by file, so a crash in the middle of one can leave a folder in two places.
+"""
 
 from __future__ import annotations
 
@@ -23,6 +27,17 @@ class Folder:
     def is_dir(self) -> bool:
         return self.exists() and self.fs.getFileStatus(self.path).isDirectory()
 
+    def has_files(self) -> bool:
+        """True where the folder holds a data file at any depth (or is a file itself)."""
+        if not self.exists():
+            return False
+        files, top = self.fs.listFiles(self.path, True), self.fs.getFileStatus(self.path).getPath().toString()
+        while files.hasNext():
+            below = files.next().getPath().toString()[len(top):].strip("/").split("/")
+            if not any(x.startswith(".") or (x.startswith("_") and "=" not in x) for x in below):
+                return True
+        return False
+
     def delete(self, child: str = "") -> None:
         self.fs.delete(self._of(child), True)
 
@@ -32,6 +47,9 @@ class Folder:
         if not self.fs.rename(self._of(child), destination):
             raise OSError(f"cannot rename {self._of(child)} to {destination}")
 
+    def children(self) -> list[str]:
+        return [x.getPath().getName() for x in self.fs.listStatus(self.path)]
+
     def leaves(self, below: str = "") -> list[str]:
         """Relative partition folders (``a=1/b=2``) that hold files."""
         out: list[str] = []

@@ -9,6 +9,8 @@ source is recomputed truth and replaces what it matches.
 
 Every write goes beside the table first and is then moved into place, whole
 tables by two renames and partitioned tables one partition folder at a time.
+A table without a time in its key is partitioned by a hash bucket of key
+columns (``key_bucket``), so a merge rewrites the buckets that it touches.
 A crash before the moves leaves the table as it was. Between the two renames
 of a whole table the old one stands as ``<path>.__old`` and is put back by the
 next access through this module; between partition moves every partition is
@@ -41,19 +43,37 @@ def layer_path(root: str, layer: str, model: str) -> str:
 
 
 def table_exists(spark: SparkSession, path: str, schema=None) -> bool:
-    """True when ``path`` holds a table.
+    """True when ``path`` holds a table. Only the file system is asked, and its errors rise: a read that fails is no
+    missing table.
 
     With a known ``schema`` nothing is inferred, so an existing empty table
     (a folder without data files) counts as present; without one it counts
     as absent.
     """
     recover(spark, path)
-    try:
-        r = spark.read if schema is None else spark.read.schema(schema)
-        r.parquet(path).schema  # noqa: B018 - resolves the file listing only
-        return True
-    except Exception:  # AnalysisException: path does not exist / no data files
-        return False
+    folder = Folder(spark, path)
+    return folder.exists() if schema is not None else folder.has_files()
+
+
+BUCKET = "_bucket"
+
+
+def bucket_column(spark: SparkSession, path: str, buckets: int) -> tuple[str, int]:
+    """Name of the bucket column of the table at ``path`` and its number of buckets.
+
+    The name carries the number (``_bucket64``), so an existing table keeps the
+    number that its rows were dealt by, whatever is asked for now.
+    """
+    recover(spark, path)
+    folder = Folder(spark, path)
+    names = [x.split("=")[0] for x in folder.children() if x.startswith(BUCKET) and "=" in x] if folder.exists() else []
+    name = names[0] if names else f"{BUCKET}{buckets}"
+    return name, int(name.removeprefix(BUCKET))
+
+
+def key_bucket(columns: Sequence[str], buckets: int) -> Column:
+    """Bucket of a row by a hash of key columns (NULL is a value), the same in every run."""
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:
@@ -88,6 +108,9 @@ overwrite = replace_table
 
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str] | None) -> None:
+    buckets = [c for c in partition_by or [] if c.startswith(BUCKET)]
+    if buckets:  # rows of a bucket together; adaptive execution splits large buckets and joins small ones
+        df = df.hint("rebalance", *[F.col(c) for c in buckets])
     w = df.write.mode("errorifexists")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
