@@ -1,4 +1,4 @@
-"""Lateral flatten (G1-G3, U2): positional explode, inner or outer."""
+"""Lateral flatten (G1-G3, U2, J4): positional explode of arrays and VARIANTs, inner or outer."""
 
 from __future__ import annotations
 
@@ -25,6 +25,23 @@ def flatten(df: DataFrame, arr, keep: Sequence[str] | None = None, outer: bool =
     return df.select(*keep, gen(_col(arr)).alias(index, value))
 
 
+def flatten_variant(df: DataFrame, value: str, path: str = "$", keep: Sequence[str] | None = None, outer: bool = False,
+                    index: str = "index", key: str = "key", out: str = "value") -> DataFrame:
+    """One row per element (or field) of the VARIANT at ``path`` of column ``value``, by a lateral join with
+    ``variant_explode``: its position, its field name (NULL in an array) and its VARIANT.
+
+    outer=True keeps rows without any element, with NULLs; a path that leads nowhere has none. A JSON null and a scalar
+    have no elements. The elements stay VARIANT, so they are flattened further or read path by path.
+    """
+    keep = list(keep) if keep is not None else [c for c in df.columns if c != value]
+    inner = F.try_variant_get(F.col(value), path, "variant") if path != "$" else F.col(value)
+    rows = df.select(*keep, inner.alias("_v"))
+    tvf = df.sparkSession.tvf
+    elements = (tvf.variant_explode_outer if outer else tvf.variant_explode)(F.col("_v").outer())
+    found = rows.lateralJoin(elements.toDF("_at", "_key", "_value"))
+    return found.select(*keep, F.col("_at").alias(index), F.col("_key").alias(key), F.col("_value").alias(out))
+
+
 def _asset_maker(tag, target, targets, type_name, idx_name):
     def one(x, i):
         return F.struct(

@@ -39,7 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histmart.functions import ts_to_minutes
-from histmart.sources import spread, table
+from histmart.session import shared_path
+from histmart.sources import read_ndjson, spread, table
 
 
 def _bigint(c):
@@ -158,3 +159,15 @@ def odd_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     offer = offer.withField("offerId", F.when(offer["shipping"] != 0, offer["offerId"])).withField(
         "offerCSV", F.when(line == "6", F.lit("")).otherwise(offer["offerCSV"]))
     return feed.withColumn("offers", F.array(offer)).withColumn("asin", F.when(line != "7", F.col("asin")))
+
+
+def ndjson_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed written as nested gzip NDJSON and loaded again: RAW rows with a VARIANT payload, dated by their extraction."""
+    feed = product_feed(spark, sf_dir)
+    data = [c for c in feed.columns if c not in ("_airbyte_raw_id", "_airbyte_extracted_at", "ingest_dt")]
+    path = shared_path(spark, "ndjson-feed")
+    feed.select(F.to_json(F.struct("_airbyte_raw_id", "_airbyte_extracted_at", F.struct(*data).alias("_airbyte_data"))).alias("value")).write.option(
+        "compression", "gzip").text(path)
+    raw, _ = read_ndjson(spark, path, pattern=r"(?i).*\.txt\.gz$")
+    day = F.try_variant_get("payload", "$._airbyte_extracted_at", "timestamp").cast("date")
+    return raw.select("payload", "file_name", "file_modified", day.alias("ingest_dt"))

@@ -329,6 +329,16 @@ FINAL: dict[str, str] = {
     "core_product_enriched": "SELECT asin, title, brand, manufacturer, binding, color, product_group, product_type_id, "
                              "website_display_group, website_display_group_name FROM product_latest",
     "core_sales_estimate_monthly": "SELECT asin, sales_month, est_units_sold FROM stg_sales",
+    "core_reviews_daily": "SELECT md5(asin || '|' || CAST(date AS VARCHAR)) AS pk, asin, date, rating, review_count, ingest_ts FROM ("
+                          "SELECT *, CAST(snapshot_ts AS DATE) AS date, row_number() OVER (PARTITION BY asin, CAST(snapshot_ts AS DATE) "
+                          "ORDER BY ingest_ts DESC NULLS FIRST, snapshot_ts DESC NULLS FIRST) AS rn FROM stg_reviews) WHERE rn = 1",
+    "core_offer_price_daily": "SELECT md5(asin || '|' || offer_id || '|' || CAST(date AS VARCHAR)) AS pk, asin, offer_id, date, price, ingest_ts "
+                              "FROM (SELECT *, CAST(snapshot_ts AS DATE) AS date, row_number() OVER (PARTITION BY asin, offer_id, "
+                              "CAST(snapshot_ts AS DATE) ORDER BY ingest_ts DESC NULLS FIRST, snapshot_ts DESC NULLS FIRST) AS rn "
+                              "FROM stg_offer_price) WHERE rn = 1",
+    "core_product_latest": "SELECT asin, brand, binding, color, website_display_group, website_display_group_name, "
+                           "'[{\"catId\":' || length(p_type) || ',\"name\":\"' || p_type || '\"},{\"catId\":' || (100 + p_size) || "
+                           "',\"name\":\"' || p_type || '/' || p_size || '\"}]' AS category_tree_v FROM product_latest",
     "stg_videos": "SELECT * FROM stg_videos",
     "stg_aplus_module": "SELECT * FROM stg_aplus_module",
     "stg_offer_metadata": "SELECT * FROM stg_offer_metadata",
@@ -350,6 +360,19 @@ ODD = (
 )
 
 
+# Quarantines with their kept columns: (CTE, the head that the roll-up selects, the columns).
+ODD_BAD = {
+    "stg_price__bad": ("bad_price", "SELECT 'price' AS table_name, asin, snapshot_ts, ingest_ts,",
+                       "asin, price_channel, snapshot_ts, price, was_sentinel, ingest_ts"),
+    "stg_reviews__bad": ("bad_reviews", "SELECT 'reviews' AS table_name, asin, snapshot_ts, ingest_ts,",
+                         "asin, snapshot_ts, rating, review_count, ingest_ts"),
+    "stg_offers__bad": ("bad_offers", "SELECT 'offers' AS table_name, asin, CAST(NULL AS TIMESTAMP) AS snapshot_ts, ingest_ts,",
+                        "asin, offer_id, seller_id, offer_csv_raw, ingest_ts"),
+    "stg_aplus_module__bad": ("bad_aplus", "SELECT 'aplus' AS table_name, asin, CAST(NULL AS TIMESTAMP) AS snapshot_ts, ingest_ts,",
+                              "asin, aplus_idx, module_idx, asset_count, ingest_ts"),
+}
+
+
 def _with(ctes) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in ctes)
 
@@ -360,5 +383,11 @@ def feed_oracles() -> dict[str, str]:
     for name, plain, other in ODD:
         assert plain in odd[name], (name, plain)
         odd[name] = odd[name].replace(plain, other)
+    out.update({f"ndjson_{k}": out[k] for k in ("fct_price_history_daily", "fct_review_history_daily", "stg_videos", "stg_offer_metadata",
+                                                "stg_aplus_module")})
+    for name, (cte, head, columns) in ODD_BAD.items():
+        assert head in odd[cte], cte
+        out[f"{name}_odd_feed"] = (f"{_with(odd.items())}\nSELECT bad_row_id, {columns}, reason_code, reason_detail FROM ("
+                                   f"{odd[cte].replace(head, 'SELECT *,', 1)}) WHERE reason_code IS NOT NULL")
     out["quarantine_rollup_odd_feed"] = f"{_with(odd.items())}\n{FINAL['stg_quarantine_rollup']}"
     return out

@@ -213,5 +213,42 @@ def oracle_queries() -> dict[str, str]:
         f"CASE WHEN count(*) = 0 THEN 'pass' ELSE 'warn' END AS status FROM ({sql})"
         for name, sql in _CHECK_FAILURES.items())
     q["stream_last_of_day"] = _LAST_OF_DAY
+    q["stream_windowed_drop"] = _LAST_OF_DAY
+    q["stream_dedup"] = "SELECT event_id, ts, user_id, event_type, value FROM events"
+    q["load_once"] = ("SELECT CASE WHEN event_type IN ('purchase', 'error') THEN 1 ELSE 0 END AS load, event_id, value, "
+                      "DATE '2024-02-01' AS ingest_dt FROM events")
+    q["upsert_bucketed"] = q["upsert_late_load"]
+    q["stored_failures_rerun"] = ("SELECT 'negative_balance' AS check_name, 'run-2' AS run_id, c_custkey FROM customer WHERE c_acctbal < 0")
+    q["change_feed"] = (
+        "WITH l1 AS (SELECT event_id, ts, user_id, event_type, value, DATE '2024-01-20' AS ingest_ts FROM events "
+        "WHERE ts < TIMESTAMP '2024-01-20 00:00:00'), "
+        "l2 AS (SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 4 = 0 THEN value * 2 / 2 ELSE value * 2 END AS value, "
+        "DATE '2024-01-31' AS ingest_ts FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'), "
+        "a AS (SELECT * FROM l1 WHERE event_id % 9 <> 0 AND event_id NOT IN (SELECT event_id FROM l2) UNION ALL SELECT * FROM l2) "
+        "SELECT CASE WHEN l1.event_id IS NULL THEN 'insert' WHEN a.event_id IS NULL THEN 'delete' ELSE 'update' END AS change, "
+        "coalesce(a.event_id, l1.event_id) AS event_id, CASE WHEN a.event_id IS NULL THEN l1.ts ELSE a.ts END AS ts, "
+        "CASE WHEN a.event_id IS NULL THEN l1.user_id ELSE a.user_id END AS user_id, "
+        "CASE WHEN a.event_id IS NULL THEN l1.event_type ELSE a.event_type END AS event_type, "
+        "CASE WHEN a.event_id IS NULL THEN l1.value ELSE a.value END AS value, "
+        "CASE WHEN a.event_id IS NULL THEN l1.ingest_ts ELSE a.ingest_ts END AS ingest_ts "
+        "FROM l1 FULL OUTER JOIN a ON a.event_id = l1.event_id WHERE l1.event_id IS NULL OR a.event_id IS NULL "
+        "OR l1.ts IS DISTINCT FROM a.ts OR l1.user_id IS DISTINCT FROM a.user_id OR l1.event_type IS DISTINCT FROM a.event_type "
+        "OR l1.value IS DISTINCT FROM a.value")
+    one_scan = {
+        "orders_key_unique": "SELECT 1 FROM orders WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING count(*) > 1",
+        "orders_customer_unique": "SELECT 1 FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) > 1",
+        "orders_status_values": "SELECT 1 FROM orders WHERE o_orderstatus NOT IN ('F', 'O')",
+        "orders_customer": "SELECT 1 FROM orders o WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o.o_custkey)",
+        "lineitem_order": "SELECT 1 FROM lineitem l WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l.l_orderkey)",
+        "lineitem_discount": "SELECT 1 FROM lineitem WHERE NOT (l_discount <= 0.08)",
+        "lineitem_negative_price": "SELECT 1 FROM lineitem WHERE l_extendedprice < 0",
+        "events_type": "SELECT 1 FROM events WHERE nullif(event_type, 'error') IS NULL",
+        "events_user": "SELECT 1 FROM events WHERE user_id IS NULL OR event_id % 10 = 0",
+        "documents_label": "SELECT 1 FROM documents d WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels WHERE doc_id = d.doc_id)",
+        "customer_balance": "SELECT 1 FROM customer WHERE c_acctbal < 0",
+    }
+    q["checks_one_scan"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS check_name, count(*) AS failures, CASE WHEN count(*) = 0 THEN 'pass' ELSE 'warn' END AS status FROM ({sql})"
+        for name, sql in one_scan.items())
     q["stream_windowed_last_of_day"] = _LAST_OF_DAY
     return q

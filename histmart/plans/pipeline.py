@@ -222,16 +222,13 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
         part, place = dealt(name)
         out = df.withColumn(part, place)
         schemas[name] = out.schema
-        if full_refresh:
-            o = Observation(name)
-            out = out.observe(o, F.count(F.lit(1)).alias("rows"))
-        elif not staged:
+        if not full_refresh and not staged:
             out = write_stage(name, out)
         upsert(spark, out, _path(root, name), spec.key, partition_by=[part],
                order=list(spec.order) if name == "stg_base" or not full_refresh else None, full_refresh=full_refresh,
                unique_source=True, null_keys="match", fixed_partition=True)
         if full_refresh:
-            rows[name] = o.get.get("rows", 0)
+            rows[name] = published(name).count()  # from the files' footers
         steps[name] = time.time() - t
         return published(name) if full_refresh else out
 
@@ -258,12 +255,12 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
     # has already, but for those merged now, which come as they are published
     def enrich() -> None:
         name, group = "core_offer_enriched", ["asin", "offer_id"]
-        t, path, o = time.time(), _path(root, name), Observation(name)
+        t, path = time.time(), _path(root, name)
         (part, place), meta = dealt(name), published("core_offer_meta_latest")
         if full_refresh or not table_exists(spark, path, meta.schema):
             out = core.core_offer_enriched(published("stg_offer_price"), meta, hidden=True).withColumn(part, place)
             schemas[name] = out.schema
-            replace_table(out.observe(o, F.count(F.lit(1)).alias("rows")), path, [part])
+            replace_table(out, path, [part])
         else:
             offers = inc["stg_offer_price"].select(*group).union(inc["stg_offer_metadata"].select(*group)).distinct().withColumn(part, place)
             offers = write_stage("offers", offers)
@@ -277,10 +274,10 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
                 new.select(*points.columns))
             at = dealt("core_offer_meta_latest")
             mine = meta.alias("t").join(offers.select(*group, at[1].alias(at[0])).alias("k"), same("t", "k", [*group, at[0]]), "left_semi")
-            out = core.core_offer_enriched(points, mine, hidden=True).withColumn(part, place).observe(o, F.count(F.lit(1)).alias("rows"))
+            out = core.core_offer_enriched(points, mine, hidden=True).withColumn(part, place)
             replace_partitions(ours("left_anti").unionByName(out), path, [part], folders(part, offers))
             rows.pop("offers")
-        rows[name] = o.get.get("rows", 0)
+        rows[name] = published(name).count()
         steps[name] = time.time() - t
 
     # 3. review points of the touched (asin, minute), joined again from both published series
@@ -310,18 +307,17 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, root: str, full_refresh: b
     def set_aside(name: str) -> None:
         t = time.time()
         source, rules = QUARANTINES[name]
-        points, path, o = published(source), _path(root, name), Observation(name)
+        points, path = published(source), _path(root, name)
         part, place = dealt(source)
         out = rules(points).withColumn(part, place)
         schemas[name] = out.schema
         if not full_refresh and table_exists(spark, path, schemas[name]):
             touched = inc[source].select(part).distinct()
             points = points.alias("t").join(touched.alias("k"), same("t", "k", [part]), "left_semi")
-            out = rules(points).withColumn(part, place).observe(o, F.count(F.lit(1)).alias("rows"))
-            replace_partitions(out, path, [part], folders(part, touched))
+            replace_partitions(rules(points).withColumn(part, place), path, [part], folders(part, touched))
         else:
-            overwrite(out.observe(o, F.count(F.lit(1)).alias("rows")), path, [part])
-        rows[name] = o.get.get("rows", 0)
+            overwrite(out, path, [part])
+        rows[name] = published(name).count()
         steps[name] = time.time() - t
 
     inc["stg_base"] = b.withColumn(PART, _month_of("ingest_ts"))

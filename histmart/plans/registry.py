@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from histmart.plans import standins as s
-from histmart.plans.feed import odd_feed, product_feed
+from histmart.plans import stg
+from histmart.plans.feed import ndjson_feed, odd_feed, product_feed
 from histmart.plans.feed_oracle import FINAL as FEED_MODELS, feed_oracles
 from histmart.plans.models import build_models, quarantine_models
 from histmart.plans.oracle import oracle_queries
@@ -74,12 +76,21 @@ def standin_queries() -> dict[str, Query]:
         "run_metrics": s.run_metrics,
         "stream_last_of_day": s.stream_last_of_day_query,
         "stream_windowed_last_of_day": s.stream_windowed_last_of_day,
+        "stream_windowed_drop": s.stream_windowed_drop,
+        "stream_dedup": s.stream_dedup,
+        "load_once": s.load_once_query,
+        "upsert_bucketed": s.upsert_bucketed,
+        "change_feed": s.change_feed,
+        "checks_one_scan": s.checks_one_scan,
+        "stored_failures_rerun": s.stored_failures_rerun,
     }
 
 
 # Registered model name -> key in ``build_models``.
 MODEL_KEYS = {name: name for name in FEED_MODELS}
 MODEL_KEYS["stg_quarantine_rollup"] = "quarantine_union"
+# Models over the odd feed, in which their rules find rows.
+ODD_MODELS = {f"{name}_odd_feed": name for name in ("stg_price__bad", "stg_reviews__bad", "stg_offers__bad", "stg_aplus_module__bad")}
 
 
 # Columns compared of models that also carry nested ones.
@@ -100,6 +111,8 @@ def model_query(model: str) -> Query:
             base = spark.read.schema(base.schema).parquet(path)
             return quarantine_models(base)
         out = build_models(feed)[MODEL_KEYS[model]]
+        if model == "core_product_latest":
+            out = out.withColumn("category_tree_v", F.to_json("category_tree_v"))  # compared as text
         return out.select(*COLUMNS[model]) if model in COLUMNS else out
     run.__name__ = model
     return run
@@ -114,8 +127,34 @@ def quarantine_rollup_odd_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine_models(spark.read.schema(base.schema).parquet(path))
 
 
+def odd_model_query(model: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build_models(odd_feed(spark, sf_dir))[model]
+    run.__name__ = model
+    return run
+
+
+# Models computed from the feed loaded as nested NDJSON; the nested ones by lateral joins over the VARIANT.
+NDJSON_MODELS = {
+    "fct_price_history_daily": lambda raw: build_models(raw)["fct_price_history_daily"],
+    "fct_review_history_daily": lambda raw: build_models(raw)["fct_review_history_daily"],
+    "stg_videos": stg.variant_videos,
+    "stg_offer_metadata": stg.variant_offer_metadata,
+    "stg_aplus_module": stg.variant_aplus_module,
+}
+
+
+def ndjson_query(model: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return NDJSON_MODELS[model](ndjson_feed(spark, sf_dir))
+    run.__name__ = f"ndjson_{model}"
+    return run
+
+
 def model_queries() -> dict[str, Query]:
-    return {**{name: model_query(name) for name in MODEL_KEYS}, "quarantine_rollup_odd_feed": quarantine_rollup_odd_feed}
+    return {**{name: model_query(name) for name in MODEL_KEYS}, "quarantine_rollup_odd_feed": quarantine_rollup_odd_feed,
+            **{name: odd_model_query(model) for name, model in ODD_MODELS.items()},
+            **{f"ndjson_{model}": ndjson_query(model) for model in NDJSON_MODELS}}
 
 
 def all_queries() -> dict[str, Query]:

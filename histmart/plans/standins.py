@@ -19,10 +19,12 @@ from histmart.operators import (
     last_of_day, latest_per_key, left_enrich_latest, offset_self_join, tagged_assets, text_to_tokens,
 )
 from histmart.operators.quality import (
-    Check, Rule, accepted_values, check_summary, expression_is_true, failing_rows, not_null, quarantine,
-    quarantine_union, relationships, store_failures, unique,
+    Check, DataTest, Rule, accepted_values, check_summary, expression_is_true, failing_rows, not_null, quarantine,
+    quarantine_union, relationships, store_failures, summarise, unique,
 )
 from histmart.session import shared_path
+from histmart.sources.changes import changes
+from histmart.sources.sink import bucket_column, key_bucket
 from histmart.sources import (
     append, create_view, high_water, increment_filter, layer_path, load_status, read_json_array, read_ndjson, table, upsert,
 )
@@ -284,12 +286,16 @@ def load_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("file_modified") <= F.current_timestamp()).alias("n_dated"))
 
 
+ARRAY_KEYS = 20_000  # customer keys that an array's customers are taken from
+
+
 def json_array_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files holding one outer array (S5): orders as one array per customer segment of a supplier-sized slice."""
-    cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    """Files holding one outer array (S5): a nation's customers, one array per range of customer keys."""
+    cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", F.floor(F.col("c_custkey") / ARRAY_KEYS).alias("range"))
     path = shared_path(spark, "json-arrays")
-    arrays = cust.groupBy("c_nationkey").agg(F.sort_array(F.collect_list(F.struct("c_custkey", "c_name"))).alias("rows"))
-    arrays.select(F.to_json("rows").alias("value"), "c_nationkey").repartition("c_nationkey").write.partitionBy("c_nationkey").text(path)
+    arrays = cust.groupBy("c_nationkey", "range").agg(F.sort_array(F.collect_list(F.struct("c_custkey", "c_name"))).alias("rows"))
+    arrays.select(F.to_json("rows").alias("value"), "c_nationkey", "range").repartition("c_nationkey", "range").write.partitionBy(
+        "c_nationkey", "range").text(path)
     return read_json_array(spark, path, "c_custkey bigint, c_name string, c_nationkey int").select("c_custkey", "c_name", "c_nationkey")
 
 
@@ -301,6 +307,78 @@ def stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/MONITORING/test_failures/negative_balance").select("c_custkey", "c_acctbal")
 
 
+def stored_failures_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of two checks: the stored rows are those of the last run, and of a check that passes again none."""
+    path = layer_path(shared_path(spark, "stored"), "monitoring", "test_failures")
+    cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    negative = Check("negative_balance", failing_rows(cust, "c_acctbal < 0"))
+    far = Check("far_nation", failing_rows(cust, "c_nationkey > 20"))
+    store_failures([negative, far], path, "run-1")
+    store_failures([negative], path, "run-2", passed=["far_nation"])
+    parts = [spark.read.parquet(f"{path}/{n}").select(F.lit(n).alias("check_name"), "run_id", "c_custkey") for n in ("negative_balance", "far_nation")]
+    return parts[0].unionByName(parts[1])
+
+
+def _tests() -> list[DataTest]:
+    """Tests of every kind, several to a table, some of which fail."""
+    return [
+        DataTest("orders_key_unique", "orders", "unique", "o_orderkey"), DataTest("orders_customer_unique", "orders", "unique", "o_custkey"),
+        DataTest("orders_status_values", "orders", "accepted_values", "o_orderstatus", ("F", "O")),
+        DataTest("orders_customer", "orders", "relationships", "o_custkey", ("customer", "c_custkey")),
+        DataTest("lineitem_order", "lineitem", "relationships", "l_orderkey", ("orders", "o_orderkey")),
+        DataTest("lineitem_discount", "lineitem", "expression", arg="l_discount <= 0.08"),
+        DataTest("lineitem_negative_price", "lineitem", "failing", arg="l_extendedprice < 0"),
+        DataTest("events_type", "events", "not_null", "event_type"), DataTest("events_user", "events", "not_null", "user_id"),
+        DataTest("documents_label", "documents", "relationships", "doc_id", ("labels", "doc_id")),
+        DataTest("customer_balance", "customer", "failing", arg="c_acctbal < 0"),
+    ]
+
+
+def checks_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tests of six tables summed from one scan of each."""
+    tables = {t: _t(spark, sf_dir, t) for t in ("orders", "customer", "lineitem", "documents", "labels")}
+    return summarise(spark, tables | {"events": _keyed_events(spark, sf_dir)}, _tests())
+
+
+# ---- S4, S1: a batch load that takes each file once -------------------------------------------
+
+def load_once_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batch loads of a folder: the second finds the files of the first again and two new ones."""
+    from histmart.sources.ledger import load_once
+    from histmart.streaming.incremental import land_raw
+    ev = _t(spark, sf_dir, "events").select("event_id", "event_type", F.to_json(F.struct("event_id", "event_type", "value")).alias("line"))
+    landing, root = shared_path(spark, "landing"), shared_path(spark, "load-once")
+    late = F.col("event_type").isin("purchase", "error")
+    for part in (~late, late):
+        ev.filter(part).select("line", "event_type").write.mode("append").partitionBy("event_type").option("compression", "gzip").text(landing)
+        for _ in range(2):  # the second call has nothing to load
+            load_once(spark, landing, f"{root}/ledger", lambda lines, load: land_raw(lines, root, load), NDJSON_TEXT_PATTERN, "2024-02-01")
+    raw = spark.read.parquet(layer_path(root, "raw", "raw_lines")).withColumn("p", F.try_parse_json("line"))
+    return raw.select(F.col("batch").cast("int").alias("load"), variant_path("p", "$.event_id", "bigint").alias("event_id"),
+                      variant_path("p", "$.value", "double").alias("value"), "ingest_dt")
+
+
+# ---- S12, S8: key buckets and the change feed ---------------------------------------------------
+
+def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads merged into a table without a time in its key, by hash buckets of the key."""
+    l1, l2 = _raw_loads(spark, sf_dir)
+    target = shared_path(spark, "upsert-bucketed")
+    for load in (l1, l2, l1):
+        part, n = bucket_column(spark, target, 8)
+        upsert(spark, load.withColumn(part, key_bucket(["event_id"], n)), target, "event_id", partition_by=[part],
+               order=[("ingest_ts", "desc"), ("value", "desc")], fixed_partition=True)
+    return spark.read.parquet(target).select("event_id", "ts", "user_id", "event_type", "value", "ingest_ts")
+
+
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a second load inserts, updates and deletes; its load stamp alone is no change."""
+    l1, l2 = _raw_loads(spark, sf_dir)
+    after = l1.filter("event_id % 9 <> 0").join(l2.select("event_id"), "event_id", "left_anti").unionByName(
+        l2.withColumn("value", F.when(F.col("event_id") % 4 == 0, F.col("value") / 2).otherwise(F.col("value"))))
+    return changes(l1, after, "event_id", ignore=["ingest_ts"])
+
+
 def strict_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append with the strict mark on the event date (S16): the boundary day is not taken again."""
     l1, l2 = _raw_loads(spark, sf_dir)
@@ -559,6 +637,39 @@ def empty_text_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.filter(nullif_empty("t").isNotNull())
 
 
+# ---- T4: late rows dropped, repeats dropped in the state store ------------------------------------
+
+def _ordered_files(spark, sf_dir, again: int) -> str:
+    """Events as a table of files in the order of time; every ``again``-th part comes a second time as the last file."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    path = shared_path(spark, "ordered-events") + "/events.parquet"
+    first = ev.select(F.min("ts")).scalar()
+    part = F.floor(F.datediff("ts", F.lit(first)) / 5)
+    last = ev.select(F.max(part)).first()[0]
+    for i in range(last + 1):
+        ev.filter(part == i).coalesce(1).write.mode("append").parquet(path)
+    ev.filter(part % again == 0).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def stream_windowed_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last of day by a stateful window with a watermark: a file of old rows at the end changes nothing (T4, policy drop)."""
+    from histmart.streaming.incremental import stream_windowed_latest, table_stream
+    target = shared_path(spark, "stream-drop")
+    stream_windowed_latest(spark, table_stream(spark, _ordered_files(spark, sf_dir, 2)), target, ["user_id", "event_type"], "ts",
+                           ["event_id", "ts", "value"], "event_id", checkpoint=shared_path(spark, "stream-drop-ckpt"), late="drop")
+    return spark.read.parquet(target).select("user_id", "event_type", "date", "event_id", "ts", "value")
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which many come twice, once each by state-store dedup within the watermark (T4)."""
+    from histmart.streaming.incremental import stream_deduplicated, table_stream
+    target = shared_path(spark, "stream-dedup")
+    stream_deduplicated(spark, table_stream(spark, _ordered_files(spark, sf_dir, 1)), target, ["event_id"], "ts",
+                        checkpoint=shared_path(spark, "stream-dedup-ckpt"), delay="60 days")
+    return spark.read.parquet(target)
+
+
 # ---- T1, T3, T4: the last-of-day table maintained by a stream -------------------------------
 
 def stream_last_of_day_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ dedups by model key, which are planned with a map-side partial top-1.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histmart.functions import (
@@ -17,10 +17,10 @@ from histmart.functions import (
 )
 from histmart.operators import (
     PRICE_CHANNELS, RANK_CHANNEL, RATING_CHANNEL, REVIEW_COUNT_CHANNEL,
-    explode_channels, explode_pairs, flatten, full_outer_series, latest_per_key,
+    explode_channels, explode_pairs, flatten, flatten_variant, full_outer_series, latest_per_key,
     previous_in_array, tagged_assets, text_to_tokens,
 )
-from histmart.plans.schema import PRODUCT
+from histmart.plans.schema import APLUS_MODULE, OFFER, PRODUCT, VIDEO
 
 PRICE_TYPE = "decimal(18,2)"
 RATING_TYPE = "decimal(3,1)"
@@ -239,9 +239,13 @@ def stg_offers(base: DataFrame) -> DataFrame:
 
 def stg_offer_metadata(base: DataFrame) -> DataFrame:
     """Offer attributes per (asin, offer, load); shipping cents -> dollars."""
-    o = flatten(base.select("asin", "ingest_ts", "offers_v").filter(F.col("offers_v").isNotNull()),
-                "offers_v", keep=["asin", "ingest_ts"], outer=False, index="offer_idx", value="o")
-    o = o.select(
+    return offer_metadata_of(flatten(base.select("asin", "ingest_ts", "offers_v").filter(F.col("offers_v").isNotNull()),
+                                     "offers_v", keep=["asin", "ingest_ts"], outer=False, index="offer_idx", value="o"))
+
+
+def offer_metadata_of(rows: DataFrame) -> DataFrame:
+    """The offer metadata model from one row per offer (asin, ingest_ts, o)."""
+    o = rows.select(
         "asin", F.col("o.offerId").alias("offer_id"), F.col("o.sellerId").alias("seller_id"),
         F.col("o.isPrime").alias("is_prime"), F.col("o.isMAP").alias("is_map"),
         F.col("o.condition").alias("condition_code"),
@@ -348,9 +352,13 @@ def stg_sales_monthly_stats(base: DataFrame, hidden: bool = False) -> DataFrame:
 
 def stg_videos(base: DataFrame) -> DataFrame:
     """Latest video per (asin, url or name); rows with neither are dropped."""
-    v = flatten(base.select("asin", F.col("ingest_ts").alias("snapshot_ts"), "videos_v"), "videos_v",
-                keep=["asin", "snapshot_ts"], outer=True, index="video_idx", value="v")
-    v = v.select("asin", "snapshot_ts", F.col("v.creator").alias("creator"),
+    return videos_of(flatten(base.select("asin", "ingest_ts", "videos_v"), "videos_v", keep=["asin", "ingest_ts"],
+                             outer=True, index="video_idx", value="v"))
+
+
+def videos_of(rows: DataFrame) -> DataFrame:
+    """The video model from one row per video (asin, ingest_ts, v)."""
+    v = rows.withColumnRenamed("ingest_ts", "snapshot_ts").select("asin", "snapshot_ts", F.col("v.creator").alias("creator"),
                  sentinel_to_null(F.col("v.duration")).alias("duration_sec"),
                  F.col("v.image").alias("thumbnail_url"), F.col("v.name").alias("name"),
                  F.col("v.title").alias("title"), F.col("v.url").alias("url"))
@@ -366,9 +374,13 @@ def stg_aplus_module(base: DataFrame) -> DataFrame:
     """A+ content: aPlus[] -> module[] -> four asset arrays, one row per asset."""
     a = flatten(base.select("asin", "ingest_ts", "aplus_v"), "aplus_v", keep=["asin", "ingest_ts"],
                 outer=True, index="aplus_idx", value="a")
-    m = flatten(a.select("asin", "ingest_ts", "aplus_idx", F.col("a.module").alias("mods")), "mods",
-                keep=["asin", "aplus_idx", "ingest_ts"], outer=True, index="module_idx", value="mod_v")
-    assets = m.select("asin", "aplus_idx", "module_idx", "ingest_ts",
+    return aplus_of(flatten(a.select("asin", "ingest_ts", "aplus_idx", F.col("a.module").alias("mods")), "mods",
+                            keep=["asin", "aplus_idx", "ingest_ts"], outer=True, index="module_idx", value="mod_v"))
+
+
+def aplus_of(modules: DataFrame) -> DataFrame:
+    """The A+ model from one row per module (asin, aplus_idx, module_idx, ingest_ts, mod_v)."""
+    assets = modules.select("asin", "aplus_idx", "module_idx", "ingest_ts",
                       F.inline(tagged_assets(F.col("mod_v"), APLUS_ASSET_KINDS)))
     assets = assets.select("asin", F.col("aplus_idx").cast("int").alias("aplus_idx"),
                            F.col("module_idx").cast("int").alias("module_idx"),
@@ -376,3 +388,33 @@ def stg_aplus_module(base: DataFrame) -> DataFrame:
     keys = ["asin", "aplus_idx", "module_idx", "asset_type", "asset_idx"]
     assets = latest_per_key(assets, keys, desc(ORDERS["stg_aplus_module"]))
     return assets.select(surrogate_key(*keys).alias("stg_aplus_id"), *assets.columns)
+
+
+# ---- the nested models straight from RAW VARIANT, flattened by lateral joins
+
+def _payload(raw: DataFrame) -> DataFrame:
+    get, _, _ = _raw_fields(raw)
+    return raw.select(get("asin").alias("asin"), F.col("ingest_dt").alias("ingest_ts"), "payload")
+
+
+def _typed(value: str, schema) -> Column:
+    return F.try_variant_get(F.col(value), "$", schema.simpleString())
+
+
+def variant_videos(raw: DataFrame) -> DataFrame:
+    """``stg_videos`` from RAW rows with a VARIANT payload."""
+    v = flatten_variant(_payload(raw), "payload", "$._airbyte_data.videos", outer=True, out="e")
+    return videos_of(v.select("asin", "ingest_ts", _typed("e", VIDEO).alias("v")))
+
+
+def variant_offer_metadata(raw: DataFrame) -> DataFrame:
+    """``stg_offer_metadata`` from RAW rows with a VARIANT payload."""
+    o = flatten_variant(_payload(raw), "payload", "$._airbyte_data.offers", out="e")
+    return offer_metadata_of(o.select("asin", "ingest_ts", _typed("e", OFFER).alias("o")))
+
+
+def variant_aplus_module(raw: DataFrame) -> DataFrame:
+    """``stg_aplus_module`` from RAW rows with a VARIANT payload: two chained lateral joins."""
+    a = flatten_variant(_payload(raw), "payload", "$._airbyte_data.aPlus", outer=True, index="aplus_idx", out="a")
+    m = flatten_variant(a.drop("key"), "a", "$.module", outer=True, index="module_idx", out="e")
+    return aplus_of(m.select("asin", "aplus_idx", "module_idx", "ingest_ts", _typed("e", APLUS_MODULE).alias("mod_v")))

@@ -38,6 +38,22 @@ class Folder:
                 return True
         return False
 
+    def write_text(self, text: str) -> None:
+        """Replace the file at this path by ASCII text; it is there whole or not at all."""
+        beside = self._jvm.org.apache.hadoop.fs.Path(f"{self.path}.part")
+        out = self.fs.create(beside, True)
+        out.writeBytes(text)
+        out.close()
+        if not self.fs.rename(beside, self.path):
+            raise OSError(f"cannot write {self.path}")
+
+    def read_text(self) -> str:
+        stream = self.fs.open(self.path)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def delete(self, child: str = "") -> None:
         self.fs.delete(self._of(child), True)
 

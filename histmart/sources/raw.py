@@ -55,15 +55,23 @@ def read_ndjson_lines(spark: SparkSession, path: str, pattern: str | None = RAW_
     Columns: line, file_path, file_name, file_modified, ingest_dt. Blank
     lines are dropped. ``load_date`` pins the load stamp so reruns repeat.
     """
-    lines = (spark.read.option("recursiveFileLookup", "true").text(path)
-             .select(F.col("value").alias("line"),
-                     F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_name").alias("file_name"),
-                     F.col("_metadata.file_modification_time").alias("file_modified")))
+    lines = _with_lineage(spark.read.option("recursiveFileLookup", "true").text(path))
     if pattern:
         lines = lines.filter(F.col("file_path").rlike(pattern))
-    return (lines.filter(F.length(F.trim(F.col("line"))) > 0)
-            .withColumn("ingest_dt", _load_date(load_date)))
+    return lines.withColumn("ingest_dt", _load_date(load_date))
+
+
+def read_lines_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Text lines of the files named, with lineage and without blank lines."""
+    return _with_lineage(spark.read.text(paths))
+
+
+def _with_lineage(text: DataFrame) -> DataFrame:
+    lines = text.select(F.col("value").alias("line"),
+                        F.col("_metadata.file_path").alias("file_path"),
+                        F.col("_metadata.file_name").alias("file_name"),
+                        F.col("_metadata.file_modification_time").alias("file_modified"))
+    return lines.filter(F.length(F.trim(F.col("line"))) > 0)
 
 
 def parse_raw(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

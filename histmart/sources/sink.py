@@ -13,13 +13,15 @@ A table without a time in its key is partitioned by a hash bucket of key
 columns (``key_bucket``), so a merge rewrites the buckets that it touches.
 A crash before the moves leaves the table as it was. Between the two renames
 of a whole table the old one stands as ``<path>.__old`` and is put back by the
-next access through this module; between partition moves every partition is
-whole, old or new, and a repeated run (same source, same result) finishes.
+next access through this module. Partition moves are written to a journal
+(``<path>.__journal``) before the first one, so after a crash between two moves,
+where every partition is whole, old or new, the next access carries out the rest.
 Untouched partitions are never read or rewritten.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -83,10 +85,32 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def recover(spark: SparkSession, path: str) -> None:
-    """Put the previous table back if a run ended between the two renames of ``replace_table``."""
-    table, old = Folder(spark, path), Folder(spark, path + ".__old")
+    """Finish what a run that ended early had begun: put the previous table back if it ended between the two renames of
+    ``replace_table``, and carry out the moves left in the journal of ``replace_partitions``."""
+    table, old, journal = (Folder(spark, path + x) for x in ("", ".__old", JOURNAL))
     if old.exists() and not table.exists():
         old.move("", table, "")
+    if journal.exists():
+        _carry_out(spark, path, json.loads(journal.read_text()))
+
+
+JOURNAL = ".__journal"
+
+
+def _carry_out(spark: SparkSession, path: str, moves: dict) -> None:
+    """Move partitions as the journal says. Moves already made are seen and left, so it may be begun any number of times."""
+    table, fresh, trash = (Folder(spark, x) for x in (path, moves["fresh"], moves["trash"]))
+    for folder in moves["replaced"]:
+        if fresh.exists(folder):
+            if table.exists(folder):
+                table.move(folder, trash, folder)
+            fresh.move(folder, table, folder)
+    for folder in moves["emptied"]:
+        if table.exists(folder):
+            table.move(folder, trash, folder)
+    Folder(spark, path + JOURNAL).delete()
+    fresh.delete()
+    trash.delete()
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
@@ -121,17 +145,13 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], to
     Returns the folders replaced, a list as long as the partitions touched.
     """
     spark = df.sparkSession
+    recover(spark, path)
     new = f"{path}.__new-{uuid.uuid4().hex}"
     _write(df, new, partition_by)
-    table, fresh, trash = Folder(spark, path), Folder(spark, new), Folder(spark, f"{path}.__out-{uuid.uuid4().hex}")
-    found = fresh.leaves()
-    for folder in sorted({*found, *touched}):
-        if table.exists(folder):
-            table.move(folder, trash, folder)
-        if folder in found:
-            fresh.move(folder, table, folder)
-    fresh.delete()
-    trash.delete()
+    found = Folder(spark, new).leaves()
+    moves = {"fresh": new, "trash": f"{path}.__out-{uuid.uuid4().hex}", "replaced": found, "emptied": sorted({*touched} - {*found})}
+    Folder(spark, path + JOURNAL).write_text(json.dumps(moves))
+    _carry_out(spark, path, moves)
     return sorted({*found, *touched})
 
 

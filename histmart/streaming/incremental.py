@@ -112,6 +112,21 @@ def stream_windowed_latest(spark: SparkSession, source: DataFrame, target: str,
     return {"late_rows": sum(s.numRowsDroppedByWatermark for p in q.recentProgress for s in p.stateOperators)}
 
 
+def stream_deduplicated(spark: SparkSession, source: DataFrame, target: str, keys, ts: str, checkpoint: str,
+                        delay: str = "2 days") -> dict:
+    """Append each key of a stream once to ``target``, where its repeats come within ``delay`` of one another.
+
+    The state store holds the keys of ``delay`` behind the newest event and no more. Rows later than that are
+    dropped (policy ``drop``) and counted as ``late_rows``; rows without an event time are not taken.
+    """
+    ev = source.withColumn("_event_ts", F.col(ts).cast("timestamp")).filter("_event_ts IS NOT NULL")
+    once = ev.withWatermark("_event_ts", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_event_ts")
+    q = (once.writeStream.outputMode("append").format("parquet").option("path", target)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return {"late_rows": sum(s.numRowsDroppedByWatermark for p in q.recentProgress for s in p.stateOperators)}
+
+
 def stream_pipeline(spark: SparkSession, landing: str, root: str, checkpoint: str,
                     load_date=None, pattern: str | None = RAW_FILE_PATTERN,
                     max_files_per_trigger: int | None = None) -> list[dict]:
@@ -131,14 +146,19 @@ def stream_pipeline(spark: SparkSession, landing: str, root: str, checkpoint: st
     def process(batch: DataFrame, batch_id: int) -> None:
         lines = land_raw(batch.withColumn("ingest_dt", _load_date(load_date)), root, f"{batch_id:012d}")
         good, bad = parse_raw(lines)
-        bad = bad.groupBy(*bad.columns).agg(F.count(F.lit(1)).alias("n_lines"))
-        upsert(spark, bad, layer_path(root, "stg_bad", "raw_bad_lines"), "bad_row_id", unique_source=True)
+        keep_bad_lines(bad, root)
         runs.append(run_pipeline(spark, good, root, run_id=f"batch-{batch_id}"))
 
     run_available_now(ndjson_stream(spark, landing, pattern, max_files_per_trigger), process, checkpoint)
     return runs
 
 
+def keep_bad_lines(bad: DataFrame, root: str) -> None:
+    """Merge bad lines into STG_BAD/raw_bad_lines, each once with the number of lines like it."""
+    bad = bad.groupBy(*bad.columns).agg(F.count(F.lit(1)).alias("n_lines"))
+    upsert(bad.sparkSession, bad, layer_path(root, "stg_bad", "raw_bad_lines"), "bad_row_id", unique_source=True)
+
+
 def land_raw(lines: DataFrame, root: str, batch: str) -> DataFrame:
     """Write a batch of raw lines to its partition of RAW/raw_lines and read it back.
 
