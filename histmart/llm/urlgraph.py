@@ -119,18 +119,19 @@ def judge(pages: DataFrame, url: str = "url", html: str = "html", rules: Sequenc
     added = ("host", "path", "rule", "verdict", "trust", "distrust")
     keep = [c for c in pages.columns if c not in added + (html,)]
     u = F.col(f"`{url}`")
-    parsed = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(html).alias("html"),
+    # columns go through by their position, so any name may stand in the input
+    parsed = pages.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{html}`").alias("html"),
                           host_of(u).alias("host"), path_of(u).alias("path"))
     ruled = parsed.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
     hosts = stage(ruled.filter("host <> ''").groupBy("host").agg(
         F.count_if(F.col("fit.verdict") == "allow").cast("double").alias("trust"),
         F.count_if(F.col("fit.verdict") == "block").cast("double").alias("distrust")), "hosts")
-    scores = propagate(hosts, host_edges(parsed, hosts), damping, iterations)
+    scores = propagate(hosts, host_edges(parsed.select("host", "html"), hosts), damping, iterations)
     share = F.try_divide(F.col("distrust"), F.col("trust") + F.col("distrust"))  # NULL: no mass reached the host
     bad = scores.select("host", "trust", "distrust", F.when(
         F.round(share, 9) > threshold, "block").otherwise("allow").alias("host_verdict"))
     return (ruled.drop("html").join(bad, "host", "left")
-            .select(*keep, "host", "path", F.col("fit.rule").alias("rule"),
+            .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "host", "path", F.col("fit.rule").alias("rule"),
                     F.coalesce("fit.verdict", "host_verdict", F.lit("allow")).alias("verdict"),
                     F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")))
 
