@@ -34,10 +34,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histmart.llm.common import prepare, trimmed
+from histmart.llm.common import prepare, stage, trimmed
 
 WINDOW = 10
-SHARD_WORDS = 1_000_000
 SHARD_BYTES = 24 << 20
 SAMPLE = 8
 BLOCK_BYTES = 16 << 20
@@ -236,8 +235,8 @@ def search_shard(texts: list[str | None], phrases: Phrases, before: list | None
     return out
 
 
-def _pass(docs: DataFrame, items: list[tuple[int, str]], text: str, window: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)  # at most about BLOCK_BYTES
+def _pass(docs: DataFrame, shared, text: str, window: int) -> DataFrame:
+    """One block of items (broadcast, at most about BLOCK_BYTES) against every document."""
     fields = [f for f in docs.schema.fields if f.name != "contamination"]
     seen = "contamination" in docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", contamination {SCHEMA}"
@@ -287,7 +286,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     out = docs.drop("contamination")
     for b in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-        out = _pass(out, [(r["item"], r["text"]) for r in part.collect()], text, window)
+        shared = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in part.collect()])
+        out = _pass(out, shared, text, window)
+        if b < blocks - 1:  # one block is alive at a time
+            out = stage(out, "contamination")
+            shared.destroy()
     return out
 
 
