@@ -8,15 +8,19 @@ get equal pseudonyms in every document and on every executor without shared
 state, different values stay different, and ``restore`` gives the text back.
 
 Formats: payment cards (Luhn; the check digit is recomputed), IBANs (mod 97;
-check digits recomputed), telephone numbers of ten national digits (national
-ones with separators or brackets, international ones also without), US social
+check digits recomputed), telephone numbers of ten national digits (with + and
+a country code or a bracketed area code; without either mark the area code must
+begin with 2 to 9, as the numbering plan has it, and separators are needed; a
+number within the plan stays within it), US social
 security numbers, IPv4 addresses, calendar dates from 1900 to 2099 (with a
 slash month/day, else day/month; with - or . day first, else month first),
 e-mail addresses (the part before the @) and secrets after token, key, secret
 or password (16 or more letters, digits, - and _, with a digit). Equal dates
 are linked across formats but for those in the second order, whose pseudonyms
 keep a day over 12. Letters stay letters
-of their case and digits digits. What fails its validation is left alone.
+of their case and digits digits. What fails its validation is left alone. Not
+looked for: telephone numbers without exactly ten national digits, IPv6
+addresses, dates in words and year-first dates with full stops.
 
 Defined cases: a NULL text stays NULL with nothing found; texts without digit
 or @ are not sent to Python; repeated rows are treated alike; an empty table
@@ -145,7 +149,13 @@ def _ip(s, key, back):
 def _phone(s, key, back):
     digits = "".join(c for c in s if c.isdigit())
     country, rest = digits[:-10], digits[-10:]
-    return _into(s, country + str(permute(int(rest), 10 ** 10, key, "phone", back)).zfill(10))
+    planned = rest[0] > "1"
+    if not planned and "+" not in s and "(" not in s:
+        return None
+    while True:  # within the plan, or outside of it
+        rest = str(permute(int(rest), 10 ** 10, key, "phone", back)).zfill(10)
+        if (rest[0] > "1") == planned:
+            return _into(s, country + rest)
 
 
 def _ssn(s, key, back):

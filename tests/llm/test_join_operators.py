@@ -403,3 +403,11 @@ def test_distrust_reaches_the_end_of_a_long_chain(spark):
     rows += [(29, "http://h29.net/p", '<a href="http://bad.com/">'), (30, "http://bad.com/de/", None), (31, "http://far.net/", None)]
     out = urlgraph.op4_query(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r["page_id"]: r["verdict"] for r in out} == {i: "block" for i in range(31)} | {31: "allow"}
+
+
+def test_page_columns_of_any_name(spark):
+    names = ["page_id", "url", "html", "host_verdict", "fit", "c0", "sender", "trust"]
+    rows = [(1, "http://a.org/x", None, "p", "q", "r", "s", "t"), (2, "http://x.net/", '<a href="http://a.org/">', "u", "v", "w", "x", "y")]
+    out = {r["page_id"]: r for r in urlgraph.judge(spark.createDataFrame(rows, ", ".join(f"{n} string" if i else f"{n} long" for i, n in enumerate(names)))).collect()}
+    assert (out[1]["verdict"], out[1]["host_verdict"], out[2]["fit"], out[2]["c0"], out[2]["sender"]) == ("allow", "p", "v", "w", "x")
+    assert isinstance(out[1]["trust"], float)

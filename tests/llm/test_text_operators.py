@@ -1,5 +1,6 @@
 """Operators 2, 3, 5 and 7 against brute force, and the pipeline."""
 
+import datetime as dt
 import math
 import random
 import re
@@ -411,3 +412,82 @@ def test_items_without_id_are_found(spark):
     bench = spark.createDataFrame([(None, passage), (5, "elsewhere")], "item_id long, text string")
     got = {r["doc_id"]: r["contamination"] for r in decontaminate.decontaminate(docs, bench).collect()}
     assert (got[1]["n_hit"], got[1]["items"], got[2]["n_hit"]) == (14, [], 0)
+
+
+@pytest.mark.parametrize("clean", ["table 100 200 3000 rows", "000 000 0000", "120.000.0000", "1-100-200-3000"])
+def test_digits_outside_the_numbering_plan_are_no_telephone_number(clean):
+    assert pii.rewrite(clean, "k") == (clean, [])
+
+
+def test_telephone_numbers_stay_linked_across_formats():
+    digits = lambda s: "".join(c for c in s if c.isdigit())[-10:]
+    for forms in (("555-123-4567", "+1 (555) 123-4567", "(555) 123 4567", "555.123.4567"), ("+1 (017) 555-7713", "(017) 555-7713", "+10175557713")):
+        out = [pii.rewrite(f"call {f} now", "k")[0] for f in forms]
+        assert len({digits(x) for x in out}) == 1 and digits(out[0]) != digits(forms[0])
+        assert [pii.rewrite(x, "k", back=True)[0] for x in out] == [f"call {f} now" for f in forms]
+
+
+def plain_finds(text):
+    """(kind, value) by splitting and counting characters, without the operator's pattern."""
+    out = []
+    for token in text.split():
+        token = token.strip(",;:!?\"'")
+        at = token.rstrip(".")
+        if at.count("@") == 1 and "." in at.split("@")[1] and all(c.isalnum() or c in "._%+-@" for c in at) and at.isascii():
+            out.append(("email", at.split("@")[0]))
+        parts = at.split(".")
+        if len(parts) == 4 and all(x.isdigit() and x.isascii() and len(x) < 4 and int(x) < 256 and str(int(x)) == x for x in parts):
+            out.append(("ip", at))
+        if len(at) == 10 and at[4] == at[7] == "-" and at.replace("-", "").isdigit() and at.isascii():
+            try:
+                dt.date.fromisoformat(at)
+                out += [("date", at)] * (1900 <= int(at[:4]) < 2100)
+            except ValueError:
+                pass
+        if len(at) == 11 and at[3] == at[6] == "-" and at.replace("-", "").isdigit() and int(at[:3]) not in (0, 666) and int(at[:3]) < 900 \
+                and at[4:6] != "00" and at[7:] != "0000":
+            out.append(("ssn", at))
+    words = text.split(" ")
+    for x, y, z in zip(words, words[1:], words[2:]):
+        if x[:1] == "+" and x[1:].isdigit() and len(y) == 5 and y[0] + y[4] == "()" and y[1:4].isdigit() and len(z) >= 8 and z[3] == "-" \
+                and (z[:3] + z[4:8]).isdigit() and not z[8:9].isdigit():
+            out.append(("phone", f"{x} {y} {z[:8]}"))
+    for i in range(len(words) - 3):
+        if all(len(w) == 4 and w.isdigit() for w in words[i:i + 3]) and len(w := words[i + 3].rstrip(".,;")) == 4 and w.isdigit():
+            total = sum(sum(divmod(int(c) * (2 - k % 2), 10)) for k, c in enumerate("".join(words[i:i + 3]) + w))
+            if total % 10 == 0:
+                out.append(("card", " ".join(words[i:i + 3] + [w])))
+    return out
+
+
+def test_an_independent_finder_finds_nothing_more(tiny_docs):
+    """What plain splitting finds in the documents is found by the operator, as the same kind and value."""
+    seen = Counter()
+    for r in tiny_docs.collect():
+        text = r["text"] or ""
+        want = Counter(plain_finds(text))
+        if want:
+            out, found = pii.rewrite(text, "k")
+            back = pii.rewrite(out, "k", back=True)
+            got = Counter((k, back[0][s:s + n]) for k, s, n in back[1])
+            assert back[0] == text and [k for k, _, _ in found] == [k for k, _, _ in back[1]]
+            assert not want - got, (want - got, text[:200])
+            seen.update(k for k, _ in want)
+    assert len(seen) >= 3 and sum(seen.values()) >= 5
+
+
+def test_benchmark_blocks_are_alive_one_at_a_time(spark, tiny_docs, monkeypatch):
+    """Blocks are written pass by pass, and their broadcasts destroyed but for the last one's."""
+    from pyspark.core.broadcast import Broadcast
+    alive, most = [], []
+    make, destroy = type(spark.sparkContext).broadcast, Broadcast.destroy
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, v: (alive.append(1), most.append(len(alive)), make(self, v))[2])
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (alive.pop(), destroy(self, *a))[1])
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    docs = tiny_docs.select("doc_id", "text")
+    one = decontaminate.decontaminate(docs, bench)
+    whole = sorted(map(repr, one.collect()))
+    alive.clear()
+    most.clear()
+    many = decontaminate.decontaminate(docs, bench, block_bytes=4000)
+    assert sorted(map(repr, many.collect())) == whole and len(most) > 2 and max(most) == 1
