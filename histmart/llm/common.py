@@ -125,3 +125,23 @@ def word_array(text: Column) -> Column:
     """Words of a text without NULL: maximal runs of other characters than WORD_SPACE."""
     trimmed = F.btrim(text, F.lit(WORD_SPACE))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_SPLIT, -1))
+
+
+BITMAP_BITS = 1 << 26  # 2,048 rows of 4 KB, whatever is put in
+
+
+def bitmap(df: DataFrame, column: str) -> DataFrame:
+    """(_bucket, _bits): one bit for the hash of every value of ``column``, at most 8 MB."""
+    h = F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)) + 1
+    return df.select(F.bitmap_bucket_number(h).alias("_bucket"), F.bitmap_bit_position(h).alias("_at")).groupBy("_bucket").agg(
+        F.bitmap_construct_agg("_at").alias("_bits"))
+
+
+def may_hold(df: DataFrame, column: str, bits: DataFrame) -> DataFrame:
+    """The rows whose ``column`` may be among the values of ``bits``: all of those, and few others while the bitmap is
+    sparse. It spares a join's shuffle rows without a partner; the join decides."""
+    h = F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)) + 1
+    marked = df.withColumn("_bucket", F.bitmap_bucket_number(h)).withColumn("_at", F.bitmap_bit_position(h))
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(F.col("_at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return marked.join(F.broadcast(bits), "_bucket").filter(
+        F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1).drop("_bucket", "_at", "_bits")

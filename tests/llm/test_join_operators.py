@@ -411,3 +411,81 @@ def test_page_columns_of_any_name(spark):
     out = {r["page_id"]: r for r in urlgraph.judge(spark.createDataFrame(rows, ", ".join(f"{n} string" if i else f"{n} long" for i, n in enumerate(names)))).collect()}
     assert (out[1]["verdict"], out[1]["host_verdict"], out[2]["fit"], out[2]["c0"], out[2]["sender"]) == ("allow", "p", "v", "w", "x")
     assert isinstance(out[1]["trust"], float)
+
+
+def test_passage_of_sentences_frequent_elsewhere(spark):
+    """Two sentences of 30 words, each in 40 other texts, put together in two documents: 60 equal words in a row."""
+    one, two = prose(501, 30), prose(502, 30)
+    docs = [(i, f"{prose(600 + i, 60)} {one if i % 2 else two} {prose(800 + i, 40)}") for i in range(80)]
+    docs += [(900, f"{prose(990, 50)} {one} {two} {prose(991, 50)}"), (901, f"{prose(992, 30)} {one} {two} {prose(993, 70)}")]
+    rows = passages.op8_query(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {frozenset((r["doc_id"], r["other_id"])) for r in rows} == {frozenset((900, 901))}
+    assert all(58 <= r["length"] <= 64 for r in rows)
+
+
+def test_repeated_rows_with_one_id_are_copies(spark):
+    a = prose(71, 80)
+    rows = passages.op8_query(spark.createDataFrame([(5, a), (5, a), (7, a), (8, prose(72, 80))], "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["other_id"], r["length"]) for r in rows) == [(5, 5, 80), (7, 5, 80)]
+
+
+def edited(words, equality, mixed, r):
+    """A copy in which about ``1 - equality`` of the words are substituted (or also deleted and inserted)."""
+    out = []
+    for i, w in enumerate(words):
+        if r.random() < 1 - equality:
+            kind = r.choice("sid") if mixed else "s"
+            out += {"s": [f"x{r.random()}"], "i": [f"y{r.random()}", w], "d": []}[kind]
+        else:
+            out.append(w)
+    return out
+
+
+def recall(words, equality, mixed, pairs=60, seed=1):
+    """Share of planted pairs of which at least half of the passage is found, by the functions that the tasks run."""
+    from histmart.llm.shingles import WordHasher
+    hasher, found = WordHasher(), 0
+    r = random.Random(seed)
+    for i in range(pairs):
+        body = prose(10_000 + 7 * i + seed, words).split()
+        texts, at = [], []
+        for k, part in enumerate((body, edited(body, equality, mixed, r))):
+            before = prose(50_000 + 2 * i + k, r.randint(20, 80)).split()
+            at.append(len(before))
+            texts.append(before + part + prose(90_000 + 2 * i + k, 60).split())
+        seeds = [passages.seeds_of(hasher(" ".join(t))) for t in texts]
+        first = {}
+        for s, p in zip(*map(np.ndarray.tolist, seeds[0])):
+            first.setdefault(s, p)
+        points = set()
+        for s, p in zip(*map(np.ndarray.tolist, seeds[1])):
+            if s in first:
+                q = first[s]
+                points |= {(p >> 8, q >> 8), ((p >> 8) + (p & 255), (q >> 8) + (q & 255))}
+        covered = 0
+        for c in passages.chains(passages.segments(sorted(points))) if len(points) > 1 else []:
+            if c[-1][0] + c[-1][2] - c[0][0] >= passages.LEAST:
+                for start, length, *_ in passages.align(texts[1], texts[0], c):
+                    covered = max(covered, min(start + length, at[1] + words) - max(start, at[1]))
+        found += covered * 2 >= words
+    return found / pairs
+
+
+@pytest.mark.parametrize("words, equality, mixed, least", [
+    (60, 1.0, False, 1.0), (60, 0.95, False, 0.9), (100, 0.95, True, 0.9), (100, 0.9, False, 0.9), (100, 0.9, True, 0.85), (300, 0.9, True, 0.9)])
+def test_recall_of_fuzzy_passages(words, equality, mixed, least):
+    assert recall(words, equality, mixed) >= least
+
+
+@given(st.lists(st.sampled_from("abcd"), max_size=14), st.lists(st.sampled_from("abcd"), max_size=14))
+@settings(max_examples=200, deadline=None)
+def test_extension_has_the_best_score(a, b):
+    def lcs(x, y):
+        t = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, u in enumerate(x):
+            for j, v in enumerate(y):
+                t[i + 1][j + 1] = t[i][j] + 1 if u == v else max(t[i][j + 1], t[i + 1][j])
+        return t[-1][-1]
+    best = max((3 * lcs(a[:i], b[:j]) - i - j for i in range(len(a) + 1) for j in range(len(b) + 1) if abs(i - j) <= passages.SLACK), default=0)
+    i, j, n = passages._extend(a, b)
+    assert n == lcs(a[:i], b[:j]) and 3 * n - i - j == max(best, 0)
