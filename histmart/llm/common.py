@@ -137,11 +137,16 @@ def bitmap(df: DataFrame, column: str) -> DataFrame:
         F.bitmap_construct_agg("_at").alias("_bits"))
 
 
+def marked(df: DataFrame, column: str, bits: DataFrame) -> DataFrame:
+    """``df`` with _may: false only where ``column`` is not among the values of ``bits`` (no shuffle: the bitmap is broadcast)."""
+    h = F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)) + 1
+    placed = df.withColumn("_bucket", F.bitmap_bucket_number(h)).withColumn("_at", F.bitmap_bit_position(h))
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(F.col("_at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return placed.join(F.broadcast(bits), "_bucket", "left").withColumn(
+        "_may", F.coalesce(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1, F.lit(False))).drop("_bucket", "_at", "_bits")
+
+
 def may_hold(df: DataFrame, column: str, bits: DataFrame) -> DataFrame:
     """The rows whose ``column`` may be among the values of ``bits``: all of those, and few others while the bitmap is
     sparse. It spares a join's shuffle rows without a partner; the join decides."""
-    h = F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)) + 1
-    marked = df.withColumn("_bucket", F.bitmap_bucket_number(h)).withColumn("_at", F.bitmap_bit_position(h))
-    byte = F.conv(F.hex(F.substring("_bits", (F.floor(F.col("_at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return marked.join(F.broadcast(bits), "_bucket").filter(
-        F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1).drop("_bucket", "_at", "_bits")
+    return marked(df, column, bits).filter("_may").drop("_may")

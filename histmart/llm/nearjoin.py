@@ -47,7 +47,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histmart.llm.common import prepare, scratch, stage, trimmed, trimmed_group
+from histmart.llm.common import bitmap, marked, prepare, scratch, stage, trimmed, trimmed_group
 from histmart.llm.graph import components, starred
 from histmart.llm.shingles import MinHasher, WordHasher, shingle_set
 
@@ -322,8 +322,9 @@ def links(rows: DataFrame, heads: DataFrame, text: str = "text") -> tuple[DataFr
             found.filter("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("degree")))
 
 
-def _classified(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The input columns under the names c0, c1, ..., then _llm_class, _llm_links and _llm_stays."""
+def _classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, input columns under the names c0, c1, ..., and (_llm_set, _llm_head, _llm_degree): of each shingle
+    set the key and row that represent its class, and its links."""
     spark = docs.sparkSession
     prepare(spark)
     key, text = (f"c{docs.columns.index(c)}" for c in (key, text))
@@ -342,7 +343,13 @@ def _classified(docs: DataFrame, key: str, text: str) -> DataFrame:
         classes = stage(placed.join(first, "component").select(
             "_llm_set", F.col("first").alias("_llm_head"),
             (F.col("copies") - 1 + F.coalesce("degree", F.lit(0))).alias("_llm_degree")), "near-classes", keep=True)
-    head = F.col("_llm_head")
+    return rows, classes
+
+
+def _classified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The input columns under the names c0, c1, ..., then _llm_class, _llm_links and _llm_stays."""
+    rows, classes = _classes(docs, key, text)
+    key, head = f"c{docs.columns.index(key)}", F.col("_llm_head")
     return rows.join(classes, "_llm_set", "left").select(
         *[f"c{i}" for i in range(len(docs.columns))],
         F.when(head.isNull(), F.col(key)).otherwise(head["key"]).alias("_llm_class"),
@@ -360,8 +367,15 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The representative row of each class, with the input columns."""
-    return _classified(docs, key, text).filter("_llm_stays").select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    rows, classes = _classes(docs, key, text)
+    # rows are numbered, so those that go are a list of numbers; most rows that stay are told by a bitmap of it and are
+    # not shuffled with their texts
+    gone = stage(rows.select("_llm_row", "_llm_set").join(classes, "_llm_set").filter(
+        F.col("_llm_row") != F.col("_llm_head.row")).select("_llm_row"), "near-gone")
+    seen = marked(rows, "_llm_row", stage(bitmap(gone, "_llm_row"), "near-bitmap"))
+    left = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    doubtful = seen.filter("_may").join(gone, "_llm_row", "left_anti")
+    return seen.filter("NOT _may").select(*left).unionByName(doubtful.select(*left))
 
 
 def op6_query(docs: DataFrame) -> DataFrame:
