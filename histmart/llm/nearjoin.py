@@ -47,7 +47,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histmart.llm.common import bitmap, marked, prepare, scratch, stage, trimmed, trimmed_group
+from histmart.llm.common import bitmap, marked, may_hold, prepare, scratch, stage, trimmed, trimmed_group
 from histmart.llm.graph import components, starred
 from histmart.llm.shingles import MinHasher, WordHasher, shingle_set
 
@@ -317,6 +317,7 @@ def links(rows: DataFrame, heads: DataFrame, text: str = "text") -> tuple[DataFr
     placed = stage(groups.join(sizes, "group").join(heads.select("id", "copies"), "id"), "near-groups")
     met = _meetings(placed, "group", BLOCK).select("cell", "meeting", "side", "id", "copies")
     texts = rows.select(F.col("_llm_row").alias("id"), F.col(text).cast("string").alias("text"))
+    texts = may_hold(texts, "id", stage(bitmap(placed, "id"), "near-bitmap"))  # texts of grouped nodes alone are shuffled
     found = stage(_met(met.join(texts, "id")), "near-links")
     return (found.filter("b IS NOT NULL").select("a", "b"),
             found.filter("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("degree")))
