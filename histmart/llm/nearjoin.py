@@ -127,6 +127,8 @@ def _pruned(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     num, den = SIMILAR
     steps = list(range(STEP, BANDS * ROWS + 1, STEP))
     least = [least_matches(num / den, s) for s in steps]
+    # signatures of nodes in a pair alone are shuffled
+    rows = may_hold(rows, "_llm_row", stage(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id"), "near-bitmap"))
     end = lambda x: rows.select(F.col("_llm_row").alias(x), F.col("_llm_n").alias(f"n_{x}"), F.col("_llm_sig").alias(f"sig_{x}"))
     joined = (pairs.join(end("a"), "a").join(end("b"), "b")
               .filter(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num))
@@ -206,6 +208,7 @@ def _finished(bands: DataFrame, buckets: DataFrame, groups: DataFrame, rows: Dat
     mixed = members.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("size")).filter(
         "low <> high").select("key", "size")
     members = stage(members.join(mixed, "key"), "near-mixed")
+    rows = may_hold(rows, "_llm_row", stage(bitmap(members, "id"), "near-bitmap"))
     met = _meetings(members, "key", SIGNATURES).select("cell", "meeting", "side", "id", "part").join(
         rows.select(F.col("_llm_row").alias("id"), F.col("_llm_n").alias("n"), F.col("_llm_sig").alias("sig")), "id")
 
@@ -304,10 +307,11 @@ def _met(cells: DataFrame) -> DataFrame:
 def links(rows: DataFrame, heads: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Over the head rows (``heads``: id = _llm_row of one row per shingle set, and its copies): verified links
     (a, b) that connect every class, and (id, degree): the documents of other sets linked to those of a set."""
-    nodes = rows.select(F.col("_llm_row").alias("id"), F.col("_llm_sig").alias("sig")).join(heads.select("id"), "id")
+    head_rows = may_hold(rows, "_llm_row", stage(bitmap(heads, "id"), "near-bitmap"))
+    nodes = head_rows.select(F.col("_llm_row").alias("id"), F.col("_llm_sig").alias("sig")).join(heads.select("id"), "id")
     bands = stage(_bands(nodes), "near-bands")
     buckets = stage(_buckets(bands), "near-buckets")
-    pairs = candidates(bands, buckets).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    pairs = stage(candidates(bands, buckets).select(F.col("id").alias("a"), F.col("pivot").alias("b")), "near-pairs")
     alive = _pruned(pairs, rows).select(F.col("a").alias("id"), F.col("b").alias("pivot"))
     alive = stage(starred(alive), "near-alive")
     groups = components(alive)
