@@ -170,6 +170,8 @@ def oracle_queries() -> dict[str, str]:
     q["load_lineage"] = ("SELECT DATE '2024-02-01' AS ingest_dt, count(*) AS n_rows, count(*) AS n_named, count(*) AS n_paths, "
                          "count(*) AS n_dated FROM events")
     q["json_array_load"] = "SELECT c_custkey, c_name, c_nationkey FROM customer"
+    q["json_array_split"] = ("SELECT s_nationkey, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, s_name, l_returnflag AS flag "
+                             "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey")
     bad = " UNION ALL ".join(f"SELECT count(*) > 0 AS f FROM ({sql})" for sql in _CHECK_FAILURES.values())
     q["run_monitoring_row"] = (
         f"SELECT 'histmart_daily' AS dag_id, 'run-1' AS run_id, CASE WHEN bool_or(f) THEN 'success_with_warnings' ELSE 'success' END "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from histmart.plans.models import build_models, quarantine_models
 from histmart.plans.oracle import oracle_queries
 from histmart.plans.stg import product_base
 from histmart.session import shared_path
+from histmart.streaming.incremental import stream_full_outer, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +63,7 @@ def standin_queries() -> dict[str, Query]:
         "lag_parent_hot": s.lag_parent_hot,
         "load_lineage": s.load_lineage,
         "json_array_load": s.json_array_load,
+        "json_array_split": s.json_array_split,
         "stored_failures": s.stored_failures,
         "run_monitoring_row": s.run_monitoring_row,
         "view_materialised": s.view_materialised,
@@ -151,8 +154,34 @@ def ndjson_query(model: str) -> Query:
     return run
 
 
+def stream_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stg_reviews`` by two watermarked streams of rating and count points: one run for each year, and one after the
+    marks have passed the last point."""
+    sides = [f"{shared_path(spark, 'review-points')}/{name}" for name in ("rating", "count")]
+    folders = [f"{shared_path(spark, 'review-stream')}/{name}" for name in ("rating", "count")]
+    for points, path in zip(stg.review_sides(product_base(product_feed(spark, sf_dir))), sides):
+        points.withColumn("snapshot_ts", stg.minutes_to_ts("series_min")).write.parquet(path)
+    points = [spark.read.parquet(path) for path in sides]
+    target, checkpoint = shared_path(spark, "stream-reviews"), shared_path(spark, "stream-reviews-ckpt")
+
+    def run(parts) -> None:
+        for part, folder in zip(parts, folders):
+            part.write.mode("append").parquet(folder)
+        stream_full_outer(spark, *[table_stream(spark, folder, None) for folder in folders], target, ["asin"], "snapshot_ts", checkpoint)
+
+    times = points[0].select("snapshot_ts").unionByName(points[1].select("snapshot_ts"))
+    first, last = times.agg(F.min("snapshot_ts"), F.max("snapshot_ts")).first()
+    for year in range(first.year, last.year + 1):
+        run([p.filter(F.year("snapshot_ts") == year) for p in points])
+    mark = [spark.range(1).select(*[F.lit(None).cast(t).alias(c) for c, t in p.dtypes]).withColumn(
+        "snapshot_ts", F.lit(last + timedelta(days=days))) for p, days in zip(points, (10, 11))]
+    run(mark)  # points without a product, ahead of all others, which no run gives out
+    return stg.review_points(spark.read.parquet(target))
+
+
 def model_queries() -> dict[str, Query]:
     return {**{name: model_query(name) for name in MODEL_KEYS}, "quarantine_rollup_odd_feed": quarantine_rollup_odd_feed,
+            "stream_reviews": stream_reviews,
             **{name: odd_model_query(model) for name, model in ODD_MODELS.items()},
             **{f"ndjson_{model}": ndjson_query(model) for model in NDJSON_MODELS}}
 
@@ -167,4 +196,5 @@ def all_oracles() -> dict[str, str]:
     q = all_queries()
     sql = dict(oracle_queries())
     sql.update(feed_oracles())
+    sql["stream_reviews"] = sql["stg_reviews"]
     return {k: v for k, v in sql.items() if k in q}

@@ -7,7 +7,7 @@ on a table whose shape fits it; the SQL twin of each query lives in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histmart.functions import (
@@ -23,6 +23,7 @@ from histmart.operators.quality import (
     quarantine_union, relationships, store_failures, summarise, unique,
 )
 from histmart.session import shared_path
+from histmart.sources.arrays import read_large_json_array
 from histmart.sources.changes import changes
 from histmart.sources.sink import bucket_column, key_bucket
 from histmart.sources import (
@@ -299,6 +300,25 @@ def json_array_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_array(spark, path, "c_custkey bigint, c_name string, c_nationkey int").select("c_custkey", "c_name", "c_nationkey")
 
 
+def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file with one outer array for each nation, read by many tasks (S5): line items of the nation's suppliers."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_returnflag")
+    rows = li.join(_t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey", "s_name"), "l_suppkey")
+    path = shared_path(spark, "json-large-arrays")
+    # a nation's file is written row by row in its order; no row holds a group
+    order = ["s_nationkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_returnflag"]
+    w = Window.partitionBy("s_nationkey").orderBy(*order[1:])
+    field = F.to_json(F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", F.struct("s_name", F.array("l_returnflag").alias(
+        "flags")).alias("of")))
+    at = rows.withColumn("i", F.row_number().over(w)).withColumn("more", F.lead(F.lit(1)).over(w))
+    value = F.concat(F.when(F.col("i") == 1, "[").otherwise(","), field, F.when(F.col("more").isNull(), "]").otherwise(""))
+    at.sortWithinPartitions("s_nationkey", "i").select("s_nationkey", value.alias("value")).write.partitionBy("s_nationkey").text(path)
+    read = read_large_json_array(spark, path, "l_orderkey bigint, l_linenumber int, l_suppkey bigint, l_extendedprice double, "
+                                              "of struct<s_name string, flags array<string>>")
+    return read.select("s_nationkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", F.col("of.s_name").alias("s_name"),
+                       F.element_at("of.flags", 1).alias("flag"))
+
+
 def stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A singular check (D12) whose failing rows are stored (D13) under the routed layer."""
     root = shared_path(spark, "stored")

@@ -203,7 +203,12 @@ def reviews_from_sides(r: DataFrame, c: DataFrame) -> DataFrame:
     """Join the two series on (asin, minute); the rating side's load stamp wins."""
     j = full_outer_series(r, c, ["asin", "series_min"],
                           coalesce_extra=[("ingest_ts", "ingest_ts", "ingest_ts")])
-    pts = j.select(
+    return review_points(j)
+
+
+def review_points(joined: DataFrame) -> DataFrame:
+    """Review rows of the joined series, one per (asin, minute)."""
+    pts = joined.select(
         "asin", minutes_to_ts("series_min").alias("snapshot_ts"),
         sentinel_to_null("raw_rating", 10, RATING_TYPE).alias("rating"),
         sentinel_to_null("raw_count").alias("review_count"), "ingest_ts")
