@@ -13,7 +13,9 @@ commas between elements are told from those inside them:
   by element, which may lie across ranges, and parsed.
 
 Memory is bounded by a range (``spark.sql.files.maxPartitionBytes``; its pieces
-spill) and by an element. The text is shuffled twice, by range and by element.
+spill) and by an element. Files are read twice: once for the ranges, of which
+only numbers are shuffled and a row per range is written, and once for the
+elements, of which the text is shuffled by range and by element.
 
 Defined cases: a file whose outermost value is no array is one row; an empty
 array and an empty file give none; an element that is no valid JSON of the
@@ -25,7 +27,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from histmart.session import shared_path
+from histmart.sources.files import Folder
+
 SPACE = " \t\n\r"
+MARK = "\ufeff"  # byte order mark
+
+
+def _upto(last: int):
+    """The pieces of a range up to this one (0) or before it (-1)."""
+    return Window.partitionBy("_file", "_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, last)
 
 
 def _less(text: Column, drop: str) -> Column:
@@ -53,46 +64,59 @@ def array_pieces(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
         _depth(F.col("_bare")).alias("_out"), _depth(F.concat(F.lit('"'), "_bare")).alias("_into")), parts
 
 
+def _in_ranges(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with the state after each, for a range that begins outside a string (0) and for one that begins inside (1):
+    _odd (quotes so far, as 0 or 1), _step0, _step1 (change of depth by the piece) and _depth0, _depth1 (their running sums)."""
+    seen = pieces.withColumn("_odd", F.sum("_quotes").over(_upto(0)) % 2)
+    began = (F.col("_odd") + F.col("_quotes")) % 2 == 0
+    seen = seen.withColumn("_step0", F.when(began, F.col("_out")).otherwise(F.col("_into"))).withColumn(
+        "_step1", F.when(began, F.col("_into")).otherwise(F.col("_out")))
+    return seen.withColumn("_depth0", F.sum("_step0").over(_upto(0))).withColumn("_depth1", F.sum("_step1").over(_upto(0)))
+
+
+def _from(first: Column, odd: Column, depth: Column) -> tuple[Column, Column]:
+    """(depth, outside a string) after a piece, given how its range began."""
+    return depth + F.when(odd == 0, F.col("_depth0")).otherwise(F.col("_depth1")), first & ((odd + F.col("_odd")) % 2 == 0)
+
+
+def array_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """(_file, _block, odd, depth, array, before), one row per range: whether it begins inside a string, at which depth,
+    whether the file holds an array, and how many elements end in earlier ranges. A written table, made from numbers alone."""
+    pieces, _ = array_pieces(spark, path)
+    first = F.left(F.ltrim(F.col("_piece"), F.lit(SPACE + MARK)), F.lit(1))
+    steps = _in_ranges(pieces.select("_file", "_block", "_pos", "_quotes", "_out", "_into", first.alias("_first")))
+    at, to = shared_path(spark, "array-steps"), shared_path(spark, "array-ranges")
+    steps.write.parquet(at)
+    steps = spark.read.schema(steps.schema).parquet(at)
+    totals = steps.groupBy("_file", "_block").agg(
+        F.sum("_quotes").alias("quotes"), F.sum("_step0").alias("change0"), F.sum("_step1").alias("change1"), F.min_by("_first", "_pos").alias("first"))
+    blocks = Window.partitionBy("_file").orderBy("_block")
+    earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
+    whole = blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    begun = totals.withColumn("odd", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2).withColumn(
+        "change", F.when(F.col("odd") == 0, F.col("change0")).otherwise(F.col("change1"))).select(
+        "_file", "_block", "odd", F.coalesce(F.sum("change").over(earlier), F.lit(0)).alias("depth"), (F.first("first").over(whole) == "[").alias("array"))
+    depth, outside = _from(F.col("array"), F.col("odd"), F.col("depth"))
+    ends = steps.select("_file", "_block", "_odd", "_depth0", "_depth1").join(begun, ["_file", "_block"]).groupBy(
+        "_file", "_block", "odd", "depth", "array").agg(F.count_if(outside & (depth == 1)).alias("ends"))
+    ends.select("_file", "_block", "odd", "depth", "array", F.coalesce(F.sum("ends").over(earlier), F.lit(0)).alias("before")).write.parquet(to)
+    Folder(spark, at).delete()
+    return spark.read.parquet(to)
+
+
 def array_elements(spark: SparkSession, path: str) -> DataFrame:
     """(_file, _element, text) and partition columns: the elements of the outer array of each file, in order from 0."""
     pieces, parts = array_pieces(spark, path)
-    here = Window.partitionBy("_file", "_block").orderBy("_pos")
-    upto = here.rowsBetween(Window.unboundedPreceding, 0)
-    # state after each piece, for a range that begins outside a string and for one that begins inside
-    seen = pieces.withColumn("_odd", F.sum("_quotes").over(upto) % 2)
-    began = (F.col("_odd") + F.col("_quotes")) % 2
-    seen = seen.withColumn("_step0", F.when(began == 0, F.col("_out")).otherwise(F.col("_into"))).withColumn(
-        "_step1", F.when(began == 0, F.col("_into")).otherwise(F.col("_out")))
-    seen = seen.withColumn("_depth0", F.sum("_step0").over(upto)).withColumn("_depth1", F.sum("_step1").over(upto)).drop(
-        "_out", "_into")
-
-    ranges = seen.groupBy("_file", "_block").agg(
-        F.sum("_quotes").alias("quotes"), F.sum("_step0").alias("change0"), F.sum("_step1").alias("change1"),
-        F.min_by(F.left(F.ltrim(F.col("_piece"), F.lit(SPACE + "﻿")), F.lit(1)), "_pos").alias("first"))
-    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranges = ranges.withColumn("odd", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2).withColumn(
-        "change", F.when(F.col("odd") == 0, F.col("change0")).otherwise(F.col("change1")))
-    ranges = ranges.select("_file", "_block", "odd", F.coalesce(F.sum("change").over(earlier), F.lit(0)).alias("depth"),
-                           (F.first("first").over(whole) == "[").alias("_array"))
-
-    placed = seen.join(ranges, ["_file", "_block"])
-    depth = F.col("depth") + F.when(F.col("odd") == 0, F.col("_depth0")).otherwise(F.col("_depth1"))
-    outside = (F.col("odd") + F.col("_odd")) % 2 == 0
-    placed = placed.withColumn("_ends", (F.col("_array") & outside & (depth == 1)).cast("int")).withColumn(
-        "_closed", F.col("_array") & outside & (depth <= 0))
-    before = here.rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.withColumn("_own", F.coalesce(F.sum("_ends").over(before), F.lit(0))).select(
-        "_file", "_block", "_pos", "_piece", *parts, "_array", "_ends", "_closed", "_own")
-    ended = placed.groupBy("_file", "_block").agg(F.sum("_ends").alias("_n"))
-    ended = ended.select("_file", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    numbered = placed.join(ended, ["_file", "_block"]).withColumn("_element", F.col("_before") + F.col("_own"))
-
+    placed = _in_ranges(pieces).join(array_ranges(spark, path), ["_file", "_block"])
+    depth, outside = _from(F.col("array"), F.col("odd"), F.col("depth"))
+    ended = F.coalesce(F.sum((outside & (depth == 1)).cast("int")).over(_upto(-1)), F.lit(0))
+    numbered = placed.select("_file", "_block", "_pos", "_piece", *parts, "array", (F.col("before") + ended).alias("_element"),
+                             (outside & (depth <= 0)).alias("_closed"))
     piece = F.sort_array(F.collect_list(F.struct("_block", "_pos", "_piece")))
-    elements = numbered.groupBy("_file", "_element", *parts, "_array").agg(
+    elements = numbered.groupBy("_file", "_element", *parts, "array").agg(
         F.array_join(F.transform(piece, lambda p: p["_piece"]), ",").alias("text"), F.bool_or("_closed").alias("_closed"))
-    opened = F.when(F.col("_array") & (F.col("_element") == 0), F.regexp_replace("text", r"\A[\s﻿]*\[", "")).otherwise(F.col("text"))
-    text = F.trim(F.when(F.col("_closed"), F.regexp_replace(opened, r"\]\s*\z", "")).otherwise(opened), F.lit(SPACE + "﻿"))
+    opened = F.when(F.col("array") & (F.col("_element") == 0), F.regexp_replace("text", rf"\A[\s{MARK}]*\[", "")).otherwise(F.col("text"))
+    text = F.trim(F.when(F.col("_closed"), F.regexp_replace(opened, r"\]\s*\z", "")).otherwise(opened), F.lit(SPACE + MARK))
     return elements.select("_file", "_element", text.alias("text"), *parts).filter("text <> ''")
 
 
