@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from histmart.operators.dedup import latest_per_key
+from histmart.session import apply_defaults
 from histmart.sources.files import Folder
 
 # Warehouse layers and their schema names.
@@ -162,17 +163,40 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] | None = None)
     w.parquet(path)
 
 
+# Settings of a session whose Parquet scans answer max from file footers, where the type has it there (dates and numbers).
+FOOTER_SETTINGS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+NO_STATISTICS = "No min/max found for Parquet file"  # fixed value: what Spark says of such a footer
+
+
+def newest(spark: SparkSession, path: str, column: str, as_date: bool = False) -> DataFrame:
+    """One row with m = max(column) of the table at ``path``, from its footers alone for dates and numbers; text and
+    timestamps have no such footers and are read, that column only. Runs in a session of its own, so the settings stay there."""
+    own = spark.newSession()
+    apply_defaults(own)
+    for k, v in FOOTER_SETTINGS.items():
+        own.conf.set(k, v)
+    c = F.col(column).cast("date") if as_date else F.col(column)
+    return own.read.parquet(path).agg(F.max(c).alias("m"))
+
+
 def high_water(spark: SparkSession, path: str, column: str, as_date: bool = False,
                default: str = "1900-01-01"):
     """max(column) of the target, or ``default`` when the target is absent/empty.
 
-    One scalar is collected (a footer-sized aggregate); it is then used as a
-    literal so the increment filter reaches the Parquet scan.
+    One scalar is collected; it is then used as a literal so the increment
+    filter reaches the Parquet scan. Where a file's footer has no maximum (a
+    column that is NULL throughout the file) the column is read; any other
+    error rises.
     """
     if not table_exists(spark, path):
         return default
-    c = F.col(column).cast("date") if as_date else F.col(column)
-    v = spark.read.parquet(path).agg(F.max(c).alias("m")).first()["m"]
+    try:
+        v = newest(spark, path, column, as_date).first()["m"]
+    except Exception as ex:  # noqa: BLE001
+        if NO_STATISTICS not in str(ex):
+            raise
+        c = F.col(column).cast("date") if as_date else F.col(column)
+        v = spark.read.parquet(path).agg(F.max(c).alias("m")).first()["m"]
     return default if v is None else v
 
 
