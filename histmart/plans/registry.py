@@ -181,7 +181,6 @@ def stream_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_queries() -> dict[str, Query]:
     return {**{name: model_query(name) for name in MODEL_KEYS}, "quarantine_rollup_odd_feed": quarantine_rollup_odd_feed,
-            "stream_reviews": stream_reviews,
             **{name: odd_model_query(model) for name, model in ODD_MODELS.items()},
             **{f"ndjson_{model}": ndjson_query(model) for model in NDJSON_MODELS}}
 
@@ -196,5 +195,4 @@ def all_oracles() -> dict[str, str]:
     q = all_queries()
     sql = dict(oracle_queries())
     sql.update(feed_oracles())
-    sql["stream_reviews"] = sql["stg_reviews"]
     return {k: v for k, v in sql.items() if k in q}
