@@ -275,37 +275,39 @@ def counted(written: DataFrame) -> DataFrame:
     return parts.select("chunk", "place", "a", "b").join(counts.hint("merge"), ["a", "b"]).select("chunk", "place", "n", "best")
 
 
-def aligned(written: DataFrame, counts: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per document: key, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256."""
-    kind = written.schema["keys"].dataType.elementType.simpleString()
+def document_sums(left, right):
+    """Per document of the chunks in ``left`` what its pairs amount to; ``right`` has the chunk's pairs by place."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-    def run(left, right):
-        import pyarrow as pa
+    most = int(pc.max(right["place"]).as_py() or 0) + 1 if right.num_rows else 0
+    n, best = np.zeros(most, dtype=np.int64), np.zeros(most, dtype=np.int64)
+    place = right["place"].to_numpy()
+    n[place], best[place] = right["n"].to_numpy(), right["best"].to_numpy().astype(np.int64)
+    out = []
+    for row in left.to_batches(max_chunksize=1):  # one chunk
+        of = lambda c: row.column(c).flatten()
+        sizes, places, times = (np.asarray(of(c)) for c in ("pairs", "places", "times"))
+        doc = np.repeat(np.arange(len(sizes)), sizes)
 
-        most = int(pa.compute.max(right["place"]).as_py() or 0) + 1 if right.num_rows else 0
-        n, best = np.zeros(most, dtype=np.int64), np.zeros(most, dtype=np.int64)
-        place = right["place"].to_numpy()
-        n[place], best[place] = right["n"].to_numpy(), right["best"].to_numpy().astype(np.int64)
-        out = []
-        for row in left.to_batches(max_chunksize=1):  # one chunk
-            of = lambda c: row.column(c).flatten()
-            sizes, places, times = (np.asarray(of(c)) for c in ("pairs", "places", "times"))
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-
-            def total(values):
-                sums = np.zeros(len(sizes), dtype=np.int64)
-                np.add.at(sums, doc, values)
-                return pa.array(sums)
-
-            out.append(pa.table([of("keys"), of("n_a"), of("n_b"), of("n_groups"), total(times), total(times * best[places]),
-                                 total(times * n[places]), of("digests")],
-                                ["key", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]))
-        return pa.concat_tables(out)
+        def total(values):
+            sums = np.zeros(len(sizes), dtype=np.int64)
+            np.add.at(sums, doc, values)
+            return pa.array(sums)
 
+        out.append(pa.table([of("keys"), of("n_a"), of("n_b"), of("n_groups"), total(times), total(times * best[places]),
+                             total(times * n[places]), of("digests")],
+                            ["key", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]))
+    return pa.concat_tables(out)
+
+
+def aligned(written: DataFrame, counts: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Per document: key, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256."""
+    kind = written.schema["keys"].dataType.elementType.simpleString()
     left = written.select("chunk", "keys", "n_a", "n_b", "n_groups", "digests", "pairs", "places", "times")
     counts = counts.select(F.col("chunk").alias("of_chunk"), "place", "n", "best")
     out = left.groupBy("chunk").cogroup(counts.groupBy("of_chunk")).applyInArrow(
-        trimmed_group(run), f"key {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+        trimmed_group(document_sums), f"key {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
     return out.withColumnRenamed("key", key)
 
 

@@ -109,3 +109,16 @@ def test_token_bytes():
     said = v.bytes[0].to_pylist()
     assert all(said[i] == bytes(LETTERS[c] for c in A.id_to_token(i)) for i in range(size) if i not in special and i < len(said))
     assert v.bytes[1][B.piece_to_id("<0x0A>")].as_py() == b"\n" and v.bytes[1][B.piece_to_id("▁the")].as_py() == b" the"
+
+
+def test_sums_in_a_worker_that_has_not_loaded_compute(monkeypatch):
+    """A fresh Python worker knows pyarrow alone; compute is a module of its own."""
+    import pyarrow as pa
+    monkeypatch.delattr(pa, "compute", raising=False)
+    one = lambda v, t: pa.array([v], pa.list_(t))
+    left = pa.table({"keys": one([7, 8], pa.int64()), "n_a": one([2, 0], pa.int64()), "n_b": one([1, 0], pa.int64()),
+                     "n_groups": one([1, 0], pa.int64()), "digests": one(["x", ""], pa.string()), "pairs": one([2, 0], pa.int64()),
+                     "places": one([0, 1], pa.int64()), "times": one([1, 2], pa.int64())})
+    right = pa.table({"place": pa.array([0, 1]), "n": pa.array([5, 3]), "best": pa.array([True, False])})
+    got = alignment.document_sums(left, right).to_pylist()
+    assert [(r["key"], r["n_links"], r["n_best"], r["count_sum"]) for r in got] == [(7, 3, 1, 11), (8, 0, 0, 0)]
