@@ -39,3 +39,12 @@ def test_the_session_keeps_its_settings(spark, table):
     before = spark.conf.get("spark.sql.sources.useV1SourceList"), spark.conf.get("spark.sql.parquet.aggregatePushdown")
     assert high_water(spark, table, "load") == dt.date(2024, 2, 9)
     assert before == (spark.conf.get("spark.sql.sources.useV1SourceList"), spark.conf.get("spark.sql.parquet.aggregatePushdown"))
+
+
+@pytest.mark.parametrize("column,mark", [("load", dt.date(2024, 1, 9)), ("n", 8)])
+def test_marks_of_a_table_with_nested_columns(spark, column, mark):
+    path = shared_path(spark, "nested-marks")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int"))
+    spark.range(9).select(F.struct(F.lit(100).cast("long").alias("a"), (F.col("id") + 1000).alias("b")).alias("s"), day.alias("load"),
+                          F.col("id").alias("n")).write.parquet(path)
+    assert high_water(spark, path, column) == mark
