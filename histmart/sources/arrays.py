@@ -12,10 +12,11 @@ commas between elements are told from those inside them:
 * A comma outside strings at depth 1 ends an element. Pieces are put together
   by element, which may lie across ranges, and parsed.
 
-Memory is bounded by a range (``spark.sql.files.maxPartitionBytes``; its pieces
-spill) and by an element. Files are read twice: once for the ranges, of which
-only numbers are shuffled and a row per range is written, and once for the
-elements, of which the text is shuffled by range and by element.
+The running sums go along with the rows as a task reads them, batch by batch,
+so no task sorts or holds a range; memory is bounded by an Arrow batch and by an
+element. Files are read twice: once for the ranges, of which only counts are
+shuffled and a row per range is written, and once for the elements, of which the
+text is shuffled once, by element.
 
 Defined cases: a file whose outermost value is no array is one row; an empty
 array and an empty file give none; an element that is no valid JSON of the
@@ -24,21 +25,16 @@ schema has NULL fields; a compressed file is one range.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histmart.session import shared_path
-from histmart.sources.files import Folder
 
 SPACE = " \t\n\r"
 MARK = "\ufeff"  # byte order mark
 
 
-def _upto(last: int):
-    """The pieces of a range up to this one (0) or before it (-1)."""
-    return Window.partitionBy("_file", "_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, last)
-
-
 def _less(text: Column, drop: str) -> Column:
     """Number of characters of ``text`` that are in ``drop``."""
     return F.length(text) - F.length(F.translate(text, drop, ""))
@@ -64,54 +60,117 @@ def array_pieces(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
         _depth(F.col("_bare")).alias("_out"), _depth(F.concat(F.lit('"'), "_bare")).alias("_into")), parts
 
 
-def _in_ranges(pieces: DataFrame) -> DataFrame:
-    """``pieces`` with the state after each, for a range that begins outside a string (0) and for one that begins inside (1):
-    _odd (quotes so far, as 0 or 1), _step0, _step1 (change of depth by the piece) and _depth0, _depth1 (their running sums)."""
-    seen = pieces.withColumn("_odd", F.sum("_quotes").over(_upto(0)) % 2)
-    began = (F.col("_odd") + F.col("_quotes")) % 2 == 0
-    seen = seen.withColumn("_step0", F.when(began, F.col("_out")).otherwise(F.col("_into"))).withColumn(
-        "_step1", F.when(began, F.col("_into")).otherwise(F.col("_out")))
-    return seen.withColumn("_depth0", F.sum("_step0").over(_upto(0))).withColumn("_depth1", F.sum("_step1").over(_upto(0)))
+def _runs(batch) -> list[tuple[int, int, tuple]]:
+    """(from, to, range) of the rows of a batch that lie in one range."""
+    import pyarrow.compute as pc
+
+    file, block = batch.column("_file"), batch.column("_block").to_numpy()
+    new = (block[1:] != block[:-1]) | pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)).to_numpy(zero_copy_only=False)
+    edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(block)]
+    return [(a, z, (file[a].as_py(), int(block[a]))) for a, z in zip(edges, edges[1:])]
+
+
+def _numbers(batch, names: tuple[str, ...], a: int, z: int) -> list[np.ndarray]:
+    return [batch.column(c).to_numpy()[a:z].astype(np.int64) for c in names]
 
 
-def _from(first: Column, odd: Column, depth: Column) -> tuple[Column, Column]:
-    """(depth, outside a string) after a piece, given how its range began."""
-    return depth + F.when(odd == 0, F.col("_depth0")).otherwise(F.col("_depth1")), first & ((odd + F.col("_odd")) % 2 == 0)
+def _stepped(quotes: np.ndarray, odd: np.ndarray, out: np.ndarray, into: np.ndarray) -> np.ndarray:
+    """Change of depth by each piece, given the quotes up to its end."""
+    return np.where((odd - quotes) % 2 == 0, out, into)
 
 
-def array_ranges(spark: SparkSession, path: str) -> DataFrame:
+def _in_ranges(pieces: DataFrame) -> DataFrame:
+    """(_file, _block, _pos, _first, _quotes, _odd, _step0, _step1, _depth0, _depth1): the state after each piece, for a range
+    that begins outside a string (0) and for one that begins inside (1): _odd (quotes so far, as 0 or 1), the change of depth
+    by the piece and its running sum. ``pieces`` as they are read: a range's rows in order, one range after the other."""
+    names = ("_odd", "_step0", "_step1", "_depth0", "_depth1")
+
+    def run(batches):
+        import pyarrow as pa
+
+        last, carried = None, (0, 0, 0)
+        for b in batches:
+            found = []
+            for a, z, at in _runs(b) if b.num_rows else ():
+                odd, depth0, depth1 = carried if at == last else (0, 0, 0)
+                quotes, out, into = _numbers(b, ("_quotes", "_out", "_into"), a, z)
+                odds = (odd + np.cumsum(quotes)) % 2
+                step0, step1 = _stepped(quotes, odds, out, into), _stepped(quotes, odds, into, out)
+                depths0, depths1 = depth0 + np.cumsum(step0), depth1 + np.cumsum(step1)
+                last, carried = at, (odds[-1], depths0[-1], depths1[-1])
+                found.append((odds, step0, step1, depths0, depths1))
+            if found:
+                kept = ["_file", "_block", "_pos", "_first", "_quotes"]
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), *(pa.array(np.concatenate(c)) for c in zip(*found))], [*kept, *names])
+
+    return pieces.select("_file", "_block", "_pos", "_first", "_quotes", "_out", "_into").mapInArrow(
+        run, "_file string, _block long, _pos long, _first int, _quotes int, " + ", ".join(f"{c} long" for c in names))
+
+
+def array_ranges(pieces: DataFrame, spark: SparkSession) -> DataFrame:
     """(_file, _block, odd, depth, array, before), one row per range: whether it begins inside a string, at which depth,
-    whether the file holds an array, and how many elements end in earlier ranges. A written table, made from numbers alone."""
-    pieces, _ = array_pieces(spark, path)
-    first = F.left(F.ltrim(F.col("_piece"), F.lit(SPACE + MARK)), F.lit(1))
-    steps = _in_ranges(pieces.select("_file", "_block", "_pos", "_quotes", "_out", "_into", first.alias("_first")))
-    at, to = shared_path(spark, "array-steps"), shared_path(spark, "array-ranges")
-    steps.write.parquet(at)
-    steps = spark.read.schema(steps.schema).parquet(at)
-    totals = steps.groupBy("_file", "_block").agg(
-        F.sum("_quotes").alias("quotes"), F.sum("_step0").alias("change0"), F.sum("_step1").alias("change1"), F.min_by("_first", "_pos").alias("first"))
+    whether the file holds an array, and how many elements end in earlier ranges. A written table, made from counts of the
+    states in each range."""
+    first = F.ascii(F.ltrim(F.col("_piece"), F.lit(SPACE + MARK)))
+    state = ["_file", "_block", "_odd", "_depth0", "_depth1"]
+    at = shared_path(spark, "array-states")
+    states = _in_ranges(pieces.withColumn("_first", first)).groupBy(*state).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_quotes").alias("quotes"), F.sum("_step0").alias("step0"), F.sum("_step1").alias("step1"),
+        F.min("_pos").alias("pos"), F.min_by("_first", "_pos").alias("first"))
+    states.write.parquet(at)
+    states = spark.read.schema(states.schema).parquet(at)
+    totals = states.groupBy("_file", "_block").agg(
+        F.sum("quotes").alias("quotes"), F.sum("step0").alias("change0"), F.sum("step1").alias("change1"), F.min_by("first", "pos").alias("first"))
     blocks = Window.partitionBy("_file").orderBy("_block")
     earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
     whole = blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     begun = totals.withColumn("odd", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2).withColumn(
         "change", F.when(F.col("odd") == 0, F.col("change0")).otherwise(F.col("change1"))).select(
-        "_file", "_block", "odd", F.coalesce(F.sum("change").over(earlier), F.lit(0)).alias("depth"), (F.first("first").over(whole) == "[").alias("array"))
-    depth, outside = _from(F.col("array"), F.col("odd"), F.col("depth"))
-    ends = steps.select("_file", "_block", "_odd", "_depth0", "_depth1").join(begun, ["_file", "_block"]).groupBy(
-        "_file", "_block", "odd", "depth", "array").agg(F.count_if(outside & (depth == 1)).alias("ends"))
+        "_file", "_block", "odd", F.coalesce(F.sum("change").over(earlier), F.lit(0)).alias("depth"),
+        (F.first("first").over(whole) == ord("[")).alias("array"))
+    outside = F.col("array") & ((F.col("odd") + F.col("_odd")) % 2 == 0)
+    depth = F.col("depth") + F.when(F.col("odd") == 0, F.col("_depth0")).otherwise(F.col("_depth1"))
+    ends = states.select(*state, "n").join(begun, ["_file", "_block"]).groupBy("_file", "_block", "odd", "depth", "array").agg(
+        F.sum(F.when(outside & (depth == 1), F.col("n")).otherwise(0)).alias("ends"))
+    to = shared_path(spark, "array-ranges")
     ends.select("_file", "_block", "odd", "depth", "array", F.coalesce(F.sum("ends").over(earlier), F.lit(0)).alias("before")).write.parquet(to)
-    Folder(spark, at).delete()
     return spark.read.parquet(to)
 
 
+def _numbered(placed: DataFrame, kept: list[str]) -> DataFrame:
+    """``kept`` columns with _element and _closed (the array ends in or before the piece), by the state in which each range
+    begins; rows in the order in which they are read."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.select(*kept).schema.fields)
+
+    def run(batches):
+        import pyarrow as pa
+
+        last, carried = None, (0, 0, 0)
+        for b in batches:
+            found = []
+            for a, z, at in _runs(b) if b.num_rows else ():
+                start = (int(b.column(c)[a].as_py()) for c in ("odd", "depth", "before"))
+                odd, depth, element = carried if at == last else start
+                quotes, out, into = _numbers(b, ("_quotes", "_out", "_into"), a, z)
+                odds = (odd + np.cumsum(quotes)) % 2
+                depths = depth + np.cumsum(_stepped(quotes, odds, out, into))
+                outside = (odds == 0) & b.column("array")[a].as_py()
+                ends = (outside & (depths == 1)).astype(np.int64)
+                after = element + np.cumsum(ends)
+                last, carried = at, (odds[-1], depths[-1], after[-1])
+                found.append((after - ends, outside & (depths <= 0)))
+            if found:
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), *(pa.array(np.concatenate(c)) for c in zip(*found))],
+                                                 [*kept, "_element", "_closed"])
+
+    return placed.mapInArrow(run, fields + ", _element long, _closed boolean")
+
+
 def array_elements(spark: SparkSession, path: str) -> DataFrame:
     """(_file, _element, text) and partition columns: the elements of the outer array of each file, in order from 0."""
     pieces, parts = array_pieces(spark, path)
-    placed = _in_ranges(pieces).join(array_ranges(spark, path), ["_file", "_block"])
-    depth, outside = _from(F.col("array"), F.col("odd"), F.col("depth"))
-    ended = F.coalesce(F.sum((outside & (depth == 1)).cast("int")).over(_upto(-1)), F.lit(0))
-    numbered = placed.select("_file", "_block", "_pos", "_piece", *parts, "array", (F.col("before") + ended).alias("_element"),
-                             (outside & (depth <= 0)).alias("_closed"))
+    placed = pieces.join(F.broadcast(array_ranges(pieces, spark)), ["_file", "_block"])  # a row per range
+    numbered = _numbered(placed, ["_file", "_block", "_pos", "_piece", *parts, "array"])
     piece = F.sort_array(F.collect_list(F.struct("_block", "_pos", "_piece")))
     elements = numbered.groupBy("_file", "_element", *parts, "array").agg(
         F.array_join(F.transform(piece, lambda p: p["_piece"]), ",").alias("text"), F.bool_or("_closed").alias("_closed"))

@@ -72,3 +72,10 @@ def test_compressed_file(spark, small_ranges, tmp_dir):
     with gzip.open(f"{tmp_dir}/f.json.gz", "wt", encoding="utf-8") as f:
         json.dump(_elements(100, 3), f)
     assert [r.k for r in read_large_json_array(spark, tmp_dir, "k bigint").orderBy("k").collect()] == list(range(100))
+
+
+def test_no_task_sorts_or_holds_a_range(spark, tmp_dir):
+    with open(f"{tmp_dir}/f.json", "w", encoding="utf-8") as f:
+        json.dump(_elements(20, 5), f)
+    plan = array_elements(spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "MapInArrow" in plan
