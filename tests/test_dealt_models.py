@@ -54,3 +54,30 @@ def test_assets_take_the_newest_load_of_each_place(spark):
     got = {(r.asin, r.asset_idx): (r.url, r.ingest_ts) for r in model.filter("asset_type = 'image'").collect()}
     assert got == {("A", 0): ("z", D2), ("A", 1): ("y", D1), ("B", 0): ("p", None), (None, 0): ("q", D1), ("C", None): (None, D1)}
     assert "Aggregate" in model._jdf.queryExecution().optimizedPlan().toString() and "tagged" not in _shuffled(model)
+
+
+def test_the_rollup_shuffles_suspects_alone(spark):
+    """The same rows as from the whole models; only points whose key has a broken one are shuffled."""
+    from histmart.plans.models import build_models, quarantine_models
+    offer = "offers_v array<struct<offerId:string,sellerId:string,isPrime:boolean,isFBA:boolean,condition:string,isShippable:boolean,isMAP:boolean,offerCSV:string>>"
+    aplus = "aplus_v array<struct<module:array<struct<image:array<string>,imageAltText:array<string>,text:array<string>,video:array<string>>>>>"
+
+    def csv(price, rank, rating, count):
+        return [price, None, None, rank, None, *[None] * 11, rating, count]
+
+    def offers(*texts):
+        return [(f"O{i}" if t != "none" else None, "S", True, True, "New", True, False, t) for i, t in enumerate(texts)]
+
+    rows = [("A", D1, "r1", csv([0, 5], [0, 0, 9, 3], [0, 45], [0, 5]), 0, offers("1,2", ""), None),
+            ("A", D2, "r2", csv([0, 6], [0, 4, 9, 0], [0, 60], [0, 7]), 1, offers("", "3,4"), [([(None, None, None, None)],)]),
+            ("B", D1, "r3", csv([0, 5], [7], [3, 99], [0, 5]), 0, offers("none"), None), ("B", D2, "r4", csv(None, [7, 1], [3, 20], [3, 5]), 0, None, None),
+            (None, D1, "r5", csv([0, 5, 9, 1], [0, 1], [0, 45, 8, 45], [0, 5]), 0, offers("1,2"), None),
+            (None, D2, "r6", csv([0, 4], [0, 2], [0, 44], [8, 5]), 0, offers("1,1"), None)]
+    b = spark.createDataFrame(rows, "asin string, ingest_ts date, _airbyte_raw_id string, csv_v array<array<bigint>>, csv_text_values int, "
+                              f"{offer}, {aplus}")
+    found = quarantine_models(b)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(found) == key(build_models(None, b)["quarantine_union"].select(*found.columns))
+    assert {r.reason_code for r in found.collect()} >= {"ASIN_NULL", "RANK_NONPOSITIVE", "RATING_OOB", "OFFER_CSV_EMPTY", "OFFER_ID_NULL", "MODULE_EMPTY"}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("bitmap_construct_agg") == 5
