@@ -81,3 +81,10 @@ def test_the_rollup_shuffles_suspects_alone(spark):
     assert {r.reason_code for r in found.collect()} >= {"ASIN_NULL", "RANK_NONPOSITIVE", "RATING_OOB", "OFFER_CSV_EMPTY", "OFFER_ID_NULL", "MODULE_EMPTY"}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("bitmap_construct_agg") == 5
+
+
+def test_ndjson_reviews_parse_the_lines_once(spark):
+    from conftest import SF_SMALL
+    from histmart.plans.registry import ndjson_query
+    plan = ndjson_query("fct_review_history_daily")(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "variant" not in plan.lower() and "parsejson" not in plan.lower()
