@@ -489,3 +489,17 @@ def test_extension_has_the_best_score(a, b):
     best = max((3 * lcs(a[:i], b[:j]) - i - j for i in range(len(a) + 1) for j in range(len(b) + 1) if abs(i - j) <= passages.SLACK), default=0)
     i, j, n = passages._extend(a, b)
     assert n == lcs(a[:i], b[:j]) and 3 * n - i - j == max(best, 0)
+
+
+@pytest.mark.parametrize("hot", [passages.HOT, 1])
+def test_texts_that_share_more_with_one_another_than_with_the_pivot(spark, monkeypatch, hot):
+    """Two texts share five stretches of 14 words, each of which stands in other texts of its own, with three odd words
+    between any two: no text but these two has 50 of the words."""
+    monkeypatch.setattr(passages, "HOT", hot)  # 1: counted block by block
+    parts = [prose(1500 + i, 14) for i in range(5)]
+    docs = [(100 * i + n, f"{prose(2000 + 100 * i + n, 40)} {p} {prose(3000 + 100 * i + n, 40)}") for i, p in enumerate(parts) for n in range(20)]
+    docs += [(9000 + k, " ".join([prose(4000 + k, 50)] + [f"{p} {prose(5000 + 10 * k + i, 3)}" for i, p in enumerate(parts)] + [prose(6000 + k, 50)]))
+             for k in range(2)]
+    rows = passages.op8_query(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {frozenset((r["doc_id"], r["other_id"])) for r in rows} == {frozenset((9000, 9001))}
+    assert max(r["length"] for r in rows) >= 70
