@@ -503,3 +503,20 @@ def test_texts_that_share_more_with_one_another_than_with_the_pivot(spark, monke
     rows = passages.op8_query(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
     assert {frozenset((r["doc_id"], r["other_id"])) for r in rows} == {frozenset((9000, 9001))}
     assert max(r["length"] for r in rows) >= 70
+
+
+def test_bands_alone_in_their_bucket_do_not_go_to_the_pivots(spark, monkeypatch):
+    staged, stage = {}, nearjoin.stage
+
+    def recorded(df, name, keep=False):
+        out = stage(df, name, keep)
+        if name in ("near-bands", "near-shared"):
+            staged[name] = out.count()
+        return out
+
+    monkeypatch.setattr(nearjoin, "stage", recorded)
+    a = prose(7000, 200)
+    docs = [(i, prose(7001 + i, 60)) for i in range(40)] + [(50, a), (51, a + " more")]
+    rows = nearjoin.op6_query(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in rows if r["n_links"]} == {50: 50, 51: 50}
+    assert staged["near-bands"] == 42 * nearjoin.BANDS and 2 <= staged["near-shared"] <= 2 * nearjoin.BANDS
