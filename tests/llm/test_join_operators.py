@@ -505,6 +505,51 @@ def test_texts_that_share_more_with_one_another_than_with_the_pivot(spark, monke
     assert max(r["length"] for r in rows) >= 70
 
 
+def test_links_of_a_large_group_grow_with_its_texts_not_their_pairs(spark):
+    """A hundred texts share five stretches of 14 words in a row; each stretch stands in more texts of its own, of which one
+    is the pivot: all of the hundred are linked, by a few rows each instead of one for every two of them."""
+    parts = [prose(1500 + i, 14) for i in range(5)]
+    docs = [(1000 * i + n, f"{prose(20_000 + 1000 * i + n, 30)} {p} {prose(30_000 + 1000 * i + n, 30)}") for i, p in enumerate(parts) for n in range(300)]
+    texts = range(9000, 9100)
+    docs += [(k, f"{prose(40_000 + k, 40)} {' '.join(parts)} {prose(60_000 + k, 40)}") for k in texts]
+    rows = passages.op8_query(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {x for r in rows for x in (r["doc_id"], r["other_id"])} == set(texts)
+    group = {k: k for k in texts}
+    for r in rows:
+        low, high = sorted((group[r["doc_id"]], group[r["other_id"]]))
+        group = {k: low if g == high else g for k, g in group.items()}
+    assert len(set(group.values())) == 1
+    assert len(rows) <= 10 * len(texts)
+
+
+def test_pairs_that_join_no_two_classes_are_not_compared():
+    looked = []
+
+    def link(i, j):
+        looked.append((i, j))
+        return (i, j) != (1, 4)
+
+    held = np.array([True, True, False, False, False])
+    pairs = [(0, 2), (1, 2), (0, 1), (1, 4), (2, 4), (3, 4), (0, 3)]
+    assert [x[:2] for x in passages.forest(held, pairs, link)] == [(0, 2), (2, 4), (3, 4)]
+    assert looked == [(0, 2), (1, 4), (2, 4), (3, 4)]
+
+
+@given(st.integers(0, 10 ** 6), st.integers(50, 90))
+@settings(max_examples=100, deadline=None)
+def test_texts_with_a_passage_share_the_fewest_pairs_of_words(seed, n):
+    """A passage of which four in five words match, the others missing on either side at separate places."""
+    r = random.Random(seed)
+    same = n - n // 5
+    spare = sorted(r.sample(range(1, same), 2 * (n - same)) if 2 * (n - same) < same else [])
+    a, b = list(range(same)), list(range(same))
+    for k, i in enumerate(reversed(spare)):
+        (a if k % 2 else b).insert(i, 1000 + k)
+    sets = [passages.word_pairs(np.array(x, dtype=np.uint64)) for x in (a, b)]
+    fewest = passages.fewest_pairs(np.array([n, n]))
+    assert [x.tolist() for x in passages.near_sets(sets, np.array([0]), np.array([1]), fewest)] == [[0], [1]]
+
+
 def test_bands_alone_in_their_bucket_do_not_go_to_the_pivots(spark, monkeypatch):
     staged, stage = {}, nearjoin.stage
 
