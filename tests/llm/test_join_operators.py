@@ -522,6 +522,32 @@ def test_links_of_a_large_group_grow_with_its_texts_not_their_pairs(spark):
     assert len(rows) <= 10 * len(texts)
 
 
+@pytest.mark.parametrize("hot", [passages.HOT, 1])
+def test_texts_that_share_a_passage_beside_the_ones_with_the_pivot(spark, monkeypatch, hot):
+    """Two texts have passages of their own with the texts that hold all their seeds, and between these one with one another: two
+    stretches of 28 words with eight odd words between them, which those texts hold in the other order, far apart."""
+    monkeypatch.setattr(passages, "HOT", hot)
+    parts, mine = [prose(1500 + i, 28) for i in range(2)], [[prose(1600 + 10 * k + i, 60) for i in range(2)] for k in range(2)]
+    docs = [(n, " ".join([prose(2000 + n, 30), *mine[0], *mine[1], prose(3000 + n, 30), parts[1], prose(3500 + n, 30), parts[0]])) for n in range(30)]
+    docs += [(9000 + k, " ".join([prose(4000 + k, 80), mine[k][0], parts[0], prose(5000 + k, 8), parts[1], mine[k][1], prose(6000 + k, 80)]))
+             for k in range(2)]
+    rows = passages.op8_query(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    mutual = [r["length"] for r in rows if {r["doc_id"], r["other_id"]} == {9000, 9001}]
+    assert mutual and max(mutual) >= 60
+    assert {r["doc_id"] for r in rows if r["other_id"] < 30} >= {9000, 9001}
+
+
+def test_a_link_covers_both_seeds():
+    from histmart.llm.shingles import WordHasher
+    a, b = ([f"{x}{i}" for i in range(60)] for x in "ab")
+    left, right = a[:30] + b + a[30:], a[:30] + ["odd"] * 40 + a[30:]
+    runs = [passages.first_runs(WordHasher()(" ".join(x))) for x in (left, right)]
+    words = [[w.encode() for w in x] for x in (left, right)]
+    assert not passages.linked(*words, *runs, (0, 95), (0, 75))
+    same = [passages.first_runs(WordHasher()(" ".join(a)))] * 2
+    assert passages.linked([w.encode() for w in a], [w.encode() for w in a], *same, (3, 50), (3, 50))
+
+
 def test_pairs_that_join_no_two_classes_are_not_compared():
     looked = []
 
