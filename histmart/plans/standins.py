@@ -288,6 +288,7 @@ def load_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ARRAY_KEYS = 20_000  # customer keys that an array's customers are taken from
+ARRAY_ORDERS = 10_000_000  # order keys that a file's line items are taken from
 
 
 def json_array_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,18 +302,20 @@ def json_array_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file with one outer array for each nation, read by many tasks (S5): line items of the nation's suppliers."""
+    """One file with one outer array for each nation (and range of order keys), read by many tasks (S5): line items of the
+    nation's suppliers."""
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_returnflag")
     rows = li.join(_t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey", "s_name"), "l_suppkey")
+    rows = rows.withColumn("range", F.floor(F.col("l_orderkey") / ARRAY_ORDERS))
     path = shared_path(spark, "json-large-arrays")
-    # a nation's file is written row by row in its order; no row holds a group
-    order = ["s_nationkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_returnflag"]
-    w = Window.partitionBy("s_nationkey").orderBy(*order[1:])
+    # a file is written row by row in its order; no row holds a group
+    files, order = ["s_nationkey", "range"], ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_returnflag"]
+    w = Window.partitionBy(*files).orderBy(*order)
     field = F.to_json(F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", F.struct("s_name", F.array("l_returnflag").alias(
         "flags")).alias("of")))
     at = rows.withColumn("i", F.row_number().over(w)).withColumn("more", F.lead(F.lit(1)).over(w))
     value = F.concat(F.when(F.col("i") == 1, "[").otherwise(","), field, F.when(F.col("more").isNull(), "]").otherwise(""))
-    at.sortWithinPartitions("s_nationkey", "i").select("s_nationkey", value.alias("value")).write.partitionBy("s_nationkey").text(path)
+    at.sortWithinPartitions(*files, *order, "i").select(*files, value.alias("value")).write.partitionBy(*files).text(path)
     read = read_large_json_array(spark, path, "l_orderkey bigint, l_linenumber int, l_suppkey bigint, l_extendedprice double, "
                                               "of struct<s_name string, flags array<string>>")
     return read.select("s_nationkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", F.col("of.s_name").alias("s_name"),

@@ -79,3 +79,13 @@ def test_no_task_sorts_or_holds_a_range(spark, tmp_dir):
         json.dump(_elements(20, 5), f)
     plan = array_elements(spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "MapInArrow" in plan
+
+
+def test_elements_within_a_range_are_not_shuffled(spark, tmp_dir):
+    """Only the parts of a range's first and last element go to the groups; elements that end like the array keep their end."""
+    with open(f"{tmp_dir}/f.json", "w", encoding="utf-8") as f:
+        f.write("[[0]," + ",".join(f"[{i}, [{i}]]" for i in range(1, 2000)) + "]")
+    elements = array_elements(spark, tmp_dir)
+    plan = elements._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan.split("Aggregate")[0]
+    assert [r.text for r in elements.orderBy("_element").collect()] == ["[0]"] + [f"[{i}, [{i}]]" for i in range(1, 2000)]
