@@ -315,7 +315,7 @@ def counts_and_documents(docs: DataFrame, key: str = "doc_id", text: str = "text
                          pieces: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The id pairs (a, b, n) of the corpus, and the aligned documents."""
     prepare(docs.sparkSession)
-    written = stage(chunks(docs, key, text, ranks, pieces), "align-chunks")
+    written = stage(chunks(docs, key, text, ranks, pieces), "align-chunks", group_rows=1)  # a chunk has some 20 MB in memory
     return pair_counts(_parts(written)), aligned(written, counted(written), key)
 
 

@@ -122,3 +122,21 @@ def test_sums_in_a_worker_that_has_not_loaded_compute(monkeypatch):
     right = pa.table({"place": pa.array([0, 1]), "n": pa.array([5, 3]), "best": pa.array([True, False])})
     got = alignment.document_sums(left, right).to_pylist()
     assert [(r["key"], r["n_links"], r["n_best"], r["count_sum"]) for r in got] == [(7, 3, 1, 11), (8, 0, 0, 0)]
+
+
+def test_chunks_are_written_and_read_one_at_a_time(spark, monkeypatch, tiny_docs):
+    """A chunk has some 20 MB in memory, so a row group, which the writer and the reader hold whole, has one."""
+    import pyarrow.dataset as ds
+    found, stage = {}, alignment.stage
+
+    def recorded(df, name, *args, **kwargs):
+        out = stage(df, name, *args, **kwargs)
+        found[name] = [f.removeprefix("file://") for f in out.inputFiles()]
+        return out
+
+    monkeypatch.setattr(alignment, "stage", recorded)
+    chunks = alignment.chunks
+    monkeypatch.setattr(alignment, "chunks", lambda *args, **kwargs: chunks(*args, **kwargs, chunk_tokens=2_000, batch_chars=10_000))
+    alignment.op11_query(tiny_docs.coalesce(1))
+    parts = [(f.metadata.num_row_groups, f.metadata.num_rows) for f in ds.dataset(found["align-chunks"]).get_fragments()]
+    assert sum(n for _, n in parts) > 5 and all(groups == rows for groups, rows in parts)
