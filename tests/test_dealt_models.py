@@ -88,3 +88,14 @@ def test_ndjson_reviews_parse_the_lines_once(spark):
     from histmart.plans.registry import ndjson_query
     plan = ndjson_query("fct_review_history_daily")(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "variant" not in plan.lower() and "parsejson" not in plan.lower()
+
+
+def test_the_ndjson_feed_is_written_and_read_by_many_tasks(spark, monkeypatch):
+    """A stored line item becomes a long line, and a gzip file is one task."""
+    from conftest import SF_SMALL
+    from histmart.plans import feed
+    monkeypatch.setattr(feed, "FILE_LINES", 700)
+    raw = feed.ndjson_feed(spark, SF_SMALL)
+    lines = raw.groupBy("file_name").count().collect()
+    n = feed.table(spark, SF_SMALL, "lineitem").count()
+    assert sum(r["count"] for r in lines) == n and len(lines) >= n // 700 and max(r["count"] for r in lines) <= 1400
